@@ -115,3 +115,66 @@ SQL: dict[str, str] = {
         SELECT {_claim_select(QUARANTINE_COLS)} FROM enriched WHERE quarantine_reason IS NOT NULL""",
     "claim_status_history": f"WITH {CLAIMS_CTE} SELECT * FROM history",
 }
+
+# ----------------------------------------------------------------- policy
+_CH = """ch AS (SELECT DISTINCT o_custkey AS policy_id, o_orderpriority AS tier,
+                o_orderdate AS seq_ts, o_orderkey AS seq_tie FROM orders)"""
+_TERMS = """terms AS (SELECT o_custkey AS policy_id, o_orderkey AS term_id,
+              CAST(o_orderdate AS DATE) AS term_start,
+              CAST(o_orderdate AS DATE) + 365 AS term_end, o_totalprice AS premium FROM orders)"""
+
+SQL.update({
+    "scd2_policyholder": f"""WITH {_CH}
+        SELECT policy_id, tier, seq_ts AS effective_from,
+               lead(seq_ts) OVER w AS effective_to, lead(seq_ts) OVER w IS NULL AS is_current, seq_tie
+        FROM ch WINDOW w AS (PARTITION BY policy_id ORDER BY seq_ts, seq_tie)""",
+    "scd2_repeats_coalesced": f"""WITH {_CH},
+        f AS (SELECT *, lag(tier) OVER w AS prev_tier, row_number() OVER w AS rn
+              FROM ch WINDOW w AS (PARTITION BY policy_id ORDER BY seq_ts, seq_tie)),
+        k AS (SELECT * FROM f WHERE rn = 1 OR prev_tier IS DISTINCT FROM tier)
+        SELECT policy_id, tier, seq_ts AS effective_from,
+               lead(seq_ts) OVER w AS effective_to, lead(seq_ts) OVER w IS NULL AS is_current, seq_tie
+        FROM k WINDOW w AS (PARTITION BY policy_id ORDER BY seq_ts, seq_tie)""",
+    "endorsement_current": """WITH e AS (
+          SELECT o_custkey AS policy_id, o_orderdate AS seq_ts, o_orderkey AS seq_tie,
+                 CASE WHEN o_orderpriority <> '3-MEDIUM' THEN o_orderpriority END AS tier,
+                 CASE WHEN o_orderstatus <> 'O' THEN o_orderstatus END AS status,
+                 CASE WHEN o_orderstatus = 'F' THEN o_totalprice END AS premium
+          FROM orders),
+        r AS (SELECT policy_id, seq_ts,
+                 last_value(tier IGNORE NULLS) OVER w AS tier,
+                 last_value(status IGNORE NULLS) OVER w AS status,
+                 last_value(premium IGNORE NULLS) OVER w AS premium,
+                 count(*) OVER (PARTITION BY policy_id) AS n_changes,
+                 row_number() OVER (PARTITION BY policy_id ORDER BY seq_ts DESC, seq_tie DESC) AS rn
+              FROM e WINDOW w AS (PARTITION BY policy_id ORDER BY seq_ts, seq_tie
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
+        SELECT policy_id, tier, status, premium, seq_ts AS last_seq_ts, n_changes FROM r WHERE rn = 1""",
+    "upsert_latest": """WITH o AS (SELECT o_custkey AS policy_id, o_orderdate AS seq_ts, o_orderkey AS seq_tie,
+                 o_orderstatus AS status, o_totalprice AS premium,
+                 CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN 'base' ELSE 'update' END AS origin
+          FROM orders),
+        r AS (SELECT *, row_number() OVER (PARTITION BY policy_id ORDER BY seq_ts DESC, seq_tie DESC) AS rn FROM o)
+        SELECT policy_id, seq_ts, seq_tie, status, premium, origin FROM r WHERE rn = 1""",
+    "policy_lapses": f"""WITH {_TERMS},
+        n AS (SELECT *, lead(term_start) OVER (PARTITION BY policy_id ORDER BY term_start, term_id) AS next_term_start
+              FROM terms)
+        SELECT policy_id, term_id, term_start, term_end, next_term_start,
+               date_diff('day', term_end, next_term_start) AS gap_days,
+               CASE WHEN next_term_start IS NULL THEN 'last_term'
+                    WHEN date_diff('day', term_end, next_term_start) <= 30 THEN 'renewed'
+                    ELSE 'lapsed' END AS outcome
+        FROM n""",
+    "policy_inforce_monthly": f"""WITH {_TERMS},
+        m AS (SELECT policy_id, premium,
+                     unnest(generate_series(date_trunc('month', term_start), date_trunc('month', term_end),
+                                            INTERVAL 1 MONTH)) AS month FROM terms)
+        SELECT CAST(month AS DATE) AS month, count(*) AS terms_in_force,
+               count(DISTINCT policy_id) AS policies_in_force,
+               round(CAST(sum(CAST(premium AS DECIMAL(18,2))) AS DOUBLE), 2) AS premium_in_force
+        FROM m GROUP BY 1""",
+    "policy_transactions": """SELECT o_custkey AS policy_id, o_orderkey AS txn_id, o_orderdate AS txn_ts,
+             CASE WHEN lag(o_orderkey) OVER w IS NULL THEN 'new' ELSE 'endorsement' END AS txn_type,
+             o_totalprice AS premium, round(o_totalprice - lag(o_totalprice) OVER w, 2) AS premium_delta
+        FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)""",
+})

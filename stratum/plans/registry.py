@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.plans import claims
+from stratum.plans import claims, policy
 from stratum.plans.common import present
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,13 @@ _RAW: dict[str, Query] = {
     "claim_valid": claims.claim_valid,
     "claim_quarantine": claims.claim_quarantine,
     "claim_status_history": claims.claim_history,
+    "scd2_policyholder": policy.scd2_policyholder,
+    "scd2_repeats_coalesced": policy.scd2_repeats_coalesced,
+    "endorsement_current": policy.endorsement_current,
+    "upsert_latest": policy.upsert_latest,
+    "policy_lapses": policy.policy_lapses,
+    "policy_inforce_monthly": policy.policy_inforce_monthly,
+    "policy_transactions": policy.policy_transactions,
 }
 
 
