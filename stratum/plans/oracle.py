@@ -178,3 +178,78 @@ SQL.update({
              o_totalprice AS premium, round(o_totalprice - lag(o_totalprice) OVER w, 2) AS premium_delta
         FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)""",
 })
+
+# -------------------------------------------------------------- telematics
+_TEL = """tel AS (
+  SELECT event_id, user_id AS vehicle_id, ts, event_type, value AS speed,
+         TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
+         CAST(40.0 AS DOUBLE) + CAST(TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS DOUBLE) / CAST(1000.0 AS DOUBLE) AS lat,
+         CAST(-3.7 AS DOUBLE) - CAST(TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS DOUBLE) / CAST(2000.0 AS DOUBLE) AS lon
+  FROM events)"""
+_SESS = _TEL + """,
+g AS (SELECT *, lag(ts) OVER w AS prev_ts, lag(lat) OVER w AS prev_lat, lag(lon) OVER w AS prev_lon
+      FROM tel WINDOW w AS (PARTITION BY vehicle_id ORDER BY ts, event_id)),
+s AS (SELECT *, (prev_ts IS NULL OR epoch_us(ts) - epoch_us(prev_ts) > 21600000000) AS is_trip_start FROM g),
+trips AS (SELECT *, last_value(CASE WHEN is_trip_start THEN ts END IGNORE NULLS)
+                    OVER (PARTITION BY vehicle_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS trip_start,
+                 CASE WHEN is_trip_start THEN 0.0 ELSE
+                   2 * 6371.0088 * asin(least(1.0, sqrt(
+                     pow(sin((radians(lat) - radians(prev_lat)) / 2), 2)
+                     + cos(radians(prev_lat)) * cos(radians(lat)) * pow(sin((radians(lon) - radians(prev_lon)) / 2), 2))))
+                 END AS step_km
+          FROM s)"""
+
+SQL.update({
+    "telemetry_quarantine": f"""WITH {_TEL},
+        p AS (SELECT *, lag(ts) OVER (PARTITION BY vehicle_id ORDER BY ts, event_id) AS prev_ts FROM tel),
+        r AS (SELECT *, NULLIF(concat_ws('; ',
+                CASE WHEN speed < 0 OR speed > 250.0 THEN 'speed_out_of_range' END,
+                CASE WHEN NOT (lat BETWEEN -90 AND 90) OR NOT (lon BETWEEN -180 AND 180) THEN 'gps_invalid' END,
+                CASE WHEN prev_ts IS NOT NULL AND ts <= prev_ts THEN 'ts_not_increasing' END,
+                CASE WHEN k IS NULL THEN 'bad_payload' END), '') AS quarantine_reason FROM p)
+        SELECT event_id, vehicle_id, ts, speed, quarantine_reason, quarantine_reason IS NULL AS is_valid FROM r""",
+    "trips_by_gap": f"WITH {_SESS} SELECT event_id, vehicle_id, ts, is_trip_start, trip_start FROM trips",
+    "trips_by_ignition": f"""WITH {_TEL},
+        g AS (SELECT *, lag(ts) OVER w AS prev_ts, lag(event_type) OVER w AS prev_type
+              FROM tel WINDOW w AS (PARTITION BY vehicle_id ORDER BY ts, event_id)),
+        s AS (SELECT *, (prev_ts IS NULL OR prev_type = 'purchase'
+                         OR epoch_us(ts) - epoch_us(prev_ts) > 21600000000
+                         OR event_type = 'signup') AS is_trip_start FROM g)
+        SELECT event_id, vehicle_id, ts, event_type, is_trip_start,
+               last_value(CASE WHEN is_trip_start THEN ts END IGNORE NULLS)
+                 OVER (PARTITION BY vehicle_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS trip_start
+        FROM s""",
+    "fact_trip": f"""WITH {_SESS}
+        SELECT vehicle_id, trip_start, max(ts) AS trip_end, count(*) AS n_events,
+               round(sum(step_km), 3) AS distance_km, max(speed) AS max_speed,
+               round(avg(speed), 4) AS avg_speed,
+               count_if(event_type = 'error') AS harsh_events,
+               count_if(speed > 120.0) AS speeding_events,
+               count_if(hour(ts) >= 22 OR hour(ts) < 6) AS night_events,
+               (epoch_us(max(ts)) - epoch_us(trip_start)) / 1000000 AS duration_s
+        FROM trips GROUP BY vehicle_id, trip_start""",
+    "trip_daily": f"""WITH {_SESS}
+        SELECT vehicle_id, CAST(ts AS DATE) AS day, count(*) AS n_events,
+               count(DISTINCT trip_start) AS n_trips, round(sum(step_km), 3) AS distance_km,
+               round(sum(speed), 2) AS speed_sum
+        FROM trips GROUP BY 1, 2""",
+    "driver_risk": f"""WITH {_TEL},
+        per AS (SELECT vehicle_id, count(*) AS n_events,
+                       count_if(event_type = 'error') / count(*) AS harsh_rate,
+                       count_if(speed > 120.0) / count(*) AS speeding_share,
+                       count_if(hour(ts) >= 22 OR hour(ts) < 6) / count(*) AS night_share
+                FROM tel GROUP BY vehicle_id),
+        st AS (SELECT avg(harsh_rate) AS mh, stddev_samp(harsh_rate) AS sh,
+                      avg(speeding_share) AS ms, stddev_samp(speeding_share) AS ss,
+                      avg(night_share) AS mn, stddev_samp(night_share) AS sn FROM per)
+        SELECT vehicle_id, n_events, round(harsh_rate, 6) AS harsh_rate,
+               round(speeding_share, 6) AS speeding_share, round(night_share, 6) AS night_share,
+               round(0.5 * CASE WHEN sh > 0 THEN (harsh_rate - mh) / sh ELSE 0.0 END
+                     + 0.3 * CASE WHEN ss > 0 THEN (speeding_share - ms) / ss ELSE 0.0 END
+                     + 0.2 * CASE WHEN sn > 0 THEN (night_share - mn) / sn ELSE 0.0 END, 6) AS risk_score
+        FROM per, st""",
+    "grid_cells": f"""WITH {_TEL}
+        SELECT CAST(CAST(floor(lat / 0.01) AS BIGINT) AS VARCHAR) || ':' || CAST(CAST(floor(lon / 0.01) AS BIGINT) AS VARCHAR) AS cell,
+               count(*) AS n_events, count(DISTINCT vehicle_id) AS n_vehicles, round(avg(speed), 4) AS avg_speed
+        FROM tel GROUP BY 1""",
+})

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.plans import claims, policy
+from stratum.plans import claims, policy, telematics
 from stratum.plans.common import present
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,13 @@ _RAW: dict[str, Query] = {
     "policy_lapses": policy.policy_lapses,
     "policy_inforce_monthly": policy.policy_inforce_monthly,
     "policy_transactions": policy.policy_transactions,
+    "telemetry_quarantine": telematics.telemetry_quarantine,
+    "trips_by_gap": telematics.trips_by_gap,
+    "trips_by_ignition": telematics.trips_by_ignition,
+    "fact_trip": telematics.fact_trip,
+    "trip_daily": telematics.trip_daily,
+    "driver_risk": telematics.driver_risk,
+    "grid_cells": telematics.grid_cells,
 }
 
 
