@@ -253,3 +253,83 @@ SQL.update({
                count(*) AS n_events, count(DISTINCT vehicle_id) AS n_vehicles, round(avg(speed), 4) AS avg_speed
         FROM tel GROUP BY 1""",
 })
+
+# ------------------------------------------------------------------- gold
+_LOSS = _TEL + """,
+losses AS (SELECT event_id AS loss_id, vehicle_id, ts AS loss_ts FROM tel WHERE event_type = 'error'),
+readings AS (SELECT event_id, vehicle_id, ts, speed FROM tel WHERE event_type <> 'error')"""
+_RANK = """CAST(('0x' || substr(md5(CAST({c} AS VARCHAR)), 1, 8)) AS BIGINT)"""
+
+SQL.update({
+    "dim_date": f"""WITH {CLAIMS_CTE},
+        d AS (SELECT CAST(unnest(generate_series(min(incident_date), max(incident_date), INTERVAL 1 DAY)) AS DATE) AS date FROM claim)
+        SELECT date, year(date) * 10000 + month(date) * 100 + day(date) AS date_key, year(date) AS year,
+               quarter(date) AS quarter, month(date) AS month, isodow(date) AS iso_dow,
+               isodow(date) >= 6 AS is_weekend FROM d""",
+    "dim_claim_type": f"""WITH {CLAIMS_CTE}
+        SELECT DISTINCT sha256(concat_ws('|', coalesce(claim_type, ''))) AS claim_type_key, claim_type
+        FROM claim WHERE claim_type IS NOT NULL""",
+    "star_claims": f"""WITH {CLAIMS_CTE},
+        geo AS (SELECT n_nationkey, n_name AS nation, r_name AS region FROM nation JOIN region ON n_regionkey = r_regionkey),
+        f AS (SELECT c.*, CASE WHEN source_system = 'orders' THEN TRY_CAST(policy_number AS BIGINT) END AS pk FROM claim c)
+        SELECT claim_id, source_system,
+               CAST(CASE WHEN cu.c_nationkey IS NOT NULL THEN f.pk ELSE -1 END AS BIGINT) AS policy_key,
+               coalesce(cu.c_mktsegment, 'UNKNOWN') AS segment, coalesce(g.nation, 'UNKNOWN') AS nation,
+               coalesce(g.region, 'UNKNOWN') AS region,
+               year(incident_date) * 10000 + month(incident_date) * 100 + day(incident_date) AS date_key,
+               CASE WHEN claim_type IS NOT NULL THEN sha256(concat_ws('|', coalesce(claim_type, ''))) END AS claim_type_key,
+               CAST(total_claim_amount AS DOUBLE) AS claim_amount, CAST(fraud AS INTEGER) AS is_fraud, 1 AS claim_count
+        FROM f LEFT JOIN customer cu ON cu.c_custkey = f.pk LEFT JOIN geo g ON g.n_nationkey = cu.c_nationkey""",
+    "point_in_time_policy": f"""WITH {_CH},
+        scd AS (SELECT policy_id, tier, seq_ts AS effective_from,
+                       lead(seq_ts) OVER (PARTITION BY policy_id ORDER BY seq_ts, seq_tie) AS effective_to FROM ch),
+        fact AS (SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate, o_custkey AS policy_id
+                 FROM lineitem JOIN orders ON o_orderkey = l_orderkey)
+        SELECT f.l_orderkey, f.l_linenumber, f.l_partkey, f.l_shipdate, f.policy_id, s.tier,
+               s.effective_from AS version_from
+        FROM fact f LEFT JOIN scd s ON s.policy_id = f.policy_id AND s.effective_from <= f.l_shipdate
+             AND (s.effective_to IS NULL OR f.l_shipdate < s.effective_to)""",
+    "asof_telemetry": f"""WITH {_LOSS},
+        m AS (SELECT l.loss_id, l.vehicle_id, l.loss_ts, r.ts AS r_ts, r.event_id AS r_event_id, r.speed AS r_speed
+              FROM losses l ASOF LEFT JOIN readings r ON l.vehicle_id = r.vehicle_id AND l.loss_ts >= r.ts)
+        SELECT loss_id, vehicle_id, loss_ts,
+               CASE WHEN epoch_us(loss_ts) - epoch_us(r_ts) <= 3600000000 THEN r_ts END AS r_ts,
+               CASE WHEN epoch_us(loss_ts) - epoch_us(r_ts) <= 3600000000 THEN r_event_id END AS r_event_id,
+               CASE WHEN epoch_us(loss_ts) - epoch_us(r_ts) <= 3600000000 THEN r_speed END AS r_speed
+        FROM m""",
+    "interval_telemetry": f"""WITH {_LOSS},
+        per AS (SELECT l.loss_id, count(*) AS n_readings, max(r.speed) AS max_speed, round(avg(r.speed), 4) AS avg_speed
+                FROM losses l JOIN readings r ON r.vehicle_id = l.vehicle_id
+                 AND r.ts >= l.loss_ts - INTERVAL 1800 SECOND AND r.ts <= l.loss_ts
+                GROUP BY l.loss_id)
+        SELECT l.loss_id, l.vehicle_id, l.loss_ts, coalesce(per.n_readings, 0) AS n_readings,
+               per.max_speed, per.avg_speed
+        FROM losses l LEFT JOIN per USING (loss_id)""",
+    "bridge_keys": f"""WITH u AS (SELECT DISTINCT user_id AS vehicle_id FROM events),
+        r AS (SELECT vehicle_id, row_number() OVER (ORDER BY {_RANK.format(c='vehicle_id')} % 4096, vehicle_id) - 1 AS bridge_rank FROM u),
+        n AS (SELECT count(*) AS total FROM u),
+        c AS (SELECT DISTINCT c_custkey FROM customer)
+        SELECT c.c_custkey, CAST({_RANK.format(c='c.c_custkey')} % n.total AS BIGINT) AS bridge_rank, r.vehicle_id
+        FROM c CROSS JOIN n LEFT JOIN r ON r.bridge_rank = {_RANK.format(c='c.c_custkey')} % n.total""",
+    "policy_claims": f"""WITH {CLAIMS_CTE},
+        b AS (SELECT TRY_CAST(policy_number AS BIGINT) AS order_key, count(*) AS n_claims, count_if(fraud) AS n_fraud
+              FROM claim WHERE source_system = 'lineitem' GROUP BY 1)
+        SELECT o_orderkey AS order_key, o_custkey, coalesce(b.n_claims, 0) AS n_claims, coalesce(b.n_fraud, 0) AS n_fraud
+        FROM orders LEFT JOIN b ON b.order_key = o_orderkey""",
+    "claim_frequency": f"""WITH {CLAIMS_CTE},
+        b AS (SELECT TRY_CAST(policy_number AS BIGINT) AS order_key, count(*) AS n_claims
+              FROM claim WHERE source_system = 'lineitem' GROUP BY 1),
+        per AS (SELECT o_custkey, count(*) AS exposure_years, sum(coalesce(b.n_claims, 0)) AS n_claims
+                FROM orders LEFT JOIN b ON b.order_key = o_orderkey GROUP BY 1)
+        SELECT c_custkey, c_mktsegment, coalesce(per.exposure_years, 0) AS exposure_years,
+               coalesce(per.n_claims, 0) AS n_claims,
+               round(per.n_claims / per.exposure_years, 6) AS claim_frequency
+        FROM customer LEFT JOIN per ON per.o_custkey = c_custkey""",
+    "recall_match": """WITH camp AS (SELECT DISTINCT p_brand, p_type FROM part WHERE p_size > 45)
+        SELECT sha256(concat_ws('|', coalesce(c.p_brand, ''), coalesce(c.p_type, ''))) AS campaign_id,
+               c.p_brand, c.p_type, count(*) AS n_claim_lines, count(DISTINCT l_orderkey) AS n_orders,
+               count(DISTINCT l_partkey) AS n_parts
+        FROM lineitem JOIN part p ON p.p_partkey = l_partkey
+             JOIN camp c ON c.p_brand = p.p_brand AND c.p_type = p.p_type
+        GROUP BY 1, 2, 3""",
+})

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.plans import claims, policy, telematics
+from stratum.plans import claims, gold, policy, telematics
 from stratum.plans.common import present
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,16 @@ _RAW: dict[str, Query] = {
     "trip_daily": telematics.trip_daily,
     "driver_risk": telematics.driver_risk,
     "grid_cells": telematics.grid_cells,
+    "dim_date": gold.dim_date,
+    "dim_claim_type": gold.dim_claim_type,
+    "star_claims": gold.star_claims,
+    "point_in_time_policy": gold.point_in_time_policy,
+    "asof_telemetry": gold.asof_telemetry,
+    "interval_telemetry": gold.interval_telemetry,
+    "bridge_keys": gold.bridge_keys,
+    "policy_claims": gold.policy_claims,
+    "claim_frequency": gold.claim_frequency,
+    "recall_match": gold.recall_match,
 }
 
 

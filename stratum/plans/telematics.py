@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.functions.geo import grid_cell, haversine_km
+from stratum.operators.joins import attach_one_row
 from stratum.operators.ordered import neighbour, time_chunk
 from stratum.operators.quality import apply_rules
 from stratum.operators.sessions import sessionize
@@ -118,8 +119,8 @@ def driver_risk(spark, sf_dir):
         (F.count_if(night) / F.count(F.lit(1))).alias("night_share"))
     feats = list(RISK_WEIGHTS)
     stats = per.agg(*[F.avg(f).alias(f"mu_{f}") for f in feats],
-                    *[F.stddev(f).alias(f"sd_{f}") for f in feats]).withColumn("__one", F.lit(1))
-    j = per.withColumn("__one", F.lit(1)).join(F.broadcast(stats), "__one")
+                    *[F.stddev(f).alias(f"sd_{f}") for f in feats])
+    j = attach_one_row(per, stats)
     z = {f: F.when(F.col(f"sd_{f}") > 0, (F.col(f) - F.col(f"mu_{f}")) / F.col(f"sd_{f}"))
            .otherwise(F.lit(0.0)) for f in feats}
     score = sum((F.lit(w) * z[f] for f, w in RISK_WEIGHTS.items()), F.lit(0.0))
