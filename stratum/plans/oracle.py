@@ -255,6 +255,18 @@ SQL.update({
 })
 
 # ------------------------------------------------------------------- gold
+_STAR_CTE = """
+geo AS (SELECT n_nationkey, n_name AS nation, r_name AS region FROM nation JOIN region ON n_regionkey = r_regionkey),
+f AS (SELECT c.*, CASE WHEN source_system = 'orders' THEN TRY_CAST(policy_number AS BIGINT) END AS pk FROM claim c),
+star AS (
+  SELECT claim_id, source_system,
+         CAST(CASE WHEN cu.c_nationkey IS NOT NULL THEN f.pk ELSE -1 END AS BIGINT) AS policy_key,
+         coalesce(cu.c_mktsegment, 'UNKNOWN') AS segment, coalesce(g.nation, 'UNKNOWN') AS nation,
+         coalesce(g.region, 'UNKNOWN') AS region,
+         year(incident_date) * 10000 + month(incident_date) * 100 + day(incident_date) AS date_key,
+         CASE WHEN claim_type IS NOT NULL THEN sha256(concat_ws('|', coalesce(claim_type, ''))) END AS claim_type_key,
+         CAST(total_claim_amount AS DOUBLE) AS claim_amount, CAST(fraud AS INTEGER) AS is_fraud, 1 AS claim_count
+  FROM f LEFT JOIN customer cu ON cu.c_custkey = f.pk LEFT JOIN geo g ON g.n_nationkey = cu.c_nationkey)"""
 _LOSS = _TEL + """,
 losses AS (SELECT event_id AS loss_id, vehicle_id, ts AS loss_ts FROM tel WHERE event_type = 'error'),
 readings AS (SELECT event_id, vehicle_id, ts, speed FROM tel WHERE event_type <> 'error')"""
@@ -269,17 +281,7 @@ SQL.update({
     "dim_claim_type": f"""WITH {CLAIMS_CTE}
         SELECT DISTINCT sha256(concat_ws('|', coalesce(claim_type, ''))) AS claim_type_key, claim_type
         FROM claim WHERE claim_type IS NOT NULL""",
-    "star_claims": f"""WITH {CLAIMS_CTE},
-        geo AS (SELECT n_nationkey, n_name AS nation, r_name AS region FROM nation JOIN region ON n_regionkey = r_regionkey),
-        f AS (SELECT c.*, CASE WHEN source_system = 'orders' THEN TRY_CAST(policy_number AS BIGINT) END AS pk FROM claim c)
-        SELECT claim_id, source_system,
-               CAST(CASE WHEN cu.c_nationkey IS NOT NULL THEN f.pk ELSE -1 END AS BIGINT) AS policy_key,
-               coalesce(cu.c_mktsegment, 'UNKNOWN') AS segment, coalesce(g.nation, 'UNKNOWN') AS nation,
-               coalesce(g.region, 'UNKNOWN') AS region,
-               year(incident_date) * 10000 + month(incident_date) * 100 + day(incident_date) AS date_key,
-               CASE WHEN claim_type IS NOT NULL THEN sha256(concat_ws('|', coalesce(claim_type, ''))) END AS claim_type_key,
-               CAST(total_claim_amount AS DOUBLE) AS claim_amount, CAST(fraud AS INTEGER) AS is_fraud, 1 AS claim_count
-        FROM f LEFT JOIN customer cu ON cu.c_custkey = f.pk LEFT JOIN geo g ON g.n_nationkey = cu.c_nationkey""",
+    "star_claims": f"WITH {CLAIMS_CTE}, {_STAR_CTE} SELECT * FROM star",
     "point_in_time_policy": f"""WITH {_CH},
         scd AS (SELECT policy_id, tier, seq_ts AS effective_from,
                        lead(seq_ts) OVER (PARTITION BY policy_id ORDER BY seq_ts, seq_tie) AS effective_to FROM ch),
@@ -333,3 +335,125 @@ SQL.update({
              JOIN camp c ON c.p_brand = p.p_brand AND c.p_type = p.p_type
         GROUP BY 1, 2, 3""",
 })
+
+# ------------------------------------------------------------------ marts
+SQL.update({
+    "mart_claims_kpi": f"""WITH {CLAIMS_CTE},
+        g AS (SELECT source_system, claim_type, CAST(date_trunc('month', incident_date) AS DATE) AS period,
+                     count(*) AS n_claims, count(total_claim_amount) AS n_with_amount,
+                     sum(total_claim_amount) AS inc, sum(injury_claim) AS inj, sum(property_claim) AS prop,
+                     sum(vehicle_claim) AS veh, avg(CAST(fraud AS INTEGER)) AS fr,
+                     count_if(settlement_date IS NULL) AS open_claims,
+                     count_if(settlement_date IS NOT NULL) AS closed_claims,
+                     avg(cycle_time_days) AS cyc, count_if(claim_status = 'denied') AS den,
+                     count_if(claim_status IN ('denied', 'closed', 'settled')) AS term,
+                     count_if(settlement_date IS NULL AND date_diff('day', fnol_date, DATE '2002-01-01') > 90) AS open_over_90d
+              FROM claim GROUP BY 1, 2, 3)
+        SELECT source_system, claim_type, period, n_claims, n_with_amount, CAST(inc AS DOUBLE) AS incurred,
+               CAST(NULL AS DOUBLE) AS loss_ratio,
+               round(CAST(inc AS DOUBLE) / CAST(NULLIF(n_with_amount, 0) AS DOUBLE), 6) AS severity,
+               round(fr, 6) AS fraud_rate,
+               round(n_claims / sum(n_claims) OVER (PARTITION BY source_system, period), 6) AS claim_mix,
+               round(CAST(inj AS DOUBLE) / CAST(NULLIF(inc, 0) AS DOUBLE), 6) AS injury_share,
+               round(CAST(prop AS DOUBLE) / CAST(NULLIF(inc, 0) AS DOUBLE), 6) AS property_share,
+               round(CAST(veh AS DOUBLE) / CAST(NULLIF(inc, 0) AS DOUBLE), 6) AS vehicle_share,
+               round(cyc, 6) AS avg_cycle_days, open_claims, closed_claims, open_over_90d,
+               round(CAST(den AS DOUBLE) / CAST(NULLIF(term, 0) AS DOUBLE), 6) AS denial_rate
+        FROM g""",
+    "kpi_rollup": f"""WITH {CLAIMS_CTE}
+        SELECT year(incident_date) AS year, source_system, claim_type,
+               GROUPING(year(incident_date), source_system, claim_type) AS gid,
+               count(*) AS n_claims, CAST(sum(total_claim_amount) AS DOUBLE) AS incurred,
+               round(avg(CAST(fraud AS INTEGER)), 6) AS fraud_rate
+        FROM claim GROUP BY ROLLUP (year(incident_date), source_system, claim_type)""",
+    "claim_lifecycle_snapshot": f"""WITH {CLAIMS_CTE},
+        g AS (SELECT claim_id, min(CASE WHEN seq = 1 THEN status_date END) AS fnol_date,
+                     min(CASE WHEN seq = 2 THEN status_date END) AS review_date,
+                     max(CASE WHEN seq = 3 THEN status END) AS final_status,
+                     max(CASE WHEN seq = 3 THEN status_date END) AS final_date,
+                     count(*) AS n_transitions
+              FROM history GROUP BY claim_id)
+        SELECT *, date_diff('day', fnol_date, review_date) AS days_to_review,
+               date_diff('day', review_date, final_date) AS days_review_to_final,
+               date_diff('day', fnol_date, final_date) AS days_to_final FROM g""",
+    "claim_status_fact": f"""WITH {CLAIMS_CTE}
+        SELECT *, lead(status_date) OVER w AS next_status_date,
+               date_diff('day', status_date, lead(status_date) OVER w) AS days_in_status
+        FROM history WINDOW w AS (PARTITION BY claim_id ORDER BY seq)""",
+    "claim_payments_running": """WITH p AS (
+          SELECT l_orderkey AS claim_key, l_shipdate AS paid_ts, l_linenumber, l_partkey, l_suppkey,
+                 CAST(l_extendedprice AS DECIMAL(14,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS payment
+          FROM lineitem)
+        SELECT claim_key, paid_ts, l_linenumber, l_partkey, l_suppkey, CAST(payment AS DOUBLE) AS payment,
+               CAST(sum(payment) OVER (PARTITION BY claim_key ORDER BY paid_ts, l_linenumber, l_partkey, l_suppkey, payment
+                                       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS paid_to_date
+        FROM p""",
+})
+
+SQL["mart_fraud_signals"] = f"""WITH {CLAIMS_CTE}, {_STAR_CTE},
+    g AS (SELECT source_system, segment, region, nation,
+                 GROUPING(source_system, segment, region, nation) AS gid,
+                 count(*) AS n_claims, sum(CAST(is_fraud AS BIGINT)) AS n_fraud
+          FROM star GROUP BY GROUPING SETS ((source_system), (segment), (region), (nation))),
+    base AS (SELECT avg(CAST(is_fraud AS DOUBLE)) AS b FROM star)
+    SELECT CASE gid WHEN 7 THEN 'source_system' WHEN 11 THEN 'segment' WHEN 13 THEN 'region' WHEN 14 THEN 'nation' END AS dimension,
+           CASE gid WHEN 7 THEN source_system WHEN 11 THEN segment WHEN 13 THEN region WHEN 14 THEN nation END AS value,
+           n_claims, n_fraud, round(n_fraud / n_claims, 6) AS fraud_rate,
+           round((n_fraud / n_claims) / CASE WHEN b > 0 THEN b END, 6) AS lift
+    FROM g, base"""
+
+# ----------------------------------------------------------------- checks
+SQL.update({
+    "quality_metrics": f"""WITH {CLAIMS_CTE},
+        e AS (SELECT count(*) AS total,
+                count_if(coalesce(total_claim_amount IS NULL OR total_claim_amount >= 0, FALSE)) AS p0,
+                count_if(coalesce(policyholder_age IS NULL OR policyholder_age >= 16, FALSE)) AS p1,
+                count_if(coalesce(incident_date IS NOT NULL, FALSE)) AS p2,
+                count_if(coalesce(fnol_date >= incident_date, FALSE)) AS p3 FROM enriched)
+        SELECT 'amount_non_negative' AS expectation, total, p0 AS passed, total - p0 AS failed FROM e
+        UNION ALL SELECT 'age_valid', total, p1, total - p1 FROM e
+        UNION ALL SELECT 'incident_date_present', total, p2, total - p2 FROM e
+        UNION ALL SELECT 'fnol_after_incident', total, p3, total - p3 FROM e""",
+    "recon_identity": f"""WITH {CLAIMS_CTE},
+        a AS (SELECT count(*) AS input_rows, count(DISTINCT claim_id) AS distinct_keys FROM keyed),
+        v AS (SELECT count(*) AS valid_rows FROM claim),
+        q AS (SELECT count(*) AS quarantine_rows FROM enriched WHERE quarantine_reason IS NOT NULL),
+        o AS (SELECT count(*) AS overlap_keys FROM (SELECT claim_id FROM claim INTERSECT
+              SELECT claim_id FROM enriched WHERE quarantine_reason IS NOT NULL))
+        SELECT input_rows, distinct_keys, valid_rows, quarantine_rows,
+               input_rows - distinct_keys AS duplicates_removed, overlap_keys,
+               (valid_rows + quarantine_rows + input_rows - distinct_keys = input_rows AND overlap_keys = 0) AS identity_ok
+        FROM a, v, q, o""",
+    "quarantine_reasons": f"""WITH {CLAIMS_CTE}
+        SELECT quarantine_reason, count(*) AS n FROM enriched WHERE quarantine_reason IS NOT NULL GROUP BY 1""",
+    "claim_status_dist": f"WITH {CLAIMS_CTE} SELECT claim_status, count(*) AS n FROM claim GROUP BY 1",
+    "history_coverage": f"""WITH {CLAIMS_CTE}
+        SELECT (SELECT count(*) FROM (SELECT DISTINCT claim_id FROM claim) c
+                WHERE claim_id NOT IN (SELECT claim_id FROM history)) AS missing_keys,
+               (SELECT count(DISTINCT claim_id) FROM claim) AS parent_keys,
+               (SELECT count(DISTINCT claim_id) FROM history) AS child_keys""",
+    "scd2_invariants": f"""WITH {_CH},
+        d AS (SELECT policy_id, seq_ts AS effective_from, seq_tie,
+                     lead(seq_ts) OVER (PARTITION BY policy_id ORDER BY seq_ts, seq_tie) AS effective_to FROM ch),
+        p AS (SELECT *, lag(effective_to) OVER (PARTITION BY policy_id ORDER BY effective_from, seq_tie) AS prev_to FROM d)
+        SELECT count(*) AS n_versions, count_if(effective_to IS NULL) AS n_current,
+               count(DISTINCT policy_id) AS n_keys, count_if(prev_to > effective_from) AS n_overlaps,
+               count_if(prev_to < effective_from) AS n_gaps,
+               count_if(effective_to IS NULL) = count(DISTINCT policy_id) AS current_eq_keys
+        FROM p""",
+    "row_count_validation": """
+        SELECT 'region' AS "table", CAST(5 AS BIGINT) AS expected, (SELECT count(*) FROM region) AS actual,
+               CASE WHEN (SELECT count(*) FROM region) = 5 THEN 'PASS' ELSE 'FAIL' END AS status
+        UNION ALL SELECT 'nation', 25, (SELECT count(*) FROM nation),
+               CASE WHEN (SELECT count(*) FROM nation) = 25 THEN 'PASS' ELSE 'FAIL' END
+        UNION ALL SELECT 'customer', NULL, (SELECT count(*) FROM customer), 'COUNT'
+        UNION ALL SELECT 'supplier', NULL, (SELECT count(*) FROM supplier), 'COUNT'
+        UNION ALL SELECT 'claims_archive', NULL, NULL, 'ERROR:AnalysisException'""",
+    "volume_floor": """
+        SELECT 'lineitem' AS "table", CAST(50000 AS BIGINT) AS expected, (SELECT count(*) FROM lineitem) AS actual,
+               CASE WHEN (SELECT count(*) FROM lineitem) >= 50000 THEN 'PASS' ELSE 'FAIL' END AS status
+        UNION ALL SELECT 'orders', 50000, (SELECT count(*) FROM orders),
+               CASE WHEN (SELECT count(*) FROM orders) >= 50000 THEN 'PASS' ELSE 'FAIL' END
+        UNION ALL SELECT 'events', 50000, (SELECT count(*) FROM events),
+               CASE WHEN (SELECT count(*) FROM events) >= 50000 THEN 'PASS' ELSE 'FAIL' END""",
+})

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.plans import claims, gold, policy, telematics
+from stratum.plans import checks, claims, gold, marts, policy, telematics
 from stratum.plans.common import present
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +48,20 @@ _RAW: dict[str, Query] = {
     "policy_claims": gold.policy_claims,
     "claim_frequency": gold.claim_frequency,
     "recall_match": gold.recall_match,
+    "mart_claims_kpi": marts.mart_claims_kpi,
+    "kpi_rollup": marts.kpi_rollup_q,
+    "mart_fraud_signals": marts.mart_fraud_signals,
+    "claim_lifecycle_snapshot": marts.claim_lifecycle_snapshot,
+    "claim_status_fact": marts.claim_status_fact,
+    "claim_payments_running": marts.claim_payments_running,
+    "quality_metrics": checks.quality_metrics,
+    "recon_identity": checks.recon_identity,
+    "quarantine_reasons": checks.quarantine_reasons,
+    "claim_status_dist": checks.claim_status_dist,
+    "history_coverage": checks.history_coverage,
+    "scd2_invariants": checks.scd2_invariants,
+    "row_count_validation": checks.row_count_validation,
+    "volume_floor": checks.volume_floor,
 }
 
 
