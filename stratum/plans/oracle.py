@@ -457,3 +457,62 @@ SQL.update({
         UNION ALL SELECT 'events', 50000, (SELECT count(*) FROM events),
                CASE WHEN (SELECT count(*) FROM events) >= 50000 THEN 'PASS' ELSE 'FAIL' END""",
 })
+
+# ------------------------------------------------------ governance / ML / RAG
+_REDACT = ("regexp_replace(regexp_replace(regexp_replace(c_name, '[A-Z]', 'X', 'g'), "
+           "'[a-z]', 'x', 'g'), '[0-9]', 'n', 'g')")
+
+
+def _code(col: str) -> str:
+    return f"""{col}_codes AS (SELECT {col}, CAST(row_number() OVER (ORDER BY
+        CAST(('0x' || substr(md5(CAST({col} AS VARCHAR)), 1, 8)) AS BIGINT) % 4096, {col}) AS INTEGER) AS {col}_code
+        FROM (SELECT DISTINCT {col} FROM base WHERE {col} IS NOT NULL))"""
+
+
+SQL.update({
+    "masked_customers": f"""SELECT c_custkey, sha256('stratum-v1' || c_name) AS c_name, c_nationkey,
+            CAST(floor(c_acctbal / 1000) * 1000 AS BIGINT) AS c_acctbal, c_mktsegment,
+            {_REDACT} AS c_name_redacted,
+            repeat('*', CAST(greatest(length(c_name) - 4, 0) AS BIGINT)) || right(c_name, 4) AS c_name_partial
+        FROM customer""",
+    "tenant_orders": """SELECT o_orderkey, o_custkey, o_orderdate, o_totalprice FROM orders
+        WHERE o_custkey IN (SELECT c_custkey FROM customer JOIN nation ON n_nationkey = c_nationkey
+                            JOIN region ON r_regionkey = n_regionkey WHERE 'insurer_' || lower(r_name) = 'insurer_europe')""",
+    "feature_fraud": f"""WITH {CLAIMS_CTE},
+        base AS (SELECT claim_id, claim_type, severity, cu.c_mktsegment AS segment,
+                        CAST(total_claim_amount AS DOUBLE) AS amount, month(incident_date) AS incident_month,
+                        isodow(incident_date) AS incident_dow, CAST(fraud AS INTEGER) AS label
+                 FROM claim LEFT JOIN customer cu ON CAST(cu.c_custkey AS VARCHAR) = claim.policy_number
+                 WHERE source_system = 'orders'),
+        {_code('claim_type')}, {_code('severity')}, {_code('segment')}
+        SELECT claim_id, coalesce(a.claim_type_code, 0) AS claim_type_code,
+               coalesce(b.severity_code, 0) AS severity_code, coalesce(c.segment_code, 0) AS segment_code,
+               amount, incident_month, incident_dow, label
+        FROM base LEFT JOIN claim_type_codes a USING (claim_type) LEFT JOIN severity_codes b USING (severity)
+             LEFT JOIN segment_codes c USING (segment)""",
+    "doc_chunks": """WITH d AS (SELECT doc_id, trim(regexp_replace(text, '[ \\t\\n\\r\\f]+', ' ', 'g')) AS text FROM documents),
+        s AS (SELECT doc_id, text, unnest(generate_series(0, greatest(length(text) - 201, 0), 800)) AS chunk_start
+              FROM d WHERE length(text) > 0)
+        SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY chunk_start) - 1 AS INTEGER) AS chunk_no,
+               CAST(chunk_start AS INTEGER) AS chunk_start,
+               length(substring(text, chunk_start + 1, 1000)) AS chunk_len,
+               substring(text, chunk_start + 1, 1000) AS chunk_text FROM s""",
+    "similar_topk": """WITH ex AS (SELECT label, unnest(range(1, 65)) AS i, embedding FROM embeddings),
+        c AS (SELECT label, i, avg(CAST(embedding[i] AS DOUBLE)) AS m FROM ex GROUP BY label, i),
+        q AS (SELECT label, list(m ORDER BY i) AS qv FROM c GROUP BY label),
+        s AS (SELECT q.label, e.vec_id,
+                     list_dot_product(CAST(e.embedding AS DOUBLE[]), q.qv)
+                     / (sqrt(list_dot_product(CAST(e.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[])))
+                        * sqrt(list_dot_product(q.qv, q.qv))) AS score
+              FROM embeddings e, q),
+        r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY score DESC, vec_id) AS rank FROM s)
+        SELECT label, rank, vec_id, round(score, 6) AS score FROM r WHERE rank <= 5""",
+    "claim_context": f"""WITH {CLAIMS_CTE},
+        c AS (SELECT * FROM claim WHERE source_system = 'orders'),
+        a AS (SELECT policy_number, count(*) AS n_claims, count_if(fraud) AS n_fraud,
+                     arg_max(claim_status, (incident_date, claim_id)) AS last_status FROM c GROUP BY 1),
+        r AS (SELECT policy_number, claim_id, row_number() OVER (PARTITION BY policy_number
+                     ORDER BY incident_date DESC, claim_id DESC) AS rn FROM c),
+        k AS (SELECT policy_number, string_agg(claim_id, ',' ORDER BY rn) AS recent_claim_ids FROM r WHERE rn <= 5 GROUP BY 1)
+        SELECT a.*, k.recent_claim_ids FROM a LEFT JOIN k USING (policy_number)""",
+})

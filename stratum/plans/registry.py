@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.plans import checks, claims, gold, marts, policy, telematics
+from stratum.plans import checks, claims, features, gold, governance, marts, policy, telematics
 from stratum.plans.common import present
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +62,14 @@ _RAW: dict[str, Query] = {
     "scd2_invariants": checks.scd2_invariants,
     "row_count_validation": checks.row_count_validation,
     "volume_floor": checks.volume_floor,
+    "masked_customers": governance.masked_customers,
+    "tenant_orders": governance.tenant_orders,
+    "feature_fraud": features.feature_fraud,
+    "fraud_scores": features.fraud_scores,
+    "severity_pred": features.severity_pred,
+    "doc_chunks": features.doc_chunks,
+    "similar_topk": features.similar_topk,
+    "claim_context": features.claim_context,
 }
 
 
