@@ -516,3 +516,22 @@ SQL.update({
         k AS (SELECT policy_number, string_agg(claim_id, ',' ORDER BY rn) AS recent_claim_ids FROM r WHERE rn <= 5 GROUP BY 1)
         SELECT a.*, k.recent_claim_ids FROM a LEFT JOIN k USING (policy_number)""",
 })
+
+# ---------------------------------------------------------------- streams
+SQL.update({
+    "bronze_ingest": """
+        SELECT 'raw_customer' AS "table", 'OK' AS status, (SELECT count(*) FROM customer) AS rows,
+               0 AS rescued_rows, 0 AS rerun_rows
+        UNION ALL SELECT 'raw_supplier', 'OK', (SELECT count(*) FROM supplier), 0, 0
+        UNION ALL SELECT 'raw_nation', 'OK', (SELECT count(*) FROM nation), 0, 0
+        UNION ALL SELECT 'raw_orders', 'OK', (SELECT count(*) FROM orders), 0, 0
+        UNION ALL SELECT 'raw_complaints', 'SKIPPED_no_file', NULL, NULL, NULL""",
+    "stream_scd2": SQL["scd2_policyholder"],
+    "stream_sessions": f"""WITH {_SESS}
+        SELECT vehicle_id, trip_start, max(ts) AS trip_end, count(*) AS n_events
+        FROM trips GROUP BY vehicle_id, trip_start""",
+    "stream_windows": """SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n_events,
+               round(sum(value), 2) AS value_sum FROM events GROUP BY 1, 2""",
+    "stream_dedup": """SELECT event_type, count(*) AS n_events, count(DISTINCT event_id) AS n_distinct,
+               round(sum(value), 2) AS value_sum FROM events GROUP BY 1""",
+})

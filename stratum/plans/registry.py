@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.plans import checks, claims, features, gold, governance, marts, policy, telematics
+from stratum.plans import (checks, claims, features, gold, governance, marts, policy, streams,
+                           telematics)
 from stratum.plans.common import present
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +71,11 @@ _RAW: dict[str, Query] = {
     "doc_chunks": features.doc_chunks,
     "similar_topk": features.similar_topk,
     "claim_context": features.claim_context,
+    "bronze_ingest": streams.bronze_ingest,
+    "stream_scd2": streams.stream_scd2,
+    "stream_sessions": streams.stream_sessions,
+    "stream_windows": streams.stream_windows,
+    "stream_dedup": streams.stream_dedup,
 }
 
 
