@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratum.functions.keys import portable_seed
-from stratum.operators.joins import distributed_rank, small_side
 
 # Columns derived from the label (the synthetic lifecycle is decided from
 # the fraud flag), so they must never be features.
@@ -18,16 +17,19 @@ LEAKAGE_COLUMNS = ("claim_status", "settlement_date", "cycle_time_days")
 
 
 def encode_categories(df: DataFrame, cols: Sequence[str], suffix: str = "_code") -> DataFrame:
-    """Integer codes per category: 0 = NULL, else 1 + distributed rank of the
-    distinct value.  The code table per column holds one row per distinct
-    value; it is broadcast only if its size estimate is small."""
-    out = df
-    for c in cols:
-        ranked, _ = distributed_rank(df.where(F.col(c).isNotNull()), c, "__rk")
-        codes = ranked.select(F.col(c).alias(c), (F.col("__rk") + 1).cast("int").alias(f"{c}{suffix}"))
-        out = out.join(small_side(codes), c, "left").withColumn(
-            f"{c}{suffix}", F.coalesce(F.col(f"{c}{suffix}"), F.lit(0)))
-    return out
+    """Integer codes per category: 0 = NULL, else 1 + alphabetical index of
+    the value.  ``StringIndexer`` learns every column's vocabulary in ONE
+    pass (vocabulary-sized result: bounded by the category cardinality) and
+    applies it map-side, without joins."""
+    from pyspark.ml.feature import StringIndexer
+
+    tmp = [f"__idx_{c}" for c in cols]
+    model = StringIndexer(inputCols=list(cols), outputCols=tmp, stringOrderType="alphabetAsc",
+                          handleInvalid="keep").fit(df)
+    out = model.transform(df)
+    return out.select(*[F.col(c) for c in df.columns],
+                      *[F.when(F.col(c).isNull(), F.lit(0)).otherwise(F.col(t).cast("int") + 1)
+                         .alias(f"{c}{suffix}") for c, t in zip(cols, tmp)])
 
 
 def hash_split(id_col: str, train_share: int = 8, buckets: int = 10):
@@ -46,6 +48,10 @@ def train_classifier(features: DataFrame, code_cols: Sequence[str], num_cols: Se
     from pyspark.ml.functions import vector_to_array
 
     df = features.withColumn("split", hash_split(id_col)).withColumn(label, F.col(label).cast("double"))
+    # Estimators make several passes (encoder fit, scaler fit, optimiser,
+    # scoring): materialise the features once in the shared checkpoint
+    # folder so the upstream pipeline is not recomputed per pass.
+    df = df.checkpoint(eager=True)
     ohe = OneHotEncoder(inputCols=list(code_cols), outputCols=[f"{c}_oh" for c in code_cols],
                         handleInvalid="keep")
     num = VectorAssembler(inputCols=list(num_cols), outputCol="__num", handleInvalid="keep")
@@ -67,6 +73,7 @@ def train_severity(features: DataFrame, code_cols: Sequence[str], target: str,
     from pyspark.ml.regression import GeneralizedLinearRegression
 
     df = features.withColumn("split", hash_split(id_col)).withColumn(target, F.col(target).cast("double"))
+    df = df.checkpoint(eager=True)
     ohe = OneHotEncoder(inputCols=list(code_cols), outputCols=[f"{c}_oh" for c in code_cols],
                         handleInvalid="keep")
     vec = VectorAssembler(inputCols=[f"{c}_oh" for c in code_cols], outputCol="features")

@@ -464,8 +464,7 @@ _REDACT = ("regexp_replace(regexp_replace(regexp_replace(c_name, '[A-Z]', 'X', '
 
 
 def _code(col: str) -> str:
-    return f"""{col}_codes AS (SELECT {col}, CAST(row_number() OVER (ORDER BY
-        CAST(('0x' || substr(md5(CAST({col} AS VARCHAR)), 1, 8)) AS BIGINT) % 4096, {col}) AS INTEGER) AS {col}_code
+    return f"""{col}_codes AS (SELECT {col}, CAST(row_number() OVER (ORDER BY {col}) AS INTEGER) AS {col}_code
         FROM (SELECT DISTINCT {col} FROM base WHERE {col} IS NOT NULL))"""
 
 
