@@ -534,3 +534,88 @@ SQL.update({
     "stream_dedup": """SELECT event_type, count(*) AS n_events, count(DISTINCT event_id) AS n_distinct,
                round(sum(value), 2) AS value_sum FROM events GROUP BY 1""",
 })
+
+# ------------------------------------------------------------------ extra
+from stratum.sources.tables import DRIVER_TABLES as _TABLES  # noqa: E402
+
+_CELL = ("CAST(CAST(floor(lat / 0.01) AS BIGINT) AS VARCHAR) || ':' || "
+         "CAST(CAST(floor(lon / 0.01) AS BIGINT) AS VARCHAR)")
+_RISK_CTE = """
+rper AS (SELECT vehicle_id, count_if(event_type = 'error') / count(*) AS harsh_rate,
+                count_if(speed > 120.0) / count(*) AS speeding_share,
+                count_if(hour(ts) >= 22 OR hour(ts) < 6) / count(*) AS night_share
+         FROM tel GROUP BY vehicle_id),
+rst AS (SELECT avg(harsh_rate) AS mh, stddev_samp(harsh_rate) AS sh, avg(speeding_share) AS ms,
+               stddev_samp(speeding_share) AS ss, avg(night_share) AS mn, stddev_samp(night_share) AS sn FROM rper),
+risk AS (SELECT vehicle_id,
+                round(0.5 * CASE WHEN sh > 0 THEN (harsh_rate - mh) / sh ELSE 0.0 END
+                      + 0.3 * CASE WHEN ss > 0 THEN (speeding_share - ms) / ss ELSE 0.0 END
+                      + 0.2 * CASE WHEN sn > 0 THEN (night_share - mn) / sn ELSE 0.0 END, 6) AS risk_score
+         FROM rper, rst)"""
+_BRIDGE_CTE = f"""
+bu AS (SELECT DISTINCT user_id AS vehicle_id FROM events),
+brk AS (SELECT vehicle_id, row_number() OVER (ORDER BY {_RANK.format(c='vehicle_id')} % 4096, vehicle_id) - 1 AS bridge_rank FROM bu),
+bn AS (SELECT count(*) AS total FROM bu),
+bc AS (SELECT c_custkey AS policy_id, {_RANK.format(c='c_custkey')} % bn.total AS bridge_rank FROM customer, bn),
+bmap AS (SELECT bc.policy_id, brk.vehicle_id FROM bc LEFT JOIN brk USING (bridge_rank))"""
+
+SQL.update({
+    "fact_complaint": """WITH d AS (SELECT doc_id, lang, source,
+                 trim(regexp_replace(text, '[ \\t\\n\\r\\f]+', ' ', 'g')) AS narrative FROM documents)
+        SELECT doc_id, lang, source, length(narrative) AS n_chars, len(string_split(narrative, ' ')) AS n_words,
+               (contains(lower(narrative), 'crash') OR contains(lower(narrative), 'collision')
+                OR contains(lower(narrative), 'accident')) AS crash,
+               (contains(lower(narrative), 'fire') OR contains(lower(narrative), 'smoke')
+                OR contains(lower(narrative), 'burn')) AS fire,
+               (contains(lower(narrative), 'injur') OR contains(lower(narrative), 'hurt')
+                OR contains(lower(narrative), 'hospital')) AS injury
+        FROM d""",
+    "mart_claim_360": f"""WITH {CLAIMS_CTE}, {_STAR_CTE}, {_CH}, {_TEL}, {_RISK_CTE}, {_BRIDGE_CTE},
+        scd AS (SELECT policy_id, tier, seq_ts AS effective_from,
+                       lead(seq_ts) OVER (PARTITION BY policy_id ORDER BY seq_ts, seq_tie) AS effective_to FROM ch),
+        cl AS (SELECT claim_id, TRY_CAST(policy_number AS BIGINT) AS policy_id,
+                      CAST(incident_date AS TIMESTAMP) AS incident_ts FROM claim WHERE source_system = 'orders'),
+        pit AS (SELECT cl.claim_id, cl.policy_id, s.tier AS tier_at_incident FROM cl LEFT JOIN scd s
+                ON s.policy_id = cl.policy_id AND s.effective_from <= cl.incident_ts
+                AND (s.effective_to IS NULL OR cl.incident_ts < s.effective_to))
+        SELECT st.claim_id, p.policy_id, st.segment, st.region, p.tier_at_incident, b.vehicle_id,
+               rk.risk_score, st.claim_amount, st.is_fraud
+        FROM star st JOIN pit p USING (claim_id) LEFT JOIN bmap b ON b.policy_id = p.policy_id
+             LEFT JOIN risk rk ON rk.vehicle_id = b.vehicle_id
+        WHERE st.source_system = 'orders'""",
+    "claim_status_scd2": f"""WITH {CLAIMS_CTE},
+        h AS (SELECT claim_id, status, CAST(status_date AS TIMESTAMP) AS status_ts, seq FROM history)
+        SELECT claim_id, status, status_ts AS effective_from, lead(status_ts) OVER w AS effective_to,
+               lead(status_ts) OVER w IS NULL AS is_current, seq
+        FROM h WINDOW w AS (PARTITION BY claim_id ORDER BY status_ts, seq)""",
+    "loss_conditions": f"""WITH {_TEL},
+        tc AS (SELECT *, {_CELL} AS cell FROM tel),
+        obs AS (SELECT cell, date_trunc('hour', ts) + INTERVAL 1 HOUR AS obs_ts, round(avg(speed), 4) AS avg_speed,
+                       count(*) AS n_events FROM tc GROUP BY cell, date_trunc('hour', ts)),
+        losses AS (SELECT event_id AS loss_id, cell, ts AS loss_ts FROM tc WHERE event_type = 'error')
+        SELECT l.loss_id, l.cell, l.loss_ts, o.obs_ts, o.avg_speed AS obs_avg_speed, o.n_events AS obs_n_events
+        FROM losses l ASOF LEFT JOIN obs o ON l.cell = o.cell AND l.loss_ts >= o.obs_ts""",
+    "row_count_schema": " UNION ALL ".join(
+        f"""SELECT '{n}' AS "table", CAST(NULL AS BIGINT) AS expected, (SELECT count(*) FROM {n}) AS actual,
+            'COUNT' AS status""" for n in _TABLES),
+    "claim_severity": """
+        SELECT 'line_feed' AS source_system, CAST(l_orderkey AS VARCHAR) AS policy_id,
+               CAST(CAST(l_extendedprice AS DECIMAL(14,2)) AS DOUBLE) AS claim_amount,
+               CAST(NULL AS VARCHAR) AS claim_type, CAST(NULL AS DOUBLE) AS year_total_cost FROM lineitem
+        UNION ALL
+        SELECT 'order_feed', CAST(o_custkey AS VARCHAR), CAST(CAST(o_totalprice AS DECIMAL(14,2)) AS DOUBLE),
+               o_orderpriority, NULL FROM orders""",
+    "claim_priority": f"""WITH {CLAIMS_CTE},
+        c AS (SELECT * FROM claim WHERE source_system = 'orders' AND settlement_date IS NULL),
+        r AS (SELECT claim_type, row_number() OVER (PARTITION BY claim_type ORDER BY total_claim_amount DESC, claim_id) AS rank,
+                     claim_id, CAST(total_claim_amount AS DOUBLE) AS amount FROM c)
+        SELECT * FROM r WHERE rank <= 10""",
+    "fact_telemetry_event": f"WITH {_TEL} SELECT * FROM tel",
+    "stream_telemetry_split": f"""WITH {_TEL},
+        r AS (SELECT event_id, NULLIF(concat_ws('; ',
+                CASE WHEN speed < 0 OR speed > 250.0 THEN 'speed_out_of_range' END,
+                CASE WHEN NOT (lat BETWEEN -90 AND 90) OR NOT (lon BETWEEN -180 AND 180) THEN 'gps_invalid' END,
+                CASE WHEN k IS NULL THEN 'bad_payload' END), '') AS quarantine_reason FROM tel)
+        SELECT event_id, CASE WHEN quarantine_reason IS NULL THEN 'valid' ELSE 'quarantine' END AS branch,
+               quarantine_reason FROM r""",
+})

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.plans import (checks, claims, features, gold, governance, marts, policy, streams,
-                           telematics)
+from stratum.plans import (checks, claims, extra, features, gold, governance, marts, policy,
+                           streams, telematics)
 from stratum.plans.common import present
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,6 +76,15 @@ _RAW: dict[str, Query] = {
     "stream_sessions": streams.stream_sessions,
     "stream_windows": streams.stream_windows,
     "stream_dedup": streams.stream_dedup,
+    "fact_complaint": extra.fact_complaint,
+    "mart_claim_360": extra.mart_claim_360,
+    "claim_status_scd2": extra.claim_status_scd2,
+    "loss_conditions": extra.loss_conditions,
+    "row_count_schema": extra.row_count_schema,
+    "claim_severity": extra.claim_severity,
+    "claim_priority": extra.claim_priority,
+    "fact_telemetry_event": extra.fact_telemetry_event,
+    "stream_telemetry_split": extra.stream_telemetry_split,
 }
 
 

@@ -133,8 +133,9 @@ def scan_json(spark: SparkSession, path: str, src: Source, names) -> DataFrame:
 
 def scan_arff(spark: SparkSession, path: str) -> DataFrame:
     """ARFF -> all-string table: attribute names from the ``@attribute``
-    lines (header-sized), data rows parsed with ``from_csv`` in parallel."""
-    lines = spark.read.text(path)
+    lines (header-sized), data rows parsed with ``from_csv`` in parallel;
+    ``?`` (ARFF missing) becomes NULL."""
+    lines = spark.read.option("recursiveFileLookup", "true").text(path)
     attrs = [r[0] for r in lines.where(F.lower(F.trim("value")).startswith("@attribute"))
              .select(F.regexp_extract("value", r"(?i)@attribute\s+'?([^'\s]+)'?", 1)).collect()]
     if not attrs:
@@ -144,4 +145,27 @@ def scan_arff(spark: SparkSession, path: str) -> DataFrame:
     ddl = ", ".join(f"`{a}` STRING" for a in attrs)
     parsed = body.select(F.from_csv(F.col("value"), ddl, {"mode": "PERMISSIVE"}).alias("r"),
                          F.col("value").alias(CORRUPT))
-    return parsed.select(*[F.col(f"r.`{a}`").alias(a) for a in attrs])
+    return parsed.select(*[F.when(F.col(f"r.`{a}`") != "?", F.col(f"r.`{a}`")).alias(a) for a in attrs])
+
+
+def list_tables(spark: SparkSession, root: str, suffix: str = ".parquet") -> list[str]:
+    """Table names under a folder (``<name>.parquet`` files or folders): the
+    path-layout equivalent of ``SHOW TABLES``; a metadata listing, one entry
+    per table, no data read."""
+    fs, p = _fs(spark, root)
+    if not fs.exists(p):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(p)]
+    return sorted(n[: -len(suffix)] for n in names if n.endswith(suffix))
+
+
+def write_arff(df: DataFrame, path: str, relation: str) -> None:
+    """Land a frame as ARFF: a header file plus data files written in
+    parallel (values rendered as text; decimals never in exponent form)."""
+    spark = df.sparkSession
+    header = [f"@RELATION {relation}", ""] + [f"@ATTRIBUTE {c} STRING" for c in df.columns] + ["", "@DATA"]
+    spark.createDataFrame([(line,) for line in header], "value string").coalesce(1) \
+        .write.mode("overwrite").text(f"{path}/h")
+    body = df.select(F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("?"))
+                                        for c in df.columns]).alias("value"))
+    body.write.mode("overwrite").text(f"{path}/d")
