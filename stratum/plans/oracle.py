@@ -619,3 +619,7 @@ SQL.update({
         SELECT event_id, CASE WHEN quarantine_reason IS NULL THEN 'valid' ELSE 'quarantine' END AS branch,
                quarantine_reason FROM r""",
 })
+
+SQL["stream_ignition_trips"] = SQL["trips_by_ignition"].replace(
+    "SELECT event_id, vehicle_id, ts, event_type, is_trip_start,",
+    "SELECT event_id, vehicle_id, ts, event_type, is_trip_start, FALSE AS late,")

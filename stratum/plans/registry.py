@@ -76,6 +76,7 @@ _RAW: dict[str, Query] = {
     "stream_sessions": streams.stream_sessions,
     "stream_windows": streams.stream_windows,
     "stream_dedup": streams.stream_dedup,
+    "stream_ignition_trips": streams.stream_ignition_trips,
     "fact_complaint": extra.fact_complaint,
     "mart_claim_360": extra.mart_claim_360,
     "claim_status_scd2": extra.claim_status_scd2,
