@@ -37,13 +37,33 @@ def small_side(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataF
     return F.broadcast(df) if size <= max_bytes else df
 
 
-def star_join(fact: DataFrame, dims: Sequence[tuple[DataFrame, Column | str | list, str]],
+def left_join_nonnull(fact: DataFrame, dim: DataFrame, keys: Sequence[str],
+                      max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Left join where fact rows with a NULL key skip the join.
+
+    NULL keys can never match, yet in a shuffle join they all hash to the
+    same reducer; a fact whose key is mostly NULL would put most rows in
+    one task.  They are split off and unioned back with NULL dimension
+    columns (a narrow union, no extra shuffle)."""
+    keys = list(keys)
+    has_key = F.lit(True)
+    for k in keys:
+        has_key = has_key & F.col(k).isNotNull()
+    matched = fact.where(has_key).join(small_side(dim, max_bytes), keys, "left")
+    dim_cols = [f for f in dim.schema.fields if f.name not in keys]
+    unmatched = fact.where(~has_key).select(
+        *fact.columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in dim_cols])
+    return matched.unionByName(unmatched)
+
+
+def star_join(fact: DataFrame, dims: Sequence[tuple[DataFrame, Sequence[str]]],
               max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """Left-join a fact to each dimension (``(dim, on, how)``), broadcasting
-    only dimensions whose size is checked small."""
+    """Left-join a fact to each dimension on its key columns: dimensions
+    broadcast only when their size is checked small, NULL fact keys kept out
+    of the shuffle."""
     out = fact
-    for dim, on, how in dims:
-        out = out.join(small_side(dim, max_bytes), on, how)
+    for dim, keys in dims:
+        out = left_join_nonnull(out, dim, keys, max_bytes)
     return out
 
 

@@ -52,8 +52,8 @@ def star_claims(spark, sf_dir):
          .alias("policy_key"))
     cust = t(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("policy_key"), "c_nationkey", "c_mktsegment")
-    j = star_join(fact, [(cust, "policy_key", "left")])
-    j = star_join(j, [(geography(spark, sf_dir), j.c_nationkey == F.col("n_nationkey"), "left")])
+    geo = geography(spark, sf_dir).withColumnRenamed("n_nationkey", "c_nationkey")
+    j = star_join(fact, [(cust, ["policy_key"]), (geo, ["c_nationkey"])])
     return j.select(
         "claim_id", "source_system",
         F.coalesce(F.when(F.col("c_nationkey").isNotNull(), F.col("policy_key")),
