@@ -75,7 +75,7 @@ def claim_status_scd2(spark, sf_dir):
     h = claims.claim_history(spark, sf_dir).select(
         "claim_id", "status", F.col("status_date").cast("timestamp_ntz").alias("status_ts"), "seq")
     return scd2(h, ["claim_id"], ["status_ts", "seq"], ["status"], time_chunk("status_ts", "year"),
-                coalesce_repeats=False)
+                coalesce_repeats=False, bounded_versions=True)   # <= 3 statuses per claim
 
 
 def loss_conditions(spark, sf_dir):
