@@ -2,7 +2,7 @@
 
 All measures are computed in one grouped aggregate per mart (partial
 aggregation map-side, one shuffle on the grouping keys); shares and lifts
-use windows over the *aggregated* rows or a one-row population aggregate,
+use windows over the *aggregated* rows,
 never a window over the raw facts.
 """
 
@@ -13,7 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratum.operators.joins import attach_one_row
 
 TERMINAL = ("denied", "closed", "settled")
 
@@ -83,7 +82,8 @@ def kpi_rollup(claims: DataFrame, levels: Sequence[Column | str]) -> DataFrame:
 def fraud_signals(df: DataFrame, dims: Sequence[str], label: str = "is_fraud") -> DataFrame:
     """Fraud rate and lift per value of each dimension (GROUPING SETS),
     in long form: (dimension, value, n_claims, n_fraud, fraud_rate, lift).
-    One Expand + one aggregate; the overall rate is a one-row aggregate."""
+    One Expand + one aggregate; the overall rate comes from the aggregated
+    rows themselves."""
     dims = list(dims)
     g = df.groupingSets([[d] for d in dims], *dims).agg(
         F.grouping_id().alias("__gid"),
@@ -96,13 +96,16 @@ def fraud_signals(df: DataFrame, dims: Sequence[str], label: str = "is_fraud") -
         gid_i = (1 << n) - 1 - (1 << (n - 1 - i))   # only dimension i grouped
         dim_name = F.when(F.col("__gid") == gid_i, F.lit(d)).otherwise(dim_name)
         value = F.when(F.col("__gid") == gid_i, F.col(d).cast("string")).otherwise(value)
-    overall = df.agg(F.avg(F.col(label).cast("double")).alias("__base"))
-    out = attach_one_row(g.select(dim_name.alias("dimension"), value.alias("value"),
-                                  "n_claims", "n_fraud"), overall)
+    # Every row is counted once inside each grouping set, so the overall
+    # rate is the ratio of sums within any one dimension: a window over the
+    # aggregated rows instead of a second pass over the fact.
+    w = Window.partitionBy("dimension")
+    out = g.select(dim_name.alias("dimension"), value.alias("value"), "n_claims", "n_fraud")
+    base = F.sum("n_fraud").over(w).cast("double") / F.sum("n_claims").over(w).cast("double")
     rate = F.col("n_fraud") / F.col("n_claims")
     return out.select("dimension", "value", "n_claims", "n_fraud",
                       F.round(rate, 6).alias("fraud_rate"),
-                      F.round(rate / F.when(F.col("__base") > 0, F.col("__base")), 6).alias("lift"))
+                      F.round(rate / F.when(base > 0, base), 6).alias("lift"))
 
 
 def lifecycle_snapshot(history: DataFrame, key: str = "claim_id") -> DataFrame:
