@@ -42,14 +42,18 @@ def _stream(spark: SparkSession, src: Source, folder: str, json_fields: Sequence
 
 
 def start_ingest(spark: SparkSession, src: Source, landing: str, target: str, checkpoint: str,
-                 batch_id: str, json_fields: Sequence[str] = ()) -> StreamingQuery:
+                 batch_id: str, json_fields: Sequence[str] = (),
+                 processing_time: str | None = None) -> StreamingQuery:
+    """One source -> one append-only bronze table.  Triggered mode
+    (``availableNow``, the default) catches up and stops; continuous mode
+    (``processing_time="1 minute"``) keeps polling the landing folder."""
     folder = f"{landing.rstrip('/')}/{src.subdir}"
     df = _stream(spark, src, folder, json_fields).withColumn("_batch_id", F.lit(batch_id))
-    return (df.writeStream.format("parquet").outputMode("append")
-              .option("checkpointLocation", checkpoint)
-              .trigger(availableNow=True)
-              .queryName(f"ingest_{src.table}_{batch_id[:8]}")
-              .start(target))
+    w = (df.writeStream.format("parquet").outputMode("append")
+           .option("checkpointLocation", checkpoint)
+           .queryName(f"ingest_{src.table}_{batch_id[:8]}"))
+    w = w.trigger(processingTime=processing_time) if processing_time else w.trigger(availableNow=True)
+    return w.start(target)
 
 
 def ingest_all(spark: SparkSession, sources: Sequence[Source], landing: str, bronze_root: str,
