@@ -16,16 +16,11 @@ from pyspark.sql import functions as F
 
 from stratum.functions.keys import portable_seed
 from stratum.operators.ordered import fill_forward, time_chunk
+from stratum.sources.tables import estimated_bytes
 
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Optimizer size estimate of ``df`` (file sizes through the plan);
-    computed without running a job."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-
-
 def small_side(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """``broadcast(df)`` only when its estimated size is within ``max_bytes``;
     otherwise the plain frame, left to the shuffle join (AQE still converts

@@ -20,9 +20,35 @@ DRIVER_TABLES = (
 )
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def estimated_bytes(df: DataFrame) -> int:
+    """Optimizer size estimate of ``df`` (file sizes propagated through the
+    plan), computed without running a job."""
+    v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(v) if isinstance(v, int) else int(v.toString())
+
+
+SPREAD_MIN_BYTES = 1 << 20   # below this, an extra exchange costs more than it saves
+
+
+def spread_narrow(df: DataFrame, min_partitions: int | None = None,
+                  min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
+    """Spread a scan that yields fewer input partitions than the cluster has
+    task slots (e.g. one large unsplittable file or a single row group):
+    a round-robin repartition right after the scan, so per-row work before
+    the first shuffle (parsing, hashing, partial aggregation) runs on every
+    core.  A no-op for normally split sources, i.e. at scale, and for small
+    scans (by the optimizer's file-size estimate).  Filters and column
+    pruning still reach the scan below the exchange."""
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= n:
+        return df
+    return df.repartition(n) if estimated_bytes(df) >= min_bytes else df
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
     """Scan one driver table (one parquet file or directory per table)."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_narrow(df) if spread else df
 
 
 @dataclass(frozen=True)
