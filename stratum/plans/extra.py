@@ -85,7 +85,7 @@ def loss_conditions(spark, sf_dir):
     tel = telematics.telemetry(spark, sf_dir).withColumn("cell", grid_cell("lat", "lon", telematics.CELL_DEG))
     obs = (tel.groupBy("cell", F.date_trunc("hour", "ts").alias("hour"))
               .agg(F.round(F.avg("speed"), 4).alias("avg_speed"), F.count(F.lit(1)).alias("n_events"))
-              .select("cell", (F.col("hour") + F.expr("INTERVAL 1 HOUR")).alias("obs_ts"),
+              .select("cell", (F.col("hour") + F.expr("INTERVAL 1 HOUR")).cast("timestamp_ntz").alias("obs_ts"),
                       "avg_speed", "n_events"))
     losses = tel.where(F.col("event_type") == "error").select(
         F.col("event_id").alias("loss_id"), "cell", F.col("ts").alias("loss_ts"))

@@ -160,7 +160,7 @@ SQL.update({
         n AS (SELECT *, lead(term_start) OVER (PARTITION BY policy_id ORDER BY term_start, term_id) AS next_term_start
               FROM terms)
         SELECT policy_id, term_id, term_start, term_end, next_term_start,
-               date_diff('day', term_end, next_term_start) AS gap_days,
+               CAST(date_diff('day', term_end, next_term_start) AS INTEGER) AS gap_days,
                CASE WHEN next_term_start IS NULL THEN 'last_term'
                     WHEN date_diff('day', term_end, next_term_start) <= 30 THEN 'renewed'
                     ELSE 'lapsed' END AS outcome
@@ -223,9 +223,9 @@ SQL.update({
         SELECT vehicle_id, trip_start, max(ts) AS trip_end, count(*) AS n_events,
                round(sum(step_km), 3) AS distance_km, max(speed) AS max_speed,
                round(avg(speed), 4) AS avg_speed,
-               count_if(event_type = 'error') AS harsh_events,
-               count_if(speed > 120.0) AS speeding_events,
-               count_if(hour(ts) >= 22 OR hour(ts) < 6) AS night_events,
+               CAST(count_if(event_type = 'error') AS BIGINT) AS harsh_events,
+               CAST(count_if(speed > 120.0) AS BIGINT) AS speeding_events,
+               CAST(count_if(hour(ts) >= 22 OR hour(ts) < 6) AS BIGINT) AS night_events,
                (epoch_us(max(ts)) - epoch_us(trip_start)) / 1000000 AS duration_s
         FROM trips GROUP BY vehicle_id, trip_start""",
     "trip_daily": f"""WITH {_SESS}
@@ -263,7 +263,7 @@ star AS (
          CAST(CASE WHEN cu.c_nationkey IS NOT NULL THEN f.pk ELSE -1 END AS BIGINT) AS policy_key,
          coalesce(cu.c_mktsegment, 'UNKNOWN') AS segment, coalesce(g.nation, 'UNKNOWN') AS nation,
          coalesce(g.region, 'UNKNOWN') AS region,
-         year(incident_date) * 10000 + month(incident_date) * 100 + day(incident_date) AS date_key,
+         CAST(year(incident_date) * 10000 + month(incident_date) * 100 + day(incident_date) AS INTEGER) AS date_key,
          CASE WHEN claim_type IS NOT NULL THEN sha256(concat_ws('|', coalesce(claim_type, ''))) END AS claim_type_key,
          CAST(total_claim_amount AS DOUBLE) AS claim_amount, CAST(fraud AS INTEGER) AS is_fraud, 1 AS claim_count
   FROM f LEFT JOIN customer cu ON cu.c_custkey = f.pk LEFT JOIN geo g ON g.n_nationkey = cu.c_nationkey)"""
@@ -275,8 +275,9 @@ _RANK = """CAST(('0x' || substr(md5(CAST({c} AS VARCHAR)), 1, 8)) AS BIGINT)"""
 SQL.update({
     "dim_date": f"""WITH {CLAIMS_CTE},
         d AS (SELECT CAST(unnest(generate_series(min(incident_date), max(incident_date), INTERVAL 1 DAY)) AS DATE) AS date FROM claim)
-        SELECT date, year(date) * 10000 + month(date) * 100 + day(date) AS date_key, year(date) AS year,
-               quarter(date) AS quarter, month(date) AS month, isodow(date) AS iso_dow,
+        SELECT date, CAST(year(date) * 10000 + month(date) * 100 + day(date) AS INTEGER) AS date_key,
+               CAST(year(date) AS INTEGER) AS year, CAST(quarter(date) AS INTEGER) AS quarter,
+               CAST(month(date) AS INTEGER) AS month, CAST(isodow(date) AS INTEGER) AS iso_dow,
                isodow(date) >= 6 AS is_weekend FROM d""",
     "dim_claim_type": f"""WITH {CLAIMS_CTE}
         SELECT DISTINCT sha256(concat_ws('|', coalesce(claim_type, ''))) AS claim_type_key, claim_type
@@ -314,14 +315,14 @@ SQL.update({
         SELECT c.c_custkey, CAST({_RANK.format(c='c.c_custkey')} % n.total AS BIGINT) AS bridge_rank, r.vehicle_id
         FROM c CROSS JOIN n LEFT JOIN r ON r.bridge_rank = {_RANK.format(c='c.c_custkey')} % n.total""",
     "policy_claims": f"""WITH {CLAIMS_CTE},
-        b AS (SELECT TRY_CAST(policy_number AS BIGINT) AS order_key, count(*) AS n_claims, count_if(fraud) AS n_fraud
+        b AS (SELECT TRY_CAST(policy_number AS BIGINT) AS order_key, count(*) AS n_claims, CAST(count_if(fraud) AS BIGINT) AS n_fraud
               FROM claim WHERE source_system = 'lineitem' GROUP BY 1)
         SELECT o_orderkey AS order_key, o_custkey, coalesce(b.n_claims, 0) AS n_claims, coalesce(b.n_fraud, 0) AS n_fraud
         FROM orders LEFT JOIN b ON b.order_key = o_orderkey""",
     "claim_frequency": f"""WITH {CLAIMS_CTE},
         b AS (SELECT TRY_CAST(policy_number AS BIGINT) AS order_key, count(*) AS n_claims
               FROM claim WHERE source_system = 'lineitem' GROUP BY 1),
-        per AS (SELECT o_custkey, count(*) AS exposure_years, sum(coalesce(b.n_claims, 0)) AS n_claims
+        per AS (SELECT o_custkey, count(*) AS exposure_years, CAST(sum(coalesce(b.n_claims, 0)) AS BIGINT) AS n_claims
                 FROM orders LEFT JOIN b ON b.order_key = o_orderkey GROUP BY 1)
         SELECT c_custkey, c_mktsegment, coalesce(per.exposure_years, 0) AS exposure_years,
                coalesce(per.n_claims, 0) AS n_claims,
@@ -343,11 +344,11 @@ SQL.update({
                      count(*) AS n_claims, count(total_claim_amount) AS n_with_amount,
                      sum(total_claim_amount) AS inc, sum(injury_claim) AS inj, sum(property_claim) AS prop,
                      sum(vehicle_claim) AS veh, avg(CAST(fraud AS INTEGER)) AS fr,
-                     count_if(settlement_date IS NULL) AS open_claims,
-                     count_if(settlement_date IS NOT NULL) AS closed_claims,
+                     CAST(count_if(settlement_date IS NULL) AS BIGINT) AS open_claims,
+                     CAST(count_if(settlement_date IS NOT NULL) AS BIGINT) AS closed_claims,
                      avg(cycle_time_days) AS cyc, count_if(claim_status = 'denied') AS den,
                      count_if(claim_status IN ('denied', 'closed', 'settled')) AS term,
-                     count_if(settlement_date IS NULL AND date_diff('day', fnol_date, DATE '2002-01-01') > 90) AS open_over_90d
+                     CAST(count_if(settlement_date IS NULL AND date_diff('day', fnol_date, DATE '2002-01-01') > 90) AS BIGINT) AS open_over_90d
               FROM claim GROUP BY 1, 2, 3)
         SELECT source_system, claim_type, period, n_claims, n_with_amount, CAST(inc AS DOUBLE) AS incurred,
                CAST(NULL AS DOUBLE) AS loss_ratio,
@@ -361,7 +362,7 @@ SQL.update({
                round(CAST(den AS DOUBLE) / CAST(NULLIF(term, 0) AS DOUBLE), 6) AS denial_rate
         FROM g""",
     "kpi_rollup": f"""WITH {CLAIMS_CTE}
-        SELECT year(incident_date) AS year, source_system, claim_type,
+        SELECT CAST(year(incident_date) AS INTEGER) AS year, source_system, claim_type,
                GROUPING(year(incident_date), source_system, claim_type) AS gid,
                count(*) AS n_claims, CAST(sum(total_claim_amount) AS DOUBLE) AS incurred,
                round(avg(CAST(fraud AS INTEGER)), 6) AS fraud_rate
@@ -373,12 +374,12 @@ SQL.update({
                      max(CASE WHEN seq = 3 THEN status_date END) AS final_date,
                      count(*) AS n_transitions
               FROM history GROUP BY claim_id)
-        SELECT *, date_diff('day', fnol_date, review_date) AS days_to_review,
-               date_diff('day', review_date, final_date) AS days_review_to_final,
-               date_diff('day', fnol_date, final_date) AS days_to_final FROM g""",
+        SELECT *, CAST(date_diff('day', fnol_date, review_date) AS INTEGER) AS days_to_review,
+               CAST(date_diff('day', review_date, final_date) AS INTEGER) AS days_review_to_final,
+               CAST(date_diff('day', fnol_date, final_date) AS INTEGER) AS days_to_final FROM g""",
     "claim_status_fact": f"""WITH {CLAIMS_CTE}
         SELECT *, lead(status_date) OVER w AS next_status_date,
-               date_diff('day', status_date, lead(status_date) OVER w) AS days_in_status
+               CAST(date_diff('day', status_date, lead(status_date) OVER w) AS INTEGER) AS days_in_status
         FROM history WINDOW w AS (PARTITION BY claim_id ORDER BY seq)""",
     "claim_payments_running": """WITH p AS (
           SELECT l_orderkey AS claim_key, l_shipdate AS paid_ts, l_linenumber, l_partkey, l_suppkey,
@@ -393,7 +394,7 @@ SQL.update({
 SQL["mart_fraud_signals"] = f"""WITH {CLAIMS_CTE}, {_STAR_CTE},
     g AS (SELECT source_system, segment, region, nation,
                  GROUPING(source_system, segment, region, nation) AS gid,
-                 count(*) AS n_claims, sum(CAST(is_fraud AS BIGINT)) AS n_fraud
+                 count(*) AS n_claims, CAST(sum(CAST(is_fraud AS BIGINT)) AS BIGINT) AS n_fraud
           FROM star GROUP BY GROUPING SETS ((source_system), (segment), (region), (nation))),
     base AS (SELECT avg(CAST(is_fraud AS DOUBLE)) AS b FROM star)
     SELECT CASE gid WHEN 7 THEN 'source_system' WHEN 11 THEN 'segment' WHEN 13 THEN 'region' WHEN 14 THEN 'nation' END AS dimension,
@@ -410,10 +411,11 @@ SQL.update({
                 count_if(coalesce(policyholder_age IS NULL OR policyholder_age >= 16, FALSE)) AS p1,
                 count_if(coalesce(incident_date IS NOT NULL, FALSE)) AS p2,
                 count_if(coalesce(fnol_date >= incident_date, FALSE)) AS p3 FROM enriched)
-        SELECT 'amount_non_negative' AS expectation, total, p0 AS passed, total - p0 AS failed FROM e
-        UNION ALL SELECT 'age_valid', total, p1, total - p1 FROM e
-        UNION ALL SELECT 'incident_date_present', total, p2, total - p2 FROM e
-        UNION ALL SELECT 'fnol_after_incident', total, p3, total - p3 FROM e""",
+        SELECT 'amount_non_negative' AS expectation, total, CAST(p0 AS BIGINT) AS passed,
+               CAST(total - p0 AS BIGINT) AS failed FROM e
+        UNION ALL SELECT 'age_valid', total, CAST(p1 AS BIGINT), CAST(total - p1 AS BIGINT) FROM e
+        UNION ALL SELECT 'incident_date_present', total, CAST(p2 AS BIGINT), CAST(total - p2 AS BIGINT) FROM e
+        UNION ALL SELECT 'fnol_after_incident', total, CAST(p3 AS BIGINT), CAST(total - p3 AS BIGINT) FROM e""",
     "recon_identity": f"""WITH {CLAIMS_CTE},
         a AS (SELECT count(*) AS input_rows, count(DISTINCT claim_id) AS distinct_keys FROM keyed),
         v AS (SELECT count(*) AS valid_rows FROM claim),
@@ -436,9 +438,9 @@ SQL.update({
         d AS (SELECT policy_id, seq_ts AS effective_from, seq_tie,
                      lead(seq_ts) OVER (PARTITION BY policy_id ORDER BY seq_ts, seq_tie) AS effective_to FROM ch),
         p AS (SELECT *, lag(effective_to) OVER (PARTITION BY policy_id ORDER BY effective_from, seq_tie) AS prev_to FROM d)
-        SELECT count(*) AS n_versions, count_if(effective_to IS NULL) AS n_current,
-               count(DISTINCT policy_id) AS n_keys, count_if(prev_to > effective_from) AS n_overlaps,
-               count_if(prev_to < effective_from) AS n_gaps,
+        SELECT count(*) AS n_versions, CAST(count_if(effective_to IS NULL) AS BIGINT) AS n_current,
+               count(DISTINCT policy_id) AS n_keys, CAST(count_if(prev_to > effective_from) AS BIGINT) AS n_overlaps,
+               CAST(count_if(prev_to < effective_from) AS BIGINT) AS n_gaps,
                count_if(effective_to IS NULL) = count(DISTINCT policy_id) AS current_eq_keys
         FROM p""",
     "row_count_validation": """
@@ -479,8 +481,8 @@ SQL.update({
                             JOIN region ON r_regionkey = n_regionkey WHERE 'insurer_' || lower(r_name) = 'insurer_europe')""",
     "feature_fraud": f"""WITH {CLAIMS_CTE},
         base AS (SELECT claim_id, claim_type, severity, cu.c_mktsegment AS segment,
-                        CAST(total_claim_amount AS DOUBLE) AS amount, month(incident_date) AS incident_month,
-                        isodow(incident_date) AS incident_dow, CAST(fraud AS INTEGER) AS label
+                        CAST(total_claim_amount AS DOUBLE) AS amount, CAST(month(incident_date) AS INTEGER) AS incident_month,
+                        CAST(isodow(incident_date) AS INTEGER) AS incident_dow, CAST(fraud AS INTEGER) AS label
                  FROM claim LEFT JOIN customer cu ON CAST(cu.c_custkey AS VARCHAR) = claim.policy_number
                  WHERE source_system = 'orders'),
         {_code('claim_type')}, {_code('severity')}, {_code('segment')}
@@ -494,7 +496,7 @@ SQL.update({
               FROM d WHERE length(text) > 0)
         SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY chunk_start) - 1 AS INTEGER) AS chunk_no,
                CAST(chunk_start AS INTEGER) AS chunk_start,
-               length(substring(text, chunk_start + 1, 1000)) AS chunk_len,
+               CAST(length(substring(text, chunk_start + 1, 1000)) AS INTEGER) AS chunk_len,
                substring(text, chunk_start + 1, 1000) AS chunk_text FROM s""",
     "similar_topk": """WITH ex AS (SELECT label, unnest(range(1, 65)) AS i, embedding FROM embeddings),
         c AS (SELECT label, i, avg(CAST(embedding[i] AS DOUBLE)) AS m FROM ex GROUP BY label, i),
@@ -505,10 +507,10 @@ SQL.update({
                         * sqrt(list_dot_product(q.qv, q.qv))) AS score
               FROM embeddings e, q),
         r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY score DESC, vec_id) AS rank FROM s)
-        SELECT label, rank, vec_id, round(score, 6) AS score FROM r WHERE rank <= 5""",
+        SELECT label, CAST(rank AS INTEGER) AS rank, vec_id, round(score, 6) AS score FROM r WHERE rank <= 5""",
     "claim_context": f"""WITH {CLAIMS_CTE},
         c AS (SELECT * FROM claim WHERE source_system = 'orders'),
-        a AS (SELECT policy_number, count(*) AS n_claims, count_if(fraud) AS n_fraud,
+        a AS (SELECT policy_number, count(*) AS n_claims, CAST(count_if(fraud) AS BIGINT) AS n_fraud,
                      arg_max(claim_status, (incident_date, claim_id)) AS last_status FROM c GROUP BY 1),
         r AS (SELECT policy_number, claim_id, row_number() OVER (PARTITION BY policy_number
                      ORDER BY incident_date DESC, claim_id DESC) AS rn FROM c),
@@ -520,7 +522,7 @@ SQL.update({
 SQL.update({
     "bronze_ingest": """
         SELECT 'raw_customer' AS "table", 'OK' AS status, (SELECT count(*) FROM customer) AS rows,
-               0 AS rescued_rows, 0 AS rerun_rows
+               CAST(0 AS BIGINT) AS rescued_rows, CAST(0 AS BIGINT) AS rerun_rows
         UNION ALL SELECT 'raw_supplier', 'OK', (SELECT count(*) FROM supplier), 0, 0
         UNION ALL SELECT 'raw_nation', 'OK', (SELECT count(*) FROM nation), 0, 0
         UNION ALL SELECT 'raw_orders', 'OK', (SELECT count(*) FROM orders), 0, 0
@@ -562,7 +564,8 @@ bmap AS (SELECT bc.policy_id, brk.vehicle_id FROM bc LEFT JOIN brk USING (bridge
 SQL.update({
     "fact_complaint": """WITH d AS (SELECT doc_id, lang, source,
                  trim(regexp_replace(text, '[ \\t\\n\\r\\f]+', ' ', 'g')) AS narrative FROM documents)
-        SELECT doc_id, lang, source, length(narrative) AS n_chars, len(string_split(narrative, ' ')) AS n_words,
+        SELECT doc_id, lang, source, CAST(length(narrative) AS INTEGER) AS n_chars,
+               CAST(len(string_split(narrative, ' ')) AS INTEGER) AS n_words,
                (contains(lower(narrative), 'crash') OR contains(lower(narrative), 'collision')
                 OR contains(lower(narrative), 'accident')) AS crash,
                (contains(lower(narrative), 'fire') OR contains(lower(narrative), 'smoke')
@@ -609,7 +612,7 @@ SQL.update({
         c AS (SELECT * FROM claim WHERE source_system = 'orders' AND settlement_date IS NULL),
         r AS (SELECT claim_type, row_number() OVER (PARTITION BY claim_type ORDER BY total_claim_amount DESC, claim_id) AS rank,
                      claim_id, CAST(total_claim_amount AS DOUBLE) AS amount FROM c)
-        SELECT * FROM r WHERE rank <= 10""",
+        SELECT claim_type, CAST(rank AS INTEGER) AS rank, claim_id, amount FROM r WHERE rank <= 10""",
     "fact_telemetry_event": f"WITH {_TEL} SELECT * FROM tel",
     "stream_telemetry_split": f"""WITH {_TEL},
         r AS (SELECT event_id, NULLIF(concat_ws('; ',
