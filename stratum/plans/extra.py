@@ -159,3 +159,41 @@ def stream_telemetry_split(spark, sf_dir):
     qq = spark.read.parquet(f"{root}/quarantine").select("event_id", F.lit("quarantine").alias("branch"),
                                                           "quarantine_reason")
     return v.unionByName(qq)
+
+
+SAMPLE_TABLES = ("region", "nation", "supplier")
+SAMPLE_ROWS = 5
+
+
+def gate_evidence(spark, sf_dir):
+    """SRT1: the first rows of each table under a total order, as JSON (a
+    sampling report: the limit is the feature; ``orderBy + limit`` runs as a
+    per-task top-k, no full sort)."""
+    frames = []
+    for name in SAMPLE_TABLES:
+        d = t(spark, sf_dir, name)
+        cols = d.columns
+        top = d.orderBy(*cols).limit(SAMPLE_ROWS)
+        w = Window.orderBy(*cols)   # over at most SAMPLE_ROWS rows
+        frames.append(top.select(F.lit(name).alias("table"), F.row_number().over(w).alias("rn"),
+                                 F.to_json(F.struct(*cols)).alias("row_json")))
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def dim_policy(spark, sf_dir):
+    """PRJ11: two policy portfolios (retail = customers, fleet = suppliers)
+    conformed to one policy feed."""
+    cust = t(spark, sf_dir, "customer").select(
+        F.concat(F.lit("R-"), F.col("c_custkey").cast("string")).alias("policy_key"),
+        F.lit("retail").alias("portfolio"), F.col("c_name").alias("holder"),
+        F.col("c_nationkey").alias("nation_key"), F.col("c_mktsegment").alias("segment"),
+        to_amount(F.col("c_acctbal")).alias("balance"))
+    supp = t(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("F-"), F.col("s_suppkey").cast("string")).alias("policy_key"),
+        F.lit("fleet").alias("portfolio"), F.col("s_name").alias("holder"),
+        F.col("s_nationkey").alias("nation_key"), F.lit(None).cast("string").alias("segment"),
+        to_amount(F.col("s_acctbal")).alias("balance"))
+    return union_conformed(cust, supp)

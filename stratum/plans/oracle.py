@@ -626,3 +626,19 @@ SQL.update({
 SQL["stream_ignition_trips"] = SQL["trips_by_ignition"].replace(
     "SELECT event_id, vehicle_id, ts, event_type, is_trip_start,",
     "SELECT event_id, vehicle_id, ts, event_type, is_trip_start, FALSE AS late,")
+
+SQL.update({
+    "gate_evidence": " UNION ALL ".join(
+        f"""SELECT * FROM (SELECT '{n}' AS "table", CAST(row_number() OVER (ORDER BY {cols}) AS INTEGER) AS rn,
+                   CAST(to_json(struct_pack({', '.join(f'{c} := {c}' for c in cols.split(', '))})) AS VARCHAR) AS row_json
+            FROM (SELECT * FROM {n} ORDER BY {cols} LIMIT 5))"""
+        for n, cols in (("region", "r_regionkey, r_name"), ("nation", "n_nationkey, n_name, n_regionkey"),
+                        ("supplier", "s_suppkey, s_name, s_nationkey, s_acctbal"))),
+    "dim_policy": """
+        SELECT 'R-' || CAST(c_custkey AS VARCHAR) AS policy_key, 'retail' AS portfolio, c_name AS holder,
+               c_nationkey AS nation_key, c_mktsegment AS segment,
+               CAST(CAST(c_acctbal AS DECIMAL(14,2)) AS DOUBLE) AS balance FROM customer
+        UNION ALL
+        SELECT 'F-' || CAST(s_suppkey AS VARCHAR), 'fleet', s_name, s_nationkey, NULL,
+               CAST(CAST(s_acctbal AS DECIMAL(14,2)) AS DOUBLE) FROM supplier""",
+})

@@ -86,6 +86,8 @@ _RAW: dict[str, Query] = {
     "claim_priority": extra.claim_priority,
     "fact_telemetry_event": extra.fact_telemetry_event,
     "stream_telemetry_split": extra.stream_telemetry_split,
+    "gate_evidence": extra.gate_evidence,
+    "dim_policy": extra.dim_policy,
 }
 
 
