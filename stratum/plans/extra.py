@@ -4,14 +4,14 @@ fact, streaming quarantine split."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.functions.geo import grid_cell
 from stratum.functions.money import AMOUNT, to_amount
 from stratum.operators.cdc import scd2
 from stratum.operators.conform import union_conformed
-from stratum.operators.joins import asof_join, bridge, point_in_time, small_side
+from stratum.operators.joins import asof_join, bridge, point_in_time
 from stratum.operators.ordered import time_chunk
 from stratum.operators.quality import apply_rules, resolve_targets, validate_counts
 from stratum.operators.retrieval import clean_text
