@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratum.functions.keys import portable_seed
+from stratum.functions.times import epoch_micros, micros_between
 from stratum.operators.ordered import fill_forward, time_chunk
 from stratum.sources.tables import estimated_bytes
 
@@ -93,9 +94,7 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: s
     res = filled.where(F.col("__side") == 1)
     fresh = F.lit(True)
     if tolerance_seconds is not None:
-        fresh = (F.unix_micros(F.col("__ts").cast("timestamp"))
-                 - F.unix_micros(F.col(f"__r.{right_ts}").cast("timestamp"))
-                 ) <= F.lit(tolerance_seconds * 1_000_000)
+        fresh = micros_between(F.col(f"__r.{right_ts}"), F.col("__ts")) <= F.lit(tolerance_seconds * 1_000_000)
     return res.select(*[F.col(f"__l.{c}").alias(c) for c in l_cols],
                       *[F.when(fresh, F.col(f"__r.{c}")).alias(f"{prefix}{c}") for c in carry])
 
@@ -136,7 +135,7 @@ def interval_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_t
     us = F.lit(width * 1_000_000)
 
     def bucket_of(c: Column) -> Column:
-        return F.floor(F.unix_micros(c.cast("timestamp")) / us).cast("bigint")
+        return F.floor(epoch_micros(c) / us).cast("bigint")
 
     lo = F.col(left_ts) - F.expr(f"INTERVAL {before_seconds} SECONDS")
     hi = F.col(left_ts) + F.expr(f"INTERVAL {after_seconds} SECONDS")

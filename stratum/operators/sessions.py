@@ -13,14 +13,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratum.functions.times import micros_between
 from stratum.operators.ordered import fill_forward, neighbour
 
 
-def micros(c) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    return F.unix_micros(c.cast("timestamp"))
-
-
 def sessionize(df: DataFrame, keys: Sequence[str], ts: str, tie: str, chunk: Column,
                gap_seconds: int | None = None, start_when: Column | None = None,
                end_when: Column | None = None, carry: Sequence[str] = (),
@@ -39,7 +35,7 @@ def sessionize(df: DataFrame, keys: Sequence[str], ts: str, tie: str, chunk: Col
                   direction="prev", keep_chunk=True)
     new = F.col(f"prev_{ts}").isNull() | F.col("prev___end")
     if gap_seconds is not None:
-        new = new | ((micros(ts) - micros(f"prev_{ts}")) > F.lit(gap_seconds * 1_000_000))
+        new = new | (micros_between(f"prev_{ts}", ts) > F.lit(gap_seconds * 1_000_000))
     if start_when is not None:
         new = new | start_when
     p = p.withColumn("is_trip_start", new).withColumn(out, F.when(new, F.col(ts)))

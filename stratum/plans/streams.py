@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratum.functions.times import epoch_ntz, instant_to_ntz, ntz_to_instant
 from stratum.operators.ordered import time_chunk
 from stratum.session import scratch_path
 from stratum.sources.files import RESCUED, Source
@@ -84,10 +85,11 @@ def stream_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _events(spark, sf_dir) -> DataFrame:
     e = t(spark, sf_dir, "events")
-    # Watermarks need TIMESTAMP (not NTZ); the session zone is UTC, so the
-    # cast keeps the wall clock and results are cast back to NTZ.
+    # Watermarks need TIMESTAMP (not NTZ): the wall clock is mapped to an
+    # instant exactly (as UTC, whatever the session zone) and mapped back
+    # on output.
     return e.select(F.col("user_id").alias("vehicle_id"), "event_id",
-                    F.col("ts").cast("timestamp").alias("ts"), "event_type", "value",
+                    ntz_to_instant("ts").alias("ts"), "event_type", "value",
                     F.lit(False).alias("is_sentinel"))
 
 
@@ -119,15 +121,15 @@ def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR6 streaming twin: must equal the batch trips (fact_trip)."""
     res = _run_with_sentinel(spark, sf_dir, "stream_sessions",
                              lambda s: sessions_stream(s, "vehicle_id", "ts", "6 hours", "6 hours"))
-    return res.select("vehicle_id", F.col("trip_start").cast("timestamp_ntz").alias("trip_start"),
-                      F.col("trip_end").cast("timestamp_ntz").alias("trip_end"), "n_events")
+    return res.select("vehicle_id", instant_to_ntz("trip_start").alias("trip_start"),
+                      instant_to_ntz("trip_end").alias("trip_end"), "n_events")
 
 
 def stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR9: hourly tumbling windows per event type under a watermark."""
     res = _run_with_sentinel(spark, sf_dir, "stream_windows",
                              lambda s: windows_stream(s, "ts", "1 hour", "10 minutes", "event_type", "value"))
-    return res.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "event_type", "n_events",
+    return res.select(instant_to_ntz("w.start").alias("window_start"), "event_type", "n_events",
                       F.round("value_sum", 2).alias("value_sum"))
 
 
@@ -162,9 +164,11 @@ def stream_ignition_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = ev.schema
     for i, part in enumerate(parts):
         part.write.parquet(f"{root}/landing/delivery={i}")
-        stream = ignition_trips_stream(spark.readStream.schema(schema).parquet(f"{root}/landing"),
-                                       "signup", "purchase", 6 * 3600)
+        src = spark.readStream.schema(schema).parquet(f"{root}/landing") \
+            .withColumn("ts_us", F.unix_micros("ts"))      # instant encodes the wall clock as UTC
+        stream = ignition_trips_stream(src, "signup", "purchase", 6 * 3600)
         run_to_sink(stream, f"{root}/out", f"{root}/_checkpoint")
     out = spark.read.parquet(f"{root}/out")
-    return out.select("event_id", "vehicle_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_type",
-                      "is_trip_start", F.col("trip_start").cast("timestamp_ntz").alias("trip_start"), "late")
+    to_ntz = lambda c: F.timestamp_add("MICROSECOND", F.col(c), epoch_ntz())
+    return out.select("event_id", "vehicle_id", to_ntz("ts_us").alias("ts"), "event_type",
+                      "is_trip_start", to_ntz("trip_start_us").alias("trip_start"), "late")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.functions.geo import grid_cell, haversine_km
+from stratum.functions.times import micros_between
 from stratum.operators.joins import attach_one_row
 from stratum.operators.ordered import neighbour, time_chunk
 from stratum.operators.quality import apply_rules
@@ -89,8 +90,7 @@ def fact_trip(spark, sf_dir):
         F.count_if(F.col("event_type") == "error").alias("harsh_events"),
         F.count_if(F.col("speed") > SPEEDING_KMH).alias("speeding_events"),
         F.count_if(night).alias("night_events"))
-        .withColumn("duration_s", (F.unix_micros(F.col("trip_end").cast("timestamp"))
-                                   - F.unix_micros(F.col("trip_start").cast("timestamp"))) / 1_000_000))
+        .withColumn("duration_s", micros_between("trip_start", "trip_end") / 1_000_000))
 
 
 def trip_daily(spark, sf_dir):

@@ -23,45 +23,44 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import (BooleanType, LongType, StringType, StructField, StructType,
-                               TimestampType)
+from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+# Times cross the Python boundary as epoch microseconds (integers), so no
+# time-zone conversion can touch them.
 OUTPUT = StructType([
     StructField("vehicle_id", LongType()), StructField("event_id", LongType()),
-    StructField("ts", TimestampType()), StructField("event_type", StringType()),
-    StructField("is_trip_start", BooleanType()), StructField("trip_start", TimestampType()),
+    StructField("ts_us", LongType()), StructField("event_type", StringType()),
+    StructField("is_trip_start", BooleanType()), StructField("trip_start_us", LongType()),
     StructField("late", BooleanType()),
 ])
-STATE = StructType([StructField("last_ts", TimestampType()), StructField("last_type", StringType()),
-                    StructField("trip_start", TimestampType()), StructField("last_id", LongType())])
+STATE = StructType([StructField("last_us", LongType()), StructField("last_type", StringType()),
+                    StructField("start_us", LongType()), StructField("last_id", LongType())])
 
 
 class IgnitionTrips(StatefulProcessor):
     def __init__(self, on: str, off: str, timeout_seconds: int):
         self.on, self.off = on, off
-        self.timeout = pd.Timedelta(seconds=timeout_seconds)
+        self.timeout_us = int(timeout_seconds) * 1_000_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("trip", STATE)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["ts", "event_id"], kind="stable")
+        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["ts_us", "event_id"], kind="stable")
         if self.state.exists():
             last_ts, last_type, start, last_id = self.state.get()
-            last_ts, start = pd.Timestamp(last_ts), pd.Timestamp(start)
         else:
             last_ts = last_type = start = last_id = None
         flags, starts, late = [], [], []
-        for ts, et, eid in zip(pdf["ts"], pdf["event_type"], pdf["event_id"]):
-            ts = pd.Timestamp(ts)
+        for ts, et, eid in zip(pdf["ts_us"].tolist(), pdf["event_type"].tolist(), pdf["event_id"].tolist()):
             if last_ts is not None and (ts, eid) < (last_ts, last_id):
                 flags.append(None)
                 starts.append(None)
                 late.append(True)
                 continue
-            new = (last_ts is None or last_type == self.off or (ts - last_ts) > self.timeout
+            new = (last_ts is None or last_type == self.off or (ts - last_ts) > self.timeout_us
                    or et == self.on)
             if new:
                 start = ts
@@ -69,10 +68,10 @@ class IgnitionTrips(StatefulProcessor):
             starts.append(start)
             late.append(False)
             last_ts, last_type, last_id = ts, et, eid
-        self.state.update((last_ts.to_pydatetime(), last_type, start.to_pydatetime(), int(last_id)))
-        out = pdf[["vehicle_id", "event_id", "ts", "event_type"]].copy()
+        self.state.update((int(last_ts), last_type, int(start), int(last_id)))
+        out = pdf[["vehicle_id", "event_id", "ts_us", "event_type"]].copy()
         out["is_trip_start"] = flags
-        out["trip_start"] = starts
+        out["trip_start_us"] = pd.array(starts, dtype="Int64")
         out["late"] = late
         yield out
 
@@ -81,11 +80,12 @@ class IgnitionTrips(StatefulProcessor):
 
 
 def ignition_trips_stream(events: DataFrame, on: str, off: str, timeout_seconds: int) -> DataFrame:
-    """``events`` needs vehicle_id, event_id, ts (TIMESTAMP), event_type."""
+    """``events`` needs vehicle_id, event_id, ts_us (epoch microseconds of the
+    wall clock), event_type."""
     spark = events.sparkSession
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    return (events.select("vehicle_id", "event_id", "ts", "event_type")
+    return (events.select("vehicle_id", "event_id", "ts_us", "event_type")
                   .groupBy("vehicle_id")
                   .transformWithStateInPandas(IgnitionTrips(on, off, timeout_seconds),
                                               OUTPUT, "append", "None"))

@@ -19,7 +19,8 @@ from pyspark.sql import Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from stratum.operators.ordered import time_chunk  # noqa: E402
-from stratum.operators.sessions import micros, sessionize  # noqa: E402
+from stratum.functions.times import micros_between  # noqa: E402
+from stratum.operators.sessions import sessionize  # noqa: E402
 from stratum.session import get_session  # noqa: E402
 
 GAP = 6 * 3600
@@ -42,7 +43,7 @@ def main():
     def naive():
         w = Window.partitionBy("vehicle_id").orderBy("ts", "event_id")
         prev = F.lag("ts").over(w)
-        new = prev.isNull() | ((micros("ts") - micros(prev)) > F.lit(GAP * 1_000_000))
+        new = prev.isNull() | (micros_between(prev, F.col("ts")) > F.lit(GAP * 1_000_000))
         s = df.withColumn("start", F.when(new, F.col("ts")))
         w2 = w.rowsBetween(Window.unboundedPreceding, 0)
         return s.withColumn("trip_start", F.last("start", ignorenulls=True).over(w2))
