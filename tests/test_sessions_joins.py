@@ -69,3 +69,15 @@ def test_bridge_is_total_and_deterministic(spark):
     b = bridge(left, "cust", right, "veh")
     assert b.count() == 500 and b.where("veh IS NULL").count() == 0
     assert sorted(b.collect(), key=repr) == sorted(bridge(left.repartition(3), "cust", right, "veh").collect(), key=repr)
+
+
+def test_gaps_are_wall_clock_under_a_dst_session_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        rows = [("v", 1, dt.datetime(2024, 3, 10, 1, 30)), ("v", 2, dt.datetime(2024, 3, 10, 3, 30))]
+        df = spark.createDataFrame(rows, "k string, id int, ts timestamp_ntz")
+        s = sessionize(df, ["k"], "ts", "id", time_chunk("ts", "hour"), gap_seconds=7200)
+        assert {r["id"]: r["trip_start"] for r in s.collect()} == {1: rows[0][2], 2: rows[0][2]}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
