@@ -39,7 +39,7 @@ def hash_split(id_col: str, train_share: int = 8, buckets: int = 10):
 
 
 def train_classifier(features: DataFrame, code_cols: Sequence[str], num_cols: Sequence[str],
-                     label: str = "label", id_col: str = "claim_id", max_iter: int = 50) -> DataFrame:
+                     label: str = "label", id_col: str = "claim_id", max_iter: int = 30) -> DataFrame:
     """Logistic regression on one-hot codes + numeric columns; returns
     (id, split, label, score) for every row.  Training is an action."""
     from pyspark.ml import Pipeline

@@ -151,16 +151,13 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_ignition_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR7 streaming twin of ``trips_by_ignition``: the feed arrives in
-    three time-ordered deliveries (three micro-batches); the per-vehicle
-    state machine carries open trips across them."""
+    two time-ordered deliveries (two micro-batches); the per-vehicle state
+    machine carries open trips across them."""
     root = scratch_path(spark, "stream_ignition")
     ev = _events(spark, sf_dir)
     bounds = ev.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
-    span = (bounds["hi"] - bounds["lo"]) / 3
-    cuts = [bounds["lo"] + span, bounds["lo"] + 2 * span]
-    parts = [ev.where(F.col("ts") < cuts[0]),
-             ev.where((F.col("ts") >= cuts[0]) & (F.col("ts") < cuts[1])),
-             ev.where(F.col("ts") >= cuts[1])]
+    cut = bounds["lo"] + (bounds["hi"] - bounds["lo"]) / 2
+    parts = [ev.where(F.col("ts") < cut), ev.where(F.col("ts") >= cut)]
     schema = ev.schema
     for i, part in enumerate(parts):
         part.write.parquet(f"{root}/landing/delivery={i}")
