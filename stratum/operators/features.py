@@ -83,3 +83,25 @@ def train_severity(features: DataFrame, code_cols: Sequence[str], target: str,
     model = Pipeline(stages=[ohe, vec, glm]).fit(train)
     return model.transform(df).select(id_col, "split", target,
                                       F.round("prediction", 4).alias("predicted"))
+
+
+def evaluate_scores(scores: DataFrame, label: str = "label", score: str = "score",
+                    split: str = "test") -> float:
+    """Area under ROC of the scores on one split (an action)."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
+    df = scores.where(F.col("split") == split).select(F.col(label).cast("double").alias("label"),
+                                                      F.col(score).cast("double").alias("raw"))
+    return BinaryClassificationEvaluator(rawPredictionCol="raw", labelCol="label",
+                                         metricName="areaUnderROC").evaluate(df)
+
+
+def evaluate_regression(pred: DataFrame, target: str, predicted: str = "predicted",
+                        split: str = "test") -> dict[str, float]:
+    """RMSE and MAE of the predictions on one split, with the RMSE of the
+    constant-mean predictor as the baseline (one aggregate)."""
+    d = pred.where((F.col("split") == split) & F.col(target).isNotNull())
+    err = F.col(predicted) - F.col(target)
+    r = d.agg(F.sqrt(F.avg(err * err)).alias("rmse"), F.avg(F.abs(err)).alias("mae"),
+              F.stddev_pop(target).alias("baseline_rmse")).first()
+    return {k: float(r[k]) for k in ("rmse", "mae", "baseline_rmse")}
