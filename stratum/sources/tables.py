@@ -8,7 +8,6 @@ Catalyst prunes columns and pushes filters into the parquet reader.
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -71,5 +70,6 @@ class Catalog:
     def exists(self, spark: SparkSession, name: str, domain: str = "",
                layer: str = "") -> bool:
         if self.root is not None:
-            return os.path.exists(f"{self.root.rstrip('/')}/{name}.parquet")
+            from stratum.sources.files import path_exists
+            return path_exists(spark, f"{self.root.rstrip('/')}/{name}.parquet")
         return spark.catalog.tableExists(self.fqn(domain, layer, name))
