@@ -38,10 +38,13 @@ def spread_narrow(df: DataFrame, min_partitions: int | None = None,
     core.  A no-op for normally split sources, i.e. at scale, and for small
     scans (by the optimizer's file-size estimate).  Filters and column
     pruning still reach the scan below the exchange."""
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= n:
+    try:
+        n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= n or estimated_bytes(df) < min_bytes:
+            return df
+    except Exception:  # noqa: BLE001 - no RDD / plan statistics (e.g. Spark Connect): leave as is
         return df
-    return df.repartition(n) if estimated_bytes(df) >= min_bytes else df
+    return df.repartition(n)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
