@@ -13,7 +13,8 @@ from stratum.operators.cdc import scd2
 from stratum.operators.conform import union_conformed
 from stratum.operators.joins import asof_join, bridge, point_in_time
 from stratum.operators.ordered import time_chunk
-from stratum.operators.quality import apply_rules, resolve_targets, validate_counts
+from stratum.operators.quality import (apply_rules, observe_expectations, resolve_targets,
+                                       validate_counts)
 from stratum.operators.retrieval import clean_text
 from stratum.plans import claims, gold, policy, telematics
 from stratum.plans.common import t
@@ -26,6 +27,8 @@ CRASH_WORDS = ("crash", "collision", "accident")
 FIRE_WORDS = ("fire", "smoke", "burn")
 INJURY_WORDS = ("injur", "hurt", "hospital")
 PRIORITY_TOP = 10
+# Warn-only expectations observed per micro-batch on the telemetry stream.
+TELEMETRY_EXPECTATIONS = {"speed_plausible": "speed BETWEEN 0 AND 250", "payload_parsed": "k IS NOT NULL"}
 
 
 def _any_word(c, words):
@@ -151,8 +154,10 @@ def stream_telemetry_split(spark, sf_dir):
         r.where("is_valid").write.mode("overwrite").parquet(f"{root}/valid/batch_id={batch_id}")
         r.where("NOT is_valid").write.mode("overwrite").parquet(f"{root}/quarantine/batch_id={batch_id}")
 
-    q = (spark.readStream.schema(tel.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/landing")
-         .writeStream.foreachBatch(split).option("checkpointLocation", f"{root}/_checkpoint")
+    src = observe_expectations(
+        spark.readStream.schema(tel.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/landing"),
+        "telemetry_dq", TELEMETRY_EXPECTATIONS)
+    q = (src.writeStream.foreachBatch(split).option("checkpointLocation", f"{root}/_checkpoint")
          .trigger(availableNow=True).start())
     q.awaitTermination()
     v = spark.read.parquet(f"{root}/valid").select("event_id", F.lit("valid").alias("branch"), "quarantine_reason")

@@ -55,3 +55,17 @@ def test_kpi_reconciles_to_fact(spark):
     fact = q["claim_valid"](spark, SF_SMALL).agg(F.count("*"), F.sum("total_claim_amount")).first()
     assert kpi[0] == fact[0]
     assert abs(kpi[1] - fact[1]) < 1e-6 * max(1.0, abs(fact[1]))
+
+
+def test_observed_expectations_on_a_stream(spark):
+    from stratum.operators.quality import observe_expectations
+    root = tempfile.mkdtemp(prefix="stratum-observe-")
+    df = spark.createDataFrame([(1, 10.0), (2, -1.0), (3, None)], "id int, speed double")
+    df.write.parquet(f"{root}/in")
+    src = observe_expectations(spark.readStream.schema(df.schema).parquet(f"{root}/in"), "dq",
+                               {"speed_ok": "speed >= 0"})
+    q = (src.writeStream.format("noop").option("checkpointLocation", f"{root}/ck")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    metrics = [p["observedMetrics"]["dq"] for p in q.recentProgress if p.get("observedMetrics")]
+    assert metrics and metrics[-1]["rows"] == 3 and metrics[-1]["speed_ok_failed"] == 2
