@@ -39,8 +39,22 @@ def windows_stream(events: DataFrame, ts: str, size: str, delay: str, by: str,
                        F.max("is_sentinel").alias("is_sentinel")))
 
 
-def run_to_sink(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
-    """Drive a streaming frame to completion into a parquet sink."""
+def run_to_sink(df: DataFrame, path: str, checkpoint: str, mode: str = "append"):
+    """Drive a streaming frame to completion into a parquet sink; returns
+    the finished query (its progress carries the late-row counts)."""
     q = (df.writeStream.format("parquet").outputMode(mode)
            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path))
     q.awaitTermination()
+    return q
+
+
+def late_rows(query) -> int:
+    """Rows the stateful operators dropped as later than the watermark,
+    summed over the query's recent progress (late-data accounting).  Spark
+    counts at the state store, i.e. after map-side partial aggregation: late
+    input rows of one (window, key) count once."""
+    total = 0
+    for p in query.recentProgress:
+        for op in p.get("stateOperators", []) or []:
+            total += int(op.get("numRowsDroppedByWatermark", 0) or 0)
+    return total

@@ -69,3 +69,26 @@ def test_observed_expectations_on_a_stream(spark):
     q.awaitTermination()
     metrics = [p["observedMetrics"]["dq"] for p in q.recentProgress if p.get("observedMetrics")]
     assert metrics and metrics[-1]["rows"] == 3 and metrics[-1]["speed_ok_failed"] == 2
+
+
+def test_late_rows_are_counted(spark):
+    import datetime as dt
+
+    from stratum.streaming.telemetry_stream import late_rows, run_to_sink, windows_stream
+    root = tempfile.mkdtemp(prefix="stratum-late-")
+    t0 = dt.datetime(2024, 1, 1)
+    schema = "ts timestamp, event_type string, value double, is_sentinel boolean"
+    spark.createDataFrame([(t0 + dt.timedelta(minutes=m), "a", 1.0, False) for m in range(0, 120, 10)],
+                          schema).write.parquet(f"{root}/in/p=1")
+
+    def build():
+        return windows_stream(spark.readStream.schema(schema).parquet(f"{root}/in"),
+                              "ts", "1 hour", "10 minutes", "event_type", "value")
+
+    run_to_sink(build(), f"{root}/out", f"{root}/ck")
+    # a re-delivery of rows in three hours older than the watermark arrives
+    # later (one row per window: the count is per window and key)
+    spark.createDataFrame([(t0 - dt.timedelta(hours=h), "a", 5.0, False) for h in (2, 3, 4)], schema) \
+        .write.parquet(f"{root}/in/p=2")
+    q = run_to_sink(build(), f"{root}/out", f"{root}/ck")
+    assert late_rows(q) == 3
