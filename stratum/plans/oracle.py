@@ -522,11 +522,11 @@ SQL.update({
 SQL.update({
     "bronze_ingest": """
         SELECT 'raw_customer' AS "table", 'OK' AS status, (SELECT count(*) FROM customer) AS rows,
-               CAST(0 AS BIGINT) AS rescued_rows, CAST(0 AS BIGINT) AS rerun_rows
-        UNION ALL SELECT 'raw_supplier', 'OK', (SELECT count(*) FROM supplier), 0, 0
-        UNION ALL SELECT 'raw_nation', 'OK', (SELECT count(*) FROM nation), 0, 0
-        UNION ALL SELECT 'raw_orders', 'OK', (SELECT count(*) FROM orders), 0, 0
-        UNION ALL SELECT 'raw_complaints', 'SKIPPED_no_file', NULL, NULL, NULL""",
+               CAST(0 AS BIGINT) AS rescued_rows, CAST(0 AS BIGINT) AS rerun_rows, 1 AS pii_tagged
+        UNION ALL SELECT 'raw_supplier', 'OK', (SELECT count(*) FROM supplier), 0, 0, 1
+        UNION ALL SELECT 'raw_nation', 'OK', (SELECT count(*) FROM nation), 0, 0, 0
+        UNION ALL SELECT 'raw_orders', 'OK', (SELECT count(*) FROM orders), 0, 0, 0
+        UNION ALL SELECT 'raw_complaints', 'SKIPPED_no_file', NULL, NULL, NULL, NULL""",
     "stream_scd2": SQL["scd2_policyholder"],
     "stream_sessions": f"""WITH {_SESS}
         SELECT vehicle_id, trip_start, max(ts) AS trip_end, count(*) AS n_events

@@ -56,16 +56,19 @@ def bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = ingest_all(spark, SOURCES, landing, bronze, ckpt, {"raw_orders": ORDER_FIELDS}, first)
     ingest_all(spark, SOURCES, landing, bronze, ckpt, {"raw_orders": ORDER_FIELDS}, rerun)
     ok = [r["table"] for r in status.where("status = 'OK'").collect()]   # registry-sized
-    parts = [spark.read.parquet(f"{bronze}/{name}").select(F.lit(name).alias("table"), RESCUED, "_batch_id")
-             for name in ok]
+    bronze_frames = {name: spark.read.parquet(f"{bronze}/{name}") for name in ok}
+    tagged = spark.createDataFrame(
+        [(name, sum(1 for f in d.schema.fields if ((f.metadata or {}).get("tags") or {}).get("pii")))
+         for name, d in bronze_frames.items()], "table string, pii_tagged int")   # schema-sized
+    parts = [d.select(F.lit(name).alias("table"), RESCUED, "_batch_id") for name, d in bronze_frames.items()]
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
     counts = u.groupBy("table").agg(F.count(F.lit(1)).alias("rows"),
                                     F.count_if(F.col(RESCUED).isNotNull()).alias("rescued_rows"),
                                     F.count_if(F.col("_batch_id") == rerun).alias("rerun_rows"))
-    return status.join(counts, "table", "left").select("table", "status", "rows", "rescued_rows",
-                                                       "rerun_rows")
+    return (status.join(counts, "table", "left").join(tagged, "table", "left")
+                  .select("table", "status", "rows", "rescued_rows", "rerun_rows", "pii_tagged"))
 
 
 def stream_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:

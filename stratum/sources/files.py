@@ -46,6 +46,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def has_files(spark: SparkSession, folder: str, pattern: str = "*") -> bool:
+    """True if some file in ``folder`` (or below) matches ``pattern``."""
+    fs, p = _fs(spark, folder)
+    if not fs.exists(p):
+        return False
+    jvm = spark.sparkContext._jvm
+    for glob in (f"{folder.rstrip('/')}/{pattern}", f"{folder.rstrip('/')}/**/{pattern}"):
+        hits = fs.globStatus(jvm.org.apache.hadoop.fs.Path(glob))
+        if hits is not None and len(hits) > 0:
+            return True
+    return False
+
+
 def write_text_file(spark: SparkSession, path: str, text: str) -> None:
     """Small control file (e.g. a version pointer), overwritten atomically
     enough for a single writer: write a temp file, then rename."""

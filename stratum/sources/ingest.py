@@ -17,8 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from stratum.sources.files import (CORRUPT, RESCUED, Source, csv_options, header_schema,
-                                   path_exists, rescued, string_schema)
+from stratum.operators.governance import tag_columns
+from stratum.sources.files import (CORRUPT, RESCUED, Source, csv_options, has_files, header_schema,
+                                   rescued, string_schema)
 
 STATUS_SCHEMA = "table string, status string, folder string"
 
@@ -49,6 +50,9 @@ def start_ingest(spark: SparkSession, src: Source, landing: str, target: str, ch
     (``processing_time="1 minute"``) keeps polling the landing folder."""
     folder = f"{landing.rstrip('/')}/{src.subdir}"
     df = _stream(spark, src, folder, json_fields).withColumn("_batch_id", F.lit(batch_id))
+    # PII tags travel as field metadata into the bronze files; names are
+    # matched case-insensitively and unknown ones only warn
+    df = tag_columns(df, {c: {"pii": "true"} for c in src.pii})
     w = (df.writeStream.format("parquet").outputMode("append")
            .option("checkpointLocation", checkpoint)
            .queryName(f"ingest_{src.table}_{batch_id[:8]}"))
@@ -66,7 +70,7 @@ def ingest_all(spark: SparkSession, sources: Sequence[Source], landing: str, bro
     started, status = [], []
     for src in sources:
         folder = f"{landing.rstrip('/')}/{src.subdir}"
-        if not path_exists(spark, folder):
+        if not has_files(spark, folder, src.pattern):
             status.append((src.table, "SKIPPED_no_file", folder))
             continue
         q = start_ingest(spark, src, landing, f"{bronze_root}/{src.table}",

@@ -23,7 +23,8 @@ def _landing():
 
 
 SOURCES = [
-    Source("raw_claims", "claims", "*.csv", "csv", ",", True),
+    Source("raw_claims", "claims", "*.csv", "csv", ",", True, pii=("NAME", "vin")),
+    Source("raw_nomatch", "claims", "nothing_*.csv", "csv", ",", True),
     Source("raw_types", "types", "*.csv", "csv", ";", True),
     Source("raw_cmpl", "cmpl", "*.txt", "csv", "\t", False, columns=("make", "model", "year", "text")),
     Source("raw_missing", "nothing_here", "*.csv"),
@@ -45,7 +46,10 @@ def test_streaming_ingest_idempotent(spark):
     root = _landing()
     out = tempfile.mkdtemp(prefix="stratum-bronze-")
     st1 = {r["table"]: r["status"] for r in ingest_all(spark, SOURCES, root, f"{out}/b", f"{out}/c").collect()}
-    assert st1 == {"raw_claims": "OK", "raw_types": "OK", "raw_cmpl": "OK", "raw_missing": "SKIPPED_no_file"}
+    assert st1 == {"raw_claims": "OK", "raw_types": "OK", "raw_cmpl": "OK", "raw_missing": "SKIPPED_no_file",
+                   "raw_nomatch": "SKIPPED_no_file"}
+    tags = {f.name: (f.metadata or {}).get("tags") for f in spark.read.parquet(f"{out}/b/raw_claims").schema.fields}
+    assert tags["name"] == {"pii": "true"} and tags["id"] is None
     n1 = {t: spark.read.parquet(f"{out}/b/{t}").count() for t in ("raw_claims", "raw_types", "raw_cmpl")}
     assert n1 == {"raw_claims": 4, "raw_types": 1, "raw_cmpl": 1}
     ingest_all(spark, SOURCES, root, f"{out}/b", f"{out}/c")
