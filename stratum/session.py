@@ -24,6 +24,47 @@ _REQUIRED_CONF = {
 }
 
 
+# Runtime SQL settings for the 100 TB / 1000-executor target.  Applied by
+# ``apply_cluster_defaults`` only where the cluster has not set them.
+CLUSTER_CONF = {
+    # AQE: start every shuffle with 100k partitions (a 30 TB raw-row shuffle
+    # is then ~300 MB per partition) and let AQE coalesce them to ~256 MB;
+    # AQE only merges partitions, so the initial number must be high.
+    # Skewed join partitions are split at runtime.
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "100000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+    # file splits sized so one task reads ~512 MB of parquet
+    "spark.sql.files.maxPartitionBytes": str(512 << 20),
+    # broadcast only small sides; AQE re-checks with measured sizes
+    "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    # streaming state off-heap in RocksDB, changelog checkpoints
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
+def apply_cluster_defaults(spark: SparkSession, conf: dict[str, str] | None = None) -> SparkSession:
+    """Set each of ``CLUSTER_CONF`` that the session does not already define
+    (a cluster's own settings always win).  Also ensures the checkpoint
+    folder (read from the session, created only if unset)."""
+    for k, v in (conf or CLUSTER_CONF).items():
+        if spark.conf.get(k, None) in (None, ""):
+            try:
+                spark.conf.set(k, v)
+            except Exception:  # noqa: BLE001 - static conf on a running session: leave it
+                pass
+    ensure_checkpoint_dir(spark)
+    return spark
+
+
 def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
                 app_name: str = "stratum") -> SparkSession:
     """Local session for tests and the bench (UI off, AQE on, UTC)."""
