@@ -202,3 +202,15 @@ def dim_policy(spark, sf_dir):
         F.col("s_nationkey").alias("nation_key"), F.lit(None).cast("string").alias("segment"),
         to_amount(F.col("s_acctbal")).alias("balance"))
     return union_conformed(cust, supp)
+
+
+def scd2_driver(spark, sf_dir):
+    """CDC8: driver dimension as SCD2 (key driver, sequence = event time):
+    each telemetry event observes the driver's current activity; unchanged
+    repeats are coalesced, so a version opens only when the activity
+    changes.  Day chunks keep a very active driver off a single task."""
+    e = t(spark, sf_dir, "events").select(
+        F.col("user_id").alias("driver_id"), F.col("event_type").alias("activity"),
+        F.col("ts").alias("effective_ts"), "event_id")
+    return scd2(e, ["driver_id"], ["effective_ts", "event_id"], ["activity"],
+                time_chunk("effective_ts", "day"), coalesce_repeats=True)

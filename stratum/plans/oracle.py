@@ -642,3 +642,12 @@ SQL.update({
         SELECT 'F-' || CAST(s_suppkey AS VARCHAR), 'fleet', s_name, s_nationkey, NULL,
                CAST(CAST(s_acctbal AS DECIMAL(14,2)) AS DOUBLE) FROM supplier""",
 })
+
+SQL["scd2_driver"] = """WITH e AS (SELECT DISTINCT user_id AS driver_id, event_type AS activity, ts AS effective_ts, event_id
+                          FROM events),
+    f AS (SELECT *, lag(activity) OVER w AS prev_activity, row_number() OVER w AS rn
+          FROM e WINDOW w AS (PARTITION BY driver_id ORDER BY effective_ts, event_id)),
+    k AS (SELECT * FROM f WHERE rn = 1 OR prev_activity IS DISTINCT FROM activity)
+    SELECT driver_id, activity, effective_ts AS effective_from, lead(effective_ts) OVER w AS effective_to,
+           lead(effective_ts) OVER w IS NULL AS is_current, event_id
+    FROM k WINDOW w AS (PARTITION BY driver_id ORDER BY effective_ts, event_id)"""

@@ -88,6 +88,7 @@ _RAW: dict[str, Query] = {
     "stream_telemetry_split": extra.stream_telemetry_split,
     "gate_evidence": extra.gate_evidence,
     "dim_policy": extra.dim_policy,
+    "scd2_driver": extra.scd2_driver,
 }
 
 
