@@ -8,6 +8,7 @@ quarantine tables come from the same rows.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -20,6 +21,7 @@ from stratum.functions.money import AMOUNT, to_amount
 from stratum.operators.cdc import scd2
 from stratum.operators.conform import CLAIM_KEY_FIELDS, CLAIM_SCHEMA, cast_failures, union_conformed
 from stratum.operators.dedup import dedup_first
+from stratum.operators.governance import resolve_columns
 from stratum.operators.lifecycle import add_lifecycle, status_history
 from stratum.operators.ordered import time_chunk
 from stratum.operators.quality import claim_rules, reason_column
@@ -28,6 +30,37 @@ from stratum.sinks import materialize
 
 Reader = Callable[[str], DataFrame]
 c = F.col
+log = logging.getLogger(__name__)
+
+# Raw column layout of each bronze source, as landed.
+RAW_COLUMNS = {
+    "raw_insurance_claims": (
+        "policy_number", "incident_date", "incident_type", "incident_severity", "total_claim_amount",
+        "injury_claim", "property_claim", "vehicle_claim", "auto_make", "auto_model", "auto_year",
+        "fraud_reported", "insured_zip", "incident_location", "age", "insured_sex", "policy_state",
+        "insured_education_level", "insured_occupation"),
+    "raw_carclaims": ("PolicyNumber", "Year", "Month", "FraudFound", "Make", "AccidentArea", "Age",
+                      "Sex", "Fault", "VehicleCategory"),
+    "raw_claim_severity": ("IDpol", "ClaimAmount"),
+    "raw_claims_by_type": ("ID", "Cost_claims_by_type", "Claims_type", "Cost_claims_year"),
+}
+_METADATA = ("_ingest_ts", "_source_file")
+
+
+def raw_layout(df: DataFrame, expected) -> DataFrame:
+    """Expected raw columns resolved case-insensitively; a column missing
+    from the landed file (schema drift) becomes a NULL string and a warning
+    instead of failing the pipeline.  Ingest metadata is kept."""
+    found, missing = resolve_columns(df, list(expected) + list(_METADATA))
+    for m in missing:
+        log.warning("raw column missing, treated as NULL: %s", m)
+    cols = [(c(found[n]) if n in found else F.lit(None).cast("string")).alias(n) for n in expected]
+    meta = [(c(found[n]) if n in found else F.lit(None)).alias(n) for n in _METADATA]
+    return df.select(*cols, *meta)
+
+
+def _with_layout(read: Reader) -> Reader:
+    return lambda name: raw_layout(read(name), RAW_COLUMNS[name]) if name in RAW_COLUMNS else read(name)
 
 
 def _insurance_mapping() -> dict[str, Column]:
@@ -85,6 +118,7 @@ def _proj(mapping, system, synthetic):
 
 
 def silver(read: Reader) -> dict[str, DataFrame]:
+    read = _with_layout(read)
     a = _conform_one(read("raw_insurance_claims"), _insurance_mapping(), "insurance_claims", False)
     b = _conform_one(read("raw_carclaims"), _carclaims_mapping(), "carclaims", True)
     u = union_conformed(a, b).withColumn("claim_id", surrogate_key(*CLAIM_KEY_FIELDS))
