@@ -38,8 +38,11 @@ def telemetry_bronze_stream(spark: SparkSession, servers: str, topic: str,
         F.current_timestamp().alias("_ingest_ts"))
 
 
-def parse_payload(bronze: DataFrame, schema: StructType) -> DataFrame:
+def parse_payload(bronze: DataFrame, schema: StructType | str) -> DataFrame:
     """Silver parse: JSON payload -> typed columns; unparseable payloads keep
-    a NULL struct and can be routed to quarantine."""
+    a NULL struct and can be routed to quarantine.  ``schema`` is a
+    StructType or a DDL string."""
+    if isinstance(schema, str):
+        schema = bronze.sparkSession.createDataFrame([], schema).schema
     return bronze.select("*", F.from_json("payload", schema).alias("p")).select(
         "*", *[F.col(f"p.{f.name}").alias(f.name) for f in schema.fields]).drop("p")
