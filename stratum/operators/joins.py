@@ -25,7 +25,11 @@ DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 def small_side(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """``broadcast(df)`` only when its estimated size is within ``max_bytes``;
     otherwise the plain frame, left to the shuffle join (AQE still converts
-    it at runtime if the measured shuffle output turns out small)."""
+    it at runtime if the measured shuffle output turns out small).
+
+    Without table statistics Spark estimates scans, projections, filters and
+    aggregates from file sizes scaled by row width, i.e. an upper bound for
+    the dimension-like frames this is applied to."""
     try:
         size = estimated_bytes(df)
     except Exception:  # noqa: BLE001 - no estimate: do not force a broadcast
@@ -64,8 +68,9 @@ def star_join(fact: DataFrame, dims: Sequence[tuple[DataFrame, Sequence[str]]],
 
 
 def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str,
-              right_ts: str, right_cols: Sequence[str], right_tie: str | None = None, tolerance_seconds: int | None = None,
-              chunk_unit: str = "day", prefix: str = "r_") -> DataFrame:
+              right_ts: str, right_cols: Sequence[str], right_tie: str | None = None,
+              tolerance_seconds: int | None = None, chunk_unit: str = "day",
+              prefix: str = "r_") -> DataFrame:
     """For every left row: the latest right row of the same key with
     ``right_ts <= left_ts`` (a right row at the same instant counts).
 
