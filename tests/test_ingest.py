@@ -75,3 +75,19 @@ def test_arff(spark):
     df = scan_arff(spark, f"{root}/sev.arff")
     assert df.columns == ["IDpol", "ClaimAmount"]
     assert sorted(tuple(r) for r in df.collect()) == [("1", "995.2"), ("3", "1128.12")]
+
+
+def test_continuous_mode_picks_up_new_files(spark):
+    from stratum.sources.ingest import start_ingest
+    root = _landing()
+    out = tempfile.mkdtemp(prefix="stratum-cont-")
+    src = SOURCES[2]                                   # raw_types, ';' separated
+    q = start_ingest(spark, src, root, f"{out}/t", f"{out}/ck", "b1", processing_time="1 second")
+    try:
+        q.processAllAvailable()
+        assert spark.read.parquet(f"{out}/t").count() == 1
+        _write(f"{root}/types/u.csv", "ID;Cost\n8;2\n9;3\n")
+        q.processAllAvailable()
+        assert spark.read.parquet(f"{out}/t").count() == 3
+    finally:
+        q.stop()
