@@ -18,15 +18,22 @@ it is emitted with ``late = true`` and does not change the state.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+# The processor runs in Python workers that may not have this package on
+# their path (a cluster ships only what the job adds): serialise this
+# module by value, so workers need nothing but pyspark and pandas.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Times cross the Python boundary as epoch microseconds (integers), so no
 # time-zone conversion can touch them.
 OUTPUT = StructType([
