@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratum.functions.keys import portable_seed
+from stratum.session import ensure_checkpoint_dir
 
 # Columns derived from the label (the synthetic lifecycle is decided from
 # the fraud flag), so they must never be features.
@@ -51,6 +52,7 @@ def train_classifier(features: DataFrame, code_cols: Sequence[str], num_cols: Se
     # Estimators make several passes (encoder fit, scaler fit, optimiser,
     # scoring): materialise the features once in the shared checkpoint
     # folder so the upstream pipeline is not recomputed per pass.
+    ensure_checkpoint_dir(df.sparkSession)
     df = df.checkpoint(eager=True)
     ohe = OneHotEncoder(inputCols=list(code_cols), outputCols=[f"{c}_oh" for c in code_cols],
                         handleInvalid="keep")
@@ -73,6 +75,7 @@ def train_severity(features: DataFrame, code_cols: Sequence[str], target: str,
     from pyspark.ml.regression import GeneralizedLinearRegression
 
     df = features.withColumn("split", hash_split(id_col)).withColumn(target, F.col(target).cast("double"))
+    ensure_checkpoint_dir(df.sparkSession)
     df = df.checkpoint(eager=True)
     ohe = OneHotEncoder(inputCols=list(code_cols), outputCols=[f"{c}_oh" for c in code_cols],
                         handleInvalid="keep")
