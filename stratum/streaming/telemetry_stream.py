@@ -39,11 +39,26 @@ def windows_stream(events: DataFrame, ts: str, size: str, delay: str, by: str,
                        F.max("is_sentinel").alias("is_sentinel")))
 
 
-def run_to_sink(df: DataFrame, path: str, checkpoint: str, mode: str = "append"):
+def run_to_sink(df: DataFrame, path: str, checkpoint: str, mode: str = "append",
+                state_partitions: int | None = None):
     """Drive a streaming frame to completion into a parquet sink; returns
-    the finished query (its progress carries the late-row counts)."""
-    q = (df.writeStream.format("parquet").outputMode(mode)
-           .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path))
+    the finished query (its progress carries the late-row counts).
+
+    Stateful queries fix their number of state partitions when they first
+    start (from ``spark.sql.shuffle.partitions``, recorded in the
+    checkpoint).  It is sized here to the cluster's task slots (or
+    ``state_partitions``) for the start only; ``start()`` copies the session
+    configuration, and the setting is restored right after."""
+    spark = df.sparkSession
+    n = state_partitions or spark.sparkContext.defaultParallelism
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        q = (df.writeStream.format("parquet").outputMode(mode)
+               .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path))
+    finally:
+        spark.conf.set(key, old)
     q.awaitTermination()
     return q
 
