@@ -111,3 +111,20 @@ def test_state_processor_loads_without_the_package(tmp_path):
                          timeout=120)
     assert out.returncode == 0, out.stderr
     assert out.stdout.split() == ["IgnitionTrips", "60000000"]
+
+
+def test_state_partitions_follow_the_cluster_and_conf_is_restored(spark):
+    import datetime as dt
+
+    from stratum.streaming.telemetry_stream import run_to_sink, windows_stream
+    root = tempfile.mkdtemp(prefix="stratum-statepart-")
+    schema = "ts timestamp, event_type string, value double, is_sentinel boolean"
+    spark.createDataFrame([(dt.datetime(2024, 1, 1, 0, m), "a", 1.0, False) for m in range(5)], schema) \
+        .write.parquet(f"{root}/in")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    q = run_to_sink(windows_stream(spark.readStream.schema(schema).parquet(f"{root}/in"),
+                                   "ts", "1 hour", "10 minutes", "event_type", "value"),
+                    f"{root}/out", f"{root}/ck", state_partitions=3)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    ops = [op for p in q.recentProgress for op in (p.get("stateOperators") or [])]
+    assert ops and all(op.get("numShufflePartitions", 3) == 3 for op in ops)
