@@ -9,10 +9,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import bpe, langid
+from stratum.llm import bpe, langid, packing
 from stratum.llm.common import table
 from stratum.llm.digest_index import DigestIndex
 
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 MULTI_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -25,6 +26,10 @@ def op4_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return DigestIndex.create(spark).ingest(table(spark, sf_dir, "documents"))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), BYTE_BPE, window=1024)
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.round_trip(docs, MULTI_RANKS, public_tokenizers.PATTERN)
@@ -36,6 +41,7 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op4_digest_index": op4_digest_index,
+    "op7_packing": op7_packing,
     "op8_bpe": op8_bpe,
 }
 
