@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import bpe, langid, packing
+from stratum.llm import bpe, langid, packing, syncmers
 from stratum.llm.common import table
 from stratum.llm.digest_index import DigestIndex
 
@@ -22,6 +22,10 @@ def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op2_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.compare(table(spark, sf_dir, "documents"))
+
+
 def op4_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return DigestIndex.create(spark).ingest(table(spark, sf_dir, "documents"))
 
@@ -40,6 +44,7 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
+    "op2_syncmers": op2_syncmers,
     "op4_digest_index": op4_digest_index,
     "op7_packing": op7_packing,
     "op8_bpe": op8_bpe,
