@@ -134,16 +134,18 @@ def numbered(df: DataFrame, group: str, order: Sequence[str | Column], spread: S
     whose sizes give their first numbers, so that no task holds a whole group.
     The sizes are at most groups x parts rows; ``group`` must be a bounded set.
     """
-    sub = df.withColumn("_sub", salt(*spread, parts=parts))
-    sizes = sub.groupBy(group, "_sub").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy(group).orderBy("_sub").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.select(F.col(group).alias("_g"), F.col("_sub").alias("_s"),
-                         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
-    inside = Window.partitionBy(group, "_sub").orderBy(*order)
-    return (sub.withColumn("_r", F.row_number().over(inside) - 1)
-            .join(sizes, (F.col(group) == F.col("_g")) & (F.col("_sub") == F.col("_s")))
-            .withColumn(name, F.col("_r") + F.col("_first"))
-            .drop("_r", "_g", "_s", "_sub", "_first"))
+    sub = df.withColumn("_nm_sub", salt(*spread, parts=parts))
+    sizes = sub.groupBy(F.col(group).alias("_nm_group"), F.col("_nm_sub").alias("_nm_part")).agg(
+        F.count("*").alias("_nm_n"))
+    before = Window.partitionBy("_nm_group").orderBy("_nm_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("_nm_group", "_nm_part",
+                         F.coalesce(F.sum("_nm_n").over(before), F.lit(0)).alias("_nm_first"))
+    inside = Window.partitionBy(group, "_nm_sub").orderBy(*order)
+    return (sub.withColumn("_nm_rank", F.row_number().over(inside) - 1)
+            .join(sizes, (F.col(group) == F.col("_nm_group")) & (F.col("_nm_sub") == F.col("_nm_part")))
+            .withColumn(name, F.col("_nm_rank") + F.col("_nm_first"))
+            .drop("_nm_rank", "_nm_group", "_nm_part", "_nm_sub", "_nm_first"))
+
 
 
 _CHUNK = re.compile(r"(?= \S)")

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import bpe, langid, packing, syncmers
+from stratum.llm import bpe, histsort, langid, packing, syncmers
 from stratum.llm.common import table
 from stratum.llm.digest_index import DigestIndex
 
@@ -42,12 +42,21 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op9_histsort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    body = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
+    return histsort.shard(docs.withColumn("text_crc32", F.crc32(body)), shards=40).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
+        F.col("slot").cast("bigint").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op2_syncmers": op2_syncmers,
     "op4_digest_index": op4_digest_index,
     "op7_packing": op7_packing,
     "op8_bpe": op8_bpe,
+    "op9_histsort": op9_histsort,
 }
 
 ORACLE_SQL: dict[str, str] = {
