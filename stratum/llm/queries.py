@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import bpe, histsort, langid, packing, syncmers
+from stratum.llm import bpe, histsort, langid, packing, syncmers, warc
 from stratum.llm.common import table
 from stratum.llm.digest_index import DigestIndex
 
@@ -50,6 +50,10 @@ def op9_histsort(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("slot").cast("bigint").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op2_syncmers": op2_syncmers,
@@ -57,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_packing": op7_packing,
     "op8_bpe": op8_bpe,
     "op9_histsort": op9_histsort,
+    "op10_warc": op10_warc,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -65,4 +70,13 @@ ORACLE_SQL: dict[str, str] = {
                doc_id = max(doc_id) OVER same AS kept, text_sha256
         FROM (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents)
         WINDOW same AS (PARTITION BY text_sha256)""",
+    "op10_warc": """
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN 'revisit'
+                    ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN first_id END AS refers_to
+        FROM (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes,
+                     sha256(coalesce(html, '')) AS payload_digest,
+                     min(page_id) OVER (PARTITION BY sha256(coalesce(html, ''))) AS first_id
+              FROM pages)""",
 }
