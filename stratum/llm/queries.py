@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import bpe, histsort, langid, packing, syncmers, warc
+from stratum.llm import bpe, histsort, langid, minhash, packing, syncmers, warc
 from stratum.llm.common import table
 from stratum.llm.digest_index import DigestIndex
 
@@ -30,6 +30,10 @@ def op4_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return DigestIndex.create(spark).ingest(table(spark, sf_dir, "documents"))
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_groups(table(spark, sf_dir, "documents"), minhash.MinHashConfig(words=2))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), BYTE_BPE, window=1024)
 
@@ -58,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op2_syncmers": op2_syncmers,
     "op4_digest_index": op4_digest_index,
+    "op6_minhash": op6_minhash,
     "op7_packing": op7_packing,
     "op8_bpe": op8_bpe,
     "op9_histsort": op9_histsort,
