@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import bpe, histsort, langid, minhash, packing, syncmers, warc
+from stratum.llm import bpe, histsort, langid, minhash, packing, syncmers, urlrules, warc
 from stratum.llm.common import table
 from stratum.llm.digest_index import DigestIndex
 
@@ -26,6 +26,22 @@ def op2_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.compare(table(spark, sf_dir, "documents"))
 
 
+# fixed values: the listed rules (verdict, host, path)
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
+
+def op3_urlrules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urlrules.judge(pages, URL_RULES).select(
+        "page_id", "host", "path", "rule", "verdict", "mined_tokens", "mined_confidence")
+
+
 def op4_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return DigestIndex.create(spark).ingest(table(spark, sf_dir, "documents"))
 
@@ -61,6 +77,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op2_syncmers": op2_syncmers,
+    "op3_urlrules": op3_urlrules,
     "op4_digest_index": op4_digest_index,
     "op6_minhash": op6_minhash,
     "op7_packing": op7_packing,
