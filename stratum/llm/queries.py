@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import bpe, histsort, langid, minhash, packing, syncmers, urlrules, warc
+from stratum.llm import bpe, histsort, langid, minhash, packing, quality, syncmers, urlrules, warc
 from stratum.llm.common import table
 from stratum.llm.digest_index import DigestIndex
 
@@ -46,6 +46,12 @@ def op4_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return DigestIndex.create(spark).ingest(table(spark, sf_dir, "documents"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).select("doc_id", *quality.OUT)
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_groups(table(spark, sf_dir, "documents"), minhash.MinHashConfig(words=2))
 
@@ -79,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_syncmers": op2_syncmers,
     "op3_urlrules": op3_urlrules,
     "op4_digest_index": op4_digest_index,
+    "op5_quality": op5_quality,
     "op6_minhash": op6_minhash,
     "op7_packing": op7_packing,
     "op8_bpe": op8_bpe,
