@@ -28,6 +28,11 @@ def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
 
 
+def whole(df: DataFrame) -> DataFrame:
+    """``df`` as one column ``_row``: no name of its own can clash with a key."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"))
+
+
 def ship(spark: SparkSession) -> None:
     """Give the executors' Python workers this package, once for each Spark
     context (what ``--py-files`` does, for sessions that lack it)."""

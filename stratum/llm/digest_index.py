@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm.common import by_group, without
+from stratum.llm.common import by_group, whole
 from stratum.session import scratch_path
 from stratum.sinks import materialize
 
@@ -97,12 +97,11 @@ def exact_dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     index = index or DigestIndex.create(docs.sparkSession)
     keep = (index.ingest(docs).where("kept")
             .select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")))
-    own = without(docs, ["_id", "_sha", "_key", "_text_sha"])
     keep = keep.select(F.coalesce("_id", F.lit(NO_ID)).alias("_key"), F.col("_sha").alias("_text_sha"))
-    keyed = own.withColumns({
-        "_key": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)),
-        "_text_sha": F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)})
+    keyed = whole(docs).withColumns({
+        "_key": F.coalesce(F.col("_row.doc_id").cast("bigint"), F.lit(NO_ID)),
+        "_text_sha": F.sha2(F.coalesce(F.col("_row.text"), F.lit("")), 256)})
     # rows that repeat both doc_id and text are one document; the join's
     # partitioning and order serve dropDuplicates as they are
     return (keyed.join(keep, ["_key", "_text_sha"], "left_semi")
-            .dropDuplicates(["_key", "_text_sha"]).drop("_key", "_text_sha"))
+            .dropDuplicates(["_key", "_text_sha"]).select("_row.*"))

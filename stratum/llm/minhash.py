@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.common import arrow_map, by_group, pieces, utf8, without
+from stratum.llm.common import arrow_map, by_group, pieces, utf8, whole
 from stratum.llm.components import components
 from stratum.sinks import materialize
 
@@ -329,6 +329,5 @@ def one_of_each(docs: DataFrame, config: MinHashConfig = MinHashConfig()) -> Dat
     """``docs`` less the documents that are not the first of their group."""
     gone = materialize(near_groups(docs, config).where("NOT kept")
                        .select(F.coalesce("doc_id", F.lit(LAST)).alias("_key")).distinct(), "minhash_gone")
-    own = without(docs, ["_key"])
-    key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST))
-    return own.withColumn("_key", key).join(gone, "_key", "left_anti").drop("_key")
+    key = F.coalesce(F.col("_row.doc_id").cast("bigint"), F.lit(LAST))
+    return whole(docs).withColumn("_key", key).join(gone, "_key", "left_anti").select("_row.*")
