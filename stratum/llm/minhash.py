@@ -187,7 +187,9 @@ def set_payload(docs: DataFrame, wanted: DataFrame, config: MinHashConfig) -> Da
             yield pa.RecordBatch.from_arrays(
                 [batch.column("node").take(pa.array(own, pa.int64())),
                  pa.array([sets[i].tobytes() for i in own], pa.binary())], names=["node", "members"])
-    texts = _keyed(docs).select("key", "text").join(wanted, "key").select("node", "digest", "text")
+    # the wanted classes are a share of all: a shuffled join at every size
+    texts = (_keyed(docs).select("key", "text").join(wanted.hint("merge"), "key")
+             .select("node", "digest", "text"))
     return arrow_map(texts, run, "node bigint, members binary").dropDuplicates(["node"])
 
 
@@ -273,7 +275,6 @@ def link_classes(docs: DataFrame, classes: DataFrame, config: MinHashConfig) ->
     buckets = materialize(buckets.join(hubs, "band"), "minhash_hubs")
 
     wanted = buckets.select("node").distinct().join(classes.select("node", "key", "digest"), "node")
-    # written first: if it is small, Spark sees so and the texts needn't move
     wanted = materialize(wanted, "minhash_wanted")
     payload = materialize(set_payload(docs, wanted, config), "minhash_sets")
 
