@@ -198,18 +198,22 @@ def compare(queries: DataFrame, members: DataFrame, payload: DataFrame, config:
     (cluster, node, comp) of the same cluster.  Units of work hold ``block``
     queries and ``block`` members or so; a query gives one link for each
     component it meets in a unit."""
-    n_queries = queries.groupBy("cluster").agg(F.ceil(F.count("*") / config.block).cast("int").alias("q_blocks"))
-    n_members = members.groupBy("cluster").agg(F.ceil(F.count("*") / config.block).cast("int").alias("m_blocks"))
-    sizes = n_queries.join(n_members, "cluster")
-    place = F.xxhash64("node")
-    asked = queries.join(sizes, "cluster").select(
-        "cluster", F.pmod(place, F.col("q_blocks")).cast("int").alias("q"),
-        F.explode(F.sequence(F.lit(0), F.col("m_blocks") - 1)).alias("m"),
-        F.lit(0).alias("role"), "node", F.lit(None).cast("bigint").alias("comp"))
-    given = members.join(sizes, "cluster").select(
-        "cluster", F.explode(F.sequence(F.lit(0), F.col("q_blocks") - 1)).alias("q"),
-        F.pmod(place, F.col("m_blocks")).cast("int").alias("m"), F.lit(1).alias("role"), "node", "comp")
-    units = asked.union(given).join(payload, "node").withColumn("unit", F.xxhash64("cluster", "q", "m"))
+    both = (queries.select("cluster", "node", F.lit(0).alias("role"), F.lit(None).cast("bigint").alias("comp"))
+            .union(members.select("cluster", "node", F.lit(1).alias("role"), "comp")))
+    salted, sizes = by_group(both, ["cluster"], ["node"], {
+        "q_blocks": (F.count_if, F.col("role") == 0, lambda c: F.ceil(F.sum(c) / config.block).cast("int")),
+        "m_blocks": (F.count_if, F.col("role") == 1, lambda c: F.ceil(F.sum(c) / config.block).cast("int"))})
+    # its own block, and each block of the other role
+    own = F.pmod(F.xxhash64("node"), F.when(F.col("role") == 0, F.col("q_blocks")).otherwise(F.col("m_blocks"))) \
+        .cast("int")
+    other = F.explode(F.sequence(
+        F.lit(0), F.when(F.col("role") == 0, F.col("m_blocks")).otherwise(F.col("q_blocks")) - 1))
+    placed = (salted.join(sizes.where("q_blocks > 0 AND m_blocks > 0"), ["cluster", "_salt"])
+              .select("cluster", "role", "node", "comp", own.alias("_own"), other.alias("_other")))
+    units = (placed.join(payload, "node")
+             .withColumn("q", F.when(F.col("role") == 0, F.col("_own")).otherwise(F.col("_other")))
+             .withColumn("m", F.when(F.col("role") == 0, F.col("_other")).otherwise(F.col("_own")))
+             .withColumn("unit", F.xxhash64("cluster", "q", "m")))
     parts = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = (units.repartition(parts, "unit").sortWithinPartitions("cluster", "q", "m", "role")
              .select("cluster", "q", "m", "role", "node", "comp", "members"))
