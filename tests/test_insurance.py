@@ -55,7 +55,8 @@ def test_silver_claims(spark):
     assert quar["P3"] == "amount_negative; bad_incident_date; bad_auto_year"
     assert claim["C1"]["incident_date"] == dt.date(1994, 1, 15) and claim["C1"]["incident_date_is_synthetic"]
     assert quar["C2"] == "bad_policyholder_age"
-    assert claim["C3"]["incident_date"] is None and claim["C3"]["fraud"] is None
+    # every failed cast is a reason, also one of several raw columns
+    assert quar["C3"] == "bad_incident_date"
     n_in = sum(f.count() for k, f in frames.items() if k in ("raw_insurance_claims", "raw_carclaims"))
     assert t["claim"].count() + t["claim_quarantine"].count() + 1 == n_in   # one duplicate
     hist = t["claim_status_history"].groupBy("claim_id").count().collect()
@@ -70,7 +71,8 @@ def test_silver_dims_and_severity(spark):
     assert cur.count() == cur.select("policy_number", "source_system").distinct().count()
     assert s["claim_severity"].count() == 3
     bad = s["claim_severity"].where("policy_id = '3'").first()
-    assert bad["claim_amount"] is None
+    assert bad["claim_amount"] is None and bad["bad_amounts"] == "bad_claim_amount"
+    assert {r["policy_id"] for r in s["claim_severity"].where("bad_amounts IS NOT NULL").collect()} == {"3", "9"}
     assert s["dim_vehicle"].where("is_current").count() == s["dim_vehicle"].select("vehicle_key").distinct().count()
 
 
@@ -84,4 +86,13 @@ def test_run_silver_writes_all(spark):
 
     run_silver(_frames(spark).__getitem__, write)
     assert set(written) == {"claim", "claim_quarantine", "claim_status_history", "claim_severity",
-                            "dim_policyholder", "dim_vehicle"}
+                            "claim_severity_quarantine", "dim_policyholder", "dim_vehicle"}
+    assert written["claim_severity"] + written["claim_severity_quarantine"] == 3
+
+
+def test_rows_with_different_bad_text_stay_apart(spark):
+    frames = _frames(spark)
+    one = frames["raw_insurance_claims"].where("policy_number = 'P2'")
+    both = one.unionByName(one.withColumn("total_claim_amount", F.lit("xyz")))
+    t = claim_tables(silver({**frames, "raw_insurance_claims": both}.__getitem__)["claim_enriched"])
+    assert t["claim_quarantine"].where("policy_number = 'P2'").count() == 2
