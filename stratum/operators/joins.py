@@ -10,9 +10,11 @@ skew-safe carry-forward; interval joins equi-join on time buckets.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from stratum.functions.keys import portable_seed
 from stratum.functions.times import epoch_micros, micros_between
@@ -37,30 +39,32 @@ def small_side(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataF
     return F.broadcast(df) if size <= max_bytes else df
 
 
+NULL_KEY_PARTS = 1024       # parts that the rows with a NULL key are dealt to
+
+
 def left_join_nonnull(fact: DataFrame, dim: DataFrame, keys: Sequence[str],
                       max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """Left join where fact rows with a NULL key skip the join.
+    """Left join that deals fact rows with a NULL key over many tasks.
 
-    NULL keys can never match, yet in a shuffle join they all hash to the
-    same reducer; a fact whose key is mostly NULL would put most rows in
-    one task.  They are split off and unioned back with NULL dimension
-    columns (a narrow union, no extra shuffle)."""
+    NULL keys never match, yet in a shuffle join they all hash to one
+    reducer.  A salt joins the keys: for NULL keys a hash of the row, otherwise
+    0, which is the salt of every dimension row."""
     keys = list(keys)
-    has_key = F.lit(True)
-    for k in keys:
-        has_key = has_key & F.col(k).isNotNull()
-    matched = fact.where(has_key).join(small_side(dim, max_bytes), keys, "left")
-    dim_cols = [f for f in dim.schema.fields if f.name not in keys]
-    unmatched = fact.where(~has_key).select(
-        *fact.columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in dim_cols])
-    return matched.unionByName(unmatched)
+    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    plain = [f.name for f in fact.schema.fields if not isinstance(f.dataType, MapType)]
+    salt = F.when(no_key, F.pmod(F.xxhash64(*plain), F.lit(NULL_KEY_PARTS)) + 1).otherwise(F.lit(0))
+    # 0, in a form that the optimizer doesn't fold into a filter beside the join
+    zero = F.pmod(F.xxhash64(*keys), F.lit(1))
+    return (fact.withColumn("__salt", salt.cast("bigint"))
+            .join(small_side(dim.withColumn("__salt", zero), max_bytes), [*keys, "__salt"], "left")
+            .drop("__salt"))
 
 
 def star_join(fact: DataFrame, dims: Sequence[tuple[DataFrame, Sequence[str]]],
               max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Left-join a fact to each dimension on its key columns: dimensions
-    broadcast only when their size is checked small, NULL fact keys kept out
-    of the shuffle."""
+    broadcast only when their size is checked small, NULL fact keys dealt
+    over many tasks."""
     out = fact
     for dim, keys in dims:
         out = left_join_nonnull(out, dim, keys, max_bytes)
@@ -77,6 +81,7 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: s
     Union both sides on (key, ts, side) with right sorting first on ties,
     carry right's columns forward with the skew-safe ``fill_forward``, keep
     the left rows.  One shuffle on (key, time chunk); no pair explosion.
+    A left row with a NULL key matches nothing, as in any equi-join.
     Optional ``tolerance_seconds`` blanks matches older than the tolerance.
     """
     keys = list(keys)
@@ -97,9 +102,9 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: s
     u = left.select(*lsel).unionByName(right.select(*rsel))
     filled = fill_forward(u, keys, ["__ts", "__side", "__tie"], time_chunk("__ts", chunk_unit), ["__r"])
     res = filled.where(F.col("__side") == 1)
-    fresh = F.lit(True)
+    fresh = reduce(lambda a, b: a & b, [F.col(f"__l.{k}").isNotNull() for k in keys])
     if tolerance_seconds is not None:
-        fresh = micros_between(F.col(f"__r.{right_ts}"), F.col("__ts")) <= F.lit(tolerance_seconds * 1_000_000)
+        fresh = fresh & (micros_between(F.col(f"__r.{right_ts}"), F.col("__ts")) <= F.lit(tolerance_seconds * 1_000_000))
     return res.select(*[F.col(f"__l.{c}").alias(c) for c in l_cols],
                       *[F.when(fresh, F.col(f"__r.{c}")).alias(f"{prefix}{c}") for c in carry])
 
@@ -198,9 +203,7 @@ def bridge(left: DataFrame, left_key: str, right: DataFrame, right_key: str,
 
 
 def attach_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Append the columns of a one-row aggregate to every row: a broadcast
-    hash join on a constant key (size bound: exactly one row), so no task
-    ever sees more than its own partition."""
-    return (df.withColumn("__one", F.lit(1))
-              .join(F.broadcast(one_row.withColumn("__one", F.lit(1))), "__one")
-              .drop("__one"))
+    """Append the columns of a one-row aggregate to every row.  Spark has no
+    key to join on, so this is a nested-loop join with a broadcast of exactly
+    one row: a row goes in, a row comes out."""
+    return df.crossJoin(F.broadcast(one_row))

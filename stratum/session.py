@@ -85,12 +85,18 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only if unset."""
+    """The shared checkpoint folder that ``spark.checkpoint.dir`` names.  Only a
+    local session may go without: it gets a temporary folder.  On a cluster a
+    machine-local folder would be invisible to the other machines, so an unset
+    folder is an error there."""
     current = spark.conf.get(_CHECKPOINT_KEY, None)
     if not current:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         current = current.get() if current.isDefined() else None
     if not current:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder that all machines share (master {master})")
         current = tempfile.mkdtemp(prefix="stratum-ckpt-")
         spark.conf.set(_CHECKPOINT_KEY, current)
     spark.sparkContext.setCheckpointDir(current)
@@ -104,3 +110,12 @@ def scratch_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     if unique:
         segs.append(uuid.uuid4().hex[:12])
     return "/".join([base, "stratum"] + segs)
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Delete everything that this library has written under the shared folder
+    (intermediates, streaming checkpoints).  Call it when no frame that a query
+    returned is still to be read."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark)}/stratum")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(path, True))

@@ -13,7 +13,7 @@ def _frame(spark):
     rnd = random.Random(3)
     rows = []
     for i in range(3000):
-        key = "hot" if i % 3 else f"k{rnd.randint(0, 40)}"
+        key = "hot" if i % 3 else rnd.choice([None, f"k{rnd.randint(0, 40)}"])
         rows.append((key, i, rnd.randint(0, 500), rnd.choice([None, None, rnd.randint(0, 9)])))
     return spark.createDataFrame(rows, "key string, ts long, v long, x long")
 

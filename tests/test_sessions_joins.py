@@ -81,3 +81,15 @@ def test_gaps_are_wall_clock_under_a_dst_session_zone(spark):
         assert {r["id"]: r["trip_start"] for r in s.collect()} == {1: rows[0][2], 2: rows[0][2]}
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_null_keys_match_nothing_in_asof_and_point_in_time(spark):
+    left = spark.createDataFrame([(None, 5), ("a", 5)], "k string, s long") \
+        .selectExpr("k", "timestamp_seconds(s) AS lts")
+    right = spark.createDataFrame([(None, 1, "n"), ("a", 1, "v")], "k string, s long, x string") \
+        .selectExpr("k", "timestamp_seconds(s) AS rts", "x")
+    got = {r.k: r.r_x for r in asof_join(left, right, ["k"], "lts", "rts", ["x"]).collect()}
+    assert got == {None: None, "a": "v"}
+    dim = right.selectExpr("k", "rts AS effective_from", "CAST(NULL AS timestamp) AS effective_to", "x")
+    got = {r.k: r.x for r in point_in_time(left, dim, ["k"], "lts", ["x"]).collect()}
+    assert got == {None: None, "a": "v"}
