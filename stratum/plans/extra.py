@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.functions.geo import grid_cell
+from stratum.functions.keys import portable_seed
 from stratum.functions.money import AMOUNT, to_amount
 from stratum.operators.cdc import scd2
 from stratum.operators.conform import union_conformed
-from stratum.operators.joins import asof_join, bridge, point_in_time
+from stratum.operators.joins import asof_join, bridge, point_in_time, star_join
 from stratum.operators.ordered import time_chunk
 from stratum.operators.quality import (apply_rules, observe_expectations, resolve_targets,
                                        validate_counts)
@@ -27,6 +28,8 @@ CRASH_WORDS = ("crash", "collision", "accident")
 FIRE_WORDS = ("fire", "smoke", "burn")
 INJURY_WORDS = ("injur", "hurt", "hospital")
 PRIORITY_TOP = 10
+# Binding choice: the days of telemetry that moments of loss are drawn from.
+LOSS_EPOCH, LOSS_SECONDS = "2024-01-01 00:00:00", 30 * 86_400
 # Warn-only expectations observed per micro-batch on the telemetry stream.
 TELEMETRY_EXPECTATIONS = {"speed_plausible": "speed BETWEEN 0 AND 250", "payload_parsed": "k IS NOT NULL"}
 
@@ -51,26 +54,61 @@ def fact_complaint(spark, sf_dir):
                     _any_word(low, INJURY_WORDS).alias("injury"))
 
 
+def _claim_frame(spark, sf_dir):
+    """Every claim with its policyholder and the moment of loss.  Source A
+    names the policyholder, source B the order, whose holder it is.  Claim
+    dates (1995-2001) precede the telemetry (30 days from ``LOSS_EPOCH``), so
+    the moment of loss is drawn from those days by the claim's seed."""
+    c = claims.claim_valid(spark, sf_dir).select(
+        "claim_id", "source_system", "policy_number", "incident_date", "total_claim_amount", "fraud")
+    holders = t(spark, sf_dir, "orders").select(
+        F.lit("lineitem").alias("source_system"), F.col("o_orderkey").cast("string").alias("policy_number"),
+        F.col("o_custkey").alias("_holder"))
+    named = F.when(F.col("source_system") == "orders", F.col("policy_number").try_cast("bigint"))
+    drawn = F.pmod(portable_seed("claim_id"), F.lit(LOSS_SECONDS))
+    return c.join(holders, ["source_system", "policy_number"], "left").select(
+        "claim_id", "source_system", F.coalesce(named, "_holder").alias("policy_id"),
+        F.col("incident_date").cast("timestamp_ntz").alias("incident_ts"),
+        (F.lit(LOSS_EPOCH).cast("timestamp_ntz") + F.make_dt_interval(secs=drawn)).alias("loss_ts"),
+        F.col("total_claim_amount").cast("double").alias("claim_amount"), F.col("fraud").cast("int").alias("is_fraud"))
+
+
 def mart_claim_360(spark, sf_dir):
-    """JN2 + JN3 + JN7 + AGG14: each source-A claim with its policyholder
+    """JN2 + JN3 + JN4 + JN5 + JN7 + AGG14: each claim with its policyholder
     (segment, region), the policy tier valid at the incident, the bridged
-    vehicle and that vehicle's driver risk score."""
-    star = gold.star_claims(spark, sf_dir).where(F.col("source_system") == "orders")
-    c = claims.claim_valid(spark, sf_dir).where(F.col("source_system") == "orders").select(
-        "claim_id", F.col("policy_number").try_cast("bigint").alias("policy_id"),
-        F.col("incident_date").cast("timestamp_ntz").alias("incident_ts"))
-    pit = point_in_time(c, policy.scd2_policyholder(spark, sf_dir), ["policy_id"], "incident_ts",
-                        ["tier"], tie="seq_tie")
-    br = bridge(t(spark, sf_dir, "customer"), "c_custkey",
-                t(spark, sf_dir, "events").select(F.col("user_id").alias("vehicle_id")), "vehicle_id") \
+    vehicle and its driver risk, the last telemetry reading at or before the
+    loss, and the conditions of that reading's grid cell.  One claim frame is
+    carried through all lookups."""
+    frame = point_in_time(_claim_frame(spark, sf_dir), policy.scd2_policyholder(spark, sf_dir), ["policy_id"],
+                          "incident_ts", ["tier"], tie="seq_tie").withColumnRenamed("tier", "tier_at_incident")
+    holder = t(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("policy_id"), F.col("c_mktsegment").alias("segment"), "c_nationkey")
+    region = gold.geography(spark, sf_dir).select(F.col("n_nationkey").alias("c_nationkey"), "region")
+    vehicle = bridge(t(spark, sf_dir, "customer"), "c_custkey",
+                     t(spark, sf_dir, "events").select(F.col("user_id").alias("vehicle_id")), "vehicle_id") \
         .select(F.col("c_custkey").alias("policy_id"), "vehicle_id")
     risk = telematics.driver_risk(spark, sf_dir).select("vehicle_id", "risk_score")
-    j = (star.select("claim_id", "segment", "region", "claim_amount", "is_fraud")
-             .join(pit.select("claim_id", "policy_id", F.col("tier").alias("tier_at_incident")), "claim_id")
-             .join(br, "policy_id", "left")
-             .join(risk, "vehicle_id", "left"))
-    return j.select("claim_id", "policy_id", "segment", "region", "tier_at_incident", "vehicle_id",
-                    "risk_score", "claim_amount", "is_fraud")
+    frame = star_join(frame, [(holder, ["policy_id"]), (region, ["c_nationkey"]), (vehicle, ["policy_id"]),
+                              (risk, ["vehicle_id"])]).drop("version_from", "c_nationkey")
+    readings = telematics.telemetry(spark, sf_dir).select(
+        "vehicle_id", "ts", "event_id", "speed", grid_cell("lat", "lon", telematics.CELL_DEG).alias("cell"))
+    frame = asof_join(frame, readings, ["vehicle_id"], "loss_ts", "ts", ["event_id", "speed", "cell"],
+                      right_tie="event_id", prefix="at_loss_").withColumnRenamed("at_loss_cell", "cell")
+    frame = asof_join(frame, _cell_conditions(spark, sf_dir), ["cell"], "loss_ts", "obs_ts",
+                      ["avg_speed", "n_events"], prefix="cell_")
+    return frame.select(
+        "claim_id", "source_system", "policy_id", "segment", "region", "tier_at_incident", "vehicle_id", "risk_score",
+        "loss_ts", "at_loss_ts", "at_loss_event_id", "at_loss_speed", "cell", "cell_avg_speed", "cell_n_events",
+        "claim_amount", "is_fraud")
+
+
+def _cell_conditions(spark, sf_dir):
+    """Hourly observations of a grid cell, published at the hour's end."""
+    tel = telematics.telemetry(spark, sf_dir).withColumn("cell", grid_cell("lat", "lon", telematics.CELL_DEG))
+    return (tel.groupBy("cell", F.date_trunc("hour", "ts").alias("hour"))
+            .agg(F.round(F.avg("speed"), 4).alias("avg_speed"), F.count(F.lit(1)).alias("n_events"))
+            .select("cell", (F.col("hour") + F.expr("INTERVAL 1 HOUR")).cast("timestamp_ntz").alias("obs_ts"),
+                    "avg_speed", "n_events"))
 
 
 def claim_status_scd2(spark, sf_dir):
@@ -86,10 +124,7 @@ def loss_conditions(spark, sf_dir):
     published (hour end) at or before the loss; key = grid cell, a few hot
     keys, handled by the chunked as-of join."""
     tel = telematics.telemetry(spark, sf_dir).withColumn("cell", grid_cell("lat", "lon", telematics.CELL_DEG))
-    obs = (tel.groupBy("cell", F.date_trunc("hour", "ts").alias("hour"))
-              .agg(F.round(F.avg("speed"), 4).alias("avg_speed"), F.count(F.lit(1)).alias("n_events"))
-              .select("cell", (F.col("hour") + F.expr("INTERVAL 1 HOUR")).cast("timestamp_ntz").alias("obs_ts"),
-                      "avg_speed", "n_events"))
+    obs = _cell_conditions(spark, sf_dir)
     losses = tel.where(F.col("event_type") == "error").select(
         F.col("event_id").alias("loss_id"), "cell", F.col("ts").alias("loss_ts"))
     return asof_join(losses, obs, ["cell"], "loss_ts", "obs_ts", ["avg_speed", "n_events"],

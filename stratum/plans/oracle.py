@@ -573,19 +573,41 @@ SQL.update({
                (contains(lower(narrative), 'injur') OR contains(lower(narrative), 'hurt')
                 OR contains(lower(narrative), 'hospital')) AS injury
         FROM d""",
-    "mart_claim_360": f"""WITH {CLAIMS_CTE}, {_STAR_CTE}, {_CH}, {_TEL}, {_RISK_CTE}, {_BRIDGE_CTE},
-        scd AS (SELECT policy_id, tier, seq_ts AS effective_from,
-                       lead(seq_ts) OVER (PARTITION BY policy_id ORDER BY seq_ts, seq_tie) AS effective_to FROM ch),
-        cl AS (SELECT claim_id, TRY_CAST(policy_number AS BIGINT) AS policy_id,
-                      CAST(incident_date AS TIMESTAMP) AS incident_ts FROM claim WHERE source_system = 'orders'),
-        pit AS (SELECT cl.claim_id, cl.policy_id, s.tier AS tier_at_incident FROM cl LEFT JOIN scd s
-                ON s.policy_id = cl.policy_id AND s.effective_from <= cl.incident_ts
-                AND (s.effective_to IS NULL OR cl.incident_ts < s.effective_to))
-        SELECT st.claim_id, p.policy_id, st.segment, st.region, p.tier_at_incident, b.vehicle_id,
-               rk.risk_score, st.claim_amount, st.is_fraud
-        FROM star st JOIN pit p USING (claim_id) LEFT JOIN bmap b ON b.policy_id = p.policy_id
-             LEFT JOIN risk rk ON rk.vehicle_id = b.vehicle_id
-        WHERE st.source_system = 'orders'""",
+    "mart_claim_360": f"""WITH {CLAIMS_CTE}, {_CH}, {_TEL}, {_RISK_CTE}, {_BRIDGE_CTE},
+        scd0 AS (SELECT policy_id, tier, seq_ts AS effective_from,
+                        lead(seq_ts) OVER (PARTITION BY policy_id ORDER BY seq_ts, seq_tie) AS effective_to FROM ch),
+        scd AS MATERIALIZED (SELECT * FROM scd0 WHERE effective_to IS NULL OR effective_to > effective_from),
+        cl AS MATERIALIZED (
+          SELECT claim_id, c.source_system,
+                 CASE WHEN c.source_system = 'orders' THEN TRY_CAST(policy_number AS BIGINT)
+                      ELSE o_custkey END AS policy_id,
+                 CAST(incident_date AS TIMESTAMP) AS incident_ts,
+                 TIMESTAMP '2024-01-01 00:00:00'
+                   + to_seconds({_RANK.format(c='claim_id')} % 2592000) AS loss_ts,
+                 CAST(total_claim_amount AS DOUBLE) AS claim_amount, CAST(fraud AS INTEGER) AS is_fraud
+          FROM claim c LEFT JOIN orders o ON c.source_system = 'lineitem'
+               AND CAST(o_orderkey AS VARCHAR) = c.policy_number),
+        pit AS MATERIALIZED (
+          SELECT cl.*, CASE WHEN s.effective_to IS NULL OR cl.incident_ts < s.effective_to
+                            THEN s.tier END AS tier_at_incident
+          FROM cl ASOF LEFT JOIN scd s ON s.policy_id = cl.policy_id AND cl.incident_ts >= s.effective_from),
+        v AS MATERIALIZED (
+          SELECT pit.*, cu.c_mktsegment AS segment, r_name AS region, b.vehicle_id, rk.risk_score
+          FROM pit LEFT JOIN customer cu ON cu.c_custkey = pit.policy_id
+               LEFT JOIN nation ON n_nationkey = cu.c_nationkey LEFT JOIN region ON r_regionkey = n_regionkey
+               LEFT JOIN bmap b ON b.policy_id = pit.policy_id LEFT JOIN risk rk ON rk.vehicle_id = b.vehicle_id),
+        tc AS MATERIALIZED (SELECT *, {_CELL} AS cell FROM tel),
+        rd AS (SELECT vehicle_id, ts, max(event_id) AS event_id, arg_max(speed, event_id) AS speed,
+                      arg_max(cell, event_id) AS cell FROM tc GROUP BY vehicle_id, ts),
+        w AS MATERIALIZED (
+          SELECT v.*, rd.ts AS at_loss_ts, rd.event_id AS at_loss_event_id, rd.speed AS at_loss_speed, rd.cell
+          FROM v ASOF LEFT JOIN rd ON rd.vehicle_id = v.vehicle_id AND v.loss_ts >= rd.ts),
+        obs AS (SELECT cell, date_trunc('hour', ts) + INTERVAL 1 HOUR AS obs_ts, round(avg(speed), 4) AS avg_speed,
+                       count(*) AS n_events FROM tc GROUP BY cell, date_trunc('hour', ts))
+        SELECT claim_id, source_system, policy_id, segment, region, tier_at_incident, vehicle_id, risk_score,
+               loss_ts, at_loss_ts, at_loss_event_id, at_loss_speed, w.cell, obs.avg_speed AS cell_avg_speed,
+               obs.n_events AS cell_n_events, claim_amount, is_fraud
+        FROM w ASOF LEFT JOIN obs ON obs.cell = w.cell AND w.loss_ts >= obs.obs_ts""",
     "claim_status_scd2": f"""WITH {CLAIMS_CTE},
         h AS (SELECT claim_id, status, CAST(status_date AS TIMESTAMP) AS status_ts, seq FROM history)
         SELECT claim_id, status, status_ts AS effective_from, lead(status_ts) OVER w AS effective_to,
