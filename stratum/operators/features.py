@@ -6,11 +6,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.functions.keys import portable_seed
+from stratum.operators.joins import left_join_nonnull
 from stratum.session import ensure_checkpoint_dir
+from stratum.sinks import materialize
 
 # Columns derived from the label (the synthetic lifecycle is decided from
 # the fraud flag), so they must never be features.
@@ -19,18 +21,28 @@ LEAKAGE_COLUMNS = ("claim_status", "settlement_date", "cycle_time_days")
 
 def encode_categories(df: DataFrame, cols: Sequence[str], suffix: str = "_code") -> DataFrame:
     """Integer codes per category: 0 = NULL, else 1 + alphabetical index of
-    the value.  ``StringIndexer`` learns every column's vocabulary in ONE
-    pass (vocabulary-sized result: bounded by the category cardinality) and
-    applies it map-side, without joins."""
-    from pyspark.ml.feature import StringIndexer
-
-    tmp = [f"__idx_{c}" for c in cols]
-    model = StringIndexer(inputCols=list(cols), outputCols=tmp, stringOrderType="alphabetAsc",
-                          handleInvalid="keep").fit(df)
-    out = model.transform(df)
-    return out.select(*[F.col(c) for c in df.columns],
-                      *[F.when(F.col(c).isNull(), F.lit(0)).otherwise(F.col(t).cast("int") + 1)
-                         .alias(f"{c}{suffix}") for c, t in zip(cols, tmp)])
+    the value.  The distinct (column, value) pairs are ranked by range
+    partition: each partition numbers its own values and starts after those of
+    the partitions before it, so neither the driver nor one task holds a
+    vocabulary.  ``df`` is read twice: give it materialised."""
+    pairs = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("value")) for c in cols])).alias("p"))
+    values = pairs.select("p.*").where("value IS NOT NULL").distinct()
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    values = materialize(values.repartitionByRange(parts, "col", "value")
+                         .withColumn("part", F.spark_partition_id()), "vocabulary")
+    inside = Window.partitionBy("col", "part").orderBy("value")
+    sizes = values.groupBy("col", "part").agg(F.count("*").alias("n"))       # partitions x columns
+    before = Window.partitionBy("col").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("col", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    codes = (values.withColumn("rank", F.row_number().over(inside)).join(sizes, ["col", "part"])
+             .select("col", "value", (F.col("first") + F.col("rank")).cast("int").alias("code")))
+    out = df
+    for c in cols:
+        own = codes.where(F.col("col") == c).select(F.col("value").alias(c), F.col("code").alias(f"{c}{suffix}"))
+        out = left_join_nonnull(out, own, [c]).withColumn(
+            f"{c}{suffix}", F.coalesce(f"{c}{suffix}", F.lit(0)))
+    return out
 
 
 def hash_split(id_col: str, train_share: int = 8, buckets: int = 10):

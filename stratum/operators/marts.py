@@ -9,10 +9,12 @@ never a window over the raw facts.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stratum.operators.joins import attach_one_row
 
 TERMINAL = ("denied", "closed", "settled")
 
@@ -21,19 +23,33 @@ def _ratio(num: Column, den: Column, digits: int = 6) -> Column:
     return F.round(num.cast("double") / F.when(den != 0, den.cast("double")), digits)
 
 
-def claims_kpi(claims: DataFrame, segments: Sequence[str], date_col: str = "incident_date",
-               period: str = "month", premium: str | None = None, as_of: str | None = None,
-               mix_within: Sequence[str] | None = None, aged_days: int = 90) -> DataFrame:
+# Upper bounds in days of the aging buckets of open claims.
+AGING = (30, 90, 365)
+
+
+def _aging(open_age: Column) -> list[Column]:
+    names = [f"open_{lo + 1 if lo else 0}_{hi}d" for lo, hi in zip((0, *AGING), AGING)]
+    within = [(open_age <= hi) & ((open_age > lo) if lo else F.lit(True)) for lo, hi in zip((0, *AGING), AGING)]
+    return [F.count_if(w).alias(n) for n, w in zip(names, within)] \
+        + [F.count_if(open_age > AGING[-1]).alias(f"open_over_{AGING[-1]}d")]
+
+
+def claims_kpi(claims: DataFrame, segments: Sequence[str], exposure: DataFrame, as_of: str,
+               date_col: str = "incident_date", period: str = "month",
+               mix_within: Sequence[str] | None = None) -> DataFrame:
     """KPI mart by segment x period (AGG4a-j).
 
-    loss ratio = incurred / premium (NULL without a premium column);
+    ``exposure``: premium and exposures by the segments and ``period``.
+    loss ratio = incurred / premium; frequency = claims / exposures;
     severity = incurred / claims with an amount (NULL amounts are not 0);
-    claim mix = share of the row's claims within ``mix_within`` x period.
+    claim mix = share of the row's claims within ``mix_within`` x period;
+    aging = open claims by days since they were reported, at ``as_of``.
     """
     c = F.col
     amt = c("total_claim_amount")
-    terminal = c("claim_status").isin(*TERMINAL)
-    aggs = [
+    open_age = F.when(c("settlement_date").isNull(), F.datediff(F.lit(as_of).cast("date"), c("fnol_date")))
+    aging = _aging(open_age)
+    g = claims.groupBy(*segments, F.trunc(date_col, period).alias("period")).agg(
         F.count(F.lit(1)).alias("n_claims"),
         F.count(amt).alias("n_with_amount"),
         F.sum(amt).alias("__incurred"),
@@ -44,21 +60,19 @@ def claims_kpi(claims: DataFrame, segments: Sequence[str], date_col: str = "inci
         F.count_if(c("settlement_date").isNotNull()).alias("closed_claims"),
         F.avg("cycle_time_days").alias("__cycle"),
         F.count_if(c("claim_status") == "denied").alias("__denied"),
-        F.count_if(terminal).alias("__terminal"),
-        (F.sum(c(premium)) if premium else F.lit(None).cast("double")).alias("__premium"),
-    ]
-    if as_of:
-        open_age = F.datediff(F.lit(as_of).cast("date"), c("fnol_date"))
-        aggs.append(F.count_if(c("settlement_date").isNull() & (open_age > aged_days))
-                    .alias(f"open_over_{aged_days}d"))
-    g = claims.groupBy(*segments, F.trunc(date_col, period).alias("period")).agg(*aggs)
+        F.count_if(c("claim_status").isin(*TERMINAL)).alias("__terminal"), *aging)
+    keys = [*segments, "period"]
+    e = exposure.select(*[c(k).alias(f"__{k}") for k in keys], "premium", "exposures")
+    # both sides are aggregates; a segment may be NULL
+    same = reduce(lambda a, b: a & b, [c(k).eqNullSafe(c(f"__{k}")) for k in keys])
     mix_keys = list(mix_within if mix_within is not None else segments[:1])
     mix = c("n_claims") / F.sum("n_claims").over(Window.partitionBy(*mix_keys, "period"))
-    extra = [f"open_over_{aged_days}d"] if as_of else []
-    return g.select(
-        *segments, "period", "n_claims", "n_with_amount",
+    return g.join(e, same, "left").select(
+        *keys, "n_claims", "n_with_amount",
         c("__incurred").cast("double").alias("incurred"),
-        _ratio(c("__incurred"), c("__premium")).alias("loss_ratio"),
+        c("premium").cast("double").alias("premium"), "exposures",
+        _ratio(c("__incurred"), c("premium")).alias("loss_ratio"),
+        _ratio(c("n_claims"), c("exposures")).alias("claim_frequency"),
         _ratio(c("__incurred"), c("n_with_amount")).alias("severity"),
         F.round(c("__fraud"), 6).alias("fraud_rate"),
         F.round(mix, 6).alias("claim_mix"),
@@ -66,7 +80,7 @@ def claims_kpi(claims: DataFrame, segments: Sequence[str], date_col: str = "inci
         _ratio(c("__prop"), c("__incurred")).alias("property_share"),
         _ratio(c("__veh"), c("__incurred")).alias("vehicle_share"),
         F.round(c("__cycle"), 6).alias("avg_cycle_days"),
-        "open_claims", "closed_claims", *extra,
+        "open_claims", "closed_claims", *[n for n in g.columns if n.startswith("open_") and n != "open_claims"],
         _ratio(c("__denied"), c("__terminal")).alias("denial_rate"))
 
 
@@ -82,30 +96,26 @@ def kpi_rollup(claims: DataFrame, levels: Sequence[Column | str]) -> DataFrame:
 def fraud_signals(df: DataFrame, dims: Sequence[str], label: str = "is_fraud") -> DataFrame:
     """Fraud rate and lift per value of each dimension (GROUPING SETS),
     in long form: (dimension, value, n_claims, n_fraud, fraud_rate, lift).
-    One Expand + one aggregate; the overall rate comes from the aggregated
-    rows themselves."""
+    One Expand + one aggregate, whose empty grouping set is the overall rate."""
     dims = list(dims)
-    g = df.groupingSets([[d] for d in dims], *dims).agg(
+    every = (1 << len(dims)) - 1
+    g = df.groupingSets([[d] for d in dims] + [[]], *dims).agg(
         F.grouping_id().alias("__gid"),
         F.count(F.lit(1)).alias("n_claims"),
         F.sum(F.col(label).cast("long")).alias("n_fraud"))
-    n = len(dims)
-    dim_name = F.lit(None).cast("string")
-    value = F.lit(None).cast("string")
-    for i, d in enumerate(dims):
-        gid_i = (1 << n) - 1 - (1 << (n - 1 - i))   # only dimension i grouped
-        dim_name = F.when(F.col("__gid") == gid_i, F.lit(d)).otherwise(dim_name)
-        value = F.when(F.col("__gid") == gid_i, F.col(d).cast("string")).otherwise(value)
-    # Every row is counted once inside each grouping set, so the overall
-    # rate is the ratio of sums within any one dimension: a window over the
-    # aggregated rows instead of a second pass over the fact.
-    w = Window.partitionBy("dimension")
-    out = g.select(dim_name.alias("dimension"), value.alias("value"), "n_claims", "n_fraud")
-    base = F.sum("n_fraud").over(w).cast("double") / F.sum("n_claims").over(w).cast("double")
+    # a set that groups by dimension i alone has every bit but i's
+    own = [F.col("__gid") == every - (1 << (len(dims) - 1 - i)) for i in range(len(dims))]
+    out = g.where(F.col("__gid") != every).select(
+        F.coalesce(*[F.when(o, F.lit(d)) for o, d in zip(own, dims)]).alias("dimension"),
+        F.coalesce(*[F.when(o, F.col(d).cast("string")) for o, d in zip(own, dims)]).alias("value"),
+        "n_claims", "n_fraud")
+    # the empty set is one row: all claims
+    total = g.where(F.col("__gid") == every).select(
+        (F.col("n_fraud").cast("double") / F.col("n_claims")).alias("__base"))
     rate = F.col("n_fraud") / F.col("n_claims")
-    return out.select("dimension", "value", "n_claims", "n_fraud",
-                      F.round(rate, 6).alias("fraud_rate"),
-                      F.round(rate / F.when(base > 0, base), 6).alias("lift"))
+    return attach_one_row(out, total).select(
+        "dimension", "value", "n_claims", "n_fraud", F.round(rate, 6).alias("fraud_rate"),
+        F.round(rate / F.when(F.col("__base") > 0, F.col("__base")), 6).alias("lift"))
 
 
 def lifecycle_snapshot(history: DataFrame, key: str = "claim_id") -> DataFrame:

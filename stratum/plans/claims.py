@@ -11,12 +11,14 @@ number).
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.functions.dates import month_number, parse_date_multi, safe_make_date
 from stratum.functions.keys import surrogate_key
-from stratum.functions.money import to_amount
+from stratum.functions.money import AMOUNT, to_amount
 from stratum.operators.conform import CLAIM_KEY_FIELDS, CLAIM_SCHEMA, conform, union_conformed
 from stratum.operators.dedup import dedup_first
 from stratum.operators.lifecycle import add_lifecycle, status_history
@@ -24,7 +26,11 @@ from stratum.operators.quality import apply_rules, claim_rules
 from stratum.plans.common import t
 
 FRAUD_PRICE_THRESHOLD = 400000  # binding choice: proxy fraud label on orders
+# binding choice: tenths of a source-A amount that are injury and property,
+# the remainder of these divisions; the rest is the vehicle
+INJURY_TENTHS_OF_CUSTOMER, PROPERTY_TENTHS_OF_ORDER = 5, 4
 
+# Published columns of the claim and quarantine tables.
 CLAIM_COLS = ["claim_id"] + CLAIM_SCHEMA.fieldNames() + [
     "fnol_date", "claim_status", "settlement_date", "cycle_time_days"]
 QUARANTINE_COLS = ["claim_id", "source_system", "policy_number", "incident_date",
@@ -34,12 +40,17 @@ QUARANTINE_COLS = ["claim_id", "source_system", "policy_number", "incident_date"
 
 def conform_orders(orders: DataFrame) -> DataFrame:
     c = F.col
+    amount = to_amount(c("o_totalprice"))
+    tenth = F.lit(Decimal("0.1"))
+    injury = (amount * (c("o_custkey") % INJURY_TENTHS_OF_CUSTOMER).cast("int") * tenth).cast(AMOUNT)
+    damage = (amount * (c("o_orderkey") % PROPERTY_TENTHS_OF_ORDER).cast("int") * tenth).cast(AMOUNT)
     return conform(orders, {
         "policy_number": c("o_custkey").cast("string"),
         "incident_date": parse_date_multi(F.date_format("o_orderdate", "MM/dd/yyyy")),
         "claim_type": "o_orderpriority",
         "severity": "o_orderstatus",
-        "total_claim_amount": to_amount(c("o_totalprice")),
+        "total_claim_amount": amount, "injury_claim": injury, "property_claim": damage,
+        "vehicle_claim": amount - injury - damage,
         "fraud": c("o_totalprice") > FRAUD_PRICE_THRESHOLD,
     }, CLAIM_SCHEMA, constants={"source_system": "orders",
                                 "incident_date_is_synthetic": False})
@@ -88,3 +99,14 @@ def claim_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def claim_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return status_history(claim_valid(spark, sf_dir))
+
+
+def with_holder(claims: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``claims`` with ``policy_id``, the policyholder: source A names it,
+    source B names the order, whose holder it is."""
+    holders = t(spark, sf_dir, "orders").select(
+        F.lit("lineitem").alias("source_system"), F.col("o_orderkey").cast("string").alias("policy_number"),
+        F.col("o_custkey").alias("_holder"))
+    named = F.when(F.col("source_system") == "orders", F.col("policy_number").try_cast("bigint"))
+    return (claims.join(holders, ["source_system", "policy_number"], "left")
+            .withColumn("policy_id", F.coalesce(named, "_holder")).drop("_holder"))

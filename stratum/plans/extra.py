@@ -55,19 +55,12 @@ def fact_complaint(spark, sf_dir):
 
 
 def _claim_frame(spark, sf_dir):
-    """Every claim with its policyholder and the moment of loss.  Source A
-    names the policyholder, source B the order, whose holder it is.  Claim
-    dates (1995-2001) precede the telemetry (30 days from ``LOSS_EPOCH``), so
-    the moment of loss is drawn from those days by the claim's seed."""
-    c = claims.claim_valid(spark, sf_dir).select(
-        "claim_id", "source_system", "policy_number", "incident_date", "total_claim_amount", "fraud")
-    holders = t(spark, sf_dir, "orders").select(
-        F.lit("lineitem").alias("source_system"), F.col("o_orderkey").cast("string").alias("policy_number"),
-        F.col("o_custkey").alias("_holder"))
-    named = F.when(F.col("source_system") == "orders", F.col("policy_number").try_cast("bigint"))
+    """Every claim with its policyholder and the moment of loss.  Claim dates
+    (1995-2001) precede the telemetry (30 days from ``LOSS_EPOCH``), so the
+    moment of loss is drawn from those days by the claim's seed."""
     drawn = F.pmod(portable_seed("claim_id"), F.lit(LOSS_SECONDS))
-    return c.join(holders, ["source_system", "policy_number"], "left").select(
-        "claim_id", "source_system", F.coalesce(named, "_holder").alias("policy_id"),
+    return claims.with_holder(claims.claim_valid(spark, sf_dir), spark, sf_dir).select(
+        "claim_id", "source_system", "policy_id",
         F.col("incident_date").cast("timestamp_ntz").alias("incident_ts"),
         (F.lit(LOSS_EPOCH).cast("timestamp_ntz") + F.make_dt_interval(secs=drawn)).alias("loss_ts"),
         F.col("total_claim_amount").cast("double").alias("claim_amount"), F.col("fraud").cast("int").alias("is_fraud"))

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.functions.keys import surrogate_key
+from stratum.operators.lifecycle import OPEN
 from stratum.operators.joins import (aggregate_then_join, asof_join, bridge, interval_join,
                                      point_in_time, small_side, star_join)
 from stratum.plans import claims, policy, telematics
@@ -43,13 +44,37 @@ def dim_claim_type(spark, sf_dir):
              .select(surrogate_key("claim_type").alias("claim_type_key"), "claim_type"))
 
 
-def star_claims(spark, sf_dir):
-    """AGG6 + JN1: claim-grain fact with dimension keys (unknown = -1)."""
-    c = claims.claim_valid(spark, sf_dir)
-    fact = c.select(
-        "claim_id", "source_system", "incident_date", "claim_type", "total_claim_amount", "fraud",
-        F.when(F.col("source_system") == "orders", F.col("policy_number").try_cast("bigint"))
-         .alias("policy_key"))
+def dim_claim_status(spark, sf_dir):
+    """AGG17: statuses a claim can end in or be in, with whether they are final."""
+    c = claims.claim_valid(spark, sf_dir).select("claim_status").distinct()
+    return c.select(surrogate_key("claim_status").alias("claim_status_key"), "claim_status",
+                    (F.col("claim_status") != OPEN).alias("is_final"))
+
+
+def dim_geography(spark, sf_dir):
+    """AGG17: nations with their region."""
+    return geography(spark, sf_dir).select(surrogate_key("nation", "region").alias("geography_key"),
+                                           "nation", "region")
+
+
+def dim_incident(spark, sf_dir):
+    """AGG17: the severities that occur with each claim type."""
+    c = claims.claim_valid(spark, sf_dir).select("claim_type", "severity").distinct()
+    return c.select(surrogate_key("claim_type", "severity").alias("incident_key"), "claim_type", "severity")
+
+
+def dim_coverage(spark, sf_dir):
+    """AGG17: the combinations of covers that claims draw on."""
+    drawn = {n: F.coalesce(F.col(f"{n}_claim") > 0, F.lit(False)).alias(n) for n in ("injury", "property", "vehicle")}
+    c = claims.claim_valid(spark, sf_dir).select(*drawn.values()).distinct()
+    return c.select(surrogate_key(*drawn).alias("coverage_key"), *drawn)
+
+
+def star(spark, sf_dir):
+    """AGG6 + JN1: claim-grain fact with its dimension keys (unknown = -1),
+    the four amounts, and the attributes that marts group by."""
+    fact = claims.claim_valid(spark, sf_dir).withColumn(
+        "policy_key", F.when(F.col("source_system") == "orders", F.col("policy_number").try_cast("bigint")))
     cust = t(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("policy_key"), "c_nationkey", "c_mktsegment")
     geo = geography(spark, sf_dir).withColumnRenamed("n_nationkey", "c_nationkey")
@@ -61,12 +86,20 @@ def star_claims(spark, sf_dir):
         F.coalesce("c_mktsegment", F.lit("UNKNOWN")).alias("segment"),
         F.coalesce("nation", F.lit("UNKNOWN")).alias("nation"),
         F.coalesce("region", F.lit("UNKNOWN")).alias("region"),
-        (F.year("incident_date") * 10000 + F.month("incident_date") * 100
-         + F.dayofmonth("incident_date")).alias("date_key"),
-        F.when(F.col("claim_type").isNotNull(), surrogate_key("claim_type")).alias("claim_type_key"),
+        F.coalesce(F.year("incident_date") * 10000 + F.month("incident_date") * 100 + F.dayofmonth("incident_date"),
+                   F.lit(UNKNOWN_KEY)).alias("date_key"),
+        F.when(F.col("claim_type").isNull(), F.lit(str(UNKNOWN_KEY)))
+        .otherwise(surrogate_key("claim_type")).alias("claim_type_key"),
         F.col("total_claim_amount").cast("double").alias("claim_amount"),
+        *[F.col(f"{n}_claim").cast("double").alias(f"{n}_amount") for n in ("injury", "property", "vehicle")],
         F.col("fraud").cast("int").alias("is_fraud"),
-        F.lit(1).alias("claim_count"))
+        F.lit(1).alias("claim_count"),
+        "claim_type", "severity", "auto_make", "vehicle_category", "settlement_date")
+
+
+def star_claims(spark, sf_dir):
+    """The fact as published: keys and measures."""
+    return star(spark, sf_dir).drop("claim_type", "severity", "auto_make", "vehicle_category", "settlement_date")
 
 
 def point_in_time_policy(spark, sf_dir):

@@ -11,11 +11,47 @@ from stratum.plans import claims, gold
 from stratum.plans.common import t
 
 AS_OF = "2002-01-01"   # binding: aging reference date
+SIGNAL_DIMENSIONS = ["source_system", "auto_make", "severity", "claim_type", "vehicle_category",
+                     "segment", "region", "nation"]
+
+
+def exposure(spark, sf_dir):
+    """Premium (price x tax) and exposures (lines) by claim segment and month,
+    from the lines in force: source A's type is the order's priority; source B
+    has no type."""
+    line = t(spark, sf_dir, "lineitem").select(
+        "l_orderkey", F.trunc("l_shipdate", "month").alias("period"),
+        (F.col("l_extendedprice").cast("decimal(14,2)") * F.col("l_tax").cast("decimal(4,2)")).alias("premium"))
+    order = t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"),
+                                              F.col("o_orderpriority").alias("claim_type"))
+    typed = line.join(order, "l_orderkey").groupBy("claim_type", "period").agg(
+        F.sum("premium").alias("premium"), F.count(F.lit(1)).alias("exposures"))
+    typed = typed.select(F.lit("orders").alias("source_system"), "claim_type", "period", "premium", "exposures")
+    # all lines, from the typed aggregate
+    whole = typed.groupBy("period").agg(F.sum("premium").alias("premium"), F.sum("exposures").alias("exposures"))
+    return typed.unionByName(whole.select(F.lit("lineitem").alias("source_system"),
+                                          F.lit(None).cast("string").alias("claim_type"), "*"))
 
 
 def mart_claims_kpi(spark, sf_dir):
     return claims_kpi(claims.claim_valid(spark, sf_dir), ["source_system", "claim_type"],
-                      period="month", as_of=AS_OF, mix_within=["source_system"])
+                      exposure(spark, sf_dir), AS_OF, period="month", mix_within=["source_system"])
+
+
+def kpi_reconciles(spark, sf_dir):
+    """The mart's totals against the fact's, by source: claims, money, open."""
+    mart = mart_claims_kpi(spark, sf_dir).groupBy("source_system").agg(
+        F.sum("n_claims").alias("mart_claims"), F.round(F.sum("incurred"), 2).alias("mart_incurred"),
+        F.sum("open_claims").alias("mart_open"),
+        F.sum(F.col("open_0_30d") + F.col("open_31_90d") + F.col("open_91_365d") + F.col("open_over_365d"))
+        .alias("mart_aged"))
+    fact = gold.star(spark, sf_dir).groupBy("source_system").agg(
+        F.sum("claim_count").alias("fact_claims"), F.round(F.sum("claim_amount"), 2).alias("fact_incurred"),
+        F.count_if(F.col("settlement_date").isNull()).alias("fact_open"))
+    return mart.join(fact, "source_system").select(
+        "*", ((F.col("mart_claims") == F.col("fact_claims")) & (F.col("mart_open") == F.col("fact_open"))
+              & (F.col("mart_aged") == F.col("mart_open"))
+              & F.col("mart_incurred").eqNullSafe(F.col("fact_incurred"))).alias("ok"))
 
 
 def kpi_rollup_q(spark, sf_dir):
@@ -24,8 +60,8 @@ def kpi_rollup_q(spark, sf_dir):
 
 
 def mart_fraud_signals(spark, sf_dir):
-    return fraud_signals(gold.star_claims(spark, sf_dir),
-                         ["source_system", "segment", "region", "nation"])
+    """AGG5: by make, severity, incident type, category, and the holder's place."""
+    return fraud_signals(gold.star(spark, sf_dir), SIGNAL_DIMENSIONS)
 
 
 def claim_lifecycle_snapshot(spark, sf_dir):

@@ -17,14 +17,17 @@ _CLAIM_PAYLOAD = [
 ]
 _ORDER_ALL = ", ".join(f"{c} ASC NULLS FIRST" for c in _CLAIM_PAYLOAD)
 
+_TENTHS = "CAST(CAST(o_totalprice AS DECIMAL(14,2)) * CAST({} AS INTEGER) * CAST(0.1 AS DECIMAL(2,1)) AS DECIMAL(14,2))"
+_INJURY, _PROPERTY = _TENTHS.format("o_custkey % 5"), _TENTHS.format("o_orderkey % 4")
+
 CLAIMS_CTE = f"""
 src AS (
   SELECT 'orders' AS source_system, CAST(o_custkey AS VARCHAR) AS policy_number,
          CAST(o_orderdate AS DATE) AS incident_date, FALSE AS incident_date_is_synthetic,
          o_orderpriority AS claim_type, o_orderstatus AS severity,
          CAST(o_totalprice AS DECIMAL(14,2)) AS total_claim_amount,
-         CAST(NULL AS DECIMAL(14,2)) AS injury_claim, CAST(NULL AS DECIMAL(14,2)) AS property_claim,
-         CAST(NULL AS DECIMAL(14,2)) AS vehicle_claim,
+         {_INJURY} AS injury_claim, {_PROPERTY} AS property_claim,
+         CAST(CAST(o_totalprice AS DECIMAL(14,2)) - {_INJURY} - {_PROPERTY} AS DECIMAL(14,2)) AS vehicle_claim,
          CAST(NULL AS VARCHAR) AS auto_make, CAST(NULL AS VARCHAR) AS auto_model,
          CAST(NULL AS INTEGER) AS auto_year, o_totalprice > 400000 AS fraud,
          CAST(NULL AS VARCHAR) AS insured_zip, CAST(NULL AS VARCHAR) AS incident_location,
@@ -263,9 +266,12 @@ star AS (
          CAST(CASE WHEN cu.c_nationkey IS NOT NULL THEN f.pk ELSE -1 END AS BIGINT) AS policy_key,
          coalesce(cu.c_mktsegment, 'UNKNOWN') AS segment, coalesce(g.nation, 'UNKNOWN') AS nation,
          coalesce(g.region, 'UNKNOWN') AS region,
-         CAST(year(incident_date) * 10000 + month(incident_date) * 100 + day(incident_date) AS INTEGER) AS date_key,
-         CASE WHEN claim_type IS NOT NULL THEN sha256(concat_ws('|', coalesce(claim_type, ''))) END AS claim_type_key,
-         CAST(total_claim_amount AS DOUBLE) AS claim_amount, CAST(fraud AS INTEGER) AS is_fraud, 1 AS claim_count
+         CAST(coalesce(year(incident_date) * 10000 + month(incident_date) * 100 + day(incident_date), -1) AS INTEGER) AS date_key,
+         CASE WHEN claim_type IS NOT NULL THEN sha256(concat_ws('|', coalesce(claim_type, ''))) ELSE '-1' END AS claim_type_key,
+         CAST(total_claim_amount AS DOUBLE) AS claim_amount, CAST(injury_claim AS DOUBLE) AS injury_amount,
+         CAST(property_claim AS DOUBLE) AS property_amount, CAST(vehicle_claim AS DOUBLE) AS vehicle_amount,
+         CAST(fraud AS INTEGER) AS is_fraud, 1 AS claim_count,
+         claim_type, f.severity, auto_make, vehicle_category, settlement_date
   FROM f LEFT JOIN customer cu ON cu.c_custkey = f.pk LEFT JOIN geo g ON g.n_nationkey = cu.c_nationkey)"""
 _LOSS = _TEL + """,
 losses AS (SELECT event_id AS loss_id, vehicle_id, ts AS loss_ts FROM tel WHERE event_type = 'error'),
@@ -282,7 +288,8 @@ SQL.update({
     "dim_claim_type": f"""WITH {CLAIMS_CTE}
         SELECT DISTINCT sha256(concat_ws('|', coalesce(claim_type, ''))) AS claim_type_key, claim_type
         FROM claim WHERE claim_type IS NOT NULL""",
-    "star_claims": f"WITH {CLAIMS_CTE}, {_STAR_CTE} SELECT * FROM star",
+    "star_claims": f"""WITH {CLAIMS_CTE}, {_STAR_CTE}
+        SELECT * EXCLUDE (claim_type, severity, auto_make, vehicle_category, settlement_date) FROM star""",
     "point_in_time_policy": f"""WITH {_CH},
         scd AS (SELECT policy_id, tier, seq_ts AS effective_from,
                        lead(seq_ts) OVER (PARTITION BY policy_id ORDER BY seq_ts, seq_tie) AS effective_to FROM ch),
@@ -338,29 +345,71 @@ SQL.update({
 })
 
 # ------------------------------------------------------------------ marts
+_KPI_CTE = """
+expo1 AS (SELECT 'orders' AS source_system, o_orderpriority AS claim_type,
+                 CAST(date_trunc('month', l_shipdate) AS DATE) AS period,
+                 sum(CAST(l_extendedprice AS DECIMAL(14,2)) * CAST(l_tax AS DECIMAL(4,2))) AS premium, count(*) AS exposures
+          FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1, 2, 3),
+expo AS (SELECT * FROM expo1 UNION ALL
+         SELECT 'lineitem', NULL, period, sum(premium), CAST(sum(exposures) AS BIGINT) FROM expo1 GROUP BY period),
+aged AS (SELECT *, CASE WHEN settlement_date IS NULL THEN date_diff('day', fnol_date, DATE '2002-01-01') END AS age FROM claim),
+kg AS (SELECT source_system, claim_type, CAST(date_trunc('month', incident_date) AS DATE) AS period,
+              count(*) AS n_claims, count(total_claim_amount) AS n_with_amount,
+              sum(total_claim_amount) AS inc, sum(injury_claim) AS inj, sum(property_claim) AS prop,
+              sum(vehicle_claim) AS veh, avg(CAST(fraud AS INTEGER)) AS fr,
+              CAST(count_if(settlement_date IS NULL) AS BIGINT) AS open_claims,
+              CAST(count_if(settlement_date IS NOT NULL) AS BIGINT) AS closed_claims,
+              avg(cycle_time_days) AS cyc, count_if(claim_status = 'denied') AS den,
+              count_if(claim_status IN ('denied', 'closed', 'settled')) AS term,
+              CAST(count_if(age <= 30) AS BIGINT) AS open_0_30d,
+              CAST(count_if(age > 30 AND age <= 90) AS BIGINT) AS open_31_90d,
+              CAST(count_if(age > 90 AND age <= 365) AS BIGINT) AS open_91_365d,
+              CAST(count_if(age > 365) AS BIGINT) AS open_over_365d
+       FROM aged GROUP BY 1, 2, 3),
+kpi AS (
+  SELECT kg.source_system, kg.claim_type, kg.period, n_claims, n_with_amount, CAST(inc AS DOUBLE) AS incurred,
+         CAST(premium AS DOUBLE) AS premium, exposures,
+         round(CAST(inc AS DOUBLE) / CAST(NULLIF(premium, 0) AS DOUBLE), 6) AS loss_ratio,
+         round(n_claims / NULLIF(exposures, 0), 6) AS claim_frequency,
+         round(CAST(inc AS DOUBLE) / CAST(NULLIF(n_with_amount, 0) AS DOUBLE), 6) AS severity,
+         round(fr, 6) AS fraud_rate,
+         round(n_claims / sum(n_claims) OVER (PARTITION BY kg.source_system, kg.period), 6) AS claim_mix,
+         round(CAST(inj AS DOUBLE) / CAST(NULLIF(inc, 0) AS DOUBLE), 6) AS injury_share,
+         round(CAST(prop AS DOUBLE) / CAST(NULLIF(inc, 0) AS DOUBLE), 6) AS property_share,
+         round(CAST(veh AS DOUBLE) / CAST(NULLIF(inc, 0) AS DOUBLE), 6) AS vehicle_share,
+         round(cyc, 6) AS avg_cycle_days, open_claims, closed_claims,
+         open_0_30d, open_31_90d, open_91_365d, open_over_365d,
+         round(CAST(den AS DOUBLE) / CAST(NULLIF(term, 0) AS DOUBLE), 6) AS denial_rate
+  FROM kg LEFT JOIN expo ON expo.source_system = kg.source_system
+       AND expo.claim_type IS NOT DISTINCT FROM kg.claim_type AND expo.period = kg.period)"""
+
 SQL.update({
-    "mart_claims_kpi": f"""WITH {CLAIMS_CTE},
-        g AS (SELECT source_system, claim_type, CAST(date_trunc('month', incident_date) AS DATE) AS period,
-                     count(*) AS n_claims, count(total_claim_amount) AS n_with_amount,
-                     sum(total_claim_amount) AS inc, sum(injury_claim) AS inj, sum(property_claim) AS prop,
-                     sum(vehicle_claim) AS veh, avg(CAST(fraud AS INTEGER)) AS fr,
-                     CAST(count_if(settlement_date IS NULL) AS BIGINT) AS open_claims,
-                     CAST(count_if(settlement_date IS NOT NULL) AS BIGINT) AS closed_claims,
-                     avg(cycle_time_days) AS cyc, count_if(claim_status = 'denied') AS den,
-                     count_if(claim_status IN ('denied', 'closed', 'settled')) AS term,
-                     CAST(count_if(settlement_date IS NULL AND date_diff('day', fnol_date, DATE '2002-01-01') > 90) AS BIGINT) AS open_over_90d
-              FROM claim GROUP BY 1, 2, 3)
-        SELECT source_system, claim_type, period, n_claims, n_with_amount, CAST(inc AS DOUBLE) AS incurred,
-               CAST(NULL AS DOUBLE) AS loss_ratio,
-               round(CAST(inc AS DOUBLE) / CAST(NULLIF(n_with_amount, 0) AS DOUBLE), 6) AS severity,
-               round(fr, 6) AS fraud_rate,
-               round(n_claims / sum(n_claims) OVER (PARTITION BY source_system, period), 6) AS claim_mix,
-               round(CAST(inj AS DOUBLE) / CAST(NULLIF(inc, 0) AS DOUBLE), 6) AS injury_share,
-               round(CAST(prop AS DOUBLE) / CAST(NULLIF(inc, 0) AS DOUBLE), 6) AS property_share,
-               round(CAST(veh AS DOUBLE) / CAST(NULLIF(inc, 0) AS DOUBLE), 6) AS vehicle_share,
-               round(cyc, 6) AS avg_cycle_days, open_claims, closed_claims, open_over_90d,
-               round(CAST(den AS DOUBLE) / CAST(NULLIF(term, 0) AS DOUBLE), 6) AS denial_rate
-        FROM g""",
+    "mart_claims_kpi": f"""WITH {CLAIMS_CTE}, {_KPI_CTE} SELECT * FROM kpi""",
+    "kpi_reconciles": f"""WITH {CLAIMS_CTE}, {_KPI_CTE},
+        m AS (SELECT source_system, CAST(sum(n_claims) AS BIGINT) AS mart_claims, round(sum(incurred), 2) AS mart_incurred,
+                     CAST(sum(open_claims) AS BIGINT) AS mart_open,
+                     CAST(sum(open_0_30d + open_31_90d + open_91_365d + open_over_365d) AS BIGINT) AS mart_aged
+              FROM kpi GROUP BY 1),
+        f AS (SELECT source_system, count(*) AS fact_claims,
+                     CAST(sum(total_claim_amount) AS DOUBLE) AS fact_incurred,
+                     CAST(count_if(settlement_date IS NULL) AS BIGINT) AS fact_open FROM claim GROUP BY 1)
+        SELECT m.*, fact_claims, fact_incurred, fact_open,
+               mart_claims = fact_claims AND mart_open = fact_open AND mart_aged = mart_open
+               AND mart_incurred IS NOT DISTINCT FROM round(fact_incurred, 2) AS ok
+        FROM m JOIN f USING (source_system)""",
+    "dim_claim_status": f"""WITH {CLAIMS_CTE}
+        SELECT DISTINCT sha256(claim_status) AS claim_status_key, claim_status,
+               claim_status IN ('denied', 'closed', 'settled') AS is_final FROM claim""",
+    "dim_geography": """SELECT sha256(concat_ws('|', n_name, r_name)) AS geography_key, n_name AS nation, r_name AS region
+        FROM nation JOIN region ON r_regionkey = n_regionkey""",
+    "dim_incident": f"""WITH {CLAIMS_CTE}
+        SELECT DISTINCT sha256(concat_ws('|', coalesce(claim_type, ''), coalesce(severity, ''))) AS incident_key,
+               claim_type, severity FROM claim""",
+    "dim_coverage": f"""WITH {CLAIMS_CTE},
+        d AS (SELECT DISTINCT coalesce(injury_claim > 0, FALSE) AS injury, coalesce(property_claim > 0, FALSE) AS property,
+                     coalesce(vehicle_claim > 0, FALSE) AS vehicle FROM claim)
+        SELECT sha256(concat_ws('|', CAST(injury AS VARCHAR), CAST(property AS VARCHAR), CAST(vehicle AS VARCHAR)))
+               AS coverage_key, * FROM d""",
     "kpi_rollup": f"""WITH {CLAIMS_CTE}
         SELECT CAST(year(incident_date) AS INTEGER) AS year, source_system, claim_type,
                GROUPING(year(incident_date), source_system, claim_type) AS gid,
@@ -391,15 +440,13 @@ SQL.update({
         FROM p""",
 })
 
-SQL["mart_fraud_signals"] = f"""WITH {CLAIMS_CTE}, {_STAR_CTE},
-    g AS (SELECT source_system, segment, region, nation,
-                 GROUPING(source_system, segment, region, nation) AS gid,
-                 count(*) AS n_claims, CAST(sum(CAST(is_fraud AS BIGINT)) AS BIGINT) AS n_fraud
-          FROM star GROUP BY GROUPING SETS ((source_system), (segment), (region), (nation))),
-    base AS (SELECT avg(CAST(is_fraud AS DOUBLE)) AS b FROM star)
-    SELECT CASE gid WHEN 7 THEN 'source_system' WHEN 11 THEN 'segment' WHEN 13 THEN 'region' WHEN 14 THEN 'nation' END AS dimension,
-           CASE gid WHEN 7 THEN source_system WHEN 11 THEN segment WHEN 13 THEN region WHEN 14 THEN nation END AS value,
-           n_claims, n_fraud, round(n_fraud / n_claims, 6) AS fraud_rate,
+_SIGNALS = " UNION ALL ".join(
+    f"""SELECT '{d}' AS dimension, CAST({d} AS VARCHAR) AS value, count(*) AS n_claims,
+               CAST(sum(CAST(is_fraud AS BIGINT)) AS BIGINT) AS n_fraud FROM star GROUP BY {d}"""
+    for d in ("source_system", "auto_make", "severity", "claim_type", "vehicle_category", "segment", "region", "nation"))
+SQL["mart_fraud_signals"] = f"""WITH {CLAIMS_CTE}, {_STAR_CTE}, g AS ({_SIGNALS}),
+    base AS (SELECT sum(is_fraud) / count(*) AS b FROM star)
+    SELECT dimension, value, n_claims, n_fraud, round(n_fraud / n_claims, 6) AS fraud_rate,
            round((n_fraud / n_claims) / CASE WHEN b > 0 THEN b END, 6) AS lift
     FROM g, base"""
 
@@ -480,17 +527,21 @@ SQL.update({
         WHERE o_custkey IN (SELECT c_custkey FROM customer JOIN nation ON n_nationkey = c_nationkey
                             JOIN region ON r_regionkey = n_regionkey WHERE 'insurer_' || lower(r_name) = 'insurer_europe')""",
     "feature_fraud": f"""WITH {CLAIMS_CTE},
-        base AS (SELECT claim_id, claim_type, severity, cu.c_mktsegment AS segment,
-                        CAST(total_claim_amount AS DOUBLE) AS amount, CAST(month(incident_date) AS INTEGER) AS incident_month,
+        base AS (SELECT claim_id, claim_type, severity, cu.c_mktsegment AS segment, vehicle_category,
+                        coalesce(policyholder_age, 0) AS policyholder_age,
+                        CAST(month(incident_date) AS INTEGER) AS incident_month,
                         CAST(isodow(incident_date) AS INTEGER) AS incident_dow, CAST(fraud AS INTEGER) AS label
-                 FROM claim LEFT JOIN customer cu ON CAST(cu.c_custkey AS VARCHAR) = claim.policy_number
-                 WHERE source_system = 'orders'),
-        {_code('claim_type')}, {_code('severity')}, {_code('segment')}
+                 FROM claim LEFT JOIN orders o ON source_system = 'lineitem'
+                      AND CAST(o_orderkey AS VARCHAR) = policy_number
+                 LEFT JOIN customer cu ON cu.c_custkey = CASE WHEN source_system = 'orders'
+                      THEN TRY_CAST(policy_number AS BIGINT) ELSE o_custkey END),
+        {_code('claim_type')}, {_code('severity')}, {_code('segment')}, {_code('vehicle_category')}
         SELECT claim_id, coalesce(a.claim_type_code, 0) AS claim_type_code,
                coalesce(b.severity_code, 0) AS severity_code, coalesce(c.segment_code, 0) AS segment_code,
-               amount, incident_month, incident_dow, label
+               coalesce(d.vehicle_category_code, 0) AS vehicle_category_code,
+               policyholder_age, incident_month, incident_dow, label
         FROM base LEFT JOIN claim_type_codes a USING (claim_type) LEFT JOIN severity_codes b USING (severity)
-             LEFT JOIN segment_codes c USING (segment)""",
+             LEFT JOIN segment_codes c USING (segment) LEFT JOIN vehicle_category_codes d USING (vehicle_category)""",
     "doc_chunks": """WITH d AS (SELECT doc_id, trim(regexp_replace(text, '[ \\t\\n\\r\\f]+', ' ', 'g')) AS text FROM documents),
         s AS (SELECT doc_id, text, unnest(generate_series(0, greatest(length(text) - 201, 0), 800)) AS chunk_start
               FROM d WHERE length(text) > 0)
@@ -509,13 +560,16 @@ SQL.update({
         r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY score DESC, vec_id) AS rank FROM s)
         SELECT label, CAST(rank AS INTEGER) AS rank, vec_id, round(score, 6) AS score FROM r WHERE rank <= 5""",
     "claim_context": f"""WITH {CLAIMS_CTE},
-        c AS (SELECT * FROM claim WHERE source_system = 'orders'),
-        a AS (SELECT policy_number, count(*) AS n_claims, CAST(count_if(fraud) AS BIGINT) AS n_fraud,
+        c AS (SELECT claim.*, CASE WHEN source_system = 'orders' THEN TRY_CAST(policy_number AS BIGINT)
+                                   ELSE o_custkey END AS policy_id
+              FROM claim LEFT JOIN orders o ON source_system = 'lineitem'
+                   AND CAST(o_orderkey AS VARCHAR) = policy_number),
+        a AS (SELECT policy_id, count(*) AS n_claims, CAST(count_if(fraud) AS BIGINT) AS n_fraud,
                      arg_max(claim_status, (incident_date, claim_id)) AS last_status FROM c GROUP BY 1),
-        r AS (SELECT policy_number, claim_id, row_number() OVER (PARTITION BY policy_number
+        r AS (SELECT policy_id, claim_id, row_number() OVER (PARTITION BY policy_id
                      ORDER BY incident_date DESC, claim_id DESC) AS rn FROM c),
-        k AS (SELECT policy_number, string_agg(claim_id, ',' ORDER BY rn) AS recent_claim_ids FROM r WHERE rn <= 5 GROUP BY 1)
-        SELECT a.*, k.recent_claim_ids FROM a LEFT JOIN k USING (policy_number)""",
+        k AS (SELECT policy_id, string_agg(claim_id, ',' ORDER BY rn) AS recent_claim_ids FROM r WHERE rn <= 5 GROUP BY 1)
+        SELECT a.*, k.recent_claim_ids FROM a LEFT JOIN k ON a.policy_id IS NOT DISTINCT FROM k.policy_id""",
 })
 
 # ---------------------------------------------------------------- streams

@@ -41,6 +41,10 @@ _RAW: dict[str, Query] = {
     "grid_cells": telematics.grid_cells,
     "dim_date": gold.dim_date,
     "dim_claim_type": gold.dim_claim_type,
+    "dim_claim_status": gold.dim_claim_status,
+    "dim_geography": gold.dim_geography,
+    "dim_incident": gold.dim_incident,
+    "dim_coverage": gold.dim_coverage,
     "star_claims": gold.star_claims,
     "point_in_time_policy": gold.point_in_time_policy,
     "asof_telemetry": gold.asof_telemetry,
@@ -50,6 +54,7 @@ _RAW: dict[str, Query] = {
     "claim_frequency": gold.claim_frequency,
     "recall_match": gold.recall_match,
     "mart_claims_kpi": marts.mart_claims_kpi,
+    "kpi_reconciles": marts.kpi_reconciles,
     "kpi_rollup": marts.kpi_rollup_q,
     "mart_fraud_signals": marts.mart_fraud_signals,
     "claim_lifecycle_snapshot": marts.claim_lifecycle_snapshot,
@@ -67,7 +72,9 @@ _RAW: dict[str, Query] = {
     "tenant_orders": governance.tenant_orders,
     "feature_fraud": features.feature_fraud,
     "fraud_scores": features.fraud_scores,
+    "fraud_auc": features.fraud_auc,
     "severity_pred": features.severity_pred,
+    "severity_error": features.severity_error,
     "doc_chunks": features.doc_chunks,
     "similar_topk": features.similar_topk,
     "claim_context": features.claim_context,
