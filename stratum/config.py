@@ -21,15 +21,14 @@ CLAIM_SOURCES = (
 )
 
 # Specified feeds of the policy and telematics domains (layouts named only;
-# they use the same ingest path once landed).
+# they use the same ingest path once landed).  Each feed has a folder of its
+# own, so no feed takes another's files.
 SPECIFIED_SOURCES = (
-    Source("raw_policy_portfolio", "policy", "*.csv"),
-    Source("raw_policy_risk", "policy", "*.csv"),
-    Source("raw_vehicle_recalls", "policy", "*.csv"),
-    Source("raw_telematics_ubi", "telematics", "*.csv"),
-    Source("raw_trip_timeseries", "telematics", "*.csv"),
-    Source("raw_vehicle_static", "telematics", "*.csv"),
-    Source("raw_policy_events", "policy", "*.json", "json"),
+    *[Source(f"raw_{feed}", f"policy/{feed}", "*.csv") for feed in
+      ("policy_portfolio", "policy_risk", "vehicle_recalls")],
+    *[Source(f"raw_{feed}", f"telematics/{feed}", "*.csv") for feed in
+      ("telematics_ubi", "trip_timeseries", "vehicle_static")],
+    Source("raw_policy_events", "policy/policy_events", "*.json", "json"),
 )
 
 DOMAINS = ("telematics", "policy", "claims")

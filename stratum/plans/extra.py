@@ -11,15 +11,17 @@ from stratum.functions.geo import grid_cell
 from stratum.functions.keys import portable_seed
 from stratum.functions.money import AMOUNT, to_amount
 from stratum.operators.cdc import scd2
-from stratum.operators.conform import union_conformed
+from stratum.operators.conform import conform, union_conformed
 from stratum.operators.joins import asof_join, bridge, point_in_time, star_join
 from stratum.operators.ordered import time_chunk
 from stratum.operators.quality import (apply_rules, observe_expectations, resolve_targets,
-                                       validate_counts)
+                                       severity_reconciliation, validate_counts)
 from stratum.operators.retrieval import clean_text
 from stratum.plans import claims, gold, policy, telematics
 from stratum.plans.common import t
+from stratum.plans.insurance import SEVERITY
 from stratum.session import scratch_path
+from stratum.sinks import materialize
 from stratum.sources.files import list_tables, scan_arff, write_arff
 from stratum.sources.tables import read_table
 
@@ -131,23 +133,35 @@ def row_count_schema(spark, sf_dir):
     return validate_counts(spark, targets, lambda n: read_table(spark, sf_dir, n))
 
 
-def claim_severity(spark, sf_dir):
-    """SRC17 + PRJ7: two severity feeds conformed and unioned; the line
-    feed is landed as ARFF and read back with the ARFF scanner."""
+def _severity_feeds(spark, sf_dir):
+    """The two severity feeds; the line feed is landed as ARFF and read back."""
     root = scratch_path(spark, "severity_arff")
     li = t(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("IDpol"), F.col("l_extendedprice").cast(AMOUNT).alias("ClaimAmount"))
     write_arff(li, root, "line_severity")
-    a = scan_arff(spark, root).select(
-        F.lit("line_feed").alias("source_system"), F.col("IDpol").alias("policy_id"),
-        to_amount("ClaimAmount").alias("claim_amount"), F.lit(None).cast("string").alias("claim_type"),
-        F.lit(None).cast(AMOUNT).alias("year_total_cost"))
-    o = t(spark, sf_dir, "orders").select(
-        F.lit("order_feed").alias("source_system"), F.col("o_custkey").cast("string").alias("policy_id"),
-        to_amount(F.col("o_totalprice")).alias("claim_amount"),
-        F.col("o_orderpriority").alias("claim_type"),
-        F.lit(None).cast(AMOUNT).alias("year_total_cost"))
-    return union_conformed(a, o)
+    return {"line_feed": scan_arff(spark, root), "order_feed": t(spark, sf_dir, "orders")}
+
+
+def _severity(feeds):
+    mapping = {
+        "line_feed": {"policy_id": "IDpol", "claim_amount": to_amount("ClaimAmount")},
+        "order_feed": {"policy_id": "o_custkey", "claim_amount": to_amount("o_totalprice"),
+                       "claim_type": "o_orderpriority"},
+    }
+    return union_conformed(*[conform(df, mapping[name], SEVERITY, {"source_system": name})
+                             for name, df in feeds.items()])
+
+
+def claim_severity(spark, sf_dir):
+    """SRC17 + PRJ7: two severity feeds conformed and unioned."""
+    return _severity(_severity_feeds(spark, sf_dir))
+
+
+def severity_recon(spark, sf_dir):
+    """DQ12: the union's rows against its feeds'."""
+    feeds = _severity_feeds(spark, sf_dir)
+    rows = materialize(_severity(feeds), "severity_recon")
+    return severity_reconciliation(feeds, rows.where("claim_amount IS NOT NULL"), rows.where("claim_amount IS NULL"))
 
 
 def claim_priority(spark, sf_dir):

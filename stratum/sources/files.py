@@ -8,11 +8,15 @@ together with the file it came from.
 
 from __future__ import annotations
 
+import csv
+import re
+from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 CORRUPT = "_corrupt_record"
 RESCUED = "_rescued_data"
@@ -93,72 +97,149 @@ def list_landing(spark: SparkSession, landing: str) -> DataFrame:
                      F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
 
 
-def string_schema(names, with_corrupt: bool = True) -> StructType:
-    fields = [StructField(n, StringType()) for n in names]
-    if with_corrupt:
-        fields.append(StructField(CORRUPT, StringType()))
-    return StructType(fields)
-
-
-def header_schema(spark: SparkSession, path: str, src: Source) -> StructType:
-    """All-string schema named from the header (no type inference; Spark
-    reads only the first line to name the columns) or from ``src.columns``
-    for headerless layouts."""
+def head_lines(spark: SparkSession, path: str, n: int = 1) -> list[str]:
+    """The first ``n`` lines of a file, read through the Hadoop FileSystem:
+    a few KB per file, whatever its size."""
+    fs, p = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
+    try:
+        lines = []
+        while len(lines) < n and (line := reader.readLine()) is not None:
+            lines.append(line)
+        return lines
+    finally:
+        reader.close()
+
+
+def header_names(line: str, sep: str) -> tuple[str, ...]:
+    """Column names of a header line; blank and repeated names get their place."""
+    names: list[str] = []
+    for i, name in enumerate(next(csv.reader([line.lstrip("\ufeff")], delimiter=sep), [])):
+        name = name.strip() or f"_c{i}"
+        names.append(name if name.lower() not in {n.lower() for n in names} else f"{name}_{i}")
+    return tuple(names)
+
+
+def _json(**fields: Column) -> Column:
+    return F.to_json(F.struct(*[v.alias(k) for k, v in fields.items()]))
+
+
+def _aligned(rows: DataFrame, have: Sequence[str], canonical: Sequence[str]) -> DataFrame:
+    """Rows with one struct ``r`` of the columns ``have`` (and the corrupt
+    record) on the ``canonical`` columns, by name: what a file lacks is NULL,
+    what only the file has goes to ``_rescued_data`` with the raw line of a
+    row that doesn't fit its header."""
+    by_name = {n.lower(): n for n in have}
+    known = {n.lower() for n in canonical}
+    cols = [(F.col(f"r.`{by_name[n.lower()]}`") if n.lower() in by_name else F.lit(None).cast("string")).alias(n)
+            for n in canonical]
+    other = [n for n in have if n.lower() not in known]
+    extra = (F.map_filter(F.create_map(*[x for n in other for x in (F.lit(n), F.col(f"r.`{n}`"))]),
+                          lambda k, v: v.isNotNull()) if other else F.lit(None).cast("map<string,string>"))
+    extra = F.when(F.size(extra) > 0, extra)
+    raw = F.col(f"r.{CORRUPT}")
+    rescue = F.when(raw.isNotNull() | extra.isNotNull(), _json(raw=raw, extra=extra, file=F.col("_file")))
+    return rows.select(*cols, rescue.alias(RESCUED), F.col("_file").alias("_source_file"))
+
+
+def text_lines(reader, folder: str, src: Source):
+    """Lines of the source's files with the file they are from; ``reader`` is
+    ``spark.read`` or ``spark.readStream``."""
+    return (reader.option("pathGlobFilter", src.pattern).text(folder)
+            .select("value", F.col("_metadata.file_path").alias("_file")))
+
+
+def parse_csv(lines: DataFrame, src: Source, canonical: Sequence[str] | None = None) -> DataFrame:
+    """Delimited lines on the ``canonical`` columns (default: those of the
+    first file's header), every value as text.
+
+    Each file is read by its own header, so files may order, rename, add or
+    lack columns.  The headers come from the files' first lines; files with
+    equal headers are parsed together.  A repeat of the header is no row."""
+    spark = lines.sparkSession
+    lines = lines.where(F.length(F.trim("value")) > 0)
     if not src.header:
         if not src.columns:
             raise ValueError(f"headerless source {src.table} needs explicit column names")
-        return string_schema(src.columns)
-    names = (spark.read.option("header", True).option("sep", src.sep)
-             .option("pathGlobFilter", src.pattern).option("inferSchema", False)
-             .csv(path).schema.fieldNames())
-    return string_schema(names)
-
-
-def csv_options(src: Source) -> dict[str, str]:
-    return {"sep": src.sep, "header": str(src.header).lower(), "mode": "PERMISSIVE",
-            "columnNameOfCorruptRecord": CORRUPT, "pathGlobFilter": src.pattern}
-
-
-def rescued(file_col: Column | None = None) -> Column:
-    """``_rescued_data``: JSON of the raw line and its file, NULL if clean."""
-    f = file_col if file_col is not None else F.col("_metadata.file_path")
-    return F.when(F.col(CORRUPT).isNotNull(),
-                  F.to_json(F.struct(F.col(CORRUPT).alias("raw"), f.alias("file"))))
+        groups = {None: src.columns}
+        tagged = lines.withColumn("_header", F.lit(None).cast("string"))
+    else:
+        files = sorted(r["_file"] for r in lines.select("_file").distinct().collect())     # a batch's files
+        # _metadata.file_path is URL-encoded
+        heads = [(f, (head_lines(spark, unquote(f)) or [""])[0]) for f in files]
+        groups = {h: header_names(h, src.sep) for _, h in heads if h}
+        of_file = spark.createDataFrame(heads, "_file string, _header string")
+        tagged = lines.join(F.broadcast(of_file), "_file").where(F.col("value") != F.col("_header"))
+    canonical = list(canonical or next(iter(groups.values()), src.columns or ()))
+    if not groups:
+        return lines.select(*[F.lit(None).cast("string").alias(n) for n in canonical],
+                            F.lit(None).cast("string").alias(RESCUED), F.col("_file").alias("_source_file")).limit(0)
+    out = []
+    for header, names in groups.items():
+        ddl = ", ".join(f"`{n.replace('`', '``')}` STRING" for n in (*names, CORRUPT))
+        options = {"sep": src.sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+        own = tagged if header is None else tagged.where(F.col("_header") == header)
+        out.append(_aligned(own.select(F.from_csv("value", ddl, options).alias("r"), "_file"), names, canonical))
+    return reduce(DataFrame.unionByName, out)
+
+
+def parse_json(lines: DataFrame, canonical: Sequence[str] | None = None) -> DataFrame:
+    """JSON lines on the ``canonical`` fields (default: all fields that occur),
+    every value as text; other fields and malformed lines are rescued."""
+    rows = lines.where(F.length(F.trim("value")) > 0).withColumn(
+        "m", F.from_json("value", "map<string,string>", {"mode": "PERMISSIVE"}))
+    if canonical is None:
+        canonical = sorted(r[0] for r in rows.select(F.explode(F.map_keys("m"))).distinct().collect())   # field names
+    names = F.array(*[F.lit(n) for n in canonical]) if canonical else F.array().cast("array<string>")
+    extra = F.map_filter("m", lambda k, v: ~F.array_contains(names, k))
+    extra = F.when(F.size(extra) > 0, extra)
+    raw = F.when(F.col("m").isNull(), F.col("value"))
+    rescue = F.when(raw.isNotNull() | extra.isNotNull(), _json(raw=raw, extra=extra, file=F.col("_file")))
+    return rows.select(*[F.col("m").getItem(n).alias(n) for n in canonical], rescue.alias(RESCUED),
+                       F.col("_file").alias("_source_file"))
 
 
 def scan_csv(spark: SparkSession, path: str, src: Source) -> DataFrame:
     """Batch string-safe CSV scan with the rescue column and source file."""
-    schema = header_schema(spark, path, src)
-    df = spark.read.options(**csv_options(src)).schema(schema).csv(path)
-    return df.select(*[c for c in schema.fieldNames() if c != CORRUPT],
-                     rescued().alias(RESCUED), F.col("_metadata.file_path").alias("_source_file"))
+    return parse_csv(text_lines(spark.read, path, src), src)
+
+
+def scan_json(spark: SparkSession, path: str, src: Source, names: Sequence[str] | None = None) -> DataFrame:
+    """JSON landing scan, every field as string, nothing lost."""
+    return parse_json(text_lines(spark.read, path, src), names)
 
 
-def scan_json(spark: SparkSession, path: str, src: Source, names) -> DataFrame:
-    """JSON landing scan, every field as string, malformed lines rescued."""
-    schema = string_schema(names)
-    df = (spark.read.schema(schema).option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", CORRUPT).option("pathGlobFilter", src.pattern)
-          .option("primitivesAsString", "true").json(path))
-    return df.select(*names, rescued().alias(RESCUED),
-                     F.col("_metadata.file_path").alias("_source_file"))
+ARFF_HEADER_LINES = 100_000         # lines in which an ARFF header must end
 
 
 def scan_arff(spark: SparkSession, path: str) -> DataFrame:
-    """ARFF -> all-string table: attribute names from the ``@attribute``
-    lines (header-sized), data rows parsed with ``from_csv`` in parallel;
-    ``?`` (ARFF missing) becomes NULL."""
-    lines = spark.read.option("recursiveFileLookup", "true").text(path)
-    attrs = [r[0] for r in lines.where(F.lower(F.trim("value")).startswith("@attribute"))
-             .select(F.regexp_extract("value", r"(?i)@attribute\s+'?([^'\s]+)'?", 1)).collect()]
+    """ARFF -> all-string table: attribute names from the ``@attribute`` lines
+    of the files' heads (the data isn't scanned for them), data rows parsed
+    with ``from_csv`` in parallel; ``?`` (ARFF missing) becomes NULL, and a row
+    with too many or too few tokens keeps its raw line in ``_rescued_data``."""
+    attrs: list[str] = []
+    for f in sorted(r["path"] for r in list_landing(spark, path).select("path").collect()):
+        head = head_lines(spark, f)
+        if not head or not head[0].lstrip().startswith(("@", "%")):
+            continue                    # a file of data rows
+        for line in head_lines(spark, f, ARFF_HEADER_LINES):
+            found = re.match(r"(?i)\s*@attribute\s+(?:'([^']+)'|(\S+))", line)
+            if found:
+                attrs.append(found[1] or found[2])
+            elif re.match(r"(?i)\s*@data", line):
+                break
     if not attrs:
         raise ValueError(f"no @attribute lines in {path}")
+    lines = (spark.read.option("recursiveFileLookup", "true").text(path)
+             .select("value", F.col("_metadata.file_path").alias("_file")))
     body = lines.where(~F.trim("value").startswith("@") & ~F.trim("value").startswith("%")
                        & (F.length(F.trim("value")) > 0))
-    ddl = ", ".join(f"`{a}` STRING" for a in attrs)
-    parsed = body.select(F.from_csv(F.col("value"), ddl, {"mode": "PERMISSIVE"}).alias("r"),
-                         F.col("value").alias(CORRUPT))
-    return parsed.select(*[F.when(F.col(f"r.`{a}`") != "?", F.col(f"r.`{a}`")).alias(a) for a in attrs])
+    ddl = ", ".join(f"`{n}` STRING" for n in (*attrs, CORRUPT))
+    parsed = body.select(F.from_csv("value", ddl, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+                         .alias("r"), "_file")
+    rows = _aligned(parsed, attrs, attrs)
+    return rows.select(*[F.when(F.col(f"`{a}`") != "?", F.col(f"`{a}`")).alias(a) for a in attrs], RESCUED)
 
 
 def list_tables(spark: SparkSession, root: str, suffix: str = ".parquet") -> list[str]:

@@ -1,11 +1,13 @@
 """Incremental bronze ingest (SRC1, SRC3, SRC8, SNK1, SNK2, SNK6, STR1-3).
 
-Each registry entry becomes one Structured Streaming query: file source on
-the entry's landing folder -> metadata columns -> append parquet sink with
-its own checkpoint.  ``availableNow`` processes everything new and stops;
-the file-source log in the checkpoint makes a re-run add 0 rows.  All
-present sources are started first and awaited afterwards, so they ingest
-concurrently.
+Each registry entry becomes one Structured Streaming query: the lines of its
+landed files -> columns by each file's own header or keys -> an append-only
+parquet table with its own checkpoint.  ``availableNow`` processes everything
+new and stops; the file-source log in the checkpoint makes a re-run add 0
+rows.  A micro-batch writes the folder ``_micro_batch=<n>`` and replaces it if
+it is run again after a failure, so a replay adds no rows either.  All present
+sources are started first and awaited afterwards, so they ingest concurrently;
+a source that fails gets the status ERROR and leaves the others alone.
 """
 
 from __future__ import annotations
@@ -13,33 +15,30 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stratum.operators.governance import tag_columns
-from stratum.sources.files import (CORRUPT, RESCUED, Source, csv_options, has_files, header_schema,
-                                   rescued, string_schema)
+from stratum.sources.files import (RESCUED, Source, has_files, parse_csv, parse_json, path_exists,
+                                   text_lines)
 
 STATUS_SCHEMA = "table string, status string, folder string"
+MICRO_BATCH = "_micro_batch"
+METADATA = (RESCUED, "_source_file", "_ingest_ts", "_batch_id", MICRO_BATCH)
+FILES_PER_BATCH = 10_000        # bounds the headers that a micro-batch looks up
 
 
-def _stream(spark: SparkSession, src: Source, folder: str, json_fields: Sequence[str] = ()) -> DataFrame:
-    if src.fmt == "csv":
-        schema = header_schema(spark, folder, src)
-        reader = spark.readStream.options(**csv_options(src)).schema(schema)
-        df = reader.csv(folder)
-    elif src.fmt == "json":
-        schema = string_schema(json_fields)
-        df = (spark.readStream.schema(schema).option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", CORRUPT).option("pathGlobFilter", src.pattern)
-              .option("primitivesAsString", "true").json(folder))
-    else:
-        raise ValueError(f"streaming ingest does not support {src.fmt!r}")
-    data_cols = [c for c in schema.fieldNames() if c != CORRUPT]
-    return df.select(*data_cols, rescued().alias(RESCUED),
-                     F.current_timestamp().alias("_ingest_ts"),
-                     F.col("_metadata.file_path").alias("_source_file"))
+def table_columns(spark: SparkSession, target: str) -> list[str] | None:
+    """The data columns that a bronze table has so far."""
+    if not path_exists(spark, target):
+        return None
+    try:
+        columns = spark.read.parquet(target).columns
+    except AnalysisException:       # nothing written yet
+        return None
+    return [c for c in columns if c not in METADATA]
 
 
 def start_ingest(spark: SparkSession, src: Source, landing: str, target: str, checkpoint: str,
@@ -47,17 +46,29 @@ def start_ingest(spark: SparkSession, src: Source, landing: str, target: str, ch
                  processing_time: str | None = None) -> StreamingQuery:
     """One source -> one append-only bronze table.  Triggered mode
     (``availableNow``, the default) catches up and stops; continuous mode
-    (``processing_time="1 minute"``) keeps polling the landing folder."""
+    (``processing_time="1 minute"``) keeps polling the landing folder.
+
+    The table's columns are those of its first files (or ``json_fields``);
+    later files are matched by name, and what the table has no column for goes
+    to ``_rescued_data``."""
+    if src.fmt not in ("csv", "json"):
+        raise ValueError(f"streaming ingest does not support {src.fmt!r}")
     folder = f"{landing.rstrip('/')}/{src.subdir}"
-    df = _stream(spark, src, folder, json_fields).withColumn("_batch_id", F.lit(batch_id))
-    # PII tags travel as field metadata into the bronze files; names are
-    # matched case-insensitively and unknown ones only warn
-    df = tag_columns(df, {c: {"pii": "true"} for c in src.pii})
-    w = (df.writeStream.format("parquet").outputMode("append")
-           .option("checkpointLocation", checkpoint)
-           .queryName(f"ingest_{src.table}_{batch_id[:8]}"))
+
+    def land(lines: DataFrame, number: int) -> None:
+        canonical = table_columns(spark, target) or list(json_fields) or None
+        rows = parse_csv(lines, src, canonical) if src.fmt == "csv" else parse_json(lines, canonical)
+        rows = rows.withColumns({"_ingest_ts": F.current_timestamp(), "_batch_id": F.lit(batch_id)})
+        # PII tags travel as field metadata into the bronze files; names are
+        # matched case-insensitively and unknown ones only warn
+        rows = tag_columns(rows, {c: {"pii": "true"} for c in src.pii})
+        rows.write.mode("overwrite").parquet(f"{target}/{MICRO_BATCH}={number}")
+
+    lines = text_lines(spark.readStream.option("maxFilesPerTrigger", FILES_PER_BATCH), folder, src)
+    w = (lines.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
+         .queryName(f"ingest_{src.table}_{batch_id[:8]}"))
     w = w.trigger(processingTime=processing_time) if processing_time else w.trigger(availableNow=True)
-    return w.start(target)
+    return w.start()
 
 
 def ingest_all(spark: SparkSession, sources: Sequence[Source], landing: str, bronze_root: str,
@@ -70,14 +81,19 @@ def ingest_all(spark: SparkSession, sources: Sequence[Source], landing: str, bro
     started, status = [], []
     for src in sources:
         folder = f"{landing.rstrip('/')}/{src.subdir}"
-        if not has_files(spark, folder, src.pattern):
-            status.append((src.table, "SKIPPED_no_file", folder))
-            continue
-        q = start_ingest(spark, src, landing, f"{bronze_root}/{src.table}",
-                         f"{checkpoint_root}/{src.table}", batch_id, json_fields.get(src.table, ()))
-        started.append((src, q, folder))
+        try:
+            if not has_files(spark, folder, src.pattern):
+                status.append((src.table, "SKIPPED_no_file", folder))
+                continue
+            started.append((src, start_ingest(spark, src, landing, f"{bronze_root}/{src.table}",
+                                              f"{checkpoint_root}/{src.table}", batch_id,
+                                              json_fields.get(src.table, ())), folder))
+        except Exception as e:  # noqa: BLE001 - the status of this source
+            status.append((src.table, f"ERROR:{type(e).__name__}", folder))
     for src, q, folder in started:
-        q.awaitTermination()
-        exc = q.exception()
-        status.append((src.table, "OK" if exc is None else f"ERROR:{type(exc).__name__}", folder))
+        try:
+            q.awaitTermination()
+            status.append((src.table, "OK", folder))
+        except Exception as e:  # noqa: BLE001 - the status of this source
+            status.append((src.table, f"ERROR:{type(e).__name__}", folder))
     return spark.createDataFrame(status, STATUS_SCHEMA)

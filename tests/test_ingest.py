@@ -1,3 +1,4 @@
+import json
 import os
 import tempfile
 
@@ -50,6 +51,7 @@ def test_streaming_ingest_idempotent(spark):
                    "raw_nomatch": "SKIPPED_no_file"}
     tags = {f.name: (f.metadata or {}).get("tags") for f in spark.read.parquet(f"{out}/b/raw_claims").schema.fields}
     assert tags["name"] == {"pii": "true"} and tags["id"] is None
+    spark.catalog.clearCache()
     n1 = {t: spark.read.parquet(f"{out}/b/{t}").count() for t in ("raw_claims", "raw_types", "raw_cmpl")}
     assert n1 == {"raw_claims": 4, "raw_types": 1, "raw_cmpl": 1}
     ingest_all(spark, SOURCES, root, f"{out}/b", f"{out}/c")
@@ -73,8 +75,8 @@ def test_arff(spark):
     _write(f"{root}/sev.arff", "% comment\n@RELATION sev\n@ATTRIBUTE IDpol NUMERIC\n"
                                "@ATTRIBUTE ClaimAmount NUMERIC\n\n@DATA\n1,995.2\n3,1128.12\n")
     df = scan_arff(spark, f"{root}/sev.arff")
-    assert df.columns == ["IDpol", "ClaimAmount"]
-    assert sorted(tuple(r) for r in df.collect()) == [("1", "995.2"), ("3", "1128.12")]
+    assert df.columns == ["IDpol", "ClaimAmount", "_rescued_data"]
+    assert sorted(tuple(r) for r in df.collect()) == [("1", "995.2", None), ("3", "1128.12", None)]
 
 
 def test_continuous_mode_picks_up_new_files(spark):
@@ -91,3 +93,56 @@ def test_continuous_mode_picks_up_new_files(spark):
         assert spark.read.parquet(f"{out}/t").count() == 3
     finally:
         q.stop()
+
+
+def test_files_are_read_by_their_own_header(spark):
+    root = tempfile.mkdtemp(prefix="stratum-headers-")
+    _write(f"{root}/d/a1.csv", "x,y\n1,2\n")
+    _write(f"{root}/d/a2.csv", "y,x\n20,10\n")
+    _write(f"{root}/d/a3.csv", "x,y,extra\n5,6,9\n")
+    _write(f"{root}/d/a4.csv", "x,renamed\n7,8\n")
+    _write(f"{root}/d/a5 %20é.csv", "x\n11\n")
+    out = tempfile.mkdtemp(prefix="stratum-bronze-")
+    src = Source("raw_d", "d", "*.csv")
+    assert ingest_all(spark, [src], root, f"{out}/b", f"{out}/c").first()["status"] == "OK"
+    rows = {r.x: r for r in spark.read.parquet(f"{out}/b/raw_d").collect()}
+    assert {k: r.y for k, r in rows.items()} == {"1": "2", "10": "20", "5": "6", "7": None, "11": None}
+    extra = {k: json.loads(r._rescued_data)["extra"] for k, r in rows.items() if r._rescued_data}
+    assert extra == {"5": {"extra": "9"}, "7": {"renamed": "8"}}
+    _write(f"{root}/d/b.csv", "z,y,x\n3,2,12\n")             # a later run keeps the table's columns
+    ingest_all(spark, [src], root, f"{out}/b", f"{out}/c")
+    late = spark.read.parquet(f"{out}/b/raw_d").where("x = '12'").first()
+    assert late.y == "2" and json.loads(late._rescued_data)["extra"] == {"z": "3"}
+
+
+def test_json_fields_are_rescued_and_broken_sources_stay_alone(spark):
+    root = tempfile.mkdtemp(prefix="stratum-json-")
+    _write(f"{root}/j/a.json", '{"a":1,"b":{"c":2},"extra":9}\n{"a":3}\nnot json\n')
+    _write(f"{root}/k/a.json", '{"p":1}\n{"q":"x"}\n')
+    _write(f"{root}/h/a.txt", "1\t2\n")
+    out = tempfile.mkdtemp(prefix="stratum-bronze-")
+    sources = [Source("raw_h", "h", "*.txt", "csv", "\t", False), Source("raw_j", "j", "*.json", "json"),
+               Source("raw_odd", "k", "*.json", "xml"), Source("raw_k", "k", "*.json", "json")]
+    got = {r.table: r.status for r in
+           ingest_all(spark, sources, root, f"{out}/b", f"{out}/c", {"raw_j": ("a", "b")}).collect()}
+    assert got["raw_j"] == got["raw_k"] == "OK"
+    assert got["raw_h"].startswith("ERROR:") and got["raw_odd"].startswith("ERROR:")
+    rows = spark.read.parquet(f"{out}/b/raw_j").collect()
+    by = {r.a: r for r in rows}
+    assert by["1"].b == '{"c":2}' and json.loads(by["1"]._rescued_data)["extra"] == {"extra": "9"}
+    assert by["3"]._rescued_data is None and json.loads(by[None]._rescued_data)["raw"] == "not json"
+    assert sorted((r.p, r.q) for r in spark.read.parquet(f"{out}/b/raw_k").collect() if r.p) == [("1", None)]
+
+
+def test_arff_surplus_tokens_are_rescued(spark):
+    root = tempfile.mkdtemp(prefix="stratum-arff-")
+    _write(f"{root}/s.arff", "@RELATION s\n@ATTRIBUTE 'the id' NUMERIC\n@ATTRIBUTE b NUMERIC\n@DATA\n1,2\n3,4,5\n6,?\n")
+    rows = {r["the id"]: r for r in scan_arff(spark, f"{root}").collect()}
+    assert rows["1"]["_rescued_data"] is None and rows["6"]["b"] is None
+    assert json.loads(rows["3"]["_rescued_data"])["raw"] == "3,4,5"
+
+
+def test_feeds_share_no_files():
+    from stratum.config import CLAIM_SOURCES, SPECIFIED_SOURCES
+    places = [(s.subdir, s.pattern) for s in (*CLAIM_SOURCES, *SPECIFIED_SOURCES)]
+    assert len(places) == len(set(places))
