@@ -35,7 +35,7 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 
 from stratum.llm.common import Recent, arrow_map, chunks, pieces, without
 
-CACHE = 1 << 18
+CACHE = 1 << 17
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
