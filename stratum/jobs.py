@@ -16,7 +16,7 @@ from stratum.operators.quality import (GateFailed, breakdown, coverage, reconcil
                                        validate_counts)
 from stratum.plans.insurance import SEVERITY_FEEDS, claim_input, run_silver
 from stratum.sinks import run_summary
-from stratum.sources.files import Source
+from stratum.sources.files import Source, path_exists
 from stratum.sources.ingest import ingest_all
 
 
@@ -47,7 +47,7 @@ def silver_job(spark: SparkSession, bronze_root: str, silver_root: str) -> str:
     def write(name: str, df: DataFrame) -> None:
         df.write.mode("overwrite").parquet(f"{silver_root}/{name}")
 
-    run_silver(read, write)
+    run_silver(read, write, complaints=path_exists(spark, f"{bronze_root}/raw_complaints"))
     s = {n: spark.read.parquet(f"{silver_root}/{n}") for n in
          ("claim", "claim_quarantine", "claim_status_history", "claim_severity", "claim_severity_quarantine",
           "dim_policyholder", "dim_vehicle")}

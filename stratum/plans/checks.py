@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stratum.operators.ordered import neighbour, time_chunk
-from stratum.operators.quality import (breakdown, combine_metrics, coverage, expectation_metrics,
+from stratum.operators.quality import (breakdown, coverage, expectation_metrics,
                                        reconcile, resolve_targets, validate_counts)
 from stratum.operators.lifecycle import status_history
 from stratum.plans import claims, policy
@@ -55,13 +55,12 @@ def scd2_invariants(spark, sf_dir):
     d = policy.scd2_policyholder(spark, sf_dir)
     p = neighbour(d, ["policy_id"], ["effective_from", "seq_tie"],
                   time_chunk("effective_from", "year"), carry=["effective_to"], direction="prev")
-    m = combine_metrics({
-        "n_versions": d.agg(F.count(F.lit(1))),
-        "n_current": d.agg(F.count_if(F.col("effective_to").isNull())),
-        "n_keys": d.agg(F.count_distinct("policy_id")),
-        "n_overlaps": p.agg(F.count_if(F.col("prev_effective_to") > F.col("effective_from"))),
-        "n_gaps": p.agg(F.count_if(F.col("prev_effective_to") < F.col("effective_from"))),
-    })
+    # one aggregate has every metric
+    before, start = F.col("prev_effective_to"), F.col("effective_from")
+    m = p.agg(F.count(F.lit(1)).alias("n_versions"),
+              F.count_if(F.col("effective_to").isNull()).alias("n_current"),
+              F.count_distinct("policy_id").alias("n_keys"),
+              F.count_if(before > start).alias("n_overlaps"), F.count_if(before < start).alias("n_gaps"))
     return m.withColumn("current_eq_keys", F.col("n_current") == F.col("n_keys"))
 
 

@@ -89,7 +89,7 @@ def mart_claim_360(spark, sf_dir):
         "vehicle_id", "ts", "event_id", "speed", grid_cell("lat", "lon", telematics.CELL_DEG).alias("cell"))
     frame = asof_join(frame, readings, ["vehicle_id"], "loss_ts", "ts", ["event_id", "speed", "cell"],
                       right_tie="event_id", prefix="at_loss_").withColumnRenamed("at_loss_cell", "cell")
-    frame = asof_join(frame, _cell_conditions(spark, sf_dir), ["cell"], "loss_ts", "obs_ts",
+    frame = asof_join(frame, telematics.cell_conditions(spark, sf_dir), ["cell"], "loss_ts", "obs_ts",
                       ["avg_speed", "n_events"], prefix="cell_")
     return frame.select(
         "claim_id", "source_system", "policy_id", "segment", "region", "tier_at_incident", "vehicle_id", "risk_score",
@@ -97,15 +97,6 @@ def mart_claim_360(spark, sf_dir):
         "claim_amount", "is_fraud")
 
 
-def _cell_conditions(spark, sf_dir):
-    """Hourly observations of a grid cell, published at the hour's end."""
-    tel = telematics.telemetry(spark, sf_dir).withColumn("cell", grid_cell("lat", "lon", telematics.CELL_DEG))
-    return (tel.groupBy("cell", F.date_trunc("hour", "ts").alias("hour"))
-            .agg(F.round(F.avg("speed"), 4).alias("avg_speed"), F.count(F.lit(1)).alias("n_events"))
-            .select("cell", (F.col("hour") + F.expr("INTERVAL 1 HOUR")).cast("timestamp_ntz").alias("obs_ts"),
-                    "avg_speed", "n_events"))
-
-
 def claim_status_scd2(spark, sf_dir):
     """CDC5: claim status kept as SCD2 history (key claim_id)."""
     h = claims.claim_history(spark, sf_dir).select(
@@ -119,7 +110,7 @@ def loss_conditions(spark, sf_dir):
     published (hour end) at or before the loss; key = grid cell, a few hot
     keys, handled by the chunked as-of join."""
     tel = telematics.telemetry(spark, sf_dir).withColumn("cell", grid_cell("lat", "lon", telematics.CELL_DEG))
-    obs = _cell_conditions(spark, sf_dir)
+    obs = telematics.cell_conditions(spark, sf_dir)
     losses = tel.where(F.col("event_type") == "error").select(
         F.col("event_id").alias("loss_id"), "cell", F.col("ts").alias("loss_ts"))
     return asof_join(losses, obs, ["cell"], "loss_ts", "obs_ts", ["avg_speed", "n_events"],
@@ -192,9 +183,9 @@ def stream_telemetry_split(spark, sf_dir):
              "bad_payload": c("k").isNull()}
 
     def split(batch: DataFrame, batch_id: int) -> None:
-        r = apply_rules(batch, rules)
-        r.where("is_valid").write.mode("overwrite").parquet(f"{root}/valid/batch_id={batch_id}")
-        r.where("NOT is_valid").write.mode("overwrite").parquet(f"{root}/quarantine/batch_id={batch_id}")
+        # written once, partitioned by the flag
+        apply_rules(batch, rules).write.mode("overwrite").partitionBy("is_valid") \
+            .parquet(f"{root}/rows/batch_id={batch_id}")
 
     src = observe_expectations(
         spark.readStream.schema(tel.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/landing"),
@@ -202,10 +193,8 @@ def stream_telemetry_split(spark, sf_dir):
     q = (src.writeStream.foreachBatch(split).option("checkpointLocation", f"{root}/_checkpoint")
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    v = spark.read.parquet(f"{root}/valid").select("event_id", F.lit("valid").alias("branch"), "quarantine_reason")
-    qq = spark.read.parquet(f"{root}/quarantine").select("event_id", F.lit("quarantine").alias("branch"),
-                                                          "quarantine_reason")
-    return v.unionByName(qq)
+    return spark.read.parquet(f"{root}/rows").select(
+        "event_id", F.when(F.col("is_valid").cast("boolean"), "valid").otherwise("quarantine").alias("branch"), "quarantine_reason")
 
 
 SAMPLE_TABLES = ("region", "nation", "supplier")

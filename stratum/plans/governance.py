@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stratum.operators.governance import mask_tagged, mask_value, tag_columns, tenant_filter
+from stratum.operators.governance import column_tags, mask_tagged, mask_value, tag_columns, tenant_filter
 from stratum.plans.common import t
 
 MASK_SALT = "stratum-v1"   # binding: token salt (rotate per environment)
@@ -41,3 +41,8 @@ def tenant_orders(spark, sf_dir):
                          entitlements(spark, sf_dir), ["c_nationkey"], PRINCIPAL)
     o = t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
     return o.join(cust.select(F.col("c_custkey").alias("o_custkey")), "o_custkey", "left_semi")
+
+
+def customer_tags(spark, sf_dir):
+    """GOV2: the tags of the tagged table, one row per column and tag."""
+    return column_tags(spark, tagged_customers(spark, sf_dir), "customer")

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, DateType, IntegerType, StringType, StructField, StructType
 
 from stratum.functions.dates import month_number, parse_date_multi, safe_make_date
 from stratum.functions.flags import flag_in, flag_upper_equals
@@ -46,6 +46,8 @@ RAW_COLUMNS = {
     "raw_claim_severity": ("IDpol", "ClaimAmount"),
     "raw_claims_by_type": ("ID", "Cost_claims_by_type", "Claims_type", "Cost_claims_year"),
 }
+RAW_COLUMNS["raw_complaints"] = ("MAKETXT", "MODELTXT", "YEARTXT", "CRASH", "FIRE", "INJURED", "DEATHS", "FAILDATE",
+                                 "VIN", "CITY", "STATE", "CDESCR")
 _METADATA = ("_ingest_ts", "_source_file")
 
 
@@ -180,6 +182,35 @@ SEVERITY = _layout("source_system policy_id claim_amount claim_type year_total_c
 HOLDER = _layout("policy_number source_system age sex zip state education occupation", {"age": IntegerType()})
 VEHICLE = _layout("make model model_year category", {"model_year": IntegerType()})
 
+COMPLAINT = _layout("complaint_key make model model_year crash fire injured deaths fail_date vin city state narrative "
+                    "bad_fields", {"model_year": IntegerType(), "crash": BooleanType(), "fire": BooleanType(),
+                                   "injured": IntegerType(), "deaths": IntegerType(), "fail_date": DateType()})
+
+
+def compact_date(raw: str) -> Column:
+    """``yyyyMMdd``."""
+    return F.try_to_timestamp(c(raw), F.lit("yyyyMMdd")).cast("date")
+
+
+COMPLAINT_FIELDS = {
+    "make": "MAKETXT", "model": "MODELTXT", "vin": "VIN", "city": "CITY", "state": "STATE", "narrative": "CDESCR",
+    **{t: Parsed((r,), whole) for t, r in (("model_year", "YEARTXT"), ("injured", "INJURED"), ("deaths", "DEATHS"))},
+    **{t: Parsed((r,), flag_upper_equals) for t, r in (("crash", "CRASH"), ("fire", "FIRE"))},
+    "fail_date": Parsed(("FAILDATE",), compact_date),
+}
+
+
+def complaint(read: Reader) -> DataFrame:
+    """Complaints typed, one row per distinct raw row; fields that can't be
+    parsed are NULL and named in ``bad_fields``."""
+    raw = _with_layout(read)("raw_complaints")
+    parsed = {t: f for t, f in COMPLAINT_FIELDS.items() if isinstance(f, Parsed)}
+    bad = F.concat_ws("; ", *[F.when(f.failed(), F.lit(f"bad_{t}")) for t, f in parsed.items()])
+    mapping = {t: f.typed() if isinstance(f, Parsed) else f for t, f in COMPLAINT_FIELDS.items()}
+    return conform(raw, {**mapping, "complaint_key": surrogate_key(*RAW_COLUMNS["raw_complaints"]),
+                         "bad_fields": F.nullif(bad, F.lit(""))}, COMPLAINT).distinct()
+
+
 # target -> raw column, by raw table
 SEVERITY_FEEDS = {
     "raw_claim_severity": ("freMTPL2sev", {"policy_id": "IDpol", "claim_amount": "ClaimAmount"}),
@@ -242,7 +273,8 @@ def dim_vehicle(read: Reader) -> DataFrame:
                 attributes, time_chunk("seq_ts", "month"))
 
 
-def run_silver(read: Reader, write: Callable[[str, DataFrame], None]) -> dict[str, DataFrame]:
+def run_silver(read: Reader, write: Callable[[str, DataFrame], None],
+               complaints: bool = False) -> dict[str, DataFrame]:
     """Build and write every silver table; the enriched claims are
     materialised once and both sides of the split read the same files."""
     s = silver(read)
@@ -252,6 +284,8 @@ def run_silver(read: Reader, write: Callable[[str, DataFrame], None]) -> dict[st
            "claim_severity": sev.where("bad_amounts IS NULL").drop("bad_amounts"),
            "claim_severity_quarantine": sev.where("bad_amounts IS NOT NULL"),
            "dim_policyholder": s["dim_policyholder"], "dim_vehicle": s["dim_vehicle"]}
+    if complaints:                      # the feed may not have landed
+        out["complaint"] = complaint(read)
     for name, df in out.items():
         write(name, df)
     return out

@@ -733,3 +733,34 @@ SQL["severity_recon"] = """SELECT (SELECT count(*) FROM lineitem) AS line_feed,
     + (SELECT count(*) FROM orders WHERE o_totalprice IS NOT NULL) AS kept_rows,
     (SELECT count(*) FROM lineitem WHERE l_extendedprice IS NULL)
     + (SELECT count(*) FROM orders WHERE o_totalprice IS NULL) AS quarantine_rows, TRUE AS identity_ok"""
+
+SQL["stream_policyholder"] = SQL["scd2_policyholder"]
+SQL["fact_trip_merge"] = SQL["fact_trip"]
+SQL["stream_vehicle"] = """WITH d AS (SELECT DISTINCT l_partkey AS vehicle_key, l_suppkey AS category, l_shipdate AS seq_ts,
+        l_orderkey AS seq_order, l_linenumber AS seq_line FROM lineitem)
+    SELECT vehicle_key, category, seq_ts AS effective_from, lead(seq_ts) OVER w AS effective_to,
+           lead(seq_ts) OVER w IS NULL AS is_current, seq_order, seq_line
+    FROM d WINDOW w AS (PARTITION BY vehicle_key ORDER BY seq_ts, seq_order, seq_line)"""
+SQL["stream_late_rows"] = """WITH m AS (SELECT max(ts) AS top FROM events WHERE event_id % 2 = 0)
+    SELECT event_id, user_id AS vehicle_id, ts, event_id % 2 = 1 AND ts < top - INTERVAL 10 DAY AS is_late FROM events, m"""
+SQL["stream_sliding_windows"] = """WITH e AS (
+      SELECT event_type, value, time_bucket(INTERVAL 30 MINUTE, ts) - to_minutes(30 * unnest(range(0, 4))) AS window_start
+      FROM events)
+    SELECT window_start, event_type, count(*) AS n_events, round(sum(value), 2) AS value_sum FROM e GROUP BY 1, 2"""
+SQL["customer_tags"] = """SELECT 'customer' AS "table", 'c_name' AS "column", 'pii' AS tag, 'name' AS value
+    UNION ALL SELECT 'customer', 'c_acctbal', 'pii', 'balance'"""
+SQL["trip_star"] = f"""WITH {_SESS}, {_RISK_CTE}, {_BRIDGE_CTE},
+    ft AS (SELECT vehicle_id, trip_start, count(*) AS n_events, round(sum(step_km), 3) AS distance_km
+           FROM trips GROUP BY 1, 2),
+    tc AS (SELECT *, {_CELL} AS cell FROM tel),
+    c0 AS (SELECT vehicle_id, ts, arg_min(cell, event_id) AS cell FROM tc GROUP BY 1, 2),
+    h AS (SELECT vehicle_id, count(policy_id) AS n_holders, min(policy_id) AS first_holder FROM bmap GROUP BY 1),
+    x AS (SELECT ft.vehicle_id, ft.trip_start, ft.n_events, ft.distance_km, c0.cell,
+                 CAST(year(trip_start) * 10000 + month(trip_start) * 100 + day(trip_start) AS INTEGER) AS date_key,
+                 n_holders, first_holder, risk_score
+          FROM ft JOIN c0 ON c0.vehicle_id = ft.vehicle_id AND c0.ts = ft.trip_start
+               LEFT JOIN h ON h.vehicle_id = ft.vehicle_id LEFT JOIN risk rk ON rk.vehicle_id = ft.vehicle_id),
+    obs AS (SELECT cell, date_trunc('hour', ts) + INTERVAL 1 HOUR AS obs_ts, round(avg(speed), 4) AS avg_speed,
+                   count(*) AS n_events FROM tc GROUP BY cell, date_trunc('hour', ts))
+    SELECT x.*, obs.obs_ts, obs.avg_speed AS cell_avg_speed, obs.n_events AS cell_n_events
+    FROM x ASOF LEFT JOIN obs ON obs.cell = x.cell AND x.trip_start >= obs.obs_ts"""

@@ -36,6 +36,8 @@ _RAW: dict[str, Query] = {
     "trips_by_gap": telematics.trips_by_gap,
     "trips_by_ignition": telematics.trips_by_ignition,
     "fact_trip": telematics.fact_trip,
+    "fact_trip_merge": telematics.fact_trip_merge,
+    "trip_star": telematics.trip_star,
     "trip_daily": telematics.trip_daily,
     "driver_risk": telematics.driver_risk,
     "grid_cells": telematics.grid_cells,
@@ -68,6 +70,7 @@ _RAW: dict[str, Query] = {
     "scd2_invariants": checks.scd2_invariants,
     "row_count_validation": checks.row_count_validation,
     "volume_floor": checks.volume_floor,
+    "customer_tags": governance.customer_tags,
     "masked_customers": governance.masked_customers,
     "tenant_orders": governance.tenant_orders,
     "feature_fraud": features.feature_fraud,
@@ -80,6 +83,10 @@ _RAW: dict[str, Query] = {
     "claim_context": features.claim_context,
     "bronze_ingest": streams.bronze_ingest,
     "stream_scd2": streams.stream_scd2,
+    "stream_policyholder": streams.stream_policyholder,
+    "stream_vehicle": streams.stream_vehicle,
+    "stream_late_rows": streams.stream_late_rows,
+    "stream_sliding_windows": streams.stream_sliding_windows,
     "stream_sessions": streams.stream_sessions,
     "stream_windows": streams.stream_windows,
     "stream_dedup": streams.stream_dedup,

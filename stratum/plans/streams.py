@@ -21,13 +21,15 @@ from stratum.sources.ingest import ingest_all
 from stratum.streaming.ignition import ignition_trips_stream
 from stratum.streaming.scd2_stream import run_scd2_stream
 from stratum.streaming.telemetry_stream import (dedup_stream, run_to_sink, sessions_stream,
-                                                windows_stream)
+                                                split_late, windows_stream)
 from stratum.plans.common import t
 
 NATION_COLUMNS = ("n_nationkey", "n_name", "n_regionkey")
 ORDER_FIELDS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
                 "o_orderpriority")
 
+LATE_DELAY_SECONDS = 10 * 86_400
+
 # Registry: one landed file family per bronze table (SRC2, SRC6, SRC13, SRC16).
 SOURCES = (
     Source("raw_customer", "customer", "*.csv", "csv", ",", True, pii=("c_name",)),
@@ -76,16 +78,88 @@ def stream_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
     several files (one micro-batch each, years interleaved), merged with
     ``foreachBatch`` into a bucketed snapshot."""
     root = scratch_path(spark, "stream_scd2")
-    changes = t(spark, sf_dir, "orders").select(
+    changes = _policy_changes(spark, sf_dir)
+    _land_by_year(changes, f"{root}/landing")
+    snap = run_scd2_stream(spark, _year_stream(spark, f"{root}/landing", changes), ["policy_id"],
+                           ["seq_ts", "seq_tie"], ["tier"], lambda: time_chunk("seq_ts", "year"),
+                           root, buckets=_buckets(spark))
+    return snap.select("policy_id", "tier", "effective_from", "effective_to", "is_current", "seq_tie")
+
+
+def _policy_changes(spark, sf_dir) -> DataFrame:
+    return t(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("policy_id"), F.col("o_orderpriority").alias("tier"),
         F.col("o_orderdate").alias("seq_ts"), F.col("o_orderkey").alias("seq_tie"))
-    changes.repartition(6, F.year("seq_ts")).write.parquet(f"{root}/landing")
-    snap = run_scd2_stream(spark, f"{root}/landing", changes.schema, ["policy_id"],
-                           ["seq_ts", "seq_tie"], ["tier"], lambda: time_chunk("seq_ts", "year"),
-                           root, buckets=16)
+
+
+def _land_by_year(changes: DataFrame, path: str) -> None:
+    changes.withColumn("year", F.year("seq_ts")).write.partitionBy("year").parquet(path)
+
+
+def _year_stream(spark, path: str, changes: DataFrame) -> DataFrame:
+    """The landed change log, a few files per micro-batch."""
+    schema = changes.withColumn("year", F.year("seq_ts")).schema
+    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", 4).parquet(path)
+            .select(*changes.columns))
+
+
+def _buckets(spark) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def stream_policyholder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR5 + CDC1: two portfolios' change streams united into one history;
+    the second delivers part of the first's rows again."""
+    root = scratch_path(spark, "stream_policyholder")
+    changes = _policy_changes(spark, sf_dir)
+    _land_by_year(changes.where("seq_tie % 2 = 0 OR seq_tie % 3 = 0"), f"{root}/landing_a")
+    _land_by_year(changes.where("seq_tie % 2 = 1 OR seq_tie % 3 = 0"), f"{root}/landing_b")
+    both = _year_stream(spark, f"{root}/landing_a", changes).unionByName(
+        _year_stream(spark, f"{root}/landing_b", changes))
+    snap = run_scd2_stream(spark, both, ["policy_id"], ["seq_ts", "seq_tie"], ["tier"],
+                           lambda: time_chunk("seq_ts", "year"), root, buckets=_buckets(spark))
     return snap.select("policy_id", "tier", "effective_from", "effective_to", "is_current", "seq_tie")
 
 
+def stream_vehicle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC10 + STR5 + CDC2: the vehicle dimension from a table that is read as
+    a stream (``readStream.table``): a version per change of a vehicle's (part's)
+    category, here the supplier."""
+    root = scratch_path(spark, "stream_vehicle")
+    name = "vehicle_changes_" + uuid.uuid4().hex[:12]
+    changes = t(spark, sf_dir, "lineitem").select(
+        F.col("l_partkey").alias("vehicle_key"), F.col("l_suppkey").alias("category"),
+        F.col("l_shipdate").alias("seq_ts"), F.col("l_orderkey").alias("seq_order"),
+        F.col("l_linenumber").alias("seq_line"))
+    changes.write.format("parquet").option("path", f"{root}/table").saveAsTable(name)
+    try:
+        snap = run_scd2_stream(spark, spark.readStream.table(name), ["vehicle_key"],
+                               ["seq_ts", "seq_order", "seq_line"], ["category"],
+                               lambda: time_chunk("seq_ts", "year"), root, buckets=_buckets(spark))
+    finally:
+        spark.sql(f"DROP TABLE {name}")         # external: the files stay
+    return snap.select("vehicle_key", "category", "effective_from", "effective_to", "is_current",
+                       "seq_order", "seq_line")
+
+
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR9: the newer half of the feed arrives first, the older half after
+    it; rows more than 10 days behind are late and kept in a side table."""
+    root = scratch_path(spark, "stream_late_rows")
+    ev = _events(spark, sf_dir)
+    half = F.pmod(F.col("event_id"), F.lit(2)) == 0
+    writer = split_late(spark, root, "ts", LATE_DELAY_SECONDS)
+    for i, part in enumerate((ev.where(half), ev.where(~half))):
+        part.write.parquet(f"{root}/landing/delivery={i}")
+        q = (spark.readStream.schema(ev.schema).parquet(f"{root}/landing").select(*ev.columns)
+             .writeStream.foreachBatch(writer).option("checkpointLocation", f"{root}/_checkpoint")
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+    rows = spark.read.parquet(f"{root}/rows")
+    return rows.select("event_id", "vehicle_id", instant_to_ntz("ts").alias("ts"),
+                       F.col("is_late").cast("boolean").alias("is_late"))
+
+
 def _events(spark, sf_dir) -> DataFrame:
     e = t(spark, sf_dir, "events")
     # Watermarks need TIMESTAMP (not NTZ): the wall clock is mapped to an
@@ -136,6 +210,15 @@ def stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.round("value_sum", 2).alias("value_sum"))
 
 
+def stream_sliding_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR9: two-hour windows every 30 minutes per event type."""
+    res = _run_with_sentinel(
+        spark, sf_dir, "stream_sliding_windows",
+        lambda s: windows_stream(s, "ts", "2 hours", "10 minutes", "event_type", "value", "30 minutes"))
+    return res.select(instant_to_ntz("w.start").alias("window_start"), "event_type", "n_events",
+                      F.round("value_sum", 2).alias("value_sum"))
+
+
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR4/DED2: the whole feed is delivered twice; watermark dedup on the
     event id restores exactly-once rows."""

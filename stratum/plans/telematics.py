@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from stratum.functions.geo import grid_cell, haversine_km
 from stratum.functions.times import micros_between
-from stratum.operators.joins import attach_one_row
+from stratum.operators.joins import asof_join, attach_one_row, bridge, star_join
 from stratum.operators.ordered import neighbour, time_chunk
 from stratum.operators.quality import apply_rules
 from stratum.operators.sessions import sessionize
 from stratum.plans.common import t
+from stratum.session import scratch_path
+from stratum.sinks import MergeTable, materialize
 
 # Binding choices (ours; the specification leaves them open).
 TRIP_GAP_SECONDS = 6 * 3600
@@ -136,3 +138,43 @@ def grid_cells(spark, sf_dir):
         F.count(F.lit(1)).alias("n_events"),
         F.count_distinct("vehicle_id").alias("n_vehicles"),
         F.round(F.avg("speed"), 4).alias("avg_speed"))
+
+
+def fact_trip_merge(spark, sf_dir):
+    """SNK5: trips merged into a stored fact: the trips of the first half of
+    the vehicles, then all of them (the first half again), then a replay."""
+    trips = materialize(fact_trip(spark, sf_dir), "merge_trips")
+    stored = MergeTable(spark, scratch_path(spark, "fact_trip"), ["vehicle_id", "trip_start"])
+    stored.merge(trips.where("vehicle_id % 2 = 0"))
+    stored.merge(trips)
+    return stored.merge(trips)
+
+
+def trip_star(spark, sf_dir):
+    """JN1 + JN5: the trip fact with its holder (through the vehicle bridge),
+    day key, risk score, and the conditions in the cell where the trip began."""
+    trips = fact_trip(spark, sf_dir)
+    first = telemetry(spark, sf_dir).select("vehicle_id", F.col("ts").alias("trip_start"), "event_id",
+                                            grid_cell("lat", "lon", CELL_DEG).alias("cell"))
+    first = first.groupBy("vehicle_id", "trip_start").agg(F.min_by("cell", "event_id").alias("cell"))
+    holders = bridge(t(spark, sf_dir, "customer"), "c_custkey",
+                     t(spark, sf_dir, "events").select(F.col("user_id").alias("vehicle_id")), "vehicle_id")
+    n_holders = holders.groupBy("vehicle_id").agg(F.count("c_custkey").alias("n_holders"),
+                                                  F.min("c_custkey").alias("first_holder"))
+    risk = driver_risk(spark, sf_dir).select("vehicle_id", "risk_score")
+    frame = trips.join(first, ["vehicle_id", "trip_start"]).select(
+        "vehicle_id", "trip_start", "n_events", "distance_km", "cell",
+        (F.year("trip_start") * 10000 + F.month("trip_start") * 100 + F.dayofmonth("trip_start")).alias("date_key"))
+    frame = star_join(frame, [(n_holders, ["vehicle_id"]), (risk, ["vehicle_id"])])
+    obs = cell_conditions(spark, sf_dir)
+    return (asof_join(frame, obs, ["cell"], "trip_start", "obs_ts", ["avg_speed", "n_events"], prefix="cell_")
+            .withColumnRenamed("cell_obs_ts", "obs_ts"))
+
+
+def cell_conditions(spark, sf_dir):
+    """Hourly observations of a grid cell, published at the hour's end."""
+    tel = telemetry(spark, sf_dir).withColumn("cell", grid_cell("lat", "lon", CELL_DEG))
+    return (tel.groupBy("cell", F.date_trunc("hour", "ts").alias("hour"))
+            .agg(F.round(F.avg("speed"), 4).alias("avg_speed"), F.count(F.lit(1)).alias("n_events"))
+            .select("cell", (F.col("hour") + F.expr("INTERVAL 1 HOUR")).cast("timestamp_ntz").alias("obs_ts"),
+                    "avg_speed", "n_events"))

@@ -12,7 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratum.operators.cdc import upsert, upsert_anti
 from stratum.session import scratch_path
+from stratum.sources.files import read_text_file, write_text_file
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -40,6 +42,39 @@ def write_table(df: DataFrame, target: str, comment: str | None = None, mode: st
         df.sparkSession.sql(f"COMMENT ON TABLE {target} IS '{esc}'")
 
 
+class MergeTable:
+    """A stored table, bucketed by its key, that batches are merged into
+    (latest ``seq`` wins; without ``seq`` the update wins).
+
+    A merge writes a new version beside the old one and then moves the version
+    pointer, so readers see either, a failed merge leaves the old one, and a
+    replayed merge changes nothing."""
+
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], seq: Sequence[str] = ()):
+        self.spark, self.root, self.keys, self.seq = spark, root.rstrip("/"), list(keys), list(seq)
+
+    def version(self) -> int:
+        return int(read_text_file(self.spark, f"{self.root}/current") or 0)
+
+    def read(self) -> DataFrame | None:
+        n = self.version()
+        return self.spark.read.parquet(f"{self.root}/v{n}") if n else None
+
+    def merge(self, updates: DataFrame) -> DataFrame:
+        old, n = self.read(), self.version() + 1
+        if old is None:
+            new = updates
+        elif self.seq:
+            new = upsert(old, updates, self.keys, self.seq)
+        else:
+            new = upsert_anti(old, updates, self.keys)
+        parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        (new.repartition(parts, *self.keys).sortWithinPartitions(*self.keys)
+         .write.mode("overwrite").parquet(f"{self.root}/v{n}"))
+        write_text_file(self.spark, f"{self.root}/current", str(n))
+        return self.read()
+
+
 def append_evolving(existing: DataFrame, new: DataFrame) -> DataFrame:
     """Schema-evolving append: columns missing on either side become NULL."""
     return existing.unionByName(new, allowMissingColumns=True)

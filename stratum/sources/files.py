@@ -253,6 +253,14 @@ def list_tables(spark: SparkSession, root: str, suffix: str = ".parquet") -> lis
     return sorted(n[: -len(suffix)] for n in names if n.endswith(suffix))
 
 
+def partition_values(spark: SparkSession, path: str, column: str) -> list[int]:
+    """The values of an integer partition column that a written table has: a
+    listing of its folders."""
+    fs, p = _fs(spark, path)
+    names = [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+    return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith(f"{column}="))
+
+
 def write_arff(df: DataFrame, path: str, relation: str) -> None:
     """Land a frame as ARFF: a header file plus data files written in
     parallel (values rendered as text; decimals never in exponent form)."""

@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.operators.cdc import scd2
+from stratum.sources.files import partition_values
+from stratum.streaming.telemetry_stream import trigger_of
 
 BUCKET = "__bucket"
 
@@ -32,15 +34,16 @@ def bucket_of(keys: Sequence[str], n: int) -> Column:
 
 def make_batch_writer(spark: SparkSession, keys: Sequence[str], seq: Sequence[str],
                       tracked: Sequence[str], chunk_fn, log_path: str, snapshot_path: str,
-                      buckets: int = 64, coalesce_repeats: bool = False):
+                      buckets: int, coalesce_repeats: bool = False):
     keys, seq, tracked = list(keys), list(seq), list(tracked)
     cols = keys + tracked + seq
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        b = batch.select(*cols).withColumn(BUCKET, bucket_of(keys, buckets))
-        (b.write.mode("overwrite").partitionBy(BUCKET)
-          .parquet(f"{log_path}/batch_id={batch_id}"))
-        touched = [r[0] for r in b.select(BUCKET).distinct().collect()]  # <= buckets values
+        own = f"{log_path}/batch_id={batch_id}"
+        (batch.select(*cols).withColumn(BUCKET, bucket_of(keys, buckets))
+         .write.mode("overwrite").partitionBy(BUCKET).parquet(own))
+        # the written batch tells its buckets by its folders: it isn't evaluated again
+        touched = partition_values(spark, own, BUCKET)
         if not touched:
             return
         log = spark.read.parquet(log_path).where(F.col(BUCKET).isin(touched)).select(*cols)
@@ -52,15 +55,16 @@ def make_batch_writer(spark: SparkSession, keys: Sequence[str], seq: Sequence[st
     return write_batch
 
 
-def run_scd2_stream(spark: SparkSession, source_dir: str, schema, keys, seq, tracked, chunk_fn,
-                    root: str, buckets: int = 64, max_files_per_trigger: int = 1) -> DataFrame:
-    """Run the change-log stream to completion (``availableNow``) and return
-    the snapshot."""
+def run_scd2_stream(spark: SparkSession, changes: DataFrame, keys, seq, tracked, chunk_fn,
+                    root: str, buckets: int, processing_time: str | None = None) -> DataFrame:
+    """Merge the streaming frame ``changes`` into a snapshot; by default to
+    completion (``availableNow``).  Feeds are united before: rows delivered
+    twice (equal key, attributes and sequence) count once, however far apart
+    they arrive, since the snapshot is rebuilt from the distinct log rows.
+    ``buckets`` should be about the snapshot's bytes / 1 GB."""
     writer = make_batch_writer(spark, keys, seq, tracked, chunk_fn, f"{root}/log",
                                f"{root}/snapshot", buckets)
-    q = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
-         .parquet(source_dir)
-         .writeStream.foreachBatch(writer).option("checkpointLocation", f"{root}/_checkpoint")
-         .trigger(availableNow=True).start())
+    q = (changes.writeStream.foreachBatch(writer).option("checkpointLocation", f"{root}/_checkpoint")
+         .trigger(**trigger_of(processing_time)).start())
     q.awaitTermination()
     return spark.read.parquet(f"{root}/snapshot").drop(BUCKET)

@@ -3,7 +3,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from stratum.plans.insurance import claim_tables, run_silver, silver
+from stratum.plans.insurance import claim_tables, complaint, run_silver, silver
 
 TS1 = dt.datetime(2024, 1, 1)
 TS2 = dt.datetime(2024, 2, 1)
@@ -96,3 +96,17 @@ def test_rows_with_different_bad_text_stay_apart(spark):
     both = one.unionByName(one.withColumn("total_claim_amount", F.lit("xyz")))
     t = claim_tables(silver({**frames, "raw_insurance_claims": both}.__getitem__)["claim_enriched"])
     assert t["claim_quarantine"].where("policy_number = 'P2'").count() == 2
+
+
+def test_complaints_are_typed(spark):
+    cols = "MAKETXT MODELTXT YEARTXT CRASH FIRE INJURED DEATHS FAILDATE VIN CITY STATE CDESCR".split()
+    rows = [("FORD", "F150", "2010", "Y", "N", "1", "0", "20100131", "v", "c", "s", "BRAKES FAILED"),
+            ("FORD", "F150", "2010", "Y", "N", "1", "0", "20100131", "v", "c", "s", "BRAKES FAILED"),
+            ("VW", None, "x", None, "n", "", "two", "2010-13-01", None, None, None, None)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in cols))
+    got = {r.make: r for r in complaint({"raw_complaints": df}.__getitem__).collect()}
+    assert len(got) == 2
+    ford = got["FORD"]
+    assert (ford.model_year, ford.crash, ford.fire, ford.injured) == (2010, True, False, 1)
+    assert ford.fail_date == dt.date(2010, 1, 31) and ford.bad_fields is None
+    assert got["VW"].bad_fields == "bad_model_year; bad_deaths; bad_fail_date"

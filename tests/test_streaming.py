@@ -128,3 +128,32 @@ def test_state_partitions_follow_the_cluster_and_conf_is_restored(spark):
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     ops = [op for p in q.recentProgress for op in (p.get("stateOperators") or [])]
     assert ops and all(op.get("numShufflePartitions", 3) == 3 for op in ops)
+
+
+def test_late_rows_go_to_the_side_table_and_a_replay_changes_nothing(spark):
+    from stratum.streaming.telemetry_stream import split_late
+    root = tempfile.mkdtemp(prefix="stratum-late-")
+    write = split_late(spark, root, "ts", 60)
+
+    def batch(*seconds):
+        return spark.createDataFrame([(s,) for s in seconds], "s long").selectExpr("s", "timestamp_seconds(s) AS ts")
+    write(batch(1000, 5), 0)
+    write(batch(939, 940, 2000), 1)
+    write(batch(939, 940, 2000), 1)
+    write(batch(1500, 1940), 2)
+    got = {(r.s, str(r.is_late).lower()) for r in spark.read.parquet(f"{root}/rows").collect()}
+    assert got == {(1000, "false"), (5, "false"), (939, "true"), (940, "false"), (2000, "false"),
+                   (1500, "true"), (1940, "false")}
+    assert spark.read.parquet(f"{root}/rows").count() == 7
+
+
+def test_merge_table(spark):
+    from stratum.sinks import MergeTable
+    table = MergeTable(spark, tempfile.mkdtemp(prefix="stratum-merge-"), ["k"], ["seq"])
+    rows = lambda *r: spark.createDataFrame(r, "k long, seq long, v string")
+    assert table.read() is None
+    table.merge(rows((1, 1, "a"), (2, 5, "b")))
+    table.merge(rows((1, 2, "c"), (2, 4, "old"), (3, 1, "n")))
+    want = {(1, 2, "c"), (2, 5, "b"), (3, 1, "n")}
+    assert {tuple(r) for r in table.read().collect()} == want
+    assert {tuple(r) for r in table.merge(rows((1, 2, "c"))).collect()} == want
