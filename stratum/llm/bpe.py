@@ -13,7 +13,7 @@ bytes of a new pair.
 
 A text is cut into chunks before each space that is followed by a character
 other than white space: the pattern always ends a match there.  A task keeps
-the ids of the chunks and pieces it has met lately (at most two times ``CACHE``).
+the ids of the chunks and pieces it has met lately, in memos of bounded size.
 
 Defined results: null counts as empty; an empty text has no ids and decodes to
 no bytes.  A vocabulary must hold all 256 bytes.
@@ -35,7 +35,7 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 
 from stratum.llm.common import Recent, arrow_map, chunks, pieces, without
 
-CACHE = 1 << 17
+CHUNKS, PIECES, PAIRS = 1 << 18, 1 << 18, 1 << 19      # entries of the memos
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -58,9 +58,9 @@ class Bpe:
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.size = {rank: len(token) for token, rank in ranks.items()}
         self.split = regex.compile(white_space_by_property(pattern))
-        self._compatible: dict[tuple[int, int], bool] = {}
-        self._pieces = Recent(self.pack_piece, CACHE)
-        self._cache = Recent(self.encode_chunk, CACHE)
+        self._compatible: dict[int, bool] = {}
+        self._pieces = Recent(self.pack_piece, PIECES)
+        self._cache = Recent(self.encode_chunk, CHUNKS)
         # tokens that the merges can make; others occur only as whole pieces
         self.reachable = {rank for token, rank in ranks.items() if self.merge(token) == [rank]}
         self.automaton = ahocorasick.Automaton()
@@ -91,10 +91,10 @@ class Bpe:
         return None
 
     def compatible(self, left: int, right: int) -> bool:
-        if len(self._compatible) >= CACHE * 2:
+        if len(self._compatible) >= PAIRS:
             self._compatible.clear()
         fits = self.merge(self.bytes_of[left] + self.bytes_of[right]) == [left, right]
-        self._compatible[left, right] = fits
+        self._compatible[left << 32 | right] = fits
         return fits
 
     def longest(self, latin: str) -> list[int]:
@@ -119,7 +119,7 @@ class Bpe:
                 if alive[end]:
                     if last is None:
                         break
-                    fits = known.get((last, token))
+                    fits = known.get(last << 32 | token)
                     if fits or fits is None and self.compatible(last, token):
                         break
                 token = shorter[token]
