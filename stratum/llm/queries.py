@@ -99,6 +99,26 @@ ORACLE_SQL: dict[str, str] = {
                doc_id = max(doc_id) OVER same AS kept, text_sha256
         FROM (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents)
         WINDOW same AS (PARTITION BY text_sha256)""",
+    "op6_minhash": r"""
+        WITH RECURSIVE w AS (
+          SELECT doc_id, regexp_extract_all(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x20\x09-\x0D]+') AS ws FROM documents),
+        sh AS MATERIALIZED (
+          SELECT doc_id, unnest(list_distinct(
+                   CASE WHEN len(ws) >= 2 THEN list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])
+                        ELSE ws END)) AS s FROM w),
+        n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+        links AS MATERIALIZED (
+          SELECT x, y FROM (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i
+                            FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2)
+          JOIN n na ON na.doc_id = x JOIN n nb ON nb.doc_id = y WHERE 100 * i >= 80 * (na.n + nb.n - i)),
+        edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+        reach(doc_id, root) AS (
+          SELECT doc_id, doc_id FROM documents
+          UNION SELECT e.y, r.root FROM reach r JOIN edges e ON e.x = r.doc_id)
+        SELECT doc_id, coalesce(n.n, 0) AS n_shingles, min(root) AS component_id, min(root) = doc_id AS kept
+        FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id, n.n""",
     "op10_warc": """
         SELECT page_id, payload_bytes, payload_digest,
                CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN 'revisit'
