@@ -16,8 +16,9 @@ from stratum.operators.quality import (GateFailed, breakdown, coverage, reconcil
                                        validate_counts)
 from stratum.plans.insurance import SEVERITY_FEEDS, claim_input, run_silver
 from stratum.sinks import run_summary
-from stratum.sources.files import Source, path_exists
+from stratum.sources.files import Source
 from stratum.sources.ingest import ingest_all
+from stratum.sources.tables import Catalog
 
 
 def bronze_job(spark: SparkSession, landing: str, bronze_root: str, checkpoint_root: str,
@@ -28,7 +29,7 @@ def bronze_job(spark: SparkSession, landing: str, bronze_root: str, checkpoint_r
 
 def validate_job(spark: SparkSession, bronze_root: str, expected: Mapping[str, int | None],
                  fail_on_mismatch: bool = True) -> str:
-    res = validate_counts(spark, dict(expected), lambda n: spark.read.parquet(f"{bronze_root}/{n}"))
+    res = validate_counts(spark, dict(expected), lambda n: Catalog(bronze_root).read(spark, n))
     summary = run_summary(spark, res)
     if fail_on_mismatch and any(r["status"] not in ("PASS", "COUNT") for r in json.loads(summary)):
         raise GateFailed(summary)
@@ -40,15 +41,16 @@ def silver_job(spark: SparkSession, bronze_root: str, silver_root: str) -> str:
     reconcile exactly on their content key (valid + quarantined + duplicates =
     input), severity rows reconcile with their feeds, one open SCD2 version
     per policyholder, history coverage."""
-    def read(name: str) -> DataFrame:
-        return spark.read.parquet(f"{bronze_root}/{name}")
+    bronze, silver = Catalog(bronze_root), Catalog(silver_root)
 
+    def read(name: str) -> DataFrame:
+        return bronze.read(spark, name)
 
     def write(name: str, df: DataFrame) -> None:
-        df.write.mode("overwrite").parquet(f"{silver_root}/{name}")
+        df.write.mode("overwrite").parquet(silver.path(name))
 
-    run_silver(read, write, complaints=path_exists(spark, f"{bronze_root}/raw_complaints"))
-    s = {n: spark.read.parquet(f"{silver_root}/{n}") for n in
+    run_silver(read, write, complaints=bronze.exists(spark, "raw_complaints"))
+    s = {n: silver.read(spark, n) for n in
          ("claim", "claim_quarantine", "claim_status_history", "claim_severity", "claim_severity_quarantine",
           "dim_policyholder", "dim_vehicle")}
     keyed = claim_input(read)

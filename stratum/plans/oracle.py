@@ -575,12 +575,14 @@ SQL.update({
 # ---------------------------------------------------------------- streams
 SQL.update({
     "bronze_ingest": """
-        SELECT 'raw_customer' AS "table", 'OK' AS status, (SELECT count(*) FROM customer) AS rows,
-               CAST(0 AS BIGINT) AS rescued_rows, CAST(0 AS BIGINT) AS rerun_rows, 1 AS pii_tagged
-        UNION ALL SELECT 'raw_supplier', 'OK', (SELECT count(*) FROM supplier), 0, 0, 1
-        UNION ALL SELECT 'raw_nation', 'OK', (SELECT count(*) FROM nation), 0, 0, 0
-        UNION ALL SELECT 'raw_orders', 'OK', (SELECT count(*) FROM orders), 0, 0, 0
-        UNION ALL SELECT 'raw_complaints', 'SKIPPED_no_file', NULL, NULL, NULL, NULL""",
+        SELECT 'raw_customer' AS "table", 'OK' AS status, count(*) AS rows,
+               CAST(count_if(c_custkey % 2 = 1) AS BIGINT) AS rescued_rows, CAST(0 AS BIGINT) AS rerun_rows,
+               CAST(sum(c_custkey) AS BIGINT) AS key_sum, 1 AS pii_tagged FROM customer
+        UNION ALL SELECT 'raw_supplier', 'OK', (SELECT count(*) FROM supplier), 0, 0, NULL, 1
+        UNION ALL SELECT 'raw_nation', 'OK', (SELECT count(*) FROM nation), 0, 0, NULL, 0
+        UNION ALL SELECT 'raw_orders', 'OK', (SELECT count(*) FROM orders), 0, 0, NULL, 0
+        UNION ALL SELECT 'raw_complaints', 'SKIPPED_no_file', NULL, NULL, NULL, NULL, NULL
+        UNION ALL SELECT 'raw_broken', 'ERROR:ValueError', NULL, NULL, NULL, NULL, NULL""",
     "stream_scd2": SQL["scd2_policyholder"],
     "stream_sessions": f"""WITH {_SESS}
         SELECT vehicle_id, trip_start, max(ts) AS trip_end, count(*) AS n_events
@@ -764,3 +766,21 @@ SQL["trip_star"] = f"""WITH {_SESS}, {_RISK_CTE}, {_BRIDGE_CTE},
                    count(*) AS n_events FROM tc GROUP BY cell, date_trunc('hour', ts))
     SELECT x.*, obs.obs_ts, obs.avg_speed AS cell_avg_speed, obs.n_events AS cell_n_events
     FROM x ASOF LEFT JOIN obs ON obs.cell = x.cell AND x.trip_start >= obs.obs_ts"""
+
+SQL["similar_claims"] = f"""WITH {CLAIMS_CTE},
+    c AS MATERIALIZED (
+      SELECT claim_id, claim_type, claim_status, settlement_date, CAST(total_claim_amount AS DOUBLE) AS amount, fraud,
+             [CAST(total_claim_amount AS DOUBLE) / 500000.0::DOUBLE, CAST(injury_claim AS DOUBLE) / 200000.0::DOUBLE,
+              CAST(property_claim AS DOUBLE) / 150000.0::DOUBLE, month(incident_date) / 12.0::DOUBLE,
+              coalesce(cycle_time_days, 0) / 60.0::DOUBLE,
+              TRY_CAST(substr(claim_type, 1, 1) AS INTEGER) / 5.0::DOUBLE] AS v
+      FROM claim WHERE total_claim_amount IS NOT NULL),
+    u AS MATERIALIZED (SELECT *, list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) AS n FROM c),
+    q AS MATERIALIZED (
+      SELECT claim_id AS query_id, n AS qn FROM (
+        SELECT *, row_number() OVER (PARTITION BY claim_type ORDER BY amount DESC, claim_id) AS r
+        FROM u WHERE settlement_date IS NULL) WHERE r <= 10),
+    s AS (SELECT query_id, claim_id, list_dot_product(n, qn) AS score FROM u, q WHERE claim_id <> query_id),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, claim_id) AS rank FROM s)
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, r.claim_id, round(score, 6) AS score, claim_status, amount, fraud
+    FROM r JOIN c ON c.claim_id = r.claim_id WHERE rank <= 5"""

@@ -80,6 +80,7 @@ _RAW: dict[str, Query] = {
     "severity_error": features.severity_error,
     "doc_chunks": features.doc_chunks,
     "similar_topk": features.similar_topk,
+    "similar_claims": features.similar_claims,
     "claim_context": features.claim_context,
     "bronze_ingest": streams.bronze_ingest,
     "stream_scd2": streams.stream_scd2,

@@ -24,6 +24,7 @@ from stratum.streaming.telemetry_stream import (dedup_stream, run_to_sink, sessi
                                                 split_late, windows_stream)
 from stratum.plans.common import t
 
+CUSTOMER_COLUMNS = ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
 NATION_COLUMNS = ("n_nationkey", "n_name", "n_regionkey")
 ORDER_FIELDS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
                 "o_orderpriority")
@@ -32,17 +33,23 @@ LATE_DELAY_SECONDS = 10 * 86_400
 
 # Registry: one landed file family per bronze table (SRC2, SRC6, SRC13, SRC16).
 SOURCES = (
-    Source("raw_customer", "customer", "*.csv", "csv", ",", True, pii=("c_name",)),
+    Source("raw_customer", "customer", "*.csv", "csv", ",", True, columns=CUSTOMER_COLUMNS, pii=("c_name",)),
     Source("raw_supplier", "supplier", "*.csv", "csv", ";", True, pii=("s_name",)),
     Source("raw_nation", "nation", "*.csv", "csv", "\t", False, columns=NATION_COLUMNS),
     Source("raw_orders", "orders", "*.json", "json"),
     Source("raw_complaints", "complaints", "*.txt", "csv", "\t", False,
            columns=("maketxt", "modeltxt", "yeartxt", "cdescr")),   # not landed: skipped
+    Source("raw_broken", "nation", "*.csv", "unknown"),              # can't be read: an error of its own
 )
 
 
 def _stage_landing(spark: SparkSession, sf_dir: str, landing: str) -> None:
-    t(spark, sf_dir, "customer").write.option("header", True).csv(f"{landing}/customer")
+    # files of two layouts: as registered, and reordered, renamed and with one column more
+    customer = t(spark, sf_dir, "customer").select(*CUSTOMER_COLUMNS)
+    customer.where("c_custkey % 2 = 0").write.option("header", True).csv(f"{landing}/customer")
+    customer.where("c_custkey % 2 = 1").select(
+        "c_mktsegment", F.col("c_acctbal").alias("balance"), "c_name", F.lit("x").alias("extra"), "c_nationkey",
+        "c_custkey").write.mode("append").option("header", True).csv(f"{landing}/customer")
     t(spark, sf_dir, "supplier").write.option("header", True).option("sep", ";").csv(f"{landing}/supplier")
     t(spark, sf_dir, "nation").write.option("header", False).option("sep", "\t").csv(f"{landing}/nation")
     t(spark, sf_dir, "orders").write.json(f"{landing}/orders")
@@ -62,15 +69,18 @@ def bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     tagged = spark.createDataFrame(
         [(name, sum(1 for f in d.schema.fields if ((f.metadata or {}).get("tags") or {}).get("pii")))
          for name, d in bronze_frames.items()], "table string, pii_tagged int")   # schema-sized
-    parts = [d.select(F.lit(name).alias("table"), RESCUED, "_batch_id") for name, d in bronze_frames.items()]
+    parts = [d.select(F.lit(name).alias("table"), RESCUED, "_batch_id",
+                      (F.col("c_custkey").try_cast("bigint") if name == "raw_customer" else F.lit(None).cast("bigint"))
+                      .alias("key")) for name, d in bronze_frames.items()]
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
     counts = u.groupBy("table").agg(F.count(F.lit(1)).alias("rows"),
                                     F.count_if(F.col(RESCUED).isNotNull()).alias("rescued_rows"),
-                                    F.count_if(F.col("_batch_id") == rerun).alias("rerun_rows"))
+                                    F.count_if(F.col("_batch_id") == rerun).alias("rerun_rows"),
+                                    F.sum("key").alias("key_sum"))
     return (status.join(counts, "table", "left").join(tagged, "table", "left")
-                  .select("table", "status", "rows", "rescued_rows", "rerun_rows", "pii_tagged"))
+                  .select("table", "status", "rows", "rescued_rows", "rerun_rows", "key_sum", "pii_tagged"))
 
 
 def stream_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ class Source:
     fmt: str = "csv"                 # csv | json | arff
     sep: str = ","
     header: bool = True
-    columns: tuple[str, ...] = ()    # names for headerless layouts
+    columns: tuple[str, ...] = ()    # the table's columns; needed for headerless layouts
     pii: tuple[str, ...] = ()
     tags: dict = field(default_factory=dict)
 
@@ -250,7 +250,7 @@ def list_tables(spark: SparkSession, root: str, suffix: str = ".parquet") -> lis
     if not fs.exists(p):
         return []
     names = [st.getPath().getName() for st in fs.listStatus(p)]
-    return sorted(n[: -len(suffix)] for n in names if n.endswith(suffix))
+    return sorted(n[: len(n) - len(suffix)] for n in names if n.endswith(suffix) and not n.startswith(("_", ".")))
 
 
 def partition_values(spark: SparkSession, path: str, column: str) -> list[int]:

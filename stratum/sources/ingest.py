@@ -48,15 +48,15 @@ def start_ingest(spark: SparkSession, src: Source, landing: str, target: str, ch
     (``availableNow``, the default) catches up and stops; continuous mode
     (``processing_time="1 minute"``) keeps polling the landing folder.
 
-    The table's columns are those of its first files (or ``json_fields``);
-    later files are matched by name, and what the table has no column for goes
+    The table's columns are those of the registry (or ``json_fields``), else
+    those of its first files; other files are matched by name, and what the table has no column for goes
     to ``_rescued_data``."""
     if src.fmt not in ("csv", "json"):
         raise ValueError(f"streaming ingest does not support {src.fmt!r}")
     folder = f"{landing.rstrip('/')}/{src.subdir}"
 
     def land(lines: DataFrame, number: int) -> None:
-        canonical = table_columns(spark, target) or list(json_fields) or None
+        canonical = table_columns(spark, target) or list(json_fields) or list(src.columns) or None
         rows = parse_csv(lines, src, canonical) if src.fmt == "csv" else parse_json(lines, canonical)
         rows = rows.withColumns({"_ingest_ts": F.current_timestamp(), "_batch_id": F.lit(batch_id)})
         # PII tags travel as field metadata into the bronze files; names are

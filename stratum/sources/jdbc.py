@@ -24,16 +24,13 @@ def jdbc_bounds(spark: SparkSession, url: str, table: str, column: str,
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, props: Mapping[str, str],
-              partition_column: str | None = None, num_partitions: int = 64,
+              partition_column: str, num_partitions: int | None = None,
               fetch_size: int = 10_000) -> DataFrame:
-    """Parallel JDBC scan; without a partition column a single connection
-    reads the table (only for small reference tables)."""
-    opts = dict(props)
-    opts["fetchsize"] = str(fetch_size)
-    if partition_column is None:
-        return spark.read.jdbc(url, table, properties=opts)
+    """Parallel JDBC scan in ``num_partitions`` slices (default: the cluster's
+    task slots) of ``partition_column``."""
+    opts = {**props, "fetchsize": str(fetch_size)}
     lo, hi = jdbc_bounds(spark, url, table, partition_column, props)
-    if lo is None:
+    if lo is None:                      # no row has a value to slice by
         return spark.read.jdbc(url, table, properties=opts)
     return spark.read.jdbc(url, table, column=partition_column, lowerBound=lo, upperBound=hi,
-                           numPartitions=num_partitions, properties=opts)
+                           numPartitions=num_partitions or spark.sparkContext.defaultParallelism, properties=opts)
