@@ -361,10 +361,10 @@ kg AS (SELECT source_system, claim_type, CAST(date_trunc('month', incident_date)
               CAST(count_if(settlement_date IS NOT NULL) AS BIGINT) AS closed_claims,
               avg(cycle_time_days) AS cyc, count_if(claim_status = 'denied') AS den,
               count_if(claim_status IN ('denied', 'closed', 'settled')) AS term,
-              CAST(count_if(age <= 30) AS BIGINT) AS open_0_30d,
-              CAST(count_if(age > 30 AND age <= 90) AS BIGINT) AS open_31_90d,
-              CAST(count_if(age > 90 AND age <= 365) AS BIGINT) AS open_91_365d,
-              CAST(count_if(age > 365) AS BIGINT) AS open_over_365d
+              count(*) FILTER (WHERE age <= 30) AS open_0_30d,
+              count(*) FILTER (WHERE age > 30 AND age <= 90) AS open_31_90d,
+              count(*) FILTER (WHERE age > 90 AND age <= 365) AS open_91_365d,
+              count(*) FILTER (WHERE age > 365) AS open_over_365d
        FROM aged GROUP BY 1, 2, 3),
 kpi AS (
   SELECT kg.source_system, kg.claim_type, kg.period, n_claims, n_with_amount, CAST(inc AS DOUBLE) AS incurred,
