@@ -65,6 +65,21 @@ def test_ids_are_those_of_tokenizers():
         assert own.encode_to_numpy(text).tolist() + [0] == tokens(text)
 
 
+def test_added_tokens_are_those_of_tokenizers_by_default(spark):
+    default = Tokenizer.from_file(PATH)
+    encode = packing.tokenizer(PATH)
+    assert encode("a <|endoftext|> b").tolist() == [64, 220, 50256, 275]
+    rnd = random.Random(8)
+    parts = [" ", "  ", "\n", "th", "'s", "é", "中文", "<|", "|>", "<|endoftext|>", "<|endoftext|>", "endoftext"]
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 25))) for _ in range(2000)]
+    want = [default.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [encode(t).tolist() for t in texts] == want
+    docs = spark.createDataFrame(list(enumerate(texts[:200])), "doc_id long, text string")
+    got = {r.doc_id: (r.ids_crc32, r.doc_tokens) for r in packing.pack(docs, PATH).collect()}
+    assert got == {i: (zlib.crc32(np.array(ids + [0], "<u4").tobytes()), len(ids) + 1)
+                   for i, ids in enumerate(want[:200])}
+
+
 def best_sum(counts, capacity):
     reach = {0}
     for length, n in counts.items():
