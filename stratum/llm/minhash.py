@@ -23,7 +23,9 @@ on full sets.  Sets are made only for classes in buckets with others.
 Defined results: null text has no words; a document without words has an empty
 set and is linked with nothing; one with fewer words than a shingle has one
 shingle, its whole sequence.  A null doc_id sorts after all others.  Rows that
-share a doc_id and a set are one class like other equal sets.
+share a doc_id and a set are one class like other equal sets.  ``kept`` is by
+doc_id; ``one_of_each`` decides by row: of a group's rows with the smallest
+doc_id, the one whose text has the smallest SHA-256 stays.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratum.llm.common import arrow_map, by_group, pieces, utf8, whole
@@ -154,27 +156,32 @@ def _digest(members: np.ndarray) -> bytes:
     return hashlib.blake2b(members.tobytes(), digest_size=16).digest()
 
 
+def _text_sha(text: Column) -> Column:
+    return F.unhex(F.sha2(F.coalesce(text.cast("string"), F.lit("")), 256))
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)).alias("key"),
+                       _text_sha(F.col("text")).alias("text_sha"),
                        F.col("text").cast("string").alias("text"))
 
 
 def signed(docs: DataFrame, config: MinHashConfig) -> DataFrame:
-    """``doc_id, key, n_shingles, digest, bands`` of each row."""
+    """``doc_id, key, text_sha, n_shingles, digest, bands`` of each row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, sets in _sets(batches, config.words):
             full = [s for s in sets if len(s)]
             keys = iter(band_keys(np.array([signature(s, config.bands * config.rows) for s in full]),
                                   config) if full else ())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("key"),
+                [batch.column("doc_id"), batch.column("key"), batch.column("text_sha"),
                  pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([_digest(s) for s in sets], pa.binary()),
                  pa.array([next(keys) if len(s) else None for s in sets], pa.list_(pa.int64()))],
-                names=["doc_id", "key", "n_shingles", "digest", "bands"])
+                names=["doc_id", "key", "text_sha", "n_shingles", "digest", "bands"])
     return arrow_map(_keyed(docs), run,
-                     "doc_id bigint, key bigint, n_shingles bigint, digest binary, bands array<bigint>")
+                     "doc_id bigint, key bigint, text_sha binary, n_shingles bigint, digest binary, bands array<bigint>")
 
 
 def set_payload(docs: DataFrame, wanted: DataFrame, config: MinHashConfig) -> DataFrame:
@@ -302,37 +309,63 @@ def link_classes(docs: DataFrame, classes: DataFrame, config: MinHashConfig) ->
     return components(links.union(more), "minhash_second")
 
 
-def near_groups(docs: DataFrame, config: MinHashConfig = MinHashConfig()) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of each row: the smallest
-    doc_id that links reach, and whether the row's own is that."""
+def decided(docs: DataFrame, config: MinHashConfig = MinHashConfig()) -> DataFrame:
+    """``doc_id, key, text_sha, n_shingles, component, stays`` of each row: the
+    smallest key that links reach, and whether the row is the one of its group
+    that stays, by the smallest (key, text_sha)."""
     rows = materialize(signed(docs, config).withColumn("row", F.monotonically_increasing_id()),
                        "minhash_signed")
     some = rows.where("n_shingles > 0")
-    salted, groups = by_group(some.select("row", "key", "digest", "doc_id", "n_shingles"), ["digest"], ["row"],
-                              {"first": (F.min, F.struct("key", "row"), F.min)})
+    salted, groups = by_group(some.select("row", "key", "digest", "doc_id", "n_shingles", "text_sha"),
+                              ["digest"], ["row"],
+                              {"first": (F.min, F.struct("key", "text_sha", "row"), F.min)})
     member = materialize(
         salted.join(groups, ["digest", "_salt"])
-        .select("row", "doc_id", "n_shingles", "key", "digest", F.col("first.row").alias("node"),
+        .select("row", "doc_id", "n_shingles", "key", "text_sha", "digest", F.col("first.row").alias("node"),
                 F.col("first.key").alias("node_key")), "minhash_members")
-    heads = member.where("row = node").select("node", "key", "digest")
+    heads = member.where("row = node").select("node", "key", "text_sha", "digest")
     classes = materialize(heads.join(rows.select(F.col("row").alias("node"), "bands"), "node"), "minhash_classes")
     comp = link_classes(docs, classes, config)
 
-    keyed = comp.join(classes.select("node", "key"), "node")
-    lowest = keyed.groupBy("comp").agg(F.min("key").alias("component_key"))
-    of_node = materialize(comp.join(lowest, "comp").select("node", "component_key"), "minhash_of_node")
+    keyed = comp.join(classes.select("node", "key", "text_sha"), "node")
+    lowest = keyed.groupBy("comp").agg(F.min(F.struct("key", "text_sha", "node")).alias("first"))
+    of_node = materialize(comp.join(lowest, "comp").select(
+        "node", F.col("first.key").alias("component_key"), F.col("first.node").alias("first_node")),
+        "minhash_of_node")
     linked = (member.join(of_node, "node", "left")
-              .select("doc_id", "n_shingles", F.coalesce("component_key", "node_key").alias("component")))
-    lone = rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("key").alias("component"))
-    return linked.union(lone).select(
+              .select("doc_id", "key", "text_sha", "n_shingles",
+                      F.coalesce("component_key", "node_key").alias("component"),
+                      (F.col("row") == F.coalesce("first_node", "node")).alias("stays")))
+    lone = rows.where("n_shingles = 0").select("doc_id", "key", "text_sha", "n_shingles",
+                                               F.col("key").alias("component"), F.lit(True).alias("stays"))
+    return linked.union(lone)
+
+
+def near_groups(docs: DataFrame, config: MinHashConfig = MinHashConfig()) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` of each row: the smallest
+    doc_id that links reach, and whether the row's own is that."""
+    return decided(docs, config).select(
         "doc_id", "n_shingles",
         F.when(F.col("component") != LAST, F.col("component")).alias("component_id"),
-        (F.coalesce("doc_id", F.lit(LAST)) == F.col("component")).alias("kept"))
+        (F.col("key") == F.col("component")).alias("kept"))
 
 
 def one_of_each(docs: DataFrame, config: MinHashConfig = MinHashConfig()) -> DataFrame:
-    """``docs`` less the documents that are not the first of their group."""
-    gone = materialize(near_groups(docs, config).where("NOT kept")
-                       .select(F.coalesce("doc_id", F.lit(LAST)).alias("_key")).distinct(), "minhash_gone")
-    key = F.coalesce(F.col("_row.doc_id").cast("bigint"), F.lit(LAST))
-    return whole(docs).withColumn("_key", key).join(gone, "_key", "left_anti").select("_row.*")
+    """``docs`` less the rows that are not the first of their group: one row of
+    each group stays, and each row without words."""
+    # rows that share key and text have words and are of one group: at most one of them stays
+    apart = materialize(decided(docs, config).where("n_shingles > 0").groupBy("key", "text_sha")
+                        .agg(F.max("stays").alias("stays"), F.count("*").alias("n"))
+                        .where("NOT stays OR n > 1")
+                        .select(F.col("key").alias("_key"), F.col("text_sha").alias("_text_sha"), "stays"),
+                        "minhash_apart")
+    keyed = whole(docs).withColumns({
+        "_key": F.coalesce(F.col("_row.doc_id").cast("bigint"), F.lit(LAST)),
+        "_text_sha": _text_sha(F.col("_row.text"))})
+    on = ["_key", "_text_sha"]
+    out = keyed.join(apart.select(*on), on, "left_anti").select("_row.*")
+    repeated = apart.where("stays").select(*on)
+    if repeated.isEmpty():
+        return out
+    # the map side drops most repeats before any exchange
+    return out.union(keyed.dropDuplicates(on).join(repeated, on, "left_semi").select("_row.*"))

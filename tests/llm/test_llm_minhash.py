@@ -128,3 +128,23 @@ def test_one_of_each_keeps_columns(trap_docs):
     assert out.columns == trap_docs.columns
     # 1, 2 and the null id share a text; 9 is 5 with one more word
     assert sorted(r.doc_id for r in out.collect()) == [1, 3, 4, 5, 6, 7, 8, 10]
+
+
+def test_one_of_each_decides_by_row(spark):
+    """Null and shared doc_ids: one row of each group stays, and all that have no copy."""
+    base = [f"w{i}" for i in range(60)]
+
+    def text(tag, k=None):
+        return " ".join(f"{tag}{w}" if i != k else "changed" for i, w in enumerate(base))
+    rows = [(1, text("a")), (None, text("a")), (None, text("a", 0)),    # a copy and a near copy without id
+            (None, text("b")),                                           # unique, without id
+            (2, text("c")), (3, text("c")), (3, text("d")),              # one doc_id, two texts: d is unique
+            (4, text("e")), (4, text("e", 59)),                          # near copies that share a doc_id
+            (None, text("f")), (None, text("f", 59)), (None, text("f")),  # all without id
+            (5, text("g")), (5, text("g")), (None, None), (None, ""), (None, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = Counter(map(tuple, one_of_each(docs).collect()))
+    assert got.total() == 10 and set(got) <= set(rows)
+    own = Counter((d, (t or " ")[0]) for (d, t), n in got.items() for _ in range(n))
+    assert own == Counter({(1, "a"): 1, (None, "b"): 1, (2, "c"): 1, (3, "d"): 1, (4, "e"): 1, (None, "f"): 1,
+                           (5, "g"): 1, (None, " "): 3})
