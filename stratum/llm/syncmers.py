@@ -2,14 +2,14 @@
 
 A k-mer of code points is an anchor if the smallest of its s-mers (by hash) is
 its first or its last.  Whether it is depends on its own characters alone, so
-equal passages have equal anchors wherever they stand.  A fingerprint holds the
-``size`` anchors with the smallest hashes, each with the place where it first
-occurs: a bottom-k sketch whose anchors can be matched by position.
+equal passages have equal anchors wherever they stand.  A fingerprint holds all
+anchors of its text (about 2 in k - s + 1 places), each with the place where it
+first occurs, so that which of a passage's anchors it holds doesn't depend on
+the rest of the text, and they can be matched by position.
 
-The likeness of two fingerprints estimates the Jaccard similarity of the
-anchor sets, counting only matches that keep their order: of the ``size``
-smallest hashes of both, the share that lie in both and on a longest chain of
-rising positions.
+The likeness of two fingerprints is the Jaccard similarity of the anchor sets,
+counting only matches that keep their order: of all anchors of both, the share
+that lie in both and on a longest chain of rising positions.
 
 The next document (descending doc_id) is found by one exchange of the texts:
 documents are dealt into ranges of doc_id, and the first document of each range
@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.common import arrow_map, pieces
+from stratum.llm.common import PIECE_BYTES, arrow_map, pieces
 
 LOWEST = -(1 << 63)
 
@@ -44,7 +44,7 @@ LOWEST = -(1 << 63)
 class SyncmerConfig:
     k: int = 16
     s: int = 8
-    size: int = 64      # anchors in a fingerprint
+    size: int = 64      # bounds nothing: a fingerprint holds all anchors
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -103,7 +103,7 @@ def anchors(points: np.ndarray, config: SyncmerConfig) -> tuple[np.ndarray, np.n
 
 
 class Fingerprint:
-    """The anchors with the smallest hashes, by hash."""
+    """All anchors of a text, by hash (its upper 32 bits)."""
 
     __slots__ = ("hashes", "places")
 
@@ -114,13 +114,8 @@ class Fingerprint:
     def of(cls, points: np.ndarray, config: SyncmerConfig) -> Fingerprint:
         hashes, places = anchors(points, config)
         hashes = (hashes >> np.uint64(32)).astype(np.uint32)
-        if len(hashes) > 8 * config.size:   # only the smallest matter; repeats are few
-            cut = np.partition(hashes, 4 * config.size)[4 * config.size]
-            low = hashes <= cut
-            if len(np.unique(hashes[low])) >= config.size:
-                hashes, places = hashes[low], places[low]
         unique, first = np.unique(hashes, return_index=True)
-        return cls(unique[:config.size], places[first[:config.size]].astype(np.uint32))
+        return cls(unique, places[first].astype(np.uint32))
 
     def text(self) -> str:
         both = np.column_stack((self.hashes, self.places)).astype("<u4")
@@ -132,19 +127,17 @@ class Fingerprint:
         return cls(both[:, 0], both[:, 1])
 
 
-def likeness(a: Fingerprint, b: Fingerprint, size: int) -> float:
+def likeness(a: Fingerprint, b: Fingerprint, size: int | None = None) -> float:
+    """Ordered Jaccard similarity over all anchors; ``size`` bounds nothing."""
     if not len(a.hashes) or not len(b.hashes):
         return float(len(a.hashes) == len(b.hashes))
     common, in_a, in_b = np.intersect1d(a.hashes, b.hashes, assume_unique=True, return_indices=True)
     union = len(a.hashes) + len(b.hashes) - len(common)
-    if union > size:                        # the smallest of the union; both sketches are whole up to there
-        limit = np.partition(np.union1d(a.hashes, b.hashes), size - 1)[size - 1]
-        low = common <= limit
-        in_a, in_b, union = in_a[low], in_b[low], size
-    if not len(in_a):
-        return 0.0
+    matched = b.places[in_b[np.argsort(a.places[in_a], kind="stable")]]
+    if (matched[1:] > matched[:-1]).all():
+        return len(matched) / union
     chain: list[int] = []                   # ends of the best chains by length
-    for place in b.places[in_b[np.argsort(a.places[in_a], kind="stable")]].tolist():
+    for place in matched.tolist():
         at = bisect_left(chain, place)
         chain[at:at + 1] = [place]
     return len(chain) / union
@@ -221,8 +214,8 @@ def compare(docs: DataFrame, config: SyncmerConfig = SyncmerConfig(), parts: int
         edited = text[:len(text) - half] + next_text[:half]
         changed = Fingerprint.of(_points(edited), config)
         return (doc_id, len(text), hashlib.sha256(edited.encode()).hexdigest(), own.text(), changed.text(),
-                1.0 if edited == text else likeness(own, changed, config.size),
-                1.0 if next_text == text else likeness(own, next_own, config.size))
+                1.0 if edited == text else likeness(own, changed),
+                1.0 if next_text == text else likeness(own, next_own))
 
     def pairs(batches):
         held = None
@@ -237,12 +230,14 @@ def compare(docs: DataFrame, config: SyncmerConfig = SyncmerConfig(), parts: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
+        held = 0
         found = pairs(batches)
         for row in found:
             out.append(row)
-            if len(out) == 1000:
+            held += len(row[3]) + len(row[4])
+            if len(out) == 1000 or held > PIECE_BYTES:
                 yield _batch(out)
-                out = []
+                out, held = [], 0
         if out:
             yield _batch(out)
         for _ in batches:           # copies of rows that share the head's doc_id

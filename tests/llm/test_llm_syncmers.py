@@ -89,3 +89,18 @@ def test_one_and_no_document(spark, no_docs):
 def test_edits_are_nearer_than_other_documents(spark):
     rows = compare(spark.read.parquet(f"{SF_SMALL}/documents.parquet"), CONFIG, 4).where("n_chars > 500").collect()
     assert sum(r.near_edited > r.near_next for r in rows) / len(rows) > 0.97
+
+
+def test_fingerprint_holds_every_anchor_of_a_shared_passage():
+    rnd = random.Random(10)
+
+    def some(n):
+        return "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    passage = some(350)
+    alone = set(Fingerprint.of(points(passage), CONFIG).hashes.tolist())
+    a, b = (Fingerprint.of(points(some(10_000) + passage + some(10_000)), CONFIG) for _ in range(2))
+    assert len(alone) > 50 and alone <= set(a.hashes.tolist()) & set(b.hashes.tolist())
+    union = len(set(a.hashes.tolist()) | set(b.hashes.tolist()))
+    assert len(alone) / union <= likeness(a, b) < 2 * len(alone) / union
+    moved = Fingerprint.of(points("x" + passage[200:] + passage[:200]), CONFIG)
+    assert 0.4 < likeness(Fingerprint.of(points(passage), CONFIG), moved) < 0.7     # matches in order only
