@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from stratum.llm import bpe, histsort, langid, minhash, packing, quality, syncmers, urlrules, warc
 from stratum.llm.common import table
 from stratum.llm.digest_index import DigestIndex
+from stratum.sinks import materialize
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 MULTI_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -70,9 +71,12 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_histsort(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    body = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
-    return histsort.shard(docs.withColumn("text_crc32", F.crc32(body)), shards=40).select(
-        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
+    # the texts move to their shards and are written there; what follows is read from those rows
+    written = materialize(histsort.shard(docs, shards=40), "histsort_shards")
+    text = F.coalesce("text", F.lit(""))
+    return written.select(
+        "doc_id", (F.octet_length(text).cast("bigint") + histsort.FRAME).alias("size"),
+        F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), F.lit("bytes").alias("law"), "shard",
         F.col("slot").cast("bigint").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 

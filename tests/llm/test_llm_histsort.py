@@ -71,3 +71,15 @@ def test_shards_are_written_whole(spark, trap_docs, tmp_path):
     histsort.write(trap_docs, str(tmp_path / "shards"), 3)
     back = spark.read.parquet(str(tmp_path / "shards"))
     assert Counter(r.text for r in back.collect()) == Counter(r.text for r in trap_docs.collect())
+
+
+def test_query_describes_the_sharded_texts(spark, monkeypatch):
+    """A text that changes on its way to the shard shows in the result."""
+    shard = histsort.shard
+    monkeypatch.setattr(queries.histsort, "shard", lambda docs, shards: shard(docs, shards).withColumn(
+        "text", F.when(F.col("doc_id") == 3, "lost").otherwise(F.col("text"))))
+    rows = {r.doc_id: r for r in queries.op9_histsort(spark, SF_SMALL).collect()}
+    assert (rows[3].size, rows[3].text_crc32) == (4 + histsort.FRAME, zlib.crc32(b"lost"))
+    for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").where("doc_id <> 3").collect():
+        body = (r.text or "").encode()
+        assert (rows[r.doc_id].size, rows[r.doc_id].text_crc32) == (len(body) + histsort.FRAME, zlib.crc32(body))
