@@ -9,12 +9,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import bpe, histsort, langid, minhash, packing, quality, syncmers, urlrules, warc
+from stratum.llm import bpe, histsort, langid, minhash, packing, quality, syncmers, token_counts, urlrules, warc
 from stratum.llm.common import table
 from stratum.llm.digest_index import DigestIndex
 from stratum.sinks import materialize
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 MULTI_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -84,6 +85,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = token_counts.count(table(spark, sf_dir, "documents"), WORD_BPE)
+    return counts.withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op2_syncmers": op2_syncmers,
@@ -95,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_histsort": op9_histsort,
     "op10_warc": op10_warc,
+    "op13_token_counts": op13_token_counts,
 }
 
 ORACLE_SQL: dict[str, str] = {
