@@ -9,13 +9,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import bpe, histsort, langid, minhash, packing, quality, syncmers, token_counts, urlrules, warc
+from stratum.llm import (alignment, bpe, histsort, langid, minhash, packing, quality, resampling, syncmers,
+                         token_counts, urlrules, warc)
 from stratum.llm.common import table
 from stratum.llm.digest_index import DigestIndex
 from stratum.sinks import materialize
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 MULTI_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -85,6 +87,15 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.link_quality(table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_BPE)
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", F.col("rank").cast("bigint").alias("rank"))
+
+
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.count(table(spark, sf_dir, "documents"), WORD_BPE)
     return counts.withColumn("over_limit", F.col("n_tokens") > 2048)
@@ -101,6 +112,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_histsort": op9_histsort,
     "op10_warc": op10_warc,
+    "op11_alignment": op11_alignment,
+    "op12_resampling": op12_resampling,
     "op13_token_counts": op13_token_counts,
 }
 

@@ -16,7 +16,7 @@ from test_llm_packing import verify
 
 def test_registered():
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert "pipeline" in entry.queries() and set(queries.QUERIES) <= set(entry.queries())
 
 
