@@ -14,11 +14,14 @@ chain is contracted: each candidate gets the first offset at which its chain
 leaves the chunk.  Pointer jumping over these exits (each round doubles the
 distance) finds in log2(chunks) rounds the offsets at which the chain from 0
 enters each chunk, and a walk through each chunk marks its records.  A record
-whose payload holds the magic is put together again from its segments.
+whose payload holds the magic is put together again from its segments, which a
+second read finds by their SHA-256; that read may be split otherwise.
 
 Defined results: null html is an empty payload; null url is empty; a null
 page_id sorts last and reads back as null; rows that repeat a page_id and its
-payload are records of the same type.  Where a chain breaks (a damaged file),
+payload are records of the same type; a long payload is one record; only
+page_id, url and html are read, so other columns, whatever their names, don't
+matter.  Where a chain breaks (a damaged file),
 the records before the damage are returned.  No pages, no records.
 """
 
@@ -117,7 +120,7 @@ def _parsed(found: DataFrame, keep: list[str]) -> DataFrame:
             .withColumn("body", F.expr(
                 "CASE WHEN whole THEN substring(raw, CAST(head_n + http_n + 9 AS INT),"
                 " CAST(greatest(length - http_n - 4, 0) AS INT)) END"))
-            .select(*keep, "n", "head_n", "length", "valid", "whole",
+            .select(*keep, "n", "head_n", "length", "valid", "whole", F.sha2("raw", 256).alias("digest"),
                     _field("head", "WARC-Type", r"(\w+)").alias("record_type"),
                     _field("head", "WARC-Record-ID", rf"<{ID}(-?\d+)>").try_cast("bigint").alias("page_id"),
                     _field("head", "WARC-Refers-To", rf"<{ID}(-?\d+)>").try_cast("bigint").alias("refers_to"),
@@ -239,12 +242,18 @@ def _rejoined(spark: SparkSession, path: str, found: DataFrame, cut: DataFrame,
     bins = F.sequence(F.floor(F.col("from") / bin_bytes), F.floor((F.col("to") - 1) / bin_bytes))
     spans = (cut.select("file", F.col("offset").alias("from"), F.col("successor").alias("to"))
              .withColumn("bin", F.explode(bins)))
-    parts = found.select("file", "offset", "block", "seq", F.floor(F.greatest(F.col("offset"), F.lit(0)) / bin_bytes)
-                         .alias("bin"))
+    parts = found.select("file", "offset", "digest",
+                         F.floor(F.greatest(F.col("offset"), F.lit(0)) / bin_bytes).alias("bin"))
     wanted = materialize(parts.join(spans, ["file", "bin"])
                          .where((F.col("offset") >= F.col("from")) & (F.col("offset") < F.col("to")))
-                         .select("file", "block", "seq", "from", "offset"), "warc_parts")
-    texts = segments(spark, path).join(wanted, ["file", "block", "seq"])
+                         .select("file", "from", "offset", "digest"), "warc_parts")
+    # a segment is the same text however the files are split for this second read, so its
+    # digest finds it: neither the split nor the order of tasks has to be that of the first
+    rows, groups = by_group(wanted, ["digest"], ["file", "from", "offset"], {"_n": (F.count, "offset", F.sum)})
+    texts = (segments(spark, path).select(F.sha2("value", 256).alias("digest"), "value")
+             .join(wanted.select("digest"), "digest", "left_semi")
+             .groupBy("digest").agg(F.first("value").alias("value")))
+    texts = rows.join(groups.join(texts, "digest"), ["digest", "_salt"])
     whole = (texts.groupBy("file", "from").agg(F.sort_array(F.collect_list(F.struct("offset", "value"))).alias("p"))
              .select("file", F.array_join(F.col("p.value"), MAGIC).alias("value")))
     return _parsed(whole.select(*_facts(F.col("value"), [F.col("file")])), ["file"]).where("whole")

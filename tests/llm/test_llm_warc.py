@@ -76,3 +76,25 @@ def test_damage_ends_the_chain(spark):
 
 def test_no_pages(spark):
     assert warc.round_trip(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+def test_split_changed_between_the_reads(spark, small_splits, monkeypatch):
+    """A lost or added executor changes how the files are split for the second read."""
+    pages = [(i, "u", f"page {i} " + "filler " * (i % 7) + ("WARC/1.1\r\n" + FORGED) * (i % 3)) for i in range(400)]
+    small_splits("100000")
+    rejoined = warc._rejoined
+
+    def later(*args):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+        return rejoined(*args)
+    monkeypatch.setattr(warc, "_rejoined", later)
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
+    got = sorted(map(tuple, warc.round_trip(df).collect()), key=str)
+    assert got == sorted(brute(pages), key=str)
+
+
+@pytest.mark.parametrize("filler", [" ", "\r\n", "a", "WARC/1."])
+def test_long_runs(spark, filler):
+    pages = [(1, "u", filler * 300_000), (2, "u", "x" * 150)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    assert sorted(map(tuple, warc.round_trip(df).collect()), key=str) == sorted(brute(pages), key=str)
