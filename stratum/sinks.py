@@ -7,14 +7,16 @@ not from the sources) and lets several consumers share one computation.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.operators.cdc import upsert, upsert_anti
+from stratum.operators.cdc import latest_per_key
 from stratum.session import scratch_path
-from stratum.sources.files import read_text_file, write_text_file
+from stratum.sources.files import (create_text_file, delete_path, files_in, folder_bytes, list_names,
+                                   partition_values, read_text_file)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -42,38 +44,153 @@ def write_table(df: DataFrame, target: str, comment: str | None = None, mode: st
         df.sparkSession.sql(f"COMMENT ON TABLE {target} IS '{esc}'")
 
 
-class MergeTable:
-    """A stored table, bucketed by its key, that batches are merged into
-    (latest ``seq`` wins; without ``seq`` the update wins).
+BUCKET = "__bucket"
+_END = "end"
+
+
+class MergeConflict(RuntimeError):
+    """Another writer has committed the version that this one was about to."""
 
-    A merge writes a new version beside the old one and then moves the version
-    pointer, so readers see either, a failed merge leaves the old one, and a
-    replayed merge changes nothing."""
 
-    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], seq: Sequence[str] = ()):
+class MergeTable:
+    """A stored table in ``buckets`` hash buckets of its key, that batches are
+    merged into (latest ``seq`` wins; without ``seq`` the update wins).
+
+    Data files lie in ``data/<folder>/__bucket=<b>``; ``manifest/<n>`` lists for
+    each bucket the folder that holds it in version n.  A merge writes the
+    buckets that its updates touch into a new folder and then creates the next
+    manifest, which must not exist: that commits it.  Until then the table is
+    what it was, so a merge that fails at any step leaves the old version, and a
+    second writer gets ``MergeConflict``.  A manifest cut short by a failure has
+    no last line and counts as none.  A replayed merge changes nothing.
+
+    Buckets that no update touches are neither read nor written.  Of the others
+    the stored rows aren't shuffled if the updates are small (their files say
+    so): they meet the broadcast keys where they are read.  ``buckets`` should
+    be about the table's bytes / 1 GB times the inverse share that a batch
+    touches, if batches come clustered by key.  A bucket that has come to more
+    than ``max_files`` files is written as one.  With ``evolving``, updates may
+    bring new columns; older rows read NULL there.  ``vacuum`` deletes the folders
+    that no kept version names."""
+
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], seq: Sequence[str] = (),
+                 buckets: int | None = None, broadcast_bytes: int = 64 << 20, max_files: int = 8,
+                 evolving: bool = False):
         self.spark, self.root, self.keys, self.seq = spark, root.rstrip("/"), list(keys), list(seq)
+        self.broadcast_bytes, self.max_files, self.evolving = broadcast_bytes, max_files, evolving
+        self.buckets = self._fixed_buckets(buckets)
+
+    def _fixed_buckets(self, wanted: int | None) -> int:
+        """The number of buckets is fixed when the table is first opened."""
+        path = f"{self.root}/buckets"
+        have = read_text_file(self.spark, path)
+        if not have:
+            n = wanted or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            if create_text_file(self.spark, path, f"{n}\n{_END}"):
+                return n
+            have = read_text_file(self.spark, path)
+        lines = have.split("\n")
+        if lines[-1] != _END:
+            raise RuntimeError(f"{path} is cut short; delete it if the table is empty")
+        return int(lines[0])
+
+    def _manifests(self) -> list[int]:
+        return sorted(int(n) for n in list_names(self.spark, f"{self.root}/manifest") if n.isdigit())
+
+    def _manifest(self, n: int) -> dict[int, str] | None:
+        lines = (read_text_file(self.spark, f"{self.root}/manifest/{n}") or "").split("\n")
+        if lines[-1] != _END:
+            return None
+        return {int(b): folder for b, folder in (line.split("\t") for line in lines[:-1])}
+
+    def _latest(self) -> tuple[int, dict[int, str]]:
+        for n in reversed(self._manifests()):
+            live = self._manifest(n)
+            if live is not None:
+                return n, live
+        return 0, {}
 
     def version(self) -> int:
-        return int(read_text_file(self.spark, f"{self.root}/current") or 0)
-
-    def read(self) -> DataFrame | None:
-        n = self.version()
-        return self.spark.read.parquet(f"{self.root}/v{n}") if n else None
-
-    def merge(self, updates: DataFrame) -> DataFrame:
-        old, n = self.read(), self.version() + 1
-        if old is None:
-            new = updates
-        elif self.seq:
-            new = upsert(old, updates, self.keys, self.seq)
-        else:
-            new = upsert_anti(old, updates, self.keys)
-        parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        (new.repartition(parts, *self.keys).sortWithinPartitions(*self.keys)
-         .write.mode("overwrite").parquet(f"{self.root}/v{n}"))
-        write_text_file(self.spark, f"{self.root}/current", str(n))
+        return self._latest()[0]
+
+    def _paths(self, live: dict[int, str], only: Sequence[int] | None = None) -> list[str]:
+        chosen = live if only is None else [b for b in only if b in live]
+        return [f"{self.root}/data/{live[b]}/{BUCKET}={b}" for b in chosen]
+
+    def read(self, version: int | None = None) -> DataFrame | None:
+        """The table's latest (or an earlier, not yet vacuumed) version."""
+        live = self._latest()[1] if version is None else self._manifest(version)
+        paths = self._paths(live or {})
+        return self._load(paths) if paths else None
+
+    def _load(self, paths: list[str]) -> DataFrame:
+        return self.spark.read.option("mergeSchema", self.evolving).parquet(*paths)
+
+    def _bucketed(self, df: DataFrame) -> DataFrame:
+        return df.withColumn(BUCKET, F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
+
+    def _write(self, rows: DataFrame, folder: str) -> None:
+        rows.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.root}/data/{folder}")
+
+    def merge(self, updates: DataFrame) -> DataFrame | None:
+        """Merge ``updates`` (several rows of a key: the latest, or any one)."""
+        n, live = self._latest()
+        last = max(self._manifests(), default=0)
+        best = (latest_per_key(updates, self.keys, self.seq) if self.seq
+                else updates.dropDuplicates(self.keys))
+        staged = f"staged-{uuid.uuid4().hex}"
+        # one row for each key now, so its hash deals the rows evenly
+        self._write(self._bucketed(best).repartition(BUCKET), staged)
+        touched = partition_values(self.spark, f"{self.root}/data/{staged}", BUCKET)
+        if not touched:
+            return self.read()
+        new = self.spark.read.parquet(f"{self.root}/data/{staged}")
+        old = self._paths(live, touched)
+        folder = staged
+        if old:
+            folder = f"v-{uuid.uuid4().hex}"
+            merged = self._merged(self._bucketed(self._load(old)), new, f"{self.root}/data/{staged}")
+            # rows stay where they are read, so each merge leaves a file more in its buckets
+            folders = {live[b] for b in touched if b in live}
+            if max(files_in(self.spark, f"{self.root}/data/{f}") for f in folders) > self.max_files:
+                merged = merged.repartition(BUCKET)
+            self._write(merged, folder)
+        lines = [f"{b}\t{f}" for b, f in sorted({**live, **dict.fromkeys(touched, folder)}.items())]
+        if not create_text_file(self.spark, f"{self.root}/manifest/{last + 1}", "\n".join([*lines, _END])):
+            raise MergeConflict(f"version {last + 1} of {self.root} exists; merge again")
         return self.read()
 
+    def _merged(self, stored: DataFrame, new: DataFrame, staged: str) -> DataFrame:
+        """``stored`` less what ``new`` replaces, and ``new`` less what a later
+        stored row beats.  Keys are compared as structs, in which NULLs agree."""
+        small = folder_bytes(self.spark, staged) <= self.broadcast_bytes
+        side = F.broadcast if small else (lambda df: df)
+        stored, new = (df.withColumn("__k", F.struct(*self.keys)) for df in (stored, new))
+        if self.seq:
+            marks = new.select("__k", F.struct(*self.seq).alias("__new"))
+            beaten = materialize(stored.join(side(marks), "__k").where(F.struct(*self.seq) >= F.col("__new"))
+                                 .select("__k"), "merge_beaten")
+            new = new.join(side(beaten), "__k", "left_anti")
+        kept = stored.join(side(new.select("__k")), "__k", "left_anti")
+        return kept.unionByName(new, allowMissingColumns=True).drop("__k")
+
+    def vacuum(self, keep: int = 1) -> int:
+        """Delete data folders that none of the latest ``keep`` versions names
+        (uncommitted ones, too: no merge may be running), and older manifests;
+        how many folders went."""
+        whole = [(n, live) for n in self._manifests() if (live := self._manifest(n)) is not None][-keep:]
+        if not whole:
+            return 0
+        needed = {folder for _, live in whole for folder in live.values()}
+        # manifests first: no version may name what is gone
+        for n in self._manifests():
+            if n < whole[0][0]:
+                delete_path(self.spark, f"{self.root}/manifest/{n}")
+        gone = [f for f in list_names(self.spark, f"{self.root}/data") if f not in needed]
+        for f in gone:
+            delete_path(self.spark, f"{self.root}/data/{f}")
+        return len(gone)
+
 
 def append_evolving(existing: DataFrame, new: DataFrame) -> DataFrame:
     """Schema-evolving append: columns missing on either side become NULL."""

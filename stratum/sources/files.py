@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,6 +78,51 @@ def write_text_file(spark: SparkSession, path: str, text: str) -> None:
     fs.rename(tmp, p)
 
 
+def create_text_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file that must not exist yet; whether this call did.  Of
+    several writers, one creates it.  A failure while writing leaves it cut
+    short, so readers should look for a last line."""
+    fs, p = _fs(spark, path)
+    try:
+        out = fs.create(p, False)
+    except Py4JJavaError as e:
+        if fs.exists(p):
+            return False
+        raise e
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+    return True
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder; none if it doesn't exist."""
+    fs, p = _fs(spark, path)
+    return sorted(st.getPath().getName() for st in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    fs, p = _fs(spark, path)
+    return fs.getContentSummary(p).getLength()
+
+
+def files_in(spark: SparkSession, path: str) -> int:
+    """The most data files that a folder or one of its sub-folders holds."""
+    fs, p = _fs(spark, path)
+    per_folder: dict[str, int] = {}
+    found = fs.listFiles(p, True)
+    while found.hasNext():
+        file = found.next().getPath()
+        if not file.getName().startswith(("_", ".")):
+            folder = file.getParent().toString()
+            per_folder[folder] = per_folder.get(folder, 0) + 1
+    return max(per_folder.values(), default=0)
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return bool(fs.delete(p, True))
+
+
 def read_text_file(spark: SparkSession, path: str) -> str | None:
     if not path_exists(spark, path):
         return None
