@@ -3,7 +3,6 @@ from collections import Counter
 
 import public_tokenizers
 from hypothesis import given, settings, strategies as st
-from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from stratum.llm import queries, token_counts
@@ -21,9 +20,7 @@ def brute(text):
 
 
 def by_pre_tokens(text):
-    freq, added = token_counts.pre_tokens(PATH).frequencies(text)
-    tokenize = token_counts.model(PATH).tokenize
-    return added + sum(n * len(tokenize(p)) for p, n in freq.items())
+    return int(token_counts.count_texts([text], PATH)[0])
 
 
 @settings(max_examples=300, deadline=None)
@@ -55,19 +52,35 @@ def test_long_texts_without_blanks_or_of_blanks_alone(spark):
     assert got == {i: brute(t) for i, t in enumerate(texts)}
 
 
-def test_blocks_and_slices_of_any_size_give_the_same(spark, trap_docs, monkeypatch):
-    monkeypatch.setattr(token_counts, "WORDS", 3)
-    written = token_counts.blocks(trap_docs, PATH).collect()
-    assert max(len(r.words) for r in written if r.words is not None) <= 3
-    a = sorted(map(tuple, token_counts.count(trap_docs, PATH).collect()), key=repr)
-    b = sorted(map(tuple, token_counts.count(trap_docs.repartition(7), PATH).collect()), key=repr)
-    assert a == b
-
-
-def test_each_pre_token_is_counted_once(trap_docs):
-    words = token_counts.blocks(trap_docs, PATH).where("words IS NOT NULL").select(F.explode("words").alias("word"))
-    counted = token_counts.piece_counts(words, PATH).collect()
-    assert len(counted) == len({r.word for r in counted}) == words.distinct().count()
+def test_parts_of_a_long_text():
+    rnd = random.Random(14)
+    for _ in range(300):
+        text = "".join(rnd.choice(["ab", " ", "\n", "é", "<|endoftext|>", "  ", "\t", "c-d"]) for _ in range(60))
+        cut = list(token_counts.parts(text, rnd.randint(1, 30)))
+        assert "".join(cut) == text
+        assert sum(map(by_pre_tokens, cut)) == brute(text)
+
+
+def test_frequencies_join_on_distinct_pre_tokens():
+    texts = ["the cat, the THE cat", "", "cat<|endoftext|>cat é É", "x"]
+    words, text, word, times, added = token_counts.frequencies(texts, token_counts.pre_tokens(PATH))
+    assert len(words) == len(set(words))
+    got = [Counter() for _ in texts]
+    for i, w, n in zip(text, word, times):
+        got[i][words[w]] += n
+    assert got[0] == {"the": 3, "cat": 2, ",": 1} and got[1] == {} and got[2] == {"cat": 2, "Ã©": 2}
+    assert added.tolist() == [0, 0, 1, 0]
+
+
+def test_simple_stretches_are_cut_as_the_library_does():
+    rnd = random.Random(15)
+    before = token_counts.pre_tokens(PATH)
+    signs = [chr(c) for c in (*range(33, 127), *range(0xC0, 0x100))]
+    for _ in range(5000):
+        stretch = "".join(rnd.choice(signs) for _ in range(rnd.randint(1, 12)))
+        assert before.of(stretch) == before.library(stretch), stretch
+    for stretch in ("it's", "IT'S", "we'll", "'re", "d'd", "a1b22", "ÀÉÞß×÷ÿ"):
+        assert before.of(stretch) == before.library(stretch)
 
 
 def test_empty_table(no_docs):
