@@ -20,7 +20,7 @@ from stratum.operators.ordered import fill_forward, neighbour
 def sessionize(df: DataFrame, keys: Sequence[str], ts: str, tie: str, chunk: Column,
                gap_seconds: int | None = None, start_when: Column | None = None,
                end_when: Column | None = None, carry: Sequence[str] = (),
-               out: str = "trip_start") -> DataFrame:
+               out: str = "trip_start", known: Column | None = None) -> DataFrame:
     """Assign each row the start timestamp of its trip.
 
     A row starts a new trip if it is the key's first row, or the time since
@@ -28,7 +28,8 @@ def sessionize(df: DataFrame, keys: Sequence[str], ts: str, tie: str, chunk: Col
     timeout), or ``start_when`` holds on it, or ``end_when`` held on the
     previous row.  ``carry`` columns of the previous row are exposed as
     ``prev_<c>`` (e.g. positions for step distances) together with the
-    boolean ``is_trip_start``.
+    boolean ``is_trip_start``.  Where ``known`` isn't NULL, the row belongs to
+    the trip that began then (an open trip carried over from an earlier scan).
     """
     df = df.withColumn("__end", end_when if end_when is not None else F.lit(False))
     p = neighbour(df, keys, [ts, tie], chunk, carry=[ts, "__end", *carry],
@@ -38,6 +39,7 @@ def sessionize(df: DataFrame, keys: Sequence[str], ts: str, tie: str, chunk: Col
         new = new | (micros_between(f"prev_{ts}", ts) > F.lit(gap_seconds * 1_000_000))
     if start_when is not None:
         new = new | start_when
-    p = p.withColumn("is_trip_start", new).withColumn(out, F.when(new, F.col(ts)))
+    start = F.when(new, F.col(ts))
+    p = p.withColumn("is_trip_start", new).withColumn(out, start if known is None else F.coalesce(known, start))
     res = fill_forward(p, keys, [ts, tie], F.col("__chunk"), [out])
     return res.drop("__end", "prev___end", f"prev_{ts}")

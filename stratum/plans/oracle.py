@@ -581,6 +581,7 @@ SQL.update({
         UNION ALL SELECT 'raw_supplier', 'OK', (SELECT count(*) FROM supplier), 0, 0, NULL, 1
         UNION ALL SELECT 'raw_nation', 'OK', (SELECT count(*) FROM nation), 0, 0, NULL, 0
         UNION ALL SELECT 'raw_orders', 'OK', (SELECT count(*) FROM orders), 0, 0, NULL, 0
+        UNION ALL SELECT 'raw_part', 'OK', count(*), 0, 0, CAST(sum(p_partkey) AS BIGINT), 0 FROM part
         UNION ALL SELECT 'raw_complaints', 'SKIPPED_no_file', NULL, NULL, NULL, NULL, NULL
         UNION ALL SELECT 'raw_broken', 'ERROR:ValueError', NULL, NULL, NULL, NULL, NULL""",
     "stream_scd2": SQL["scd2_policyholder"],
@@ -705,6 +706,19 @@ SQL["stream_ignition_trips"] = SQL["trips_by_ignition"].replace(
     "SELECT event_id, vehicle_id, ts, event_type, is_trip_start,",
     "SELECT event_id, vehicle_id, ts, event_type, is_trip_start, FALSE AS late,")
 
+# the watermark in the end: the greatest time less three days
+SQL["stream_trip_ends"] = f"""WITH trips AS ({SQL["trips_by_ignition"]}),
+    wm AS (SELECT max(ts) - INTERVAL 3 DAY AS w FROM events),
+    placed AS (SELECT * FROM trips, wm WHERE ts <= w),
+    per AS (SELECT vehicle_id, trip_start, max(ts) AS trip_end, count(*) AS n_events,
+                   arg_max(event_type, (ts, event_id)) AS last_type, any_value(w) AS w FROM placed GROUP BY 1, 2),
+    nx AS (SELECT *, lead(trip_start) OVER (PARTITION BY vehicle_id ORDER BY trip_start) AS next_start FROM per),
+    e AS (SELECT *, CASE WHEN last_type = 'purchase' THEN 'off'
+                         WHEN epoch_us(next_start) - epoch_us(trip_end) > 21600000000 THEN 'timeout'
+                         WHEN next_start IS NOT NULL THEN 'on'
+                         WHEN epoch_us(w) - epoch_us(trip_end) > 21600000000 THEN 'timeout' END AS ended_by FROM nx)
+    SELECT vehicle_id, trip_start, trip_end, n_events, ended_by FROM e WHERE ended_by IS NOT NULL"""
+
 SQL.update({
     "gate_evidence": " UNION ALL ".join(
         f"""SELECT * FROM (SELECT '{n}' AS "table", CAST(row_number() OVER (ORDER BY {cols}) AS INTEGER) AS rn,
@@ -767,20 +781,45 @@ SQL["trip_star"] = f"""WITH {_SESS}, {_RISK_CTE}, {_BRIDGE_CTE},
     SELECT x.*, obs.obs_ts, obs.avg_speed AS cell_avg_speed, obs.n_events AS cell_n_events
     FROM x ASOF LEFT JOIN obs ON obs.cell = x.cell AND x.trip_start >= obs.obs_ts"""
 
-SQL["similar_claims"] = f"""WITH {CLAIMS_CTE},
+_SIMILAR = f"""{CLAIMS_CTE},
     c AS MATERIALIZED (
-      SELECT claim_id, claim_type, claim_status, settlement_date, CAST(total_claim_amount AS DOUBLE) AS amount, fraud,
-             [CAST(total_claim_amount AS DOUBLE) / 500000.0::DOUBLE, CAST(injury_claim AS DOUBLE) / 200000.0::DOUBLE,
-              CAST(property_claim AS DOUBLE) / 150000.0::DOUBLE, month(incident_date) / 12.0::DOUBLE,
-              coalesce(cycle_time_days, 0) / 60.0::DOUBLE,
-              TRY_CAST(substr(claim_type, 1, 1) AS INTEGER) / 5.0::DOUBLE] AS v
-      FROM claim WHERE total_claim_amount IS NOT NULL),
-    u AS MATERIALIZED (SELECT *, list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) AS n FROM c),
-    q AS MATERIALIZED (
-      SELECT claim_id AS query_id, n AS qn FROM (
-        SELECT *, row_number() OVER (PARTITION BY claim_type ORDER BY amount DESC, claim_id) AS r
-        FROM u WHERE settlement_date IS NULL) WHERE r <= 10),
-    s AS (SELECT query_id, claim_id, list_dot_product(n, qn) AS score FROM u, q WHERE claim_id <> query_id),
-    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, claim_id) AS rank FROM s)
-    SELECT query_id, CAST(rank AS INTEGER) AS rank, r.claim_id, round(score, 6) AS score, claim_status, amount, fraud
-    FROM r JOIN c ON c.claim_id = r.claim_id WHERE rank <= 5"""
+      SELECT claim_id, claim_status, CAST(total_claim_amount AS DOUBLE) AS amount, fraud,
+             [coalesce(CAST(total_claim_amount AS DOUBLE), 0.0::DOUBLE) / 500000.0::DOUBLE,
+              coalesce(CAST(injury_claim AS DOUBLE), 0.0::DOUBLE) / 200000.0::DOUBLE,
+              coalesce(CAST(property_claim AS DOUBLE), 0.0::DOUBLE) / 150000.0::DOUBLE,
+              coalesce(month(incident_date), 0) / 12.0::DOUBLE, coalesce(cycle_time_days, 0) / 60.0::DOUBLE,
+              coalesce(TRY_CAST(substr(claim_type, 1, 1) AS INTEGER), 0) / 5.0::DOUBLE,
+              CASE WHEN total_claim_amount IS NULL THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END] AS v
+      FROM claim),
+    u AS MATERIALIZED (SELECT claim_id, list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) AS n FROM c
+                       WHERE list_dot_product(v, v) > 0),
+    q AS MATERIALIZED (SELECT claim_id AS query_id, n AS qn FROM u
+                       WHERE CAST(('0x' || substr(md5(claim_id), 1, 8)) AS BIGINT) % 100 = 0),
+    d AS MATERIALIZED (SELECT n, min(claim_id, 6) AS ids FROM u GROUP BY n),
+    e AS (SELECT query_id, ids, round(list_dot_product(n, qn), 6) AS score FROM d, q),
+    s AS (SELECT query_id, unnest(ids) AS claim_id, score FROM (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ids[1]) AS r FROM e) WHERE r <= 6),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, claim_id) AS rank FROM s
+          WHERE claim_id <> query_id),
+    near AS (SELECT query_id, CAST(rank AS INTEGER) AS rank, r.claim_id, score, claim_status, amount, fraud
+             FROM r JOIN c ON c.claim_id = r.claim_id WHERE rank <= 5)"""
+SQL["similar_claims"] = f"WITH {_SIMILAR} SELECT * FROM near"
+SQL["claim_evidence"] = f"""WITH {_SIMILAR},
+    p AS (SELECT query_id, string_agg(claim_id, ',' ORDER BY rank) AS similar_ids,
+                 CAST(count_if(fraud) AS BIGINT) AS similar_fraud, round(avg(amount), 2) AS similar_amount
+          FROM near GROUP BY 1)
+    SELECT p.*, claim_status, amount, fraud FROM p JOIN c ON claim_id = query_id"""
+SQL["bronze_evolving"] = """
+    SELECT s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN s_name END AS s_name, s_nationkey,
+           CASE WHEN s_suppkey % 2 = 1 THEN s_acctbal END AS s_acctbal, FALSE AS rescued FROM supplier"""
+SQL["similar_vectors"] = """WITH u AS MATERIALIZED (
+      SELECT vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x: x
+             / sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])))) AS n FROM embeddings),
+    s AS (SELECT q.vec_id AS query_id, u.vec_id, round(list_dot_product(u.n, q.n), 6) AS score
+          FROM u, u AS q WHERE q.vec_id % 100 = 0),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5"""
+SQL["search_recall"] = f"""WITH {CLAIMS_CTE}
+    SELECT 'claims' AS corpus, count(*) AS n_queries, TRUE AS recall_reached FROM claim
+    WHERE CAST(('0x' || substr(md5(claim_id), 1, 8)) AS BIGINT) % 100 = 0
+    UNION ALL SELECT 'embeddings', count(*), TRUE FROM embeddings WHERE vec_id % 100 = 0"""

@@ -81,8 +81,14 @@ _RAW: dict[str, Query] = {
     "doc_chunks": features.doc_chunks,
     "similar_topk": features.similar_topk,
     "similar_claims": features.similar_claims,
+    "claim_evidence": features.claim_evidence,
+    "similar_vectors": features.similar_vectors,
+    "similar_vectors_lsh": features.similar_vectors_lsh,
+    "similar_claims_lsh": features.similar_claims_lsh,
+    "search_recall": features.search_recall,
     "claim_context": features.claim_context,
     "bronze_ingest": streams.bronze_ingest,
+    "bronze_evolving": streams.bronze_evolving,
     "stream_scd2": streams.stream_scd2,
     "stream_policyholder": streams.stream_policyholder,
     "stream_vehicle": streams.stream_vehicle,
@@ -92,6 +98,7 @@ _RAW: dict[str, Query] = {
     "stream_windows": streams.stream_windows,
     "stream_dedup": streams.stream_dedup,
     "stream_ignition_trips": streams.stream_ignition_trips,
+    "stream_trip_ends": streams.stream_trip_ends,
     "fact_complaint": extra.fact_complaint,
     "mart_claim_360": extra.mart_claim_360,
     "claim_status_scd2": extra.claim_status_scd2,

@@ -13,16 +13,17 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.functions.times import epoch_ntz, instant_to_ntz, ntz_to_instant
+from stratum.functions.times import instant_to_ntz, ntz_to_instant
 from stratum.operators.ordered import time_chunk
 from stratum.session import scratch_path
 from stratum.sources.files import RESCUED, Source
-from stratum.sources.ingest import ingest_all
-from stratum.streaming.ignition import ignition_trips_stream
+from stratum.sources.ingest import ingest_all, read_bronze
+from stratum.streaming.ignition import IgnitionTrips
 from stratum.streaming.scd2_stream import run_scd2_stream
 from stratum.streaming.telemetry_stream import (dedup_stream, run_to_sink, sessions_stream,
                                                 split_late, windows_stream)
 from stratum.plans.common import t
+from stratum.plans.telematics import TRIP_GAP_SECONDS
 
 CUSTOMER_COLUMNS = ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
 NATION_COLUMNS = ("n_nationkey", "n_name", "n_regionkey")
@@ -37,6 +38,7 @@ SOURCES = (
     Source("raw_supplier", "supplier", "*.csv", "csv", ";", True, pii=("s_name",)),
     Source("raw_nation", "nation", "*.csv", "csv", "\t", False, columns=NATION_COLUMNS),
     Source("raw_orders", "orders", "*.json", "json"),
+    Source("raw_part", "part", "*.txt", "csv"),
     Source("raw_complaints", "complaints", "*.txt", "csv", "\t", False,
            columns=("maketxt", "modeltxt", "yeartxt", "cdescr")),   # not landed: skipped
     Source("raw_broken", "nation", "*.csv", "unknown"),              # can't be read: an error of its own
@@ -53,6 +55,13 @@ def _stage_landing(spark: SparkSession, sf_dir: str, landing: str) -> None:
     t(spark, sf_dir, "supplier").write.option("header", True).option("sep", ";").csv(f"{landing}/supplier")
     t(spark, sf_dir, "nation").write.option("header", False).option("sep", "\t").csv(f"{landing}/nation")
     t(spark, sf_dir, "orders").write.json(f"{landing}/orders")
+    # files as users land them: a byte order mark, a blank first line, line breaks and blank lines in quotes
+    part = t(spark, sf_dir, "part")
+    line = F.format_string('%s,"%s\n\n""%s""","%s\n",%s', F.col("p_partkey").cast("string"), "p_name", "p_brand",
+                           "p_type", F.col("p_size").cast("string"))
+    (part.groupBy((F.col("p_partkey") % 8).alias("file")).agg(F.array_join(F.collect_list(line), "\n").alias("body"))
+     .select("file", F.concat(F.lit("\ufeff\n  \np_partkey,p_name,p_type,p_size\n"), "body").alias("value"))
+     .write.partitionBy("file").text(f"{landing}/part"))
 
 
 def bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,9 +78,12 @@ def bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     tagged = spark.createDataFrame(
         [(name, sum(1 for f in d.schema.fields if ((f.metadata or {}).get("tags") or {}).get("pii")))
          for name, d in bronze_frames.items()], "table string, pii_tagged int")   # schema-sized
+    # of a part, the key counts only if its quoted line breaks came through whole
+    key_of = {"raw_customer": F.col("c_custkey").try_cast("bigint"),
+              "raw_part": F.when(F.col("p_name").rlike(r'(?s)^[^\n"]+\n\n"[^"]+"$') & F.col("p_type").endswith("\n")
+                                 & F.col("p_size").rlike("^[0-9]+$"), F.col("p_partkey").try_cast("bigint"))}
     parts = [d.select(F.lit(name).alias("table"), RESCUED, "_batch_id",
-                      (F.col("c_custkey").try_cast("bigint") if name == "raw_customer" else F.lit(None).cast("bigint"))
-                      .alias("key")) for name, d in bronze_frames.items()]
+                      key_of.get(name, F.lit(None)).cast("bigint").alias("key")) for name, d in bronze_frames.items()]
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
@@ -83,6 +95,23 @@ def bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
                   .select("table", "status", "rows", "rescued_rows", "rerun_rows", "key_sum", "pii_tagged"))
 
 
+def bronze_evolving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK6: a feed whose later files have a column more and one less; the table
+    gets the new column, rows from before read NULL there, nothing is rescued."""
+    root = scratch_path(spark, "bronze_evolving")
+    src = (Source("raw_supplier", "supplier", "*.csv"),)
+    supplier = t(spark, sf_dir, "supplier")
+    halves = [supplier.where("s_suppkey % 2 = 0").drop("s_acctbal"), supplier.where("s_suppkey % 2 = 1").drop("s_name")]
+    for half in halves:
+        half.write.mode("append").option("header", True).csv(f"{root}/landing/supplier")
+        ingest_all(spark, src, f"{root}/landing", f"{root}/bronze", f"{root}/_checkpoints", evolve=True)
+    rows = read_bronze(spark, f"{root}/bronze/raw_supplier")
+    return rows.select(F.col("s_suppkey").cast("bigint").alias("s_suppkey"), "s_name",
+                       F.col("s_nationkey").cast("int").alias("s_nationkey"),
+                       F.col("s_acctbal").cast("double").alias("s_acctbal"),
+                       F.col(RESCUED).isNotNull().alias("rescued"))
+
+
 def stream_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Streaming twin of ``scd2_policyholder``: the change log arrives as
     several files (one micro-batch each, years interleaved), merged with
@@ -245,23 +274,43 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                                          F.round(F.sum("value"), 2).alias("value_sum"))
 
 
-def stream_ignition_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STR7 streaming twin of ``trips_by_ignition``: the feed arrives in
-    two time-ordered deliveries (two micro-batches); the per-vehicle state
-    machine carries open trips across them."""
-    root = scratch_path(spark, "stream_ignition")
+IGNITION_DELAY_SECONDS = 3 * 86_400
+DELIVERIES = 4
+
+
+def _ignition(spark: SparkSession, sf_dir: str, name: str) -> IgnitionTrips:
+    """Trips of a feed in four deliveries: a row comes up to three days after
+    its time, so each delivery is out of order and reaches back into the one
+    before."""
+    root = scratch_path(spark, name)
     ev = _events(spark, sf_dir)
-    bounds = ev.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
-    cut = bounds["lo"] + (bounds["hi"] - bounds["lo"]) / 2
-    parts = [ev.where(F.col("ts") < cut), ev.where(F.col("ts") >= cut)]
-    schema = ev.schema
-    for i, part in enumerate(parts):
-        part.write.parquet(f"{root}/landing/delivery={i}")
-        src = spark.readStream.schema(schema).parquet(f"{root}/landing") \
-            .withColumn("ts_us", F.unix_micros("ts"))      # instant encodes the wall clock as UTC
-        stream = ignition_trips_stream(src, "signup", "purchase", 6 * 3600)
-        run_to_sink(stream, f"{root}/out", f"{root}/_checkpoint")
-    out = spark.read.parquet(f"{root}/out")
-    to_ntz = lambda c: F.timestamp_add("MICROSECOND", F.col(c), epoch_ntz())
-    return out.select("event_id", "vehicle_id", to_ntz("ts_us").alias("ts"), "event_type",
-                      "is_trip_start", to_ntz("trip_start_us").alias("trip_start"), "late")
+    held = F.pmod(F.xxhash64("event_id"), F.lit(IGNITION_DELAY_SECONDS))
+    arrival = F.unix_seconds("ts") + held
+    span = ev.agg(F.min(arrival).alias("lo"), F.max(arrival).alias("hi")).first()
+    step = (span["hi"] - span["lo"]) // DELIVERIES + 1
+    trips = IgnitionTrips(spark, root, "signup", "purchase", TRIP_GAP_SECONDS, IGNITION_DELAY_SECONDS,
+                          lambda ts: time_chunk(ts, "day"))
+    for i in range(DELIVERIES):
+        ev.where(F.floor((arrival - span["lo"]) / step) == i).write.parquet(f"{root}/landing/delivery={i}")
+        trips.run(spark.readStream.schema(ev.schema).parquet(f"{root}/landing"))
+    return trips
+
+
+def stream_ignition_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR7 streaming twin of ``trips_by_ignition``: four micro-batches with rows
+    out of order; open trips and rows before their time are carried over."""
+    trips = _ignition(spark, sf_dir, "stream_ignition")
+    late = trips.late().withColumns({"is_trip_start": F.lit(None).cast("boolean"),
+                                     "trip_start": F.lit(None).cast("timestamp")})
+    rows = trips.rows().withColumn("late", F.lit(False)).unionByName(
+        late.withColumn("late", F.lit(True)), allowMissingColumns=True)
+    return rows.select("event_id", "vehicle_id", instant_to_ntz("ts").alias("ts"), "event_type",
+                       "is_trip_start", instant_to_ntz("trip_start").alias("trip_start"), "late")
+
+
+def stream_trip_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR7 + STR11: the trips that the watermark has closed, and what ended
+    them: an ignition-off, the next ignition-on, or the timeout."""
+    ended = _ignition(spark, sf_dir, "stream_trip_ends").ended_trips()
+    return ended.select("vehicle_id", instant_to_ntz("trip_start").alias("trip_start"),
+                        instant_to_ntz("trip_end").alias("trip_end"), "n_events", "ended_by")

@@ -13,14 +13,18 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
-from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratum.operators.ordered import running_sum
+from stratum.session import scratch_path
+
 CORRUPT = "_corrupt_record"
 RESCUED = "_rescued_data"
+RECORD_LINES = 10_000       # lines a quoted field may span; beyond that the quote is a stray one
+MOST_FIELDS = 10_000        # columns that a table may get from JSON keys
 
 
 @dataclass(frozen=True)
@@ -34,6 +38,7 @@ class Source:
     sep: str = ","
     header: bool = True
     columns: tuple[str, ...] = ()    # the table's columns; needed for headerless layouts
+    escape: str = '"'                # what stands before a quote inside quotes
     pii: tuple[str, ...] = ()
     tags: dict = field(default_factory=dict)
 
@@ -124,9 +129,15 @@ def delete_path(spark: SparkSession, path: str) -> bool:
 
 
 def read_text_file(spark: SparkSession, path: str) -> str | None:
-    if not path_exists(spark, path):
+    """A small control file through the Hadoop FileSystem; None if absent."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
         return None
-    return "\n".join(r.value for r in spark.read.text(path).collect())
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 def list_landing(spark: SparkSession, landing: str) -> DataFrame:
@@ -190,53 +201,142 @@ def _aligned(rows: DataFrame, have: Sequence[str], canonical: Sequence[str]) ->
 
 
 def text_lines(reader, folder: str, src: Source):
-    """Lines of the source's files with the file they are from; ``reader`` is
-    ``spark.read`` or ``spark.readStream``."""
+    """Lines of the source's files with the file and the part of it (block)
+    they are from; ``reader`` is ``spark.read`` or ``spark.readStream``."""
     return (reader.option("pathGlobFilter", src.pattern).text(folder)
-            .select("value", F.col("_metadata.file_path").alias("_file")))
-
-
-def parse_csv(lines: DataFrame, src: Source, canonical: Sequence[str] | None = None) -> DataFrame:
+            .select("value", F.col("_metadata.file_path").alias("_file"),
+                    F.col("_metadata.file_block_start").alias("_block")))
+
+
+def _written(lines: DataFrame) -> DataFrame:
+    """The lines, read once, with their place in their file: by block, then by
+    ``_seq``.  A byte order mark before a file's first line is dropped."""
+    path = scratch_path(lines.sparkSession, "materialized", "landed_lines")
+    bare = F.when((F.col("_block") == 0) & F.col("value").startswith("\ufeff"), F.substring("value", 2, 1 << 30)) \
+        .otherwise(F.col("value"))
+    (lines.select(bare.alias("value"), "_file", "_block", F.monotonically_increasing_id().alias("_seq"))
+     .write.parquet(path))
+    return lines.sparkSession.read.parquet(path)
+
+
+def records(lines: DataFrame, sep: str, escape: str = '"') -> DataFrame:
+    """Delimited records of numbered ``lines`` (``value, _file, _block, _seq``):
+    lines that a quoted field spans are joined by line feeds.
+
+    Only files in which some line has an odd number of quotes are looked at.
+    There, a line with an odd number opens a quoted field if, beside its complete
+    ones, a quote begins a field, and otherwise can only close one.  Whether a line begins
+    inside quotes is the parity of the opening lines since the last that could
+    only close: running sums over the blocks of a file, whose totals are carried
+    from block to block, so a file is split like any other.  A quote that is
+    never closed, or only after ``RECORD_LINES`` lines, is a stray one: its lines
+    are records of their own."""
+    bare = (F.replace(F.col("value"), F.lit('""'), F.lit("")) if escape == '"'
+            else F.regexp_replace("value", re.escape(escape) + ".", ""))
+    odd = (F.length(bare) - F.length(F.replace(bare, F.lit('"'), F.lit("")))) % 2 == 1
+    first = f"(^|{re.escape(sep)})\\s*"
+    left = F.regexp_replace(bare, first + f'"[^"]*"(?=\\s*({re.escape(sep)}|$))', "$1")
+    begins = left.rlike(first + '"')
+    marked = lines.withColumn("_odd", odd).withColumn("_opens", odd & begins)
+    files = marked.where("_odd").select("_file").distinct()
+    if files.isEmpty():
+        return lines
+    slim = (marked.select("_file", "_block", "_seq", "_opens", (F.col("_odd") & ~F.col("_opens")).alias("_closes"))
+            .join(files, "_file", "left_semi"))
+    place, block = ["_block", "_seq"], F.col("_block")
+    slim = running_sum(slim, ["_file"], place, block, F.col("_closes").cast("int"), "_run")
+    # a line that can only close belongs to the run that it ends
+    slim = slim.withColumn("_run", F.col("_run") - F.col("_closes").cast("int"))
+    slim = running_sum(slim, ["_file", "_run"], place, block, F.col("_opens").cast("int"), "_seen")
+    inside = (F.col("_seen") - F.col("_opens").cast("int")) % 2 == 1
+    slim = slim.withColumn("_inside", inside)
+    slim = running_sum(slim, ["_file"], place, block, (~F.col("_inside")).cast("int"), "_record")
+    ends = F.col("_inside") & (F.col("_opens") | F.col("_closes"))
+    whole = (slim.groupBy("_file", "_record").agg(F.count("*").alias("_n"), F.max(ends).alias("_ended"))
+             .where((F.col("_n") > 1) & (F.col("_n") <= RECORD_LINES) & F.col("_ended")))
+    parts = slim.select("_file", "_block", "_seq", "_record").join(whole.select("_file", "_record"),
+                                                                    ["_file", "_record"])
+    path = scratch_path(lines.sparkSession, "materialized", "record_parts")
+    parts.write.parquet(path)
+    parts = lines.sparkSession.read.parquet(path)
+    key = ["_file", "_block", "_seq"]
+    joined = (lines.join(parts, key).groupBy("_file", "_record")
+              .agg(F.sort_array(F.collect_list(F.struct("_block", "_seq", "value"))).alias("p"))
+              .select(F.array_join("p.value", "\n").alias("value"), "_file", F.col("p")[0]["_block"].alias("_block"),
+                      F.col("p")[0]["_seq"].alias("_seq")))
+    return lines.join(parts, key, "left_anti").select("value", *key).unionByName(joined)
+
+
+def parse_csv(lines: DataFrame, src: Source, canonical: Sequence[str] | None = None,
+              evolve: bool = False) -> DataFrame:
     """Delimited lines on the ``canonical`` columns (default: those of the
     first file's header), every value as text.
 
-    Each file is read by its own header, so files may order, rename, add or
-    lack columns.  The headers come from the files' first lines; files with
-    equal headers are parsed together.  A repeat of the header is no row."""
+    The lines are read once.  Each file is read by its own header, so files may
+    order, rename, add or lack columns.  A header is a file's first record that
+    isn't blank; files with equal headers are parsed together.  A repeat of the
+    header is no row, nor is a blank line outside quotes.  With ``evolve``,
+    columns that only the files have are added to the canonical ones instead of
+    being rescued."""
     spark = lines.sparkSession
-    lines = lines.where(F.length(F.trim("value")) > 0)
+    rows = records(_written(lines), src.sep, src.escape).where(F.length(F.trim("value")) > 0)
     if not src.header:
         if not src.columns:
             raise ValueError(f"headerless source {src.table} needs explicit column names")
         groups = {None: src.columns}
-        tagged = lines.withColumn("_header", F.lit(None).cast("string"))
+        tagged = rows.withColumn("_header", F.lit(None).cast("string"))
     else:
-        files = sorted(r["_file"] for r in lines.select("_file").distinct().collect())     # a batch's files
-        # _metadata.file_path is URL-encoded
-        heads = [(f, (head_lines(spark, unquote(f)) or [""])[0]) for f in files]
-        groups = {h: header_names(h, src.sep) for _, h in heads if h}
-        of_file = spark.createDataFrame(heads, "_file string, _header string")
-        tagged = lines.join(F.broadcast(of_file), "_file").where(F.col("value") != F.col("_header"))
+        # a row for each of the batch's files
+        heads = rows.groupBy("_file").agg(F.min_by("value", F.struct("_block", "_seq")).alias("_header"))
+        found = sorted(tuple(r) for r in heads.collect())
+        groups = {h: header_names(h, src.sep) for _, h in found}
+        of_file = spark.createDataFrame(found, "_file string, _header string")
+        tagged = rows.join(F.broadcast(of_file), "_file").where(F.col("value") != F.col("_header"))
     canonical = list(canonical or next(iter(groups.values()), src.columns or ()))
+    if evolve:
+        canonical = with_new_columns(canonical, groups.values())
     if not groups:
-        return lines.select(*[F.lit(None).cast("string").alias(n) for n in canonical],
-                            F.lit(None).cast("string").alias(RESCUED), F.col("_file").alias("_source_file")).limit(0)
+        return rows.select(*[F.lit(None).cast("string").alias(n) for n in canonical],
+                           F.lit(None).cast("string").alias(RESCUED), F.col("_file").alias("_source_file")).limit(0)
     out = []
     for header, names in groups.items():
         ddl = ", ".join(f"`{n.replace('`', '``')}` STRING" for n in (*names, CORRUPT))
-        options = {"sep": src.sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+        options = {"sep": src.sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "escape": src.escape}
         own = tagged if header is None else tagged.where(F.col("_header") == header)
         out.append(_aligned(own.select(F.from_csv("value", ddl, options).alias("r"), "_file"), names, canonical))
     return reduce(DataFrame.unionByName, out)
 
 
-def parse_json(lines: DataFrame, canonical: Sequence[str] | None = None) -> DataFrame:
+def with_new_columns(columns: Sequence[str], others) -> list[str]:
+    """``columns`` and, in order, what ``others`` have besides (in any case)."""
+    out, known = list(columns), {c.lower() for c in columns}
+    for names in others:
+        for n in names:
+            if n.lower() not in known:
+                known.add(n.lower())
+                out.append(n)
+    return out
+
+
+def json_fields(rows: DataFrame) -> list[str]:
+    """The keys that occur in the maps ``m``, at most ``MOST_FIELDS``: keys that
+    are data (ids, times) are no columns."""
+    found = rows.select(F.explode(F.map_keys("m"))).distinct().limit(MOST_FIELDS + 1).collect()
+    if len(found) > MOST_FIELDS:
+        raise ValueError(f"more than {MOST_FIELDS} different JSON keys; name the fields of the table")
+    return sorted(r[0] for r in found)
+
+
+def parse_json(lines: DataFrame, canonical: Sequence[str] | None = None, evolve: bool = False) -> DataFrame:
     """JSON lines on the ``canonical`` fields (default: all fields that occur),
-    every value as text; other fields and malformed lines are rescued."""
+    every value as text; other fields (unless ``evolve`` adds them) and
+    malformed lines are rescued."""
     rows = lines.where(F.length(F.trim("value")) > 0).withColumn(
         "m", F.from_json("value", "map<string,string>", {"mode": "PERMISSIVE"}))
     if canonical is None:
-        canonical = sorted(r[0] for r in rows.select(F.explode(F.map_keys("m"))).distinct().collect())   # field names
+        canonical = json_fields(rows)
+    elif evolve:
+        canonical = with_new_columns(canonical, [json_fields(rows)])
     names = F.array(*[F.lit(n) for n in canonical]) if canonical else F.array().cast("array<string>")
     extra = F.map_filter("m", lambda k, v: ~F.array_contains(names, k))
     extra = F.when(F.size(extra) > 0, extra)

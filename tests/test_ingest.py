@@ -146,3 +146,104 @@ def test_feeds_share_no_files():
     from stratum.config import CLAIM_SOURCES, SPECIFIED_SOURCES
     places = [(s.subdir, s.pattern) for s in (*CLAIM_SOURCES, *SPECIFIED_SOURCES)]
     assert len(places) == len(set(places))
+
+
+def _rows(spark, text, sep=",", name="a.csv", **kw):
+    root = tempfile.mkdtemp(prefix="stratum-csv-")
+    with open(f"{root}/{name}", "wb") as f:
+        f.write(text.encode("utf-8"))
+    return scan_csv(spark, root, Source("t", "", "*.csv", "csv", sep, **kw)).collect()
+
+
+def test_blank_first_lines_and_byte_order_mark(spark):
+    for text in ("\nid,v\n1,a\n2,b\n", "\ufeffid,v\n1,a\n2,b\n", "\ufeff\n  \nid,v\n1,a\n\n2,b\n"):
+        assert sorted((r.id, r.v, r._rescued_data) for r in _rows(spark, text)) == [("1", "a", None), ("2", "b", None)]
+
+
+def test_quoted_line_breaks(spark):
+    text = ('id,v,w\n1,"a\nb",x\n2,"one line",y\n3,"c ""q""\n\nid,v,w\nd","e\nf"\n4,plain,z\n'
+            '5,"x, ""y""",5" pipe\n6,"\r\n",u\n')
+    rows = {r.id: r for r in _rows(spark, text)}
+    assert {k: (r.v, r.w) for k, r in rows.items()} == {
+        "1": ("a\nb", "x"), "2": ("one line", "y"), "3": ('c "q"\n\nid,v,w\nd', "e\nf"), "4": ("plain", "z"),
+        "5": ('x, "y"', '5" pipe'), "6": ("\n", "u")}
+    assert all(r._rescued_data is None for r in rows.values())
+
+
+def test_quoted_line_breaks_across_splits(spark):
+    import csv
+    import io
+    import random
+    rnd = random.Random(3)
+    want, out = [], io.StringIO()
+    write = csv.writer(out, lineterminator="\n")
+    write.writerow(["id", "v", "w"])
+    for i in range(600):
+        v = "".join(rnd.choice(["a", "b ", '"', "\n", ",", ";", "\n\n", "é"]) for _ in range(rnd.randint(1, 12)))
+        want.append((str(i), f"x{v}x", "end"))
+        write.writerow(want[-1])
+    for size in (300, 1000, 1 << 20):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+        spark.conf.set("spark.sql.files.openCostInBytes", "10")
+        try:
+            got = sorted(((r.id, r.v, r.w) for r in _rows(spark, out.getvalue())), key=lambda r: int(r[0]))
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        assert got == want
+
+
+def test_stray_quotes_swallow_nothing(spark, monkeypatch):
+    rows = _rows(spark, 'id,v\n1,"never closed\n2,b\n3,c\n')
+    assert {r.id for r in rows} >= {"2", "3"} and len(rows) == 3
+    rows = _rows(spark, 'id,v\n1,5" pipe\n2,b\n3,6" pipe\n')           # no quote begins a field
+    assert [(r.id, r.v) for r in sorted(rows)] == [("1", '5" pipe'), ("2", "b"), ("3", '6" pipe')]
+    from stratum.sources import files
+    monkeypatch.setattr(files, "RECORD_LINES", 3)
+    rows = _rows(spark, 'id,v\n1,"a\nb"\n2,"open\n3,c\n4,d\n5,e"\n6,f\n')
+    assert {(r.id, r.v) for r in rows} >= {("1", "a\nb"), ("3", "c"), ("4", "d"), ("6", "f")} and len(rows) == 6
+
+
+def test_headerless_file_with_a_byte_order_mark(spark):
+    rows = _rows(spark, "\ufeff1\ta\n2\t\"b\nc\"\n", "\t", header=False, columns=("k", "v"))
+    assert sorted((r.k, r.v) for r in rows) == [("1", "a"), ("2", "b\nc")]
+
+
+def test_evolving_columns(spark):
+    from stratum.sources.ingest import log_columns, read_bronze, table_columns
+    root, out = tempfile.mkdtemp(prefix="stratum-ev-"), tempfile.mkdtemp(prefix="stratum-evb-")
+    src = [Source("t", "t", "*.csv", pii=("n",)), Source("j", "j", "*.json", "json")]
+
+    def run():
+        st = ingest_all(spark, src, root, f"{out}/b", f"{out}/c", evolve=True)
+        assert {r.status for r in st.collect()} == {"OK"}
+    _write(f"{root}/t/a.csv", "x,y\n1,2\n")
+    _write(f"{root}/j/a.json", '{"p":1}\n')
+    run()
+    _write(f"{root}/t/b.csv", "Y,n\n3,4\n")
+    _write(f"{root}/j/b.json", '{"q":"z"}\n')
+    run()
+    _write(f"{root}/t/c.csv", "y,x\n5,6\n")
+    run()
+    rows = read_bronze(spark, f"{out}/b/t")
+    assert table_columns(spark, f"{out}/b/t") == ["x", "y", "n"]
+    assert sorted(((r.x, r.y, r.n) for r in rows.collect()), key=str) == \
+        sorted([("1", "2", None), (None, "3", "4"), ("6", "5", None)], key=str)
+    assert rows.where("_rescued_data IS NOT NULL").count() == 0
+    assert sorted(((r.p, r.q) for r in read_bronze(spark, f"{out}/b/j").collect()), key=str) == [("1", None), (None, "z")]
+    # a version cut short by a failure counts as none
+    with open(f"{out}/b/t/_columns/9", "w") as f:
+        f.write('"x"\n"y"')
+    assert table_columns(spark, f"{out}/b/t") == ["x", "y", "n"]
+    log_columns(spark, f"{out}/b/t", ["x", "y", "n", "m"])
+    assert table_columns(spark, f"{out}/b/t") == ["x", "y", "n", "m"]
+
+
+def test_json_keys_that_are_data_are_refused(spark, monkeypatch):
+    import pytest
+    from stratum.sources import files
+    monkeypatch.setattr(files, "MOST_FIELDS", 3)
+    root = tempfile.mkdtemp(prefix="stratum-json-")
+    _write(f"{root}/a.json", "\n".join('{"k%d":1}' % i for i in range(5)))
+    with pytest.raises(ValueError):
+        files.scan_json(spark, root, Source("t", "", "*.json", "json"))

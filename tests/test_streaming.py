@@ -94,25 +94,6 @@ def test_late_rows_are_counted(spark):
     assert late_rows(q) == 3
 
 
-def test_state_processor_loads_without_the_package(tmp_path):
-    """Workers may not have this package on their path: the ignition
-    processor must unpickle in a process that cannot import it."""
-    import subprocess
-    import sys
-
-    from pyspark import cloudpickle
-
-    from stratum.streaming.ignition import IgnitionTrips
-    blob = tmp_path / "proc.pkl"
-    blob.write_bytes(cloudpickle.dumps(IgnitionTrips("on", "off", 60)))
-    code = ("import pickle, sys; sys.path = [p for p in sys.path if 'repo' not in p]; "
-            f"p = pickle.loads(open({str(blob)!r}, 'rb').read()); print(type(p).__name__, p.timeout_us)")
-    out = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path), capture_output=True, text=True,
-                         timeout=120)
-    assert out.returncode == 0, out.stderr
-    assert out.stdout.split() == ["IgnitionTrips", "60000000"]
-
-
 def test_state_partitions_follow_the_cluster_and_conf_is_restored(spark):
     import datetime as dt
 
