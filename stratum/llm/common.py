@@ -106,8 +106,8 @@ def segment_sum(values: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
-def salt(*cols: str | Column, parts: int = SALTS) -> Column:
-    return F.pmod(F.xxhash64(*cols), F.lit(parts)).cast("int")
+def salt(*cols: str | Column, parts: int | Column = SALTS) -> Column:
+    return F.pmod(F.xxhash64(*cols), parts if isinstance(parts, Column) else F.lit(parts)).cast("int")
 
 
 def by_group(df: DataFrame, keys: Sequence[str], salt_on: Sequence[str | Column],
@@ -132,7 +132,7 @@ def by_group(df: DataFrame, keys: Sequence[str], salt_on: Sequence[str | Column]
 
 
 def numbered(df: DataFrame, group: str, order: Sequence[str | Column], spread: Sequence[str | Column],
-             name: str, parts: int = 64) -> DataFrame:
+             name: str, parts: int | Column = 64) -> DataFrame:
     """``df`` with ``name``: a number from 0 without gaps within ``group``.
 
     A group is numbered in ``parts`` sub-groups (by the hash of ``spread``),

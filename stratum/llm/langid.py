@@ -6,19 +6,30 @@ rows in numpy and hands on only its non-zero counts.  The log-probability
 matrix (buckets x languages) is broadcast; a batch is scored as a sparse
 product: the matrix rows of all n-grams, summed by document.
 
+A posterior compares the learned languages only, so a text in none of them has
+one near 1, too.  ``with_bounds`` therefore learns, for each language, how
+likely its texts are by themselves: the mean log-probability of their n-grams,
+and how it varies between texts and with their length.  ``keep_identified``
+rejects a text that is far less likely than that (``least_fit`` standard
+deviations), and on the way from its language's mean to that of n-grams hashed
+at random (each bucket alike) has gone further than ``most_way``.  So a text
+that quotes another language, or holds names or code, stays.
+
 Characters: letters are lower-cased one to one, every run of other characters
 is one boundary mark, so digits, punctuation and layout carry no weight.
 
 Defined results: null text or text without a letter: ``und`` with score 0;
 ties go to the language that sorts first; without any training row every text
-is ``und``.  A text is scored as a whole, whatever its length.  Columns of the
-input named ``lang_pred`` or ``score`` are replaced.
+is ``und``; a language with under ``MIN_ROWS`` training rows rejects none.  A
+text is scored as a whole, whatever its length.  Rows that repeat are scored one
+by one; an empty table gives no rows.  Columns of the input named like results
+(in any case) are replaced by ``predict`` and left alone by ``keep_identified``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import lru_cache
 
 import numpy as np
@@ -47,6 +58,10 @@ class LangModel:
     languages: tuple[str, ...]
     log_prob: np.ndarray        # (buckets, languages) float32
     log_prior: np.ndarray       # (languages,)
+    # of the texts' mean log-probabilities: mean; variance = between + within / n-grams
+    mean: np.ndarray | None = None
+    between: np.ndarray | None = None
+    within: np.ndarray | None = None
 
 
 @lru_cache(maxsize=1)
@@ -169,36 +184,130 @@ def fit(rows: DataFrame, config: LangConfig = LangConfig(), text: str = "text",
     return LangModel(config, languages, log_prob.astype(np.float32), log_prior)
 
 
-def score(model: LangModel, chars: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Posterior probabilities (rows x languages)."""
-    total = np.zeros((len(at) - 1, len(model.languages))) + model.log_prior
+def log_likelihood(model: LangModel, chars: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log-probability of each row's n-grams in each language, and their number."""
+    total, n = np.zeros((len(at) - 1, len(model.languages))), np.zeros(len(at) - 1)
     for buckets, offsets in grams(chars, at, model.config):
         total += segment_sum(model.log_prob[buckets], offsets)
+        n += np.diff(offsets)
+    return total, n
+
+
+def posterior(model: LangModel, likelihood: np.ndarray) -> np.ndarray:
+    total = likelihood + model.log_prior
     total -= total.max(axis=1, keepdims=True)
     p = np.exp(total)
     return p / p.sum(axis=1, keepdims=True)
 
 
-def predict(docs: DataFrame, model: LangModel, text: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score`` (the posterior)."""
-    own = without(docs, ["lang_pred", "score"])
+def score(model: LangModel, chars: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Posterior probabilities (rows x languages)."""
+    return posterior(model, log_likelihood(model, chars, at)[0])
+
+
+MIN_ROWS = 30                   # texts of a language from which its bound is learned
+_MOMENTS = 7
+
+
+def with_bounds(model: LangModel, rows: DataFrame, text: str = "text", lang: str = "lang",
+                trim: float | None = 6.0) -> LangModel:
+    """``model`` with what the training rows' own likelihoods are like, from one
+    more pass: sums of a few moments for each language.  With ``trim``, a second
+    pass leaves out the rows that the first finds so many standard deviations too
+    unlikely, so that rows under a wrong language don't widen its bound."""
+    once = _bounded(model, rows, text, lang, None)
+    return once if trim is None else _bounded(once, rows, text, lang, trim)
+
+
+def _bounded(model: LangModel, rows: DataFrame, text: str, lang: str, trim: float | None) -> LangModel:
+    known = (rows.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
+             .where(F.col("lang").isin(list(model.languages)) & F.col("text").isNotNull()))
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        place = {name: i for i, name in enumerate(m.languages)}
+        sums = np.zeros((len(m.languages), _MOMENTS))
+        for batch, chars, at, has_letter in _texts(batches, "text"):
+            total, n = log_likelihood(m, chars, at)
+            own = np.array([place[x] for x in batch.column("lang").to_pylist()], int)
+            ok = np.flatnonzero(has_letter & (n > 0))
+            x = 1 / n[ok]
+            y = total[ok, own[ok]] * x
+            if trim is not None:
+                near = _fit(m, own[ok], y, x) >= -trim
+                ok, x, y = ok[near], x[near], y[near]
+            np.add.at(sums, own[ok], np.column_stack((np.ones(len(x)), x, x * x, y, y * x, y * y, y * y * x)))
+        yield pa.RecordBatch.from_arrays([pa.array(list(m.languages)), *map(pa.array, sums.T)],
+                                         names=["lang", *[f"m{k}" for k in range(_MOMENTS)]])
+
+    schema = "lang string, " + ", ".join(f"m{k} double" for k in range(_MOMENTS))
+    got = arrow_map(known, run, schema).groupBy("lang").agg(*[F.sum(f"m{k}").alias(f"m{k}") for k in range(_MOMENTS)])
+    mean, between, within = (np.zeros(len(model.languages)) for _ in range(3))
+    between[:] = np.inf
+    for row in got.collect():                           # a row for each language
+        i = model.languages.index(row["lang"])
+        if row["m0"] >= MIN_ROWS:
+            mean[i], between[i], within[i] = _variance(*[row[f"m{k}"] for k in range(_MOMENTS)])
+    return replace(model, mean=mean, between=between, within=within)
+
+
+def _fit(model: LangModel, lang: np.ndarray, mean: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Standard deviations by which texts of 1 / x n-grams are likelier than
+    their language's."""
+    return (mean - model.mean[lang]) / np.sqrt(model.between[lang] + model.within[lang] * x)
+
+
+def _variance(n: float, x: float, xx: float, y: float, yx: float, yy: float, yyx: float) -> tuple[float, float, float]:
+    """Mean m of y, and a, b >= 0 of its variance a + b x (least squares of the
+    squared deviations on x), from sums over the texts."""
+    m = y / n
+    r, rx = yy - n * m * m, yyx - 2 * m * yx + m * m * x
+    det = n * xx - x * x
+    a, b = ((r * xx - rx * x) / det, (n * rx - r * x) / det) if det > 1e-12 * n * xx else (r / n, 0.0)
+    if a < 0:
+        a, b = 0.0, rx / xx
+    if b < 0:
+        a, b = r / n, 0.0
+    return m, max(a, 1e-6), max(b, 0.0)
+
+
+OUT = ("lang_pred", "score", "fit", "way")
+
+
+def predict(docs: DataFrame, model: LangModel, text: str = "text", fit: bool = False) -> DataFrame:
+    """``docs`` with ``lang_pred`` and ``score`` (the posterior); with ``fit``
+    also how many standard deviations the text is likelier than its language's
+    texts are (negative: less likely), and ``way``, the share of the way from
+    their mean to that of random n-grams (both 0 for ``und``)."""
+    names = OUT if fit else OUT[:2]
+    own = without(docs, names)
     schema = StructType([*own.schema.fields, StructField("lang_pred", StringType()),
-                         StructField("score", DoubleType())])
+                         *[StructField(n, DoubleType()) for n in names[1:]]])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        names = np.array([*m.languages, "und"], object)
+        called = np.array([*m.languages, "und"], object)
         for batch, chars, at, has_letter in _texts(batches, text):
+            typical, way = np.zeros(batch.num_rows), np.zeros(batch.num_rows)
+            random = -np.log(1 << m.config.bits)
             if m.languages:
-                p = score(m, chars, at)
+                total, n = log_likelihood(m, chars, at)
+                p = posterior(m, total)
                 best = np.where(has_letter, p.argmax(axis=1), len(m.languages))
                 top = np.where(has_letter, p.max(axis=1), 0.0)
+                if fit and m.mean is not None:
+                    row = np.flatnonzero(has_letter & (n > 0))
+                    mean = total[row, best[row]] / n[row]
+                    typical[row] = _fit(m, best[row], mean, 1 / n[row])
+                    learned = np.isfinite(m.between[best[row]])
+                    way[row[learned]] = ((m.mean[best[row]] - mean) / (m.mean[best[row]] - random))[learned]
             else:
                 best, top = np.zeros(batch.num_rows, int), np.zeros(batch.num_rows)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(names[best], pa.string()), pa.array(top, pa.float64())],
-                names=[*batch.schema.names, "lang_pred", "score"])
+            columns = [pa.array(called[best], pa.string()), pa.array(top, pa.float64()), pa.array(typical), pa.array(way)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns[:len(names)]],
+                                             names=[*batch.schema.names, *names])
     return arrow_map(own, run, schema)
 
 
@@ -214,12 +323,13 @@ def identify(docs: DataFrame, config: LangConfig = LangConfig()) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, config: LangConfig = LangConfig(),
-                    least: float = 0.5) -> DataFrame:
+                    least: float = 0.5, least_fit: float = 6.0, most_way: float = 0.5) -> DataFrame:
     """The documents in a language of the training rows: those without a
-    letter, or whose best posterior is under ``least``, go."""
-    columns = docs.columns
-    ruled = predict(docs.withColumnsRenamed({c: f"_in_{c}" for c in columns if c in ("lang_pred", "score")}),
-                    fit(docs, config), "text")
-    kept = ruled.where((F.col("lang_pred") != "und") & (F.col("score") >= least))
-    return kept.drop("lang_pred", "score").withColumnsRenamed(
-        {f"_in_{c}": c for c in columns if c in ("lang_pred", "score")})
+    letter, whose best posterior is under ``least``, or which are far less likely
+    in that language than its own texts are, go."""
+    model = with_bounds(fit(docs, config), docs)
+    clash = {c: f"_in_{c}" for c in docs.columns if c.lower() in OUT}
+    ruled = predict(docs.withColumnsRenamed(clash), model, "text", fit=True)
+    kept = ruled.where((F.col("lang_pred") != "und") & (F.col("score") >= least)
+                       & ((F.col("fit") >= -least_fit) | (F.col("way") <= most_way)))
+    return kept.select(*[F.col(f"`{clash.get(c, c)}`").alias(c) for c in docs.columns])

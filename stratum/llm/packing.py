@@ -13,63 +13,34 @@ and the number of steps doesn't grow with the data.
 The multisets give a table of slots: the k-th remainder of a length class goes
 to a window and an offset found by binary search.  Remainders are numbered
 within their class in sub-groups, so a class with a third of all rows is dealt
-to many tasks.
+to many tasks.  The ids move with their pieces; ``sequences`` puts them together.
 
 Defined results: null text is empty and has the end id alone; an added token of
-the vocabulary that a text spells out is its one id; every id lies in exactly one piece; rows that repeat a document are packed as often as they
-occur; an empty table gives no piece.  Sequence ids of windows come before
-those of full pieces.
+the vocabulary that a text spells out is its one id; every id lies in
+exactly one piece; rows that repeat a document (or lack a doc_id) are packed as
+often as they occur; very long texts, and long runs of white space or of one
+letter, are whole; an empty table gives no piece.  Only doc_id and the text are
+read, so other columns, whatever their names, don't matter.  Sequence ids of
+windows come before those of full pieces.
 """
 
 from __future__ import annotations
 
 import json
 import re
-import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
-import public_tokenizers
 import pyarrow as pa
-import tiktoken
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratum.llm.byte_level import encoder, plain_encoder  # noqa: F401
 from stratum.llm.common import arrow_map, numbered, pieces
 from stratum.sinks import materialize
 
-# fixed value: the pattern by which the byte-level pre-tokenizer splits a text
-BYTE_LEVEL_PATTERN = public_tokenizers.PATTERN
-
-
-def vocabulary(path: str) -> dict[bytes, int]:
-    """Bytes -> id of a byte-level BPE in the JSON form of ``tokenizers``, less
-    its added tokens.  There, a printable Latin-1 byte is its own character,
-    and the others are, in order, the characters from 256 on."""
-    with open(path, encoding="utf-8") as f:
-        model = json.load(f)
-    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
-    other = [b for b in range(256) if b not in own]
-    byte = {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(other)}
-    added = {t["content"] for t in model["added_tokens"]}
-    ids = {bytes(byte[c] for c in token): i for token, i in model["model"]["vocab"].items()
-           if token not in added}
-    merged = [m if isinstance(m, list) else m.split(" ") for m in model["model"]["merges"]]
-    order = [ids[bytes(byte[c] for c in a + b)] for a, b in merged]
-    if order != sorted(order):
-        raise ValueError("ids are not in the order of the merges; such a vocabulary has no rank form")
-    return ids
-
-
-@lru_cache(maxsize=2)
-def encoder(path: str) -> tiktoken.Encoding:
-    """The vocabulary of a ``tokenizers`` file in tiktoken, whose ids for text
-    between added tokens are the same at four times the speed."""
-    return tiktoken.Encoding("byte_level", pat_str=BYTE_LEVEL_PATTERN,
-                             mergeable_ranks=vocabulary(path), special_tokens={})
-
 
 def added_tokens(path: str) -> dict[str, int]:
     """Content -> id of the added tokens, which ``tokenizers`` finds in the raw
@@ -87,27 +58,28 @@ def tokenizer(path: str) -> Callable[[str], np.ndarray]:
     """Text -> the ids that ``tokenizers`` gives in its default settings (tests
     hold it against them): a text is split at the added tokens, the longest at
     a place, and each stretch between them is encoded on its own."""
-    own, added = encoder(path), added_tokens(path)
+    own, added = plain_encoder(path), added_tokens(path)
     if not added:
-        return own.encode_to_numpy
+        return own
     split = re.compile("(" + "|".join(re.escape(t) for t in sorted(added, key=len, reverse=True)) + ")").split
 
     def encode(text: str) -> np.ndarray:
         parts = split(text)
         if len(parts) == 1:
-            return own.encode_to_numpy(text)
-        return np.concatenate([np.array([added[part]], np.uint32) if i % 2 else own.encode_to_numpy(part)
+            return own(text)
+        return np.concatenate([np.array([added[part]], np.uint32) if i % 2 else own(part)
                                for i, part in enumerate(parts)])
     return encode
 
 
 PIECE = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()),
-                   ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64())])
-PIECE_DDL = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
+                   ("doc_tokens", pa.int64()), ("ids", pa.binary())])
+PIECE_DDL = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, ids binary"
 
 
 def cut(docs: DataFrame, path: str, window: int, end_id: int = 0, text: str = "text") -> DataFrame:
-    """One row per piece: full windows and a remainder of each document."""
+    """One row per piece with its ids (little-endian unsigned 32-bit integers):
+    full windows and a remainder of each document."""
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,7 +91,7 @@ def cut(docs: DataFrame, path: str, window: int, end_id: int = 0, text: str = "t
                 total = len(ids) // 4
                 for start in range(0, total, window):
                     part = ids[4 * start:4 * (start + window)]
-                    out.append((doc_id, start, len(part) // 4, zlib.crc32(part), total))
+                    out.append((doc_id, start, len(part) // 4, total, part))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(zip(*out), PIECE)], schema=PIECE)
     slim = docs.select(F.col("doc_id").cast("bigint"), F.col(text).cast("string").alias("text"))
@@ -211,19 +183,48 @@ def place(remainders: DataFrame, slots: Slots) -> DataFrame:
     return arrow_map(remainders, run, schema)
 
 
+def _parts(histogram: dict[int, int], tasks: int) -> Column:
+    """Into how many parts a length class is numbered: by its share of all
+    remainders, about four parts a task in all."""
+    total = max(1, sum(histogram.values()))
+    many = {n: 1 + 4 * tasks * c // total for n, c in histogram.items() if 4 * tasks * c >= total}
+    if not many:
+        return F.lit(1)
+    table = F.create_map(*[F.lit(x) for pair in many.items() for x in pair])
+    return F.coalesce(F.try_element_at(table, F.col("length").cast("int")), F.lit(1))
+
+
 def pack(docs: DataFrame, path: str, window: int = 1024, end_id: int = 0,
          text: str = "text") -> DataFrame:
-    """One row per piece with its ``sequence_id`` and ``offset``."""
+    """One row per piece with its ``sequence_id``, ``offset``, ``ids`` and, of
+    the ids that arrived there, ``ids_crc32``."""
     all_pieces = materialize(cut(docs, path, window, end_id, text), "packing_pieces")
     rest = all_pieces.where(F.col("length") < window)
     # one count for each length: at most window - 1 rows
     histogram = {r["length"]: r["n"] for r in
                  rest.groupBy("length").agg(F.count("*").alias("n")).collect()}
     slots = plan(histogram, window)
-    order = ["doc_id", "start", "ids_crc32"]
-    packed = place(numbered(rest, "length", order, ["doc_id"], "rank"), slots)
+    order = ["doc_id", "start", "ids"]
+    spread = ["doc_id", "start", F.crc32("ids")]
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    packed = place(numbered(rest, "length", order, spread, "rank", _parts(histogram, tasks)), slots)
     full = (numbered(all_pieces.where(F.col("length") == window).withColumn("_all", F.lit(0)),
-                     "_all", order, ["doc_id", "start"], "sequence_id", parts=4096)
+                     "_all", order, spread, "sequence_id", parts=4096)
             .withColumn("sequence_id", F.col("sequence_id").cast("bigint") + slots.windows)
             .withColumn("offset", F.lit(0).cast("bigint")).drop("_all"))
-    return packed.unionByName(full)
+    return packed.unionByName(full).withColumn("ids_crc32", F.crc32("ids"))
+
+
+def sequences(packed: DataFrame, window: int = 1024, pad_id: int = 0) -> DataFrame:
+    """The packed sequences themselves, a row each: ``ids`` (packed unsigned
+    32-bit integers, padded to ``window``), ``length`` without padding, and the
+    pieces in order as ``doc_ids``, ``starts`` and ``lengths``.  A sequence has
+    at most ``window`` pieces."""
+    in_order = packed.groupBy("sequence_id").agg(F.sort_array(F.collect_list(
+        F.struct("offset", "doc_id", "start", "length", "ids"))).alias("p"))
+    joined = F.aggregate("p.ids", F.lit(b""), lambda a, x: F.concat(a, x))
+    return in_order.select(
+        "sequence_id", F.aggregate("p.length", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("length"),
+        F.rpad(joined, F.lit(4 * window), F.lit(pad_id.to_bytes(4, "little"))).alias("ids"),
+        F.col("p.doc_id").alias("doc_ids"), F.col("p.start").alias("starts"),
+        F.col("p.length").alias("lengths"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from stratum.llm import (alignment, bpe, histsort, langid, minhash, packing, quality, resampling, syncmers,
                          token_counts, urlrules, warc)
 from stratum.llm.common import table
-from stratum.llm.digest_index import DigestIndex
+from stratum.llm.digest_index import DigestIndex, by_descending_id
 from stratum.sinks import materialize
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -47,7 +47,11 @@ def op3_urlrules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return DigestIndex.create(spark).ingest(table(spark, sf_dir, "documents"))
+    # in batches from the largest doc_id down, so that the index decides about all but the first
+    index = DigestIndex.create(spark)
+    decided = index.ingest_all(by_descending_id(table(spark, sf_dir, "documents").select("doc_id", "text"), 3))
+    index.close()
+    return decided
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,7 +65,7 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), BYTE_BPE, window=1024)
+    return packing.pack(table(spark, sf_dir, "documents"), BYTE_BPE, window=1024).drop("ids")
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

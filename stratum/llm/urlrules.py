@@ -16,7 +16,8 @@ starts with the rule's; the longest wins.
 Defined results: a null url, or one without ``://``, has an empty host and
 path and no rule; where no mined rule fires, the verdict is the ``default``.
 Without labelled urls nothing is mined.  Repeated page_ids are judged row by
-row; other columns of the input don't matter.
+row; an empty table gives no rows; columns named like results are replaced,
+others don't matter.
 """
 
 from __future__ import annotations
@@ -26,8 +27,9 @@ from dataclasses import dataclass
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
-from stratum.llm.common import without
+from stratum.llm.common import by_group, without
 from stratum.sinks import materialize
 
 LABEL = "label="
@@ -90,8 +92,8 @@ def tokens_of(url: Column) -> Column:
 
 
 def mine(labelled: DataFrame, config: RuleConfig) -> DataFrame:
-    """``rule_id, needs, verdict, confidence, support`` from rows with
-    ``tokens`` and ``label``."""
+    """``needs, verdict, confidence, support`` from rows with ``tokens`` and
+    ``label``."""
     share = max(config.support, config.least / max(labelled.count(), 1))
     baskets = labelled.select(F.array_append("tokens", F.concat(F.lit(LABEL), F.col("label"))).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=min(share, 1.0), minConfidence=config.confidence).fit(baskets)
@@ -101,16 +103,16 @@ def mine(labelled: DataFrame, config: RuleConfig) -> DataFrame:
              .select(F.array_sort("antecedent").alias("needs"),
                      F.substring(F.get("consequent", F.lit(0)), len(LABEL) + 1, 1 << 20).alias("verdict"),
                      "confidence", "support"))
-    found = materialize(found.withColumn("rule_id", F.xxhash64("needs", "verdict")), "url_rules")
+    found = materialize(found, "url_rules")
     # a rule is needless if a part of its tokens decides the same as confidently
-    part = found.select(F.col("rule_id").alias("_id"), F.col("needs").alias("_needs"),
-                        F.col("verdict").alias("_verdict"), F.col("confidence").alias("_confidence"))
+    part = found.select(F.col("needs").alias("_needs"), F.col("verdict").alias("_verdict"),
+                        F.col("confidence").alias("_confidence"))
     wider = (found.withColumn("_token", F.explode("needs"))
              .join(part.withColumn("_token", F.get("_needs", F.lit(0))), "_token")
              .where((F.col("verdict") == F.col("_verdict")) & (F.col("confidence") <= F.col("_confidence"))
                     & (F.size("_needs") < F.size("needs"))
                     & (F.size(F.array_except("_needs", "needs")) == 0)))
-    return found.join(wider.select("rule_id").distinct(), "rule_id", "left_anti")
+    return found.join(wider.select("needs", "verdict").distinct(), ["needs", "verdict"], "left_anti")
 
 
 def index(rules: DataFrame, labelled: DataFrame) -> DataFrame:
@@ -118,18 +120,18 @@ def index(rules: DataFrame, labelled: DataFrame) -> DataFrame:
     fewest labelled urls have."""
     spread = labelled.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
     listed_ = rules.withColumn("token", F.explode("needs")).join(spread, "token", "left")
-    rarest = listed_.groupBy("rule_id").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token")).alias("key"))
-    return rules.join(rarest.select("rule_id", F.col("key.token").alias("token")), "rule_id")
+    rarest = listed_.groupBy("needs", "verdict").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token")).alias("key"))
+    return rules.join(rarest.select("needs", "verdict", F.col("key.token").alias("token")), ["needs", "verdict"])
 
 
 def match(urls: DataFrame, indexed: DataFrame) -> DataFrame:
-    """``tokens`` of distinct token sets that some rule fires on, with the best
-    rule's ``mined`` (needs, verdict, confidence, support)."""
+    """The distinct ``tokens`` on which some rule fires, with the best rule's
+    verdict, tokens and confidence."""
     hits = (urls.withColumn("token", F.explode("tokens")).join(indexed, "token")
             .where(F.size(F.array_except("needs", "tokens")) == 0))
     best = F.max(F.struct("confidence", "support", (-F.size("needs")).alias("_short"), "needs", "verdict"))
-    return hits.groupBy("url_id").agg(best.alias("mined")).select(
-        "url_id", F.col("mined.verdict").alias("mined_verdict"), F.col("mined.needs").alias("mined_tokens"),
+    return hits.groupBy("tokens").agg(best.alias("mined")).select(
+        "tokens", F.col("mined.verdict").alias("mined_verdict"), F.col("mined.needs").alias("mined_tokens"),
         F.col("mined.confidence").alias("mined_confidence"))
 
 
@@ -137,26 +139,34 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], config: RuleConfi
           labelled: DataFrame | None = None, url: str = "url") -> DataFrame:
     """``pages`` with host, path, rule, verdict and the mined rule, if one decided.
     ``labelled``: (url, label) rows; by default the pages that a listed rule
-    decides, under its verdict."""
-    made = ("host", "path", "rule", "listed_verdict", "verdict", "tokens", "url_id", "mined_verdict",
-            "mined_tokens", "mined_confidence")
-    known = listed(located(without(pages, made), url), rules).withColumn("tokens", tokens_of(F.col(url)))
-    # equal hosts, paths and queries are judged once
-    known = known.withColumn("url_id", F.when(F.col("host") != "", F.xxhash64("tokens")))
+    decides, under its verdict.  Of rules learned from these, one that an example
+    contradicts doesn't fire: the list itself says otherwise."""
+    made = ("host", "path", "rule", "listed_verdict", "verdict", "tokens", "mined_verdict", "mined_tokens",
+            "mined_confidence")
+    own = without(pages, made)
+    known = listed(located(own, url), rules).withColumn("tokens", tokens_of(F.col(url)))
     if labelled is None:
         examples = known.where("rule IS NOT NULL").select("tokens", F.col("listed_verdict").alias("label"))
     else:
         examples = (located(labelled.select(F.col(url).alias("url"), "label").where("label IS NOT NULL"), "url")
                     .select(tokens_of(F.col("url")).alias("tokens"), "label"))
     examples = materialize(examples, "url_examples")
-    open_ = known.where("rule IS NULL AND url_id IS NOT NULL").select("url_id", "tokens").dropDuplicates(["url_id"])
-    if examples.isEmpty():
-        mined = known.sparkSession.createDataFrame(
-            [], "url_id bigint, mined_verdict string, mined_tokens array<string>, mined_confidence double")
-    else:
+    is_open = F.col("rule").isNull() & (F.col("host") != "")
+    # equal token sets are judged once; rows that share one are dealt to several tasks
+    plain = [f.name for f in own.schema.fields if not isinstance(f.dataType, MapType)]
+    salted, groups = by_group(known.where(is_open), ["tokens"], [F.col(f"`{c}`") for c in plain],
+                              {"_n": (F.count, F.lit(1), F.sum)})
+    groups = materialize(groups.select("tokens", "_salt"), "url_groups")
+    none = known.sparkSession.createDataFrame(
+        [], "tokens array<string>, mined_verdict string, mined_tokens array<string>, mined_confidence double")
+    mined = none
+    if not examples.isEmpty():
         found = mine(examples, config)
-        mined = match(open_, index(found, examples))
-    verdicts = materialize(mined, "url_verdicts")
-    judged = known.join(verdicts, "url_id", "left")
+        if labelled is None:
+            found = found.where("confidence = 1")
+        mined = match(groups.select("tokens").distinct(), index(found, examples))
+    verdicts = materialize(groups.join(mined, "tokens"), "url_verdicts")
+    judged = salted.join(verdicts, ["tokens", "_salt"], "left").drop("_salt")
+    judged = judged.unionByName(known.where(~is_open), allowMissingColumns=True)
     return (judged.withColumn("verdict", F.coalesce("listed_verdict", "mined_verdict", F.lit(config.default)))
-            .drop("listed_verdict", "mined_verdict", "tokens", "url_id"))
+            .drop("listed_verdict", "mined_verdict", "tokens"))

@@ -68,3 +68,60 @@ def test_hot_group(spark):
         spark.createDataFrame(rows, "doc_id long, text string")).where("text_sha256 = '%s'" % sha("same")).collect()
     assert len(got) == 1000 and {r.keep_id for r in got} == {2997} and {r.group_size for r in got} == {1000}
     assert sum(r.kept for r in got) == 1
+
+
+SCHEMA = "doc_id long, text string"
+
+
+def decisions(df):
+    return sorted(((r.doc_id, r.keep_id, r.kept) for r in df.collect()), key=str)
+
+
+def test_a_batch_run_again_decides_as_before(spark, monkeypatch):
+    index = DigestIndex.create(spark, buckets=2)
+    index.ingest(spark.createDataFrame([(1, "a")], SCHEMA), batch_id="first")
+    batch = spark.createDataFrame([(5, "b"), (6, "b"), (7, "a"), (8, "c")], SCHEMA)
+    before = decisions(index.ingest(batch, batch_id="second"))
+    assert before == [(5, 6, False), (6, 6, True), (7, 1, False), (8, 8, True)]
+    assert decisions(index.ingest(batch, batch_id="second")) == before
+    assert index.table().count() == 3
+    # a failure after a part of the append
+    part = DigestIndex.create(spark, buckets=2)
+    part.ingest(spark.createDataFrame([(1, "a")], SCHEMA), batch_id="first")
+    append = DigestIndex._append
+    with monkeypatch.context() as m:
+        m.setattr(DigestIndex, "_append", lambda self, rows: (append(self, rows.limit(1)), 1 / 0))
+        try:
+            part.ingest(batch, batch_id="second")
+        except ZeroDivisionError:
+            pass
+    assert part.table().count() == 2
+    assert decisions(part.ingest(batch, batch_id="second")) == before and part.table().count() == 3
+
+
+def test_opened_again_under_another_name(spark, tmp_path):
+    path = str(tmp_path / "index")
+    index = DigestIndex.create(spark, path=path, buckets=3)
+    index.ingest(spark.createDataFrame([(1, "a"), (2, "b")], SCHEMA))
+    index.close()
+    assert not spark.catalog.tableExists(index.name)
+    again = DigestIndex.open(spark, path)
+    assert again.buckets == 3 and again.table().count() == 2
+    assert decisions(again.ingest(spark.createDataFrame([(3, "b"), (4, "c")], SCHEMA))) == \
+        [(3, 2, False), (4, 4, True)]
+    try:
+        DigestIndex.open(spark, str(tmp_path / "none"))
+        raise AssertionError
+    except FileNotFoundError:
+        pass
+
+
+def test_batches_by_descending_id_equal_one_batch(spark, trap_docs, no_docs):
+    from stratum.llm.digest_index import by_descending_id
+    for n in (1, 2, 4):
+        parts = by_descending_id(trap_docs, n)
+        assert sum(p.count() for p in parts) == trap_docs.count()
+        got = DigestIndex.create(spark, buckets=2).ingest_all(parts)
+        one = DigestIndex.create(spark, buckets=2).ingest(trap_docs)
+        assert sorted(map(str, got.collect())) == sorted(map(str, one.select(got.columns).collect()))
+    assert DigestIndex.create(spark, buckets=2).ingest_all(by_descending_id(no_docs, 3)).collect() == []

@@ -8,7 +8,7 @@ import pyarrow as pa
 from stratum.llm import langid
 from stratum.llm.common import code_points
 
-from conftest import SF_SMALL
+from conftest import SF_CHECK, SF_SMALL
 from llm_traps import no_docs, trap_docs  # noqa: F401
 
 
@@ -98,3 +98,44 @@ def test_stage_drops_only_what_has_no_language(trap_docs):
     kept = Counter(r.doc_id for r in out.collect())
     assert kept == Counter({1: 1, 2: 1, 5: 1, 6: 1, 8: 1, 9: 2, None: 1, 10: 1})
     assert {r.score for r in out.collect()} == {1}      # the input's own column
+
+
+GREEK = "\u03b7 \u03b3\u03bb\u03ce\u03c3\u03c3\u03b1 \u03b5\u03af\u03bd\u03b1\u03b9 \u03ad\u03bd\u03b1 \u03c3\u03cd\u03c3\u03c4\u03b7\u03bc\u03b1 "
+JAPANESE = "\u65e5\u672c\u8a9e\u306e\u6587\u7ae0\u306f\u7a7a\u767d\u304c\u306a\u3044 "
+
+
+def test_texts_of_no_learned_language_go_and_clean_ones_stay(spark):
+    import random
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet")
+    rnd = random.Random(9)
+    planted = [(900_000 + i, GREEK * 4, "en", "s", 1) for i in range(3)]
+    planted += [(900_010 + i, JAPANESE * 4, None, "s", 1) for i in range(3)]
+    planted += [(900_020 + i, " ".join("".join(rnd.choice("bcdfghjklmnpqrstvwxz") for _ in range(rnd.randint(3, 9)))
+                                       for _ in range(60)), "fr", "s", 1) for i in range(3)]
+    both = docs.union(spark.createDataFrame(planted, docs.schema)).withColumn("Score", docs["doc_id"] * 0 + 7)
+    out = langid.keep_identified(both)
+    assert out.columns == both.columns and {r.Score for r in out.collect()} == {7}
+    kept = {r.doc_id for r in out.collect()}
+    assert not kept & {p[0] for p in planted}
+    clean = {r.doc_id for r in docs.collect() if any(map(str.isalpha, r.text or ""))}
+    assert kept == clean
+
+
+def test_variance_is_split_by_length():
+    rng = np.random.default_rng(4)
+    n = rng.integers(1, 500, 20_000)
+    y = -7 + rng.normal(size=len(n)) * np.sqrt(0.04 + 3.0 / n)
+    x = 1 / n
+    m, a, b = langid._variance(len(n), x.sum(), (x * x).sum(), y.sum(), (y * x).sum(), (y * y).sum(), (y * y * x).sum())
+    assert abs(m + 7) < 0.02 and abs(a - 0.04) < 0.01 and abs(b - 3) < 0.3
+
+
+def test_bounds_are_the_moments_of_the_training_rows(spark):
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet")
+    model = langid.fit(docs)
+    bounded = langid.with_bounds(model, docs.repartition(4), trim=None)
+    for i, name in enumerate(model.languages):
+        own = [r.text for r in docs.collect() if r.lang == name and any(map(str.isalpha, r.text or ""))]
+        chars, at, _ = langid.normalise(*code_points(pa.array(own)))
+        total, n = langid.log_likelihood(model, chars, at)
+        assert abs(bounded.mean[i] - np.mean(total[:, i] / n)) < 1e-6

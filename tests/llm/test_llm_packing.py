@@ -106,3 +106,34 @@ def test_plan_uses_every_length_once_and_stays_small():
     assert slots.windows <= 1.001 * sum(k * n for k, n in histogram.items()) / 1024 + 1
     assert packing.plan({}, 1024).windows == 0
     assert packing.plan({600: 5}, 1024).windows == 5
+
+
+def test_long_runs_are_whole(spark):
+    texts = [" " * 1_000_000, "\n" * 1_000_000, "a" * 1_000_000, "x" + "\t " * 400_000 + "<|endoftext|> y"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    default = Tokenizer.from_file(PATH)
+    got = defaultdict(dict)
+    for r in packing.pack(docs, PATH).collect():
+        got[r.doc_id][r.start] = np.frombuffer(r.ids, "<u4")
+    for i, t in enumerate(texts):
+        ids = np.concatenate([got[i][s] for s in sorted(got[i])])
+        assert ids.tolist() == default.encode(t, add_special_tokens=False).ids + [0]
+
+
+def test_sequences_hold_the_ids_of_their_pieces(trap_docs, no_docs):
+    window = 64
+    placed = packing.pack(trap_docs, PATH, window=window)
+    rows = placed.collect()
+    out = {r.sequence_id: r for r in packing.sequences(placed, window, pad_id=7).collect()}
+    by_sequence = defaultdict(list)
+    for r in rows:
+        by_sequence[r.sequence_id].append(r)
+    assert set(out) == set(by_sequence)
+    for k, own in by_sequence.items():
+        own.sort(key=lambda r: r.offset)
+        ids = b"".join(bytes(r.ids) for r in own)
+        assert bytes(out[k].ids) == ids + (7).to_bytes(4, "little") * (window - len(ids) // 4)
+        assert out[k].length == len(ids) // 4
+        assert (out[k].doc_ids, out[k].starts, out[k].lengths) == tuple(
+            [r[c] for r in own] for c in ("doc_id", "start", "length"))
+    assert packing.sequences(packing.pack(no_docs, PATH)).collect() == []

@@ -35,10 +35,79 @@ def test_few_labels_are_helped_by_the_pool(spark):
     assert np.mean([r.good == (r.quality == 1) for r in rows]) > 0.9
 
 
-def test_samples_are_bounded(spark):
+def test_only_the_labelled_sample_is_bounded(spark):
     docs, train, _ = split(spark)
-    sample = quality.sampled(docs, train, QualityConfig(labelled=40, pool=30))
-    assert (sample.label >= 0).sum() == 40 and (sample.label < 0).sum() == 30
+    sample, rest = quality.sampled(docs, train, QualityConfig(labelled=40))
+    assert len(sample.label) == 40 and set(sample.label.tolist()) <= {0, 1}
+    assert rest.count() == docs.count() - 40
+
+
+def views_of(sample, config):
+    rows = np.arange(len(sample.label))
+    y = sample.label.astype(float)
+    odds = quality.log_odds(sample.bucket_counts(rows, y, config), config)
+    meta = quality.logistic(sample.meta, y, 1.0)
+    return quality.Views(config, odds, quality._platt(sample.text_mean(odds), y), meta,
+                         quality._platt(sample.meta @ meta, y))
+
+
+def test_one_round_adds_up_all_unlabelled_documents(spark):
+    """Against a walk over the documents one by one."""
+    docs, train, _ = split(spark)
+    config = QualityConfig(labelled=60, bits=10, confident=0.7)
+    sample, rest = quality.sampled(docs, train, config)
+    views = views_of(sample, config)
+    edges = views.edges()
+    got = quality.gather(rest.repartition(5), views)
+    want = {k: np.zeros(v) for k, v in quality._shapes(views).items()}
+    for r in rest.collect():
+        batch = pa.RecordBatch.from_pydict({c: pa.array([r[c]], pa.string()) for c in quality.VIEW})
+        points, at = code_points(batch.column("text"))
+        x = quality.meta_features(batch, points, at, config)[0]
+        grams = np.concatenate([b for b, _ in quality.text_buckets(points, at, config)] or [np.zeros(0, int)])
+        mean = sum(views.log_odds[g] for g in grams.tolist()) / max(1, len(grams))
+        text = float(np.clip(views.text_fit[0] * mean + views.text_fit[1], -12, 12))
+        page = float(np.clip(views.meta_fit[0] * (x @ views.meta) + views.meta_fit[1], -12, 12))
+        p = 1 / (1 + np.exp(-np.clip(x @ views.meta, -30, 30)))
+        want["rows"][0] += 1
+        for name, logit in (("by_text", text), ("by_meta", page)):
+            bins = [k for k, e in enumerate(edges) if abs(logit) >= e]
+            if not bins:
+                continue
+            k = (logit > 0) * len(edges) + bins[-1]
+            want[name][k] += 1
+            if name == "by_meta":
+                for g in grams.tolist():
+                    want["counts"][k * 1024 + g] += np.log1p(len(grams)) / len(grams)
+            else:
+                want["gradient"][k] += x * ((logit > 0) - p)
+                want["curve"][k] += np.outer(x, x) * max(p * (1 - p), 1e-6)
+    assert got.rows == want["rows"][0] == docs.count() - 60
+    assert got.by_text.ravel().tolist() == want["by_text"].tolist() and got.by_text.sum() > 0
+    assert got.by_meta.ravel().tolist() == want["by_meta"].tolist() and got.by_meta.sum() > 0
+    for name in ("counts", "gradient", "curve"):
+        assert np.abs(getattr(got, name).ravel() - want[name].ravel()).max() < 1e-3
+
+
+def test_bins_are_handed_over_from_the_top_until_the_share_is_reached():
+    sizes = np.array([[5, 4, 3, 2], [0, 0, 9, 0]])
+    assert quality.handed_bins(sizes, 4).tolist() == [[False, False, True, True], [False, False, True, True]]
+    assert quality.handed_bins(sizes, 2).tolist()[0] == [False, False, False, True]
+    assert quality.handed_bins(sizes, 99).all() and not quality.handed_bins(sizes, 0).any()
+
+
+def test_columns_are_found_in_any_case(spark):
+    docs, train, _ = split(spark)
+    config = QualityConfig(labelled=60, rounds=1)
+    model = quality.fit(docs, train, config)
+    plain = {r.doc_id: r.quality_score for r in quality.score(docs, model).select("doc_id", "quality_score").collect()}
+    other = docs.withColumnsRenamed({"lang": "Lang", "source": "SOURCE", "text": "Text"})
+    scored = quality.score(other, model)
+    assert scored.columns[:len(other.columns)] == other.columns
+    rows = scored.collect()
+    assert {r.doc_id: r.quality_score for r in rows} == plain and all(r.Lang is not None for r in rows)
+    kept = quality.keep_good(other.withColumn("Good", F.lit("x")), train, config)
+    assert kept.columns == [*other.columns, "Good"] and {r.Good for r in kept.collect()} == {"x"}
 
 
 def test_text_buckets_count_all_ngrams_of_a_row():

@@ -77,9 +77,8 @@ def test_mined_rules_match_brute_force(spark, labelled):
     found = urlrules.mine(examples, config)
     assert {(frozenset(r.needs), r.verdict) for r in found.collect()} == want
 
-    got = {tuple(r.tokens): r.mined_verdict for r in examples.withColumn("url_id", F.xxhash64("tokens"))
-           .join(urlrules.match(examples.select(F.xxhash64("tokens").alias("url_id"), "tokens").distinct(),
-                                urlrules.index(found, examples)), "url_id", "left").collect()}
+    got = {tuple(r.tokens): r.mined_verdict for r in examples.join(
+        urlrules.match(examples.select("tokens").distinct(), urlrules.index(found, examples)), "tokens", "left").collect()}
     for tokens, verdict in got.items():
         fires = [(sets[k], support(rows, k[0], k[1]), -len(k[0]), sorted(k[0]), k[1])
                  for k in want if k[0] <= set(tokens)]
@@ -100,3 +99,28 @@ def test_empty_and_repeated(spark):
     assert judge(none, queries.URL_RULES).collect() == []
     twice = spark.createDataFrame([(1, "http://a.com/")] * 2 + [(None, "http://q.org/")], "page_id long, url string")
     assert sorted(r.verdict for r in judge(twice, queries.URL_RULES).collect()) == ["allow"] * 3
+
+
+def test_rules_that_the_list_contradicts_do_not_fire(spark):
+    listed_ = [(i, f"http://h{i}.example.com/en/") for i in range(40)] + [(100, "http://www.example.com/en/")]
+    pages = spark.createDataFrame(listed_ + [(200, "http://other.org/en/"), (201, "http://q.example.com/de/")],
+                                  "page_id long, url string")
+    rules = [("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/")]
+    got = {r.page_id: r for r in judge(pages, rules, RuleConfig(least=5)).collect()}
+    assert got[0].verdict == "block" and got[100].verdict == "allow"
+    assert got[200].verdict == got[201].verdict == "allow" and got[200].mined_tokens is None
+
+
+def test_precision_on_held_out_listed_urls(spark):
+    """Rules learned from half of the listed urls judge the other half."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url")
+    known = judge(pages, queries.URL_RULES).where("rule IS NOT NULL").select("page_id", "url", F.col("verdict").alias("label"))
+    train, held = (known.where(f"pmod(xxhash64(url), 2) = {k}") for k in (0, 1))
+    rows = judge(held, [], labelled=train.select("url", "label")).where("mined_tokens IS NOT NULL").collect()
+    assert len(rows) >= 20 and sum(r.verdict == r.label for r in rows) / len(rows) >= 0.9
+
+
+def test_many_rows_of_one_token_set(spark):
+    pages = spark.range(5000).selectExpr("id AS page_id", "'http://a.hot.org/x/' AS url")
+    groups = judge(pages, queries.URL_RULES)
+    assert groups.count() == 5000 and groups.select("verdict").distinct().count() == 1
