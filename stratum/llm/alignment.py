@@ -9,6 +9,10 @@ Long texts are intersected a stretch of bytes at a time, which gives the same
 ends.  A token has at least one byte, so in a group the pair of last tokens
 ends together and no other: that pair is the group's link.
 
+Both tokenizers end a token before a single space, so a text is the sequence of
+its segments between spaces, and a segment that occurs often in a batch is
+encoded and aligned once.
+
 How often an id pair is linked in the whole corpus says how well it fits.  Of
 two tokens that end together one's bytes are the end of the other's, so the two
 vocabularies bound the number of pairs whatever the corpus (``most_pairs``; 0.5
@@ -27,9 +31,11 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,11 +47,12 @@ from stratum.llm.byte_level import plain_encoder, vocabulary
 from stratum.llm.common import arrow_map, pieces
 from stratum.sinks import materialize
 
-TEXT_BYTES = 1 << 20            # text whose tokens a task holds at once
+TEXT_BYTES = 2 << 20            # text whose tokens a task holds at once
 STRETCH = 1 << 20               # bytes of a text whose ends share a dictionary
+GROUPS = 1 << 16                # groups that are written out at once
 PAIR_LIMIT = 4_000_000          # id pairs that may be collected and broadcast
-_LONG = 1 << 18                 # characters from which a text is cut for sentencepiece
-_CUT = re.compile(r"(?<=[^ ▁]) (?=[^ ▁])")
+SHORT = 1 << 12                 # characters of a segment that is aligned in plain Python
+_CUT = re.compile(r"(?<=[^ ▁]) (?=[^\s▁])")
 
 
 class ByteLevel:
@@ -56,6 +63,7 @@ class ByteLevel:
         self.bytes_of = [b""] * (max(ids.values()) + 1)
         for token, i in ids.items():
             self.bytes_of[i] = token
+        self.size = np.array([len(t) for t in self.bytes_of], np.int64)
         self.encode = plain_encoder(path)
 
 
@@ -67,20 +75,22 @@ class Pieces:
         names = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
         self.bytes_of = [bytes([int(name[3:-1], 16)]) if self.model.is_byte(i)
                          else name.replace("▁", " ").encode() for i, name in enumerate(names)]
-        # merges can't cross a place before a space if no piece holds a space further in
+        self.size = np.array([len(t) for t in self.bytes_of], np.int64)
+        # merges can't cross a single space if no piece holds a space further in
         self.cuttable = not any(" " in name.replace("▁", " ").lstrip(" ") for name in names)
 
     def encode(self, text: str) -> np.ndarray:
-        if len(text) < _LONG or not self.cuttable:
-            return np.array(self.model.encode(text), np.uint32)
-        # the space that the model adds stands for the one at the cut
-        out, begin = [], 0
-        while begin < len(text):
-            cut = _CUT.search(text, begin + _LONG)
-            end = cut.start() if cut else len(text)
-            out.append(np.array(self.model.encode(text[begin:end]), np.uint32))
-            begin = end + 1
-        return np.concatenate(out)
+        """The ids; the space that the model adds stands for the one at a cut."""
+        parts = segments(text) if self.cuttable else [text]
+        return np.array(list(chain.from_iterable(map(self.model.encode, parts))), np.uint32)
+
+
+def segments(text: str) -> list[str]:
+    """``text`` cut at single spaces before which both tokenizers end a token."""
+    parts = text.split(" ")
+    if all(parts) and "▁" not in text and not any(p[0].isspace() for p in parts[1:]):
+        return parts
+    return _CUT.split(text)
 
 
 @lru_cache(maxsize=2)
@@ -105,14 +115,15 @@ def common_ends(ends_a: np.ndarray, ends_b: np.ndarray, stretch: int = STRETCH)
     """Indices of the tokens of A and of B that end together, in order."""
     if not len(ends_a) or not len(ends_b):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    in_a, in_b = [], []
+    in_a: list[int] = []
+    in_b: list[int] = []
     for low in range(0, int(min(ends_a[-1], ends_b[-1])) + 1, stretch):
-        (a0, a1), (b0, b1) = (np.searchsorted(e, (low, low + stretch)) for e in (ends_a, ends_b))
+        (a0, a1), (b0, b1) = (np.searchsorted(e, (low, low + stretch)).tolist() for e in (ends_a, ends_b))
         index_a = dict(zip(ends_a[a0:a1].tolist(), range(a0, a1)))
         index_b = dict(zip(ends_b[b0:b1].tolist(), range(b0, b1)))
         shared = sorted(index_a.keys() & index_b.keys())
-        in_a += [index_a[e] for e in shared]
-        in_b += [index_b[e] for e in shared]
+        in_a.extend(map(index_a.__getitem__, shared))
+        in_b.extend(map(index_b.__getitem__, shared))
     return np.array(in_a, np.int64), np.array(in_b, np.int64)
 
 
@@ -128,13 +139,9 @@ def align_text(text: str, a: ByteLevel, b: Pieces) -> tuple[np.ndarray, ...]:
         return none, none, none, none
     whole = (" " + text).encode()
     ids_a, ids_b = a.encode(" " + text), b.encode(text)
-    tokens_a = [a.bytes_of[i] for i in ids_a.tolist()]
-    tokens_b = [b.bytes_of[i] for i in ids_b.tolist()]
-    if b"".join(tokens_a) != whole or b"".join(tokens_b) != whole:
+    if any(b"".join(map(own.bytes_of.__getitem__, ids.tolist())) != whole for own, ids in ((a, ids_a), (b, ids_b))):
         return none, none, none, none
-    ends_a = np.cumsum(np.fromiter(map(len, tokens_a), np.int64, len(tokens_a)))
-    ends_b = np.cumsum(np.fromiter(map(len, tokens_b), np.int64, len(tokens_b)))
-    last_a, last_b = common_ends(ends_a, ends_b)
+    last_a, last_b = common_ends(np.cumsum(a.size[ids_a]), np.cumsum(b.size[ids_b]))
     return ids_a, ids_b, (last_a + 1).astype(np.uint32), (last_b + 1).astype(np.uint32)
 
 
@@ -153,25 +160,44 @@ def align(docs: DataFrame, a_path: str, b_path: str, text: str = "text") -> Data
     return arrow_map(slim, run, ALIGNED_DDL)
 
 
-def _unpacked(batch: pa.RecordBatch) -> Iterator[list[np.ndarray]]:
-    for row in zip(*[batch.column(name).to_pylist() for name in ALIGNED.names[1:]]):
-        yield [np.frombuffer(x, "<u4") for x in row]
+@lru_cache(maxsize=4)
+def _decimals(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The decimal digits of 0..n-1 as bytes, with a place for a mark behind,
+    and how many there are."""
+    ids = np.arange(n)
+    size = np.searchsorted(10 ** np.arange(1, 11), ids, side="right") + 1
+    digits = np.zeros((n, int(size[-1]) + 1), np.uint8)
+    for k in range(digits.shape[1] - 1):
+        digits[:, k] = 48 + ids // 10 ** np.maximum(size - 1 - k, 0) % 10
+    return digits, size
+
+
+def _written(a: np.ndarray, b: np.ndarray, a_cuts: np.ndarray, b_cuts: np.ndarray) -> bytes:
+    """``a1,a2|b1;a3|b2,b3;`` of the groups that end at the cuts."""
+    place = np.empty(len(a) + len(b), np.int64)
+    n_a, n_b = np.diff(a_cuts, prepend=0), np.diff(b_cuts, prepend=0)
+    # before a token: the tokens before it in its own list, and the other list's of earlier groups
+    place[:len(a)] = np.arange(len(a)) + np.repeat(b_cuts - n_b, n_a)
+    place[len(a):] = np.arange(len(b)) + np.repeat(a_cuts, n_b)
+    ids, mark = np.empty(len(place), np.int64), np.full(len(place), ord(","), np.uint8)
+    ids[place] = np.concatenate((a, b))
+    mark[place[a_cuts - 1]], mark[place[len(a) + b_cuts - 1]] = ord("|"), ord(";")
+    digits, size = _decimals(1 << int(ids.max()).bit_length() if ids.max() else 2)
+    text, size = digits[ids], size[ids]
+    text[np.arange(len(ids)), size] = mark
+    return text[np.arange(text.shape[1]) <= size[:, None]].tobytes()
 
 
 def groups_digest(a: np.ndarray, b: np.ndarray, a_cuts: np.ndarray, b_cuts: np.ndarray) -> str:
     """SHA-256 of ``a1,a2|b1;a3|b2,b3``; empty without groups."""
     if not len(a_cuts):
         return ""
-    digest, joined = hashlib.sha256(), ","
+    digest = hashlib.sha256()
     at_a = at_b = 0
-    for low in range(0, len(a_cuts), 1 << 16):
-        cut_a, cut_b = a_cuts[low:low + (1 << 16)].tolist(), b_cuts[low:low + (1 << 16)].tolist()
-        names_a, names_b = list(map(str, a[at_a:cut_a[-1]].tolist())), list(map(str, b[at_b:cut_b[-1]].tolist()))
-        parts, i, j = [], at_a, at_b
-        for x, y in zip(cut_a, cut_b):
-            parts.append(f"{joined.join(names_a[i - at_a:x - at_a])}|{joined.join(names_b[j - at_b:y - at_b])}")
-            i, j = x, y
-        digest.update(((";" if low else "") + ";".join(parts)).encode())
+    for low in range(0, len(a_cuts), GROUPS):
+        cut_a, cut_b = (c[low:low + GROUPS].astype(np.int64) for c in (a_cuts, b_cuts))
+        text = _written(a[at_a:cut_a[-1]], b[at_b:cut_b[-1]], cut_a - at_a, cut_b - at_b)
+        digest.update(text if low + GROUPS < len(a_cuts) else text[:-1])
         at_a, at_b = cut_a[-1], cut_b[-1]
     return digest.hexdigest()
 
@@ -180,23 +206,75 @@ LINKED_DDL = ("doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links b
               "groups_sha256 string, links binary")
 
 
-def links(aligned: DataFrame) -> DataFrame:
-    """What ``align`` gave in short, with the links: packed pairs of uint32."""
+LINKED = pa.schema([*[(n, pa.int64()) for n in ("doc_id", "n_a", "n_b", "n_groups", "n_links")],
+                    ("groups_sha256", pa.string()), ("links", pa.binary())])
+
+
+def _aligned_segment(segment: str, ids_a: list[int], ids_b: list[int], a: ByteLevel,
+                     b: Pieces) -> tuple[int, int, int, bytes, bytes] | None:
+    """Numbers of tokens of A, of B and of groups; the groups written out; the
+    links.  None if the tokens don't give the segment back."""
+    whole = (" " + segment).encode()
+    tokens_a, tokens_b = [a.bytes_of[i] for i in ids_a], [b.bytes_of[i] for i in ids_b]
+    if b"".join(tokens_a) != whole or b"".join(tokens_b) != whole:
+        return None
+    index_a = dict(zip(accumulate(map(len, tokens_a)), range(1, len(ids_a) + 1)))
+    index_b = dict(zip(accumulate(map(len, tokens_b)), range(1, len(ids_b) + 1)))
+    groups, links_, i, j = [], array("I"), 0, 0
+    for end in sorted(index_a.keys() & index_b.keys()):
+        x, y = index_a[end], index_b[end]
+        groups.append(f"{','.join(map(str, ids_a[i:x]))}|{','.join(map(str, ids_b[j:y]))}")
+        links_.extend((ids_a[x - 1], ids_b[y - 1]))
+        i, j = x, y
+    return len(ids_a), len(ids_b), len(groups), ";".join(groups).encode(), links_.tobytes()
+
+
+def _aligned_long(segment: str, a: ByteLevel, b: Pieces) -> tuple[int, int, int, bytes, bytes] | None:
+    """The same in numpy."""
+    ids_a, ids_b, a_cuts, b_cuts = align_text(segment, a, b)
+    if not len(a_cuts):
+        return None
+    cut_a, cut_b = a_cuts.astype(np.int64), b_cuts.astype(np.int64)
+    pair = np.column_stack((ids_a[cut_a - 1], ids_b[cut_b - 1])).astype("<u4")
+    return len(ids_a), len(ids_b), len(cut_a), _written(ids_a, ids_b, cut_a, cut_b)[:-1], pair.tobytes()
+
+
+def align_segments(found: list[str], a: ByteLevel, b: Pieces) -> dict[str, tuple | None]:
+    """Each of the distinct segments, aligned."""
+    short = [s for s in found if len(s) <= SHORT]
+    out = {s: _aligned_long(s, a, b) for s in found if len(s) > SHORT}
+    for s, ids_b in zip(short, b.model.encode(short, num_threads=1)):
+        out[s] = _aligned_segment(s, a.encode(" " + s).tolist(), ids_b, a, b)
+    return out
+
+
+LINKED = pa.schema([*[(n, pa.int64()) for n in ("doc_id", "n_a", "n_b", "n_groups", "n_links")],
+                    ("groups_sha256", pa.string()), ("links", pa.binary())])
+
+
+def links(docs: DataFrame, a_path: str, b_path: str, text: str = "text") -> DataFrame:
+    """What ``align`` gives in short, with the links: packed pairs of uint32."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        a, b = byte_level(a_path), sentence_pieces(b_path)
+        for batch in pieces(batches, "text", TEXT_BYTES):
+            cut = [(segments(t) if b.cuttable else [t]) if t else [] for t in batch.column("text").to_pylist()]
+            known = align_segments(list(dict.fromkeys(chain.from_iterable(cut))), a, b)
             out = []
-            for a, b, a_cuts, b_cuts in _unpacked(batch):
-                pair = np.empty((len(a_cuts), 2), "<u4")
-                pair[:, 0], pair[:, 1] = a[a_cuts.astype(np.int64) - 1], b[b_cuts.astype(np.int64) - 1]
-                out.append((len(a), len(b), len(a_cuts), len(pair), groups_digest(a, b, a_cuts, b_cuts),
-                            pair.tobytes()))
-            kinds = [pa.int64()] * 4 + [pa.string(), pa.binary()]
-            columns = [pa.array(c, k) for c, k in zip(zip(*out), kinds)] if out else [pa.array([], k) for k in kinds]
+            for doc_id, own in zip(batch.column("doc_id").to_pylist(), cut):
+                parts = [known[s] for s in own]
+                if not parts or None in parts:
+                    out.append((doc_id, 0, 0, 0, 0, "", b""))
+                    continue
+                n_a, n_b, n_groups, written, pairs = zip(*parts)
+                n = sum(n_groups)
+                out.append((doc_id, sum(n_a), sum(n_b), n, n, hashlib.sha256(b";".join(written)).hexdigest(),
+                            b"".join(pairs)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *columns],
-                names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "links"])
-    return arrow_map(aligned, run, LINKED_DDL)
+                [pa.array(c, f.type) for c, f in zip(zip(*out), LINKED)], schema=LINKED)
+
+    slim = docs.select(F.col("doc_id").cast("bigint"), F.col(text).cast("string").alias("text"))
+    return arrow_map(slim, run, LINKED_DDL)
 
 
 def _codes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -259,5 +337,5 @@ def link_quality(docs: DataFrame, a_path: str, b_path: str, text: str = "text")
     bound = most_pairs(byte_level(a_path).bytes_of, sentence_pieces(b_path).bytes_of)
     if bound > PAIR_LIMIT:
         raise ValueError(f"the vocabularies allow {bound} pairs, more than are broadcast ({PAIR_LIMIT})")
-    linked = materialize(links(align(docs, a_path, b_path, text)), "alignment_links")
+    linked = materialize(links(docs, a_path, b_path, text), "alignment_links")
     return rate(linked, pair_counts(linked))

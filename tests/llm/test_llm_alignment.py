@@ -104,14 +104,36 @@ def test_scripts_special_strings_and_texts_that_do_not_come_back():
         assert all(len(x) == 0 for x in alignment.align_text(text, A, B))
 
 
-def test_long_texts_are_cut_without_a_trace(monkeypatch):
-    monkeypatch.setattr(alignment, "_LONG", 30)
+def test_texts_are_cut_without_a_trace():
     rnd = random.Random(12)
     parts = ["a", "b ", " ", "  ", "the ", "x\n", "\n", "▁", "é", "中", " end", ". "]
     assert B.cuttable
     for _ in range(2000):
         text = "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 120)))
         assert B.encode(text).tolist() == OWN_B.encode(text), repr(text)
+        if text:
+            cut = alignment.segments(text)
+            assert " ".join(cut) == text
+            got = [A.encode(" " + x).tolist() for x in cut]
+            assert sum(got, []) == OWN_A.encode(" " + text, add_special_tokens=False).ids, repr(text)
+
+
+def test_segments_align_like_whole_texts(monkeypatch):
+    rnd = random.Random(17)
+    parts = ["a", "b ", " ", "  ", "the ", "x\n", " \n", "\t", "é", "中", " end", ". ", "<|endoftext|>", " <s>"]
+    for short in (1 << 12, 1):
+        monkeypatch.setattr(alignment, "SHORT", short)
+        for _ in range(300):
+            text = "".join(rnd.choice(parts) for _ in range(rnd.randint(1, 60)))
+            own = alignment.segments(text)
+            known = alignment.align_segments(list(dict.fromkeys(own)), A, B)
+            written = b";".join(known[s][3] for s in own)
+            a, b, groups = brute_align(text)
+            assert written.decode() == ";".join(
+                ",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups), repr(text)
+            pairs = np.frombuffer(b"".join(known[s][4] for s in own), "<u4").reshape(-1, 2).tolist()
+            assert pairs == [[g[0][-1], g[1][-1]] for g in groups]
+    assert alignment.align_segments(["▁"], A, B) == {"▁": None}
 
 
 def test_ends_are_the_same_in_stretches():
@@ -134,7 +156,7 @@ def test_long_texts(text):
 
 def test_pairs_stay_within_the_bound(spark, trap_docs):
     assert alignment.most_pairs([b"ab", b"b"], [b"b", b"cb", b""]) == 3
-    linked = alignment.links(alignment.align(trap_docs, A_PATH, B_PATH))
+    linked = alignment.links(trap_docs, A_PATH, B_PATH)
     pairs = alignment.pair_counts(linked).collect()
     assert 0 < len(pairs) <= alignment.most_pairs(A.bytes_of, B.bytes_of) < alignment.PAIR_LIMIT
     for r in pairs:
@@ -142,6 +164,31 @@ def test_pairs_stay_within_the_bound(spark, trap_docs):
         assert x.endswith(y) or y.endswith(x)
 
 
+def test_aligned_lists_of_a_frame(trap_docs):
+    def unpacked(x):
+        return [int.from_bytes(x[i:i + 4], "little") for i in range(0, len(x), 4)]
+
+    def parts(ids, cuts):
+        return [ids[i:j] for i, j in zip([0, *cuts], cuts)]
+    got = Counter()
+    for r in alignment.align(trap_docs, A_PATH, B_PATH).collect():
+        ids_a, ids_b, cut_a, cut_b = map(unpacked, (r.a_ids, r.b_ids, r.a_cuts, r.b_cuts))
+        got[repr((r.doc_id, ids_a, ids_b, list(zip(parts(ids_a, cut_a), parts(ids_b, cut_b)))))] += 1
+    assert got == Counter(repr((d.doc_id, *brute_align(d.text))) for d in trap_docs.collect())
+
+
+def test_digests_are_the_same_in_parts_and_for_large_ids(monkeypatch):
+    rnd = random.Random(16)
+    for most in (9, 50_000, 1 << 20):
+        cuts = [np.cumsum([rnd.randint(1, 3) for _ in range(40)]).astype(np.uint32) for _ in range(2)]
+        ids = [np.array([rnd.randrange(most) for _ in range(c[-1])], np.uint32) for c in cuts]
+        shown = ";".join(",".join(map(str, ids[0][i:x].tolist())) + "|" + ",".join(map(str, ids[1][j:y].tolist()))
+                         for i, x, j, y in zip([0, *cuts[0]], cuts[0], [0, *cuts[1]], cuts[1]))
+        for size in (1, 7, 1 << 16):
+            monkeypatch.setattr(alignment, "GROUPS", size)
+            assert alignment.groups_digest(*ids, *cuts) == hashlib.sha256(shown.encode()).hexdigest()
+
+
 def test_every_row_of_a_frame(trap_docs):
     docs = trap_docs.collect()
     got = Counter((r.doc_id, *row(r)) for r in alignment.link_quality(trap_docs, A_PATH, B_PATH).collect())
