@@ -11,7 +11,7 @@ In a task, words are found in the bytes of many documents at once.  The runs of
 up to ``WORDS`` words are interned in an open-addressed table of numpy arrays:
 the xxhash64 of a run's bytes gives its first slot, a slot is taken by a run or
 compared with it byte by byte, and runs that differ from what they find go on
-to the next slot, all runs at a time.  A slot stores its bucket (one crc32 for
+to the next slot, all runs at a time.  Short runs are hashed at once in numpy.  A slot stores its bucket (one crc32 for
 each distinct run) and its count.  Counting adds the slots up by bucket;
 weighing gathers gains by the slots of the runs' occurrences.
 
@@ -33,7 +33,7 @@ from __future__ import annotations
 import hashlib
 import math
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -95,13 +95,78 @@ class Words:
         return tuple(np.concatenate(x) for x in zip(*found))
 
 
+def _crc_tables() -> np.ndarray:
+    """The CRC-32 of each byte, and of each byte with one to three zeros behind."""
+    first = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        first = np.where(first & 1, np.uint32(0xEDB88320) ^ (first >> 1), first >> 1).astype(np.uint32)
+    out = [first]
+    for _ in range(3):
+        out.append((out[-1] >> 8) ^ first[out[-1] & 0xFF])
+    return np.array(out)
+
+
+_CRC = _crc_tables()
+# fixed values: the primes of xxhash64
+_P1, _P2, _P3, _P4, _P5 = (np.uint64(p) for p in (
+    0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+
+
+def _turn(x: np.ndarray, bits: int) -> np.ndarray:
+    return (x << np.uint64(bits)) | (x >> np.uint64(64 - bits))
+
+
+def xxhash64(eight: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """xxhash64 (seed 0) of many byte runs of under 32 bytes; ``eight`` gives
+    the 8 bytes from each place on."""
+    h = size.astype(np.uint64) + _P5
+    for lane in range(3):
+        i = np.flatnonzero(size >= 8 * (lane + 1))
+        k = _turn(eight[start[i] + 8 * lane] * _P2, 31) * _P1
+        h[i] = _turn(h[i] ^ k, 27) * _P1 + _P4
+    at = start + (size & ~7)
+    i = np.flatnonzero(size & 4)
+    h[i] = _turn(h[i] ^ ((eight[at[i]] & np.uint64(0xFFFFFFFF)) * _P1), 23) * _P2 + _P3
+    at += size & 4
+    rest = eight[at]
+    for byte in range(3):
+        i = np.flatnonzero((size & 3) > byte)
+        h[i] = _turn(h[i] ^ ((rest[i] >> np.uint64(8 * byte) & np.uint64(0xFF)) * _P5), 11) * _P1
+    h ^= h >> np.uint64(33)
+    h *= _P2
+    h ^= h >> np.uint64(29)
+    h *= _P3
+    return h ^ (h >> np.uint64(32))
+
+
+def crc32(eight: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """CRC-32 of many byte runs, four bytes at a time; meant for short ones."""
+    order = np.argsort(-size, kind="stable")
+    start, size = start[order], size[order]
+    c = np.full(len(start), 0xFFFFFFFF, np.uint32)
+    for done in range(0, int(size[0]) if len(size) else 0, 4):
+        n = int(np.searchsorted(-size, -(done + 4), side="right"))      # runs with four bytes left
+        x = c[:n] ^ eight[start[:n] + done].astype(np.uint32)
+        c[:n] = _CRC[3][x & 0xFF] ^ _CRC[2][(x >> 8) & 0xFF] ^ _CRC[1][(x >> 16) & 0xFF] ^ _CRC[0][x >> 24]
+    rest = eight[start + (size & ~3)].astype(np.uint32)
+    for byte in range(3):
+        i = np.flatnonzero((size & 3) > byte)
+        c[i] = _CRC[0][(c[i] ^ (rest[i] >> (8 * byte))) & 0xFF] ^ (c[i] >> 8)
+    out = np.empty(len(c), np.uint32)
+    out[order] = ~c
+    return out
+
+
+SHORT_HASH, SHORT_CRC = 32, 128     # bytes under which runs are hashed all at once
+
+
 class Table:
     """Open-addressed table of byte runs of one buffer."""
 
     def __init__(self, buffer: np.ndarray, buckets: int, most: int):
         self.buckets = buckets
-        self.raw = buffer.tobytes()
-        padded = np.concatenate((buffer, np.zeros(8, np.uint8)))
+        self.raw = memoryview(buffer)
+        padded = np.concatenate((buffer, np.zeros(16, np.uint8)))
         # the 8 bytes from each place on
         self.eight = np.ndarray((len(padded) - 7,), "<u8", padded, strides=(1,))
         slots = 1 << max(4, (2 * most).bit_length())
@@ -113,6 +178,16 @@ class Table:
         self.count = np.zeros(slots, np.int64)
         self._owner = np.zeros(slots, np.int64)
 
+    def _each(self, start: np.ndarray, end: np.ndarray, short: int, many: Callable, one: Callable) -> np.ndarray:
+        """A hash of each run: of those under ``short`` bytes at once, of the others one by one."""
+        size = end - start
+        out = np.empty(len(start), np.uint64)
+        few = size < short
+        out[few] = many(self.eight, start[few], size[few])
+        for i in np.flatnonzero(~few).tolist():
+            out[i] = one(self.raw[start[i]:end[i]])
+        return out
+
     def _equal(self, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Whether the ``size`` bytes from a and from b on are the same."""
         same = np.ones(len(a), bool)
@@ -129,11 +204,8 @@ class Table:
 
     def intern(self, start: np.ndarray, end: np.ndarray, key: np.ndarray | None = None) -> np.ndarray:
         """The slot of each run (at most ``most`` of them in all)."""
-        raw = self.raw
         if key is None:
-            digest = xxhash.xxh64_intdigest
-            key = np.fromiter((digest(raw[a:b]) for a, b in zip(start.tolist(), end.tolist())),
-                              np.uint64, len(start))
+            key = self._each(start, end, SHORT_HASH, xxhash64, xxhash.xxh64_intdigest)
         at = (key & np.uint64(self.mask)).astype(np.int64)
         slot = np.empty(len(start), np.int64)
         taken = []
@@ -157,9 +229,8 @@ class Table:
             at[todo] = (at[todo] + 1) & self.mask
         if taken:
             new = np.concatenate(taken)
-            self.bucket[new] = np.fromiter(
-                (zlib.crc32(raw[a:b]) for a, b in zip(self.start[new].tolist(), self.end[new].tolist())),
-                np.int64, len(new)) % self.buckets
+            self.bucket[new] = self._each(self.start[new], self.end[new], SHORT_CRC, crc32, zlib.crc32) \
+                % np.uint64(self.buckets)
         np.add.at(self.count, slot, 1)
         return slot
 

@@ -86,6 +86,27 @@ def test_table_tells_runs_with_equal_keys_apart():
         assert again.tolist() == slot.tolist()
 
 
+def test_hashes_are_those_of_the_libraries():
+    import random
+
+    import xxhash
+    rnd = random.Random(5)
+    buffer = np.frombuffer(bytes(rnd.randrange(256) for _ in range(5000)), np.uint8)
+    table = resampling.Table(buffer, 10000, 10)
+    size = np.array([rnd.randint(1, 31) for _ in range(3000)] + list(range(1, 32)))
+    start = np.array([rnd.randint(0, 5000 - n) for n in size])
+    runs = [buffer[a:a + n].tobytes() for a, n in zip(start, size)]
+    assert resampling.xxhash64(table.eight, start, size).tolist() == [xxhash.xxh64_intdigest(r) for r in runs]
+    size = np.array([rnd.randint(1, 127) for _ in range(3000)] + [5, 4, 3, 2, 1])
+    start = np.array([rnd.randint(0, 5000 - n) for n in size])
+    assert resampling.crc32(table.eight, start, size).tolist() == \
+        [zlib.crc32(buffer[a:a + n].tobytes()) for a, n in zip(start, size)]
+    ends = np.array([5000, 5000, 40, 33, 32, 31])
+    starts = np.array([0, 4990, 0, 0, 0, 0])
+    key = table._each(starts, ends, resampling.SHORT_HASH, resampling.xxhash64, xxhash.xxh64_intdigest)
+    assert key.tolist() == [xxhash.xxh64_intdigest(buffer[a:b].tobytes()) for a, b in zip(starts, ends)]
+
+
 def test_small_tables_give_the_same_counts(spark, trap_docs, monkeypatch):
     whole = resampling.bucket_counts(trap_docs, CONFIG)
     monkeypatch.setattr(resampling, "WORDS", 7)
