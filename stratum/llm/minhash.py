@@ -277,13 +277,16 @@ def _pairs(rows: list[tuple[int, int]]) -> pa.RecordBatch:
 def link_classes(docs: DataFrame, classes: DataFrame, config: MinHashConfig) -> DataFrame:
     """``node, comp`` of the linked ``classes`` (node, key, digest, bands)."""
     in_band = materialize(classes.select("node", F.explode("bands").alias("band")), "minhash_bands")
-    shared = materialize(in_band.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), "minhash_shared")
-    buckets = materialize(in_band.join(shared, "band"), "minhash_buckets")
+    # a band that many share is dealt by salt to several tasks, here and below
+    salted, groups = by_group(in_band, ["band"], ["node"], {"n": (F.count, F.lit(1), F.sum)})
+    shared = materialize(groups.where("n > 1"), "minhash_shared")
+    buckets = materialize(salted.join(shared, ["band", "_salt"]), "minhash_buckets")
+    parts = shared.select("band", "_salt")
     degree = buckets.groupBy("node").agg(F.sum("n").alias("degree"))
     hubs = (buckets.join(degree, "node").groupBy("band")
             .agg(F.max(F.struct("degree", (-F.col("node")).alias("lower"))).alias("best"))
             .select("band", (-F.col("best.lower")).alias("cluster")))
-    buckets = materialize(buckets.join(hubs, "band"), "minhash_hubs")
+    buckets = materialize(buckets.join(parts.join(hubs, "band"), ["band", "_salt"]), "minhash_hubs")
 
     wanted = buckets.select("node").distinct().join(classes.select("node", "key", "digest"), "node")
     wanted = materialize(wanted, "minhash_wanted")
@@ -296,10 +299,10 @@ def link_classes(docs: DataFrame, classes: DataFrame, config: MinHashConfig) ->
     comp = components(links, "minhash_first")
 
     labelled = buckets.where("n > 2").join(comp, "node", "left").select(
-        "band", "cluster", "node", F.coalesce("comp", "node").alias("comp"))
+        "band", "_salt", "cluster", "node", F.coalesce("comp", "node").alias("comp"))
     open_ = (labelled.groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
              .where("low <> high").select("band"))
-    rest = materialize(labelled.join(open_, "band").select("cluster", "node", "comp").distinct(), "minhash_rest")
+    rest = materialize(labelled.join(parts.join(open_, "band"), ["band", "_salt"]).select("cluster", "node", "comp").distinct(), "minhash_rest")
     hub_comp = comp.select(F.col("node").alias("cluster"), F.col("comp").alias("hub_comp"))
     outside = (rest.join(hub_comp, "cluster", "left")
                .where(F.col("comp") != F.coalesce("hub_comp", "cluster")).select("cluster", "node"))
