@@ -6,11 +6,12 @@ one's docs.  All but the last return the columns of ``documents``.
 
 - quality: the co-trained classifier, fitted on ``labels``; rejected rows go.
 - language: naive Bayes, fitted on the rows that came in; rows without a
-  letter, or in no language of theirs with confidence, go.
+  letter, or far less likely in their language than its own texts are, go.
 - exact_dedup: of equal texts the row with the largest doc_id stays.
 - near_dedup: of documents linked at 0.8 on sets of five-word shingles, the one
   with the smallest doc_id stays.
-- packing: windows of 1,024 tokens, a row per piece.
+- packing: sequences of 1,024 tokens, a row for each piece with its ids and its
+  place in its sequence (``packing.sequences`` puts them together).
 
 Empty input passes through every stage and gives no piece; null and empty texts
 have no letter and go with the language stage.
