@@ -70,10 +70,10 @@ def dim_coverage(spark, sf_dir):
     return c.select(surrogate_key(*drawn).alias("coverage_key"), *drawn)
 
 
-def star(spark, sf_dir):
+def star(spark, sf_dir, claim=None):
     """AGG6 + JN1: claim-grain fact with its dimension keys (unknown = -1),
     the four amounts, and the attributes that marts group by."""
-    fact = claims.claim_valid(spark, sf_dir).withColumn(
+    fact = (claim or claims.claim_valid(spark, sf_dir)).withColumn(
         "policy_key", F.when(F.col("source_system") == "orders", F.col("policy_number").try_cast("bigint")))
     cust = t(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("policy_key"), "c_nationkey", "c_mktsegment")

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratum.operators.marts import (claims_kpi, fraud_signals, kpi_rollup, lifecycle_snapshot,
                                      status_history_fact)
 from stratum.operators.ordered import running_sum, time_chunk
+from stratum.operators.sketches import (distinct_error, distinct_estimate, distinct_sketches, merge_distinct,
+                                        merge_quantiles, quantile, quantile_sketches, rank_error)
 from stratum.plans import claims, gold
 from stratum.plans.common import t
+from stratum.sinks import materialize
 
 AS_OF = "2002-01-01"   # binding: aging reference date
 SIGNAL_DIMENSIONS = ["source_system", "auto_make", "severity", "claim_type", "vehicle_category",
@@ -33,19 +39,21 @@ def exposure(spark, sf_dir):
                                           F.lit(None).cast("string").alias("claim_type"), "*"))
 
 
-def mart_claims_kpi(spark, sf_dir):
-    return claims_kpi(claims.claim_valid(spark, sf_dir), ["source_system", "claim_type"],
+def mart_claims_kpi(spark, sf_dir, claim=None):
+    return claims_kpi(claim or claims.claim_valid(spark, sf_dir), ["source_system", "claim_type"],
                       exposure(spark, sf_dir), AS_OF, period="month", mix_within=["source_system"])
 
 
 def kpi_reconciles(spark, sf_dir):
-    """The mart's totals against the fact's, by source: claims, money, open."""
-    mart = mart_claims_kpi(spark, sf_dir).groupBy("source_system").agg(
+    """The mart's totals against the fact's, by source: claims, money, open.
+    Both are built from one written claim frame."""
+    claim = materialize(claims.claim_valid(spark, sf_dir), "kpi_claims")
+    mart = mart_claims_kpi(spark, sf_dir, claim).groupBy("source_system").agg(
         F.sum("n_claims").alias("mart_claims"), F.round(F.sum("incurred"), 2).alias("mart_incurred"),
         F.sum("open_claims").alias("mart_open"),
         F.sum(F.col("open_0_30d") + F.col("open_31_90d") + F.col("open_91_365d") + F.col("open_over_365d"))
         .alias("mart_aged"))
-    fact = gold.star(spark, sf_dir).groupBy("source_system").agg(
+    fact = gold.star(spark, sf_dir, claim).groupBy("source_system").agg(
         F.sum("claim_count").alias("fact_claims"), F.round(F.sum("claim_amount"), 2).alias("fact_incurred"),
         F.count_if(F.col("settlement_date").isNull()).alias("fact_open"))
     return mart.join(fact, "source_system").select(
@@ -54,6 +62,68 @@ def kpi_reconciles(spark, sf_dir):
               & F.col("mart_incurred").eqNullSafe(F.col("fact_incurred"))).alias("ok"))
 
 
+PERCENTILES = {"median": 0.5, "p90": 0.9}
+_LEVELS = {"month": ["source_system", "claim_type", "period"], "year": ["source_system", "claim_type", "period"],
+           "all": ["source_system", "claim_type"]}
+
+
+def _percentiles(claim):
+    """AGG4c: sketches of the amounts by segment and month, written once; years
+    and all times are merged from them."""
+    amounts = claim.select("source_system", "claim_type", F.trunc("incident_date", "month").alias("period"),
+                           "total_claim_amount")
+    month = materialize(quantile_sketches(amounts, _LEVELS["month"], "total_claim_amount"), "kpi_sketches")
+    year = merge_quantiles(month.withColumn("period", F.trunc("period", "year")), _LEVELS["year"])
+    whole = merge_quantiles(month, _LEVELS["all"]).withColumn("period", F.lit(None).cast("date"))
+    levels = {"month": month, "year": year, "all": whole}
+    return reduce(DataFrame.unionByName, [
+        d.select(F.lit(name).alias("level"), *_LEVELS["month"], "n",
+                 *[quantile(p).alias(q) for q, p in PERCENTILES.items()]) for name, d in levels.items()])
+
+
+def mart_claim_percentiles(spark, sf_dir):
+    """AGG4c: median and 90th percentile of the claim amount by segment and
+    month, with subtotals by year and over all times, and their rank error."""
+    return _percentiles(claims.claim_valid(spark, sf_dir)).withColumn("rank_error", F.lit(rank_error()))
+
+
+def kpi_percentiles_hold(spark, sf_dir):
+    """AGG4c: whether each of these percentiles has its rank among the amounts,
+    within twice the stated error."""
+    claim = materialize(claims.claim_valid(spark, sf_dir).select(
+        "source_system", "claim_type", "incident_date", "total_claim_amount"), "percentile_claims")
+    found = _percentiles(claim)
+    amounts = claim.where("total_claim_amount IS NOT NULL").select(
+        F.col("source_system").alias("s"), F.col("claim_type").alias("c"),
+        F.col("total_claim_amount").cast("double").alias("x"),
+        F.explode(F.array(*[F.struct(F.lit(name).alias("l"), period.alias("p")) for name, period in (
+            ("month", F.trunc("incident_date", "month")), ("year", F.trunc("incident_date", "year")),
+            ("all", F.lit(None).cast("date")))])).alias("at"))
+    same = ((F.col("s") == F.col("source_system")) & F.col("c").eqNullSafe(F.col("claim_type"))
+            & (F.col("at.l") == F.col("level")) & F.col("at.p").eqNullSafe(F.col("period")))
+    ranked = amounts.join(found, same).groupBy("level", "source_system", "claim_type", "period", "n").agg(
+        *[F.count_if(F.col("x") < F.col(q)).alias(f"{q}_below") for q in PERCENTILES],
+        *[F.count_if(F.col("x") <= F.col(q)).alias(f"{q}_upto") for q in PERCENTILES])
+    slack = 2 * rank_error() * F.col("n") + 1
+    return ranked.select("level", "source_system", "claim_type", "period", F.col("n").alias("n_with_amount"), *[
+        ((F.col(f"{q}_below") <= p * F.col("n") + slack) & (F.col(f"{q}_upto") >= p * F.col("n") - slack)).alias(f"{q}_holds")
+        for q, p in PERCENTILES.items()])
+
+
+def distinct_vehicles(spark, sf_dir):
+    """AGG3: vehicles seen each day and in all, exactly and by sketches of the
+    days that are united; whether the estimate is within four standard errors."""
+    seen = t(spark, sf_dir, "events").select(F.to_date("ts").alias("day"), F.col("user_id").alias("vehicle_id"))
+    days = materialize(distinct_sketches(seen, ["day"], "vehicle_id"), "vehicle_sketches")
+    whole = merge_distinct(days, [F.lit(None).cast("date").alias("day")])
+    exact = seen.rollup("day").agg(F.count_distinct("vehicle_id").alias("n_vehicles"), F.grouping("day").alias("g"))
+    exact = exact.select(F.when(F.col("g") == 0, F.col("day")).alias("day"), "n_vehicles")
+    both = days.unionByName(whole).select(F.col("day").alias("d"), distinct_estimate().alias("estimate"))
+    off = F.abs(F.col("estimate") - F.col("n_vehicles"))
+    return (exact.join(both, F.col("day").eqNullSafe(F.col("d")))
+            .select("day", "n_vehicles", (off <= 4 * distinct_error() * F.col("n_vehicles") + 1).alias("estimate_holds")))
+
+
 def kpi_rollup_q(spark, sf_dir):
     c = claims.claim_valid(spark, sf_dir)
     return kpi_rollup(c, [F.year("incident_date").alias("year"), "source_system", "claim_type"])

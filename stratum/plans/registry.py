@@ -58,6 +58,9 @@ _RAW: dict[str, Query] = {
     "mart_claims_kpi": marts.mart_claims_kpi,
     "kpi_reconciles": marts.kpi_reconciles,
     "kpi_rollup": marts.kpi_rollup_q,
+    "mart_claim_percentiles": marts.mart_claim_percentiles,
+    "kpi_percentiles_hold": marts.kpi_percentiles_hold,
+    "distinct_vehicles": marts.distinct_vehicles,
     "mart_fraud_signals": marts.mart_fraud_signals,
     "claim_lifecycle_snapshot": marts.claim_lifecycle_snapshot,
     "claim_status_fact": marts.claim_status_fact,

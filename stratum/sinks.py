@@ -70,13 +70,15 @@ class MergeTable:
     be about the table's bytes / 1 GB times the inverse share that a batch
     touches, if batches come clustered by key.  A bucket that has come to more
     than ``max_files`` files is written as one.  With ``evolving``, updates may
-    bring new columns; older rows read NULL there.  ``vacuum`` deletes the folders
+    bring new columns; older rows read NULL there.  ``bucket_by`` may name some of
+    the keys, so that rows that agree there share a bucket.  ``vacuum`` deletes the folders
     that no kept version names."""
 
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], seq: Sequence[str] = (),
                  buckets: int | None = None, broadcast_bytes: int = 64 << 20, max_files: int = 8,
-                 evolving: bool = False):
+                 evolving: bool = False, bucket_by: Sequence[str] = ()):
         self.spark, self.root, self.keys, self.seq = spark, root.rstrip("/"), list(keys), list(seq)
+        self.bucket_by = list(bucket_by) or self.keys
         self.broadcast_bytes, self.max_files, self.evolving = broadcast_bytes, max_files, evolving
         self.buckets = self._fixed_buckets(buckets)
 
@@ -127,7 +129,14 @@ class MergeTable:
         return self.spark.read.option("mergeSchema", self.evolving).parquet(*paths)
 
     def _bucketed(self, df: DataFrame) -> DataFrame:
-        return df.withColumn(BUCKET, F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
+        return df.withColumn(BUCKET, F.pmod(F.xxhash64(*self.bucket_by), F.lit(self.buckets)).cast("int"))
+
+    def buckets_of(self, rows: DataFrame) -> DataFrame | None:
+        """The stored rows of all buckets that ``rows`` (with the columns of
+        ``bucket_by``) fall into; None without any."""
+        touched = [r[0] for r in self._bucketed(rows.select(*self.bucket_by)).select(BUCKET).distinct().collect()]
+        paths = self._paths(self._latest()[1], sorted(touched))
+        return self._load(paths) if paths else None
 
     def _write(self, rows: DataFrame, folder: str) -> None:
         rows.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.root}/data/{folder}")

@@ -1,58 +1,98 @@
-"""Streaming SCD2 without MERGE (SNK4, CDC1 streaming, SNK5).
-
-``foreachBatch(batch, id)``:
-1. append the batch to the change log at ``log/batch_id=<id>`` (overwrite,
-   so a replayed id rewrites the same files);
-2. touched buckets = ``pmod(xxhash64(key), B)`` of the batch's keys;
-3. rebuild the SCD2 rows of every key in those buckets from the change log
-   (partition-pruned read of the touched buckets only) with the batch
-   ``scd2`` operator;
-4. dynamic-partition overwrite of just those bucket partitions of the
-   snapshot.
-
-Out-of-order arrival is correct by construction (each touched key is
-rebuilt from its whole change set) and only touched buckets are rewritten.
+"""Streaming SCD2 by local repair (SNK4, CDC1 streaming).
+
+The snapshot is a ``MergeTable`` with a row for each version (key, tracked
+attributes, sequence) and the time at which it ends.  A micro-batch touches
+little of it:
+
+1. the batch's distinct changes are written once;
+2. of the buckets of their keys, only versions are taken up that lie between a
+   key's first and last new change, with the one before them; of those after the
+   last change the first one's time is enough, an aggregate;
+3. these and the new changes are put in order, and each ends where the next
+   begins;
+4. new versions, and those whose end has changed, are merged.
+
+So what is sorted and written follows the batch, not the history of its keys,
+and no change log is kept: every change is a version.  Changes may come in any
+order; a change that is there already (a replay, or a feed that delivers twice)
+changes nothing; a merge is committed as a whole, so a batch that fails leaves
+the snapshot as it was.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.operators.cdc import scd2
-from stratum.sources.files import partition_values
+from stratum.operators.ordered import neighbour
+from stratum.session import scratch_path
+from stratum.sinks import MergeTable
+from stratum.sources.files import folder_bytes
 from stratum.streaming.telemetry_stream import trigger_of
 
-BUCKET = "__bucket"
+BROADCAST_BYTES = 64 << 20      # written size up to which a batch's keys are broadcast
 
 
-def bucket_of(keys: Sequence[str], n: int) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(n)).cast("int")
+class Scd2Snapshot:
+    """Type-2 versions under ``root``; ``seq`` is a total order within a key, its
+    first column the time from which a version holds.  ``buckets`` should be
+    about the snapshot's bytes / 1 GB."""
 
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], seq: Sequence[str],
+                 tracked: Sequence[str], chunk: Callable[[], Column], buckets: int | None = None):
+        self.spark, self.keys, self.seq, self.tracked = spark, list(keys), list(seq), list(tracked)
+        self.chunk = chunk
+        self.table = MergeTable(spark, root, self.keys + self.seq + self.tracked, bucket_by=self.keys,
+                                buckets=buckets)
 
-def make_batch_writer(spark: SparkSession, keys: Sequence[str], seq: Sequence[str],
-                      tracked: Sequence[str], chunk_fn, log_path: str, snapshot_path: str,
-                      buckets: int, coalesce_repeats: bool = False):
-    keys, seq, tracked = list(keys), list(seq), list(tracked)
-    cols = keys + tracked + seq
-
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        own = f"{log_path}/batch_id={batch_id}"
-        (batch.select(*cols).withColumn(BUCKET, bucket_of(keys, buckets))
-         .write.mode("overwrite").partitionBy(BUCKET).parquet(own))
-        # the written batch tells its buckets by its folders: it isn't evaluated again
-        touched = partition_values(spark, own, BUCKET)
-        if not touched:
+    def write_batch(self, batch: DataFrame, batch_id: int | None = None) -> None:
+        """Merge one batch of changes (for ``foreachBatch``)."""
+        path = scratch_path(self.spark, "scd2_batch")
+        cols = self.keys + self.tracked + self.seq
+        batch.select(*cols).distinct().write.parquet(path)
+        changes = self.spark.read.parquet(path)
+        if changes.isEmpty():
             return
-        log = spark.read.parquet(log_path).where(F.col(BUCKET).isin(touched)).select(*cols)
-        rebuilt = scd2(log, keys, seq, tracked, chunk_fn(), coalesce_repeats=coalesce_repeats)
-        rebuilt = rebuilt.withColumn(BUCKET, bucket_of(keys, buckets))
-        (rebuilt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                .partitionBy(BUCKET).parquet(snapshot_path))
+        stored = self.table.buckets_of(changes)
+        self.table.merge(self._repaired(changes, stored, folder_bytes(self.spark, path) <= BROADCAST_BYTES))
+
+    def _repaired(self, changes: DataFrame, stored: DataFrame | None, small: bool) -> DataFrame:
+        """The new versions, and the stored ones whose end changes."""
+        cols, start = self.keys + self.tracked + self.seq, self.seq[0]
+        place, key = F.struct(*self.seq), F.struct(*self.keys).alias("__k")
+        rows = changes.select(*cols, F.lit(None).cast(changes.schema[start].dataType).alias("__to"),
+                              F.lit(False).alias("__stored"))
+        if stored is None:
+            after = None
+        else:
+            span = changes.groupBy(*self.keys).agg(F.min(place).alias("__lo"), F.max(place).alias("__hi"))
+            span = span.select(key, "__lo", "__hi")
+            near = stored.withColumn("__k", F.struct(*self.keys)).join(F.broadcast(span) if small else span, "__k")
+            after = (near.where(place > F.col("__hi")).groupBy(*self.keys).agg(F.min(place).alias("__next"))
+                     .select(key, F.col(f"__next.{start}").alias("__after")))
+            within = near.where((place <= F.col("__hi")) & (F.col("effective_to").isNull()
+                                                            | (F.col("effective_to") >= F.col(f"__lo.{start}"))))
+            rows = rows.unionByName(within.select(*cols, F.col("effective_to").alias("__to"),
+                                                  F.lit(True).alias("__stored")))
+        # a change that is stored already is one row with it
+        rows = rows.groupBy(*cols).agg(F.max("__to").alias("__to"), F.max("__stored").alias("__stored"))
+        ended = neighbour(rows, self.keys, self.seq, self.chunk(), [start], "next", "__n_")
+        end = F.col(f"__n_{start}")
+        if after is not None:
+            ended = ended.withColumn("__k", F.struct(*self.keys)).join(after, "__k", "left")
+            end = F.coalesce(end, F.col("__after"))
+        return (ended.withColumn("effective_to", end)
+                .where(~F.col("__stored") | ~F.col("__to").eqNullSafe(F.col("effective_to")))
+                .select(*cols, "effective_to"))
 
-    return write_batch
+    def read(self) -> DataFrame | None:
+        rows = self.table.read()
+        if rows is None:
+            return None
+        return rows.select(*self.keys, *self.tracked, F.col(self.seq[0]).alias("effective_from"), "effective_to",
+                           F.col("effective_to").isNull().alias("is_current"), *self.seq[1:])
 
 
 def run_scd2_stream(spark: SparkSession, changes: DataFrame, keys, seq, tracked, chunk_fn,
@@ -60,11 +100,10 @@ def run_scd2_stream(spark: SparkSession, changes: DataFrame, keys, seq, tracked,
     """Merge the streaming frame ``changes`` into a snapshot; by default to
     completion (``availableNow``).  Feeds are united before: rows delivered
     twice (equal key, attributes and sequence) count once, however far apart
-    they arrive, since the snapshot is rebuilt from the distinct log rows.
-    ``buckets`` should be about the snapshot's bytes / 1 GB."""
-    writer = make_batch_writer(spark, keys, seq, tracked, chunk_fn, f"{root}/log",
-                               f"{root}/snapshot", buckets)
-    q = (changes.writeStream.foreachBatch(writer).option("checkpointLocation", f"{root}/_checkpoint")
+    they arrive."""
+    snapshot = Scd2Snapshot(spark, f"{root}/snapshot", keys, seq, tracked, chunk_fn, buckets)
+    q = (changes.writeStream.foreachBatch(snapshot.write_batch).option("checkpointLocation", f"{root}/_checkpoint")
          .trigger(**trigger_of(processing_time)).start())
     q.awaitTermination()
-    return spark.read.parquet(f"{root}/snapshot").drop(BUCKET)
+    snapshot.table.vacuum()
+    return snapshot.read()

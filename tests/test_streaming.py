@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stratum.operators.cdc import scd2
 from stratum.operators.ordered import time_chunk
-from stratum.streaming.scd2_stream import BUCKET, make_batch_writer
+from stratum.streaming.scd2_stream import Scd2Snapshot
 
 from conftest import SF_SMALL
 
@@ -22,8 +22,9 @@ def test_scd2_stream_survives_a_failed_batch(spark):
     root = tempfile.mkdtemp(prefix="stratum-scd2-fail-")
     ch = _changes(spark)
     ch.repartition(5, F.year("seq_ts")).write.parquet(f"{root}/landing")
-    writer = make_batch_writer(spark, ["policy_id"], ["seq_ts", "seq_tie"], ["tier"],
-                               lambda: time_chunk("seq_ts", "year"), f"{root}/log", f"{root}/snap", 8)
+    snapshot = Scd2Snapshot(spark, f"{root}/snap", ["policy_id"], ["seq_ts", "seq_tie"], ["tier"],
+                            lambda: time_chunk("seq_ts", "year"), 8)
+    writer = snapshot.write_batch
     state = {"failed": False}
 
     def flaky(batch, batch_id):
@@ -41,7 +42,7 @@ def test_scd2_stream_survives_a_failed_batch(spark):
     with pytest.raises(Exception):
         run(flaky)
     run(writer)                          # restart: batch 2 is replayed
-    got = spark.read.parquet(f"{root}/snap").drop(BUCKET)
+    got = snapshot.read()
     want = scd2(ch, ["policy_id"], ["seq_ts", "seq_tie"], ["tier"], time_chunk("seq_ts", "year"),
                 coalesce_repeats=False)
     cols = sorted(want.columns)
