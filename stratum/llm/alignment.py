@@ -9,9 +9,9 @@ Long texts are intersected a stretch of bytes at a time, which gives the same
 ends.  A token has at least one byte, so in a group the pair of last tokens
 ends together and no other: that pair is the group's link.
 
-Both tokenizers end a token before a single space, so a text is the sequence of
+sentencepiece ends a token before a single space, so a text is the sequence of
 its segments between spaces, and a segment that occurs often in a batch is
-encoded and aligned once.
+encoded once.
 
 How often an id pair is linked in the whole corpus says how well it fits.  Of
 two tokens that end together one's bytes are the end of the other's, so the two
@@ -31,11 +31,10 @@ from __future__ import annotations
 
 import hashlib
 import re
-from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate, chain
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -49,9 +48,9 @@ from stratum.sinks import materialize
 
 TEXT_BYTES = 2 << 20            # text whose tokens a task holds at once
 STRETCH = 1 << 20               # bytes of a text whose ends share a dictionary
+LONG = 1 << 18                  # characters from which a text is cut for sentencepiece
 GROUPS = 1 << 16                # groups that are written out at once
 PAIR_LIMIT = 4_000_000          # id pairs that may be collected and broadcast
-SHORT = 1 << 12                 # characters of a segment that is aligned in plain Python
 _CUT = re.compile(r"(?<=[^ ▁]) (?=[^\s▁])")
 
 
@@ -81,8 +80,17 @@ class Pieces:
 
     def encode(self, text: str) -> np.ndarray:
         """The ids; the space that the model adds stands for the one at a cut."""
-        parts = segments(text) if self.cuttable else [text]
-        return np.array(list(chain.from_iterable(map(self.model.encode, parts))), np.uint32)
+        if len(text) < LONG or not self.cuttable:
+            return np.array(self.model.encode(text), np.uint32)
+        return np.array(list(chain.from_iterable(map(self.model.encode, segments(text)))), np.uint32)
+
+    def encode_all(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The ids of each text; a segment that occurs often is encoded once."""
+        cut = [segments(t) if self.cuttable else [t] for t in texts]
+        distinct = list(dict.fromkeys(chain.from_iterable(cut)))
+        known = dict(zip(distinct, self.model.encode(distinct, num_threads=1)))
+        for parts in cut:
+            yield np.array(list(chain.from_iterable(map(known.__getitem__, parts))), np.uint32)
 
 
 def segments(text: str) -> list[str]:
@@ -132,13 +140,13 @@ ALIGNED = pa.schema([("doc_id", pa.int64()), ("a_ids", pa.binary()), ("b_ids", p
 ALIGNED_DDL = "doc_id bigint, a_ids binary, b_ids binary, a_cuts binary, b_cuts binary"
 
 
-def align_text(text: str, a: ByteLevel, b: Pieces) -> tuple[np.ndarray, ...]:
+def align_text(text: str, a: ByteLevel, b: Pieces, ids_b: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
     """Ids of A and of B, and for each group where it ends in either list."""
     none = np.zeros(0, np.uint32)
     if not text:
         return none, none, none, none
     whole = (" " + text).encode()
-    ids_a, ids_b = a.encode(" " + text), b.encode(text)
+    ids_a, ids_b = a.encode(" " + text), b.encode(text) if ids_b is None else ids_b
     if any(b"".join(map(own.bytes_of.__getitem__, ids.tolist())) != whole for own, ids in ((a, ids_a), (b, ids_b))):
         return none, none, none, none
     last_a, last_b = common_ends(np.cumsum(a.size[ids_a]), np.cumsum(b.size[ids_b]))
@@ -210,6 +218,10 @@ LINKED = pa.schema([*[(n, pa.int64()) for n in ("doc_id", "n_a", "n_b", "n_group
                     ("groups_sha256", pa.string()), ("links", pa.binary())])
 
 
+LINKED = pa.schema([*[(n, pa.int64()) for n in ("doc_id", "n_a", "n_b", "n_groups", "n_links")],
+                    ("groups_sha256", pa.string()), ("links", pa.binary())])
+
+
 def _aligned_segment(segment: str, ids_a: list[int], ids_b: list[int], a: ByteLevel,
                      b: Pieces) -> tuple[int, int, int, bytes, bytes] | None:
     """Numbers of tokens of A, of B and of groups; the groups written out; the
@@ -258,18 +270,15 @@ def links(docs: DataFrame, a_path: str, b_path: str, text: str = "text") -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = byte_level(a_path), sentence_pieces(b_path)
         for batch in pieces(batches, "text", TEXT_BYTES):
-            cut = [(segments(t) if b.cuttable else [t]) if t else [] for t in batch.column("text").to_pylist()]
-            known = align_segments(list(dict.fromkeys(chain.from_iterable(cut))), a, b)
             out = []
-            for doc_id, own in zip(batch.column("doc_id").to_pylist(), cut):
-                parts = [known[s] for s in own]
-                if not parts or None in parts:
-                    out.append((doc_id, 0, 0, 0, 0, "", b""))
-                    continue
-                n_a, n_b, n_groups, written, pairs = zip(*parts)
-                n = sum(n_groups)
-                out.append((doc_id, sum(n_a), sum(n_b), n, n, hashlib.sha256(b";".join(written)).hexdigest(),
-                            b"".join(pairs)))
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            for doc_id, t, ids_b in zip(batch.column("doc_id").to_pylist(), texts, b.encode_all(texts)):
+                ids_a, ids_b, a_cuts, b_cuts = align_text(t, a, b, ids_b)
+                pair = np.empty((len(a_cuts), 2), "<u4")
+                pair[:, 0] = ids_a[a_cuts.astype(np.int64) - 1]
+                pair[:, 1] = ids_b[b_cuts.astype(np.int64) - 1]
+                out.append((doc_id, len(ids_a), len(ids_b), len(a_cuts), len(pair),
+                            groups_digest(ids_a, ids_b, a_cuts, b_cuts), pair.tobytes()))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(zip(*out), LINKED)], schema=LINKED)
 

@@ -118,22 +118,9 @@ def test_texts_are_cut_without_a_trace():
             assert sum(got, []) == OWN_A.encode(" " + text, add_special_tokens=False).ids, repr(text)
 
 
-def test_segments_align_like_whole_texts(monkeypatch):
-    rnd = random.Random(17)
-    parts = ["a", "b ", " ", "  ", "the ", "x\n", " \n", "\t", "é", "中", " end", ". ", "<|endoftext|>", " <s>"]
-    for short in (1 << 12, 1):
-        monkeypatch.setattr(alignment, "SHORT", short)
-        for _ in range(300):
-            text = "".join(rnd.choice(parts) for _ in range(rnd.randint(1, 60)))
-            own = alignment.segments(text)
-            known = alignment.align_segments(list(dict.fromkeys(own)), A, B)
-            written = b";".join(known[s][3] for s in own)
-            a, b, groups = brute_align(text)
-            assert written.decode() == ";".join(
-                ",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups), repr(text)
-            pairs = np.frombuffer(b"".join(known[s][4] for s in own), "<u4").reshape(-1, 2).tolist()
-            assert pairs == [[g[0][-1], g[1][-1]] for g in groups]
-    assert alignment.align_segments(["▁"], A, B) == {"▁": None}
+def test_texts_of_a_batch_are_encoded_as_one_by_one():
+    texts = ["the cat  the cat", "", " the ", "a \n the", "▁ the", "the cat"]
+    assert [x.tolist() for x in B.encode_all(texts)] == [OWN_B.encode(t) for t in texts]
 
 
 def test_ends_are_the_same_in_stretches():
