@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.byte_level import encoder, plain_encoder  # noqa: F401
+from stratum.llm.byte_level import encoder, plain_encoder, vocabulary  # noqa: F401
 from stratum.llm.common import arrow_map, numbered, pieces
 from stratum.sinks import materialize
 
@@ -77,21 +77,28 @@ PIECE = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.
 PIECE_DDL = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, ids binary"
 
 
+def id_bytes(path: str, end_id: int) -> int:
+    """Bytes that an id takes on its way to its sequence: 2 if all ids fit."""
+    most = max([end_id, *vocabulary(path).values(), *added_tokens(path).values()])
+    return 2 if most < 1 << 16 else 4
+
+
 def cut(docs: DataFrame, path: str, window: int, end_id: int = 0, text: str = "text") -> DataFrame:
-    """One row per piece with its ids (little-endian unsigned 32-bit integers):
-    full windows and a remainder of each document."""
-    end = np.array([end_id], "<u4").tobytes()
+    """One row per piece with its ids (little-endian unsigned integers of
+    ``id_bytes``): full windows and a remainder of each document."""
+    width = id_bytes(path, end_id)
+    end = np.array([end_id], f"<u{width}").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokenizer(path)
         for batch in pieces(batches, "text", 1 << 20):
             out: list[tuple] = []
             for doc_id, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids = encode(t or "").astype("<u4").tobytes() + end
-                total = len(ids) // 4
+                ids = encode(t or "").astype(f"<u{width}").tobytes() + end
+                total = len(ids) // width
                 for start in range(0, total, window):
-                    part = ids[4 * start:4 * (start + window)]
-                    out.append((doc_id, start, len(part) // 4, total, part))
+                    part = ids[width * start:width * (start + window)]
+                    out.append((doc_id, start, len(part) // width, total, part))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(zip(*out), PIECE)], schema=PIECE)
     slim = docs.select(F.col("doc_id").cast("bigint"), F.col(text).cast("string").alias("text"))
@@ -183,6 +190,19 @@ def place(remainders: DataFrame, slots: Slots) -> DataFrame:
     return arrow_map(remainders, run, schema)
 
 
+def widened(packed: DataFrame, width: int) -> DataFrame:
+    """``packed`` with ids of ``width`` bytes as unsigned 32-bit integers."""
+    if width == 4:
+        return packed
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            wide = [np.frombuffer(x, f"<u{width}").astype("<u4").tobytes() for x in batch.column("ids").to_pylist()]
+            at = batch.schema.get_field_index("ids")
+            yield batch.set_column(at, "ids", pa.array(wide, pa.binary()))
+    return arrow_map(packed, run, packed.schema)
+
+
 def _parts(histogram: dict[int, int], tasks: int) -> Column:
     """Into how many parts a length class is numbered: by its share of all
     remainders, about four parts a task in all."""
@@ -212,7 +232,7 @@ def pack(docs: DataFrame, path: str, window: int = 1024, end_id: int = 0,
                      "_all", order, spread, "sequence_id", parts=4096)
             .withColumn("sequence_id", F.col("sequence_id").cast("bigint") + slots.windows)
             .withColumn("offset", F.lit(0).cast("bigint")).drop("_all"))
-    return packed.unionByName(full).withColumn("ids_crc32", F.crc32("ids"))
+    return widened(packed.unionByName(full), id_bytes(path, end_id)).withColumn("ids_crc32", F.crc32("ids"))
 
 
 def sequences(packed: DataFrame, window: int = 1024, pad_id: int = 0) -> DataFrame:
