@@ -99,7 +99,7 @@ def mart_claim_360(spark, sf_dir):
 
 def claim_status_scd2(spark, sf_dir):
     """CDC5: claim status kept as SCD2 history (key claim_id)."""
-    h = claims.claim_history(spark, sf_dir).select(
+    h = claims.claim_history_by_claim(spark, sf_dir).select(
         "claim_id", "status", F.col("status_date").cast("timestamp_ntz").alias("status_ts"), "seq")
     return scd2(h, ["claim_id"], ["status_ts", "seq"], ["status"], time_chunk("status_ts", "year"),
                 coalesce_repeats=False, bounded_versions=True)   # <= 3 statuses per claim
