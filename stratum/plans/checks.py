@@ -30,8 +30,9 @@ def recon_identity(spark, sf_dir):
     enriched claims are written once (shared checkpoint folder) and both
     sides of the split are read from those files, as the silver tables are."""
     enriched = materialize(claims.enriched(spark, sf_dir), "recon_enriched")
-    return reconcile(claims.conformed(spark, sf_dir), enriched.where("is_valid"),
-                     enriched.where("NOT is_valid"), "claim_id")
+    # ids in binary: half the bytes to shuffle
+    return reconcile(*[d.withColumn("claim_id", F.unhex("claim_id")) for d in (
+        claims.conformed(spark, sf_dir), enriched.where("is_valid"), enriched.where("NOT is_valid"))], "claim_id")
 
 
 def quarantine_reasons(spark, sf_dir):
