@@ -90,7 +90,7 @@ class Pieces:
         distinct = list(dict.fromkeys(chain.from_iterable(cut)))
         known = dict(zip(distinct, self.model.encode(distinct, num_threads=1)))
         for parts in cut:
-            yield np.array(list(chain.from_iterable(map(known.__getitem__, parts))), np.uint32)
+            yield np.fromiter(chain.from_iterable(map(known.__getitem__, parts)), np.uint32)
 
 
 def segments(text: str) -> list[str]:
@@ -123,16 +123,15 @@ def common_ends(ends_a: np.ndarray, ends_b: np.ndarray, stretch: int = STRETCH)
     """Indices of the tokens of A and of B that end together, in order."""
     if not len(ends_a) or not len(ends_b):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    in_a: list[int] = []
-    in_b: list[int] = []
+    shared = []
     for low in range(0, int(min(ends_a[-1], ends_b[-1])) + 1, stretch):
         (a0, a1), (b0, b1) = (np.searchsorted(e, (low, low + stretch)).tolist() for e in (ends_a, ends_b))
-        index_a = dict(zip(ends_a[a0:a1].tolist(), range(a0, a1)))
-        index_b = dict(zip(ends_b[b0:b1].tolist(), range(b0, b1)))
-        shared = sorted(index_a.keys() & index_b.keys())
-        in_a.extend(map(index_a.__getitem__, shared))
-        in_b.extend(map(index_b.__getitem__, shared))
-    return np.array(in_a, np.int64), np.array(in_b, np.int64)
+        # both in order, so what they share is, too
+        in_a, in_b = (dict.fromkeys(e.tolist()) for e in (ends_a[a0:a1], ends_b[b0:b1]))
+        shared.append(np.fromiter(filter(in_a.__contains__, in_b), np.int64))
+    ends = np.concatenate(shared)
+    # of tokens without bytes the last one that ends there
+    return tuple(np.searchsorted(e, ends, "right") - 1 for e in (ends_a, ends_b))
 
 
 ALIGNED = pa.schema([("doc_id", pa.int64()), ("a_ids", pa.binary()), ("b_ids", pa.binary()),
@@ -301,9 +300,8 @@ def pair_counts(linked: DataFrame) -> DataFrame:
         for batch in batches:
             new, times = np.unique(_codes(batch.column("links"))[0], return_counts=True)
             pair, back = np.unique(np.concatenate((pair, new)), return_inverse=True)
-            total = np.zeros(len(pair), np.int64)
-            np.add.at(total, back, np.concatenate((n, times)))
-            n = total
+            # exact: sums of doubles below 2^53
+            n = np.bincount(back, np.concatenate((n, times)), len(pair)).astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(n)], names=["pair", "n"])
 
     return (arrow_map(linked.select("links"), run, "pair bigint, n bigint")

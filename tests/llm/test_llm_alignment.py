@@ -190,3 +190,10 @@ def test_query_against_brute_force(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()
     got = {r.doc_id: row(r) for r in queries.op11_alignment(spark, SF_SMALL).collect()}
     assert got == dict(zip([d.doc_id for d in docs], brute([d.text for d in docs])))
+
+
+def test_of_tokens_that_end_together_in_one_list_the_last_counts():
+    ends_a, ends_b = np.array([2, 2, 3, 7, 9]), np.array([1, 2, 7, 7, 9, 9])
+    for stretch in (1, 4, 100):
+        at_a, at_b = alignment.common_ends(ends_a, ends_b, stretch=stretch)
+        assert (at_a.tolist(), at_b.tolist()) == ([1, 3, 4], [1, 3, 5])
