@@ -32,7 +32,9 @@ from stratum.sinks import MergeTable
 from stratum.sources.files import folder_bytes
 from stratum.streaming.telemetry_stream import trigger_of
 
-BROADCAST_BYTES = 64 << 20      # written size up to which a batch's keys are broadcast
+# written size up to which a batch's keys are broadcast: they pass through the driver in
+# every batch, so larger ones meet the touched buckets in a shuffle
+BROADCAST_BYTES = 1 << 20
 
 
 class Scd2Snapshot:
@@ -45,7 +47,7 @@ class Scd2Snapshot:
         self.spark, self.keys, self.seq, self.tracked = spark, list(keys), list(seq), list(tracked)
         self.chunk = chunk
         self.table = MergeTable(spark, root, self.keys + self.seq + self.tracked, bucket_by=self.keys,
-                                buckets=buckets)
+                                buckets=buckets, broadcast_bytes=BROADCAST_BYTES)
 
     def write_batch(self, batch: DataFrame, batch_id: int | None = None) -> None:
         """Merge one batch of changes (for ``foreachBatch``)."""
@@ -69,7 +71,8 @@ class Scd2Snapshot:
         else:
             span = changes.groupBy(*self.keys).agg(F.min(place).alias("__lo"), F.max(place).alias("__hi"))
             span = span.select(key, "__lo", "__hi")
-            near = stored.withColumn("__k", F.struct(*self.keys)).join(F.broadcast(span) if small else span, "__k")
+            near = stored.withColumn("__k", F.struct(*self.keys)).join(
+                F.broadcast(span) if small else span.hint("merge"), "__k")
             after = (near.where(place > F.col("__hi")).groupBy(*self.keys).agg(F.min(place).alias("__next"))
                      .select(key, F.col(f"__next.{start}").alias("__after")))
             within = near.where((place <= F.col("__hi")) & (F.col("effective_to").isNull()
@@ -81,7 +84,7 @@ class Scd2Snapshot:
         ended = neighbour(rows, self.keys, self.seq, self.chunk(), [start], "next", "__n_")
         end = F.col(f"__n_{start}")
         if after is not None:
-            ended = ended.withColumn("__k", F.struct(*self.keys)).join(after, "__k", "left")
+            ended = ended.withColumn("__k", F.struct(*self.keys)).join(after.hint("merge"), "__k", "left")
             end = F.coalesce(end, F.col("__after"))
         return (ended.withColumn("effective_to", end)
                 .where(~F.col("__stored") | ~F.col("__to").eqNullSafe(F.col("effective_to")))

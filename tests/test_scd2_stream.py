@@ -83,3 +83,12 @@ def test_a_failed_merge_leaves_the_snapshot(spark, snapshot, monkeypatch):
     assert stored(snapshot) == history(seen)
     snapshot.write_batch(frame(spark, [(1, 20, 0, "b")]))
     assert stored(snapshot) == history(seen + [(1, 20, 0, "b")])
+
+
+def test_keys_of_a_large_batch_do_not_pass_through_the_driver(spark, snapshot):
+    snapshot.write_batch(frame(spark, [(1, 10, 0, "a"), (2, 10, 0, "a")]))
+    changes = frame(spark, [(1, 20, 0, "b"), (2, 5, 0, "c")])
+    plans = [snapshot._repaired(changes, snapshot.table.buckets_of(changes), small)
+             ._jdf.queryExecution().executedPlan().toString() for small in (True, False)]
+    assert "BroadcastHashJoin [__k" in plans[0] and "BroadcastHashJoin [__k" not in plans[1]
+    assert snapshot.table.broadcast_bytes <= 1 << 20
