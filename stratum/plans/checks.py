@@ -9,7 +9,7 @@ from stratum.operators.quality import (breakdown, coverage, expectation_metrics,
                                        reconcile, resolve_targets, validate_counts)
 from stratum.operators.lifecycle import status_history
 from stratum.plans import claims, policy
-from stratum.sinks import materialize
+from stratum.sinks import materialize, materialize_keyed
 from stratum.plans.common import t
 
 # Warn-only expectations measured BEFORE the valid/quarantine split.
@@ -46,7 +46,8 @@ def claim_status_dist(spark, sf_dir):
 def history_coverage(spark, sf_dir):
     """Every written claim has history rows: the claims are written once and
     the history is derived from those files, as in the silver flow."""
-    claim = materialize(claims.claim_valid(spark, sf_dir), "coverage_claim")
+    claim = materialize_keyed(claims.claim_valid(spark, sf_dir).select(
+        "claim_id", "source_system", "fnol_date", "claim_status", "settlement_date"), "coverage_claim", "claim_id")
     return coverage(claim, status_history(claim), "claim_id")
 
 
