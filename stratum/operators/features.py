@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 
 from stratum.functions.keys import portable_seed
 from stratum.operators.joins import left_join_nonnull
-from stratum.session import ensure_checkpoint_dir
-from stratum.sinks import materialize
+from stratum.sinks import materialize, materialize_keyed
 
 # Columns derived from the label (the synthetic lifecycle is decided from
 # the fraud flag), so they must never be features.
@@ -51,10 +50,16 @@ def hash_split(id_col: str, train_share: int = 8, buckets: int = 10):
                   F.lit("train")).otherwise(F.lit("test"))
 
 
+def _written(rows: DataFrame, name: str, id_col: str, hex_id: bool) -> DataFrame:
+    return materialize_keyed(rows, name, id_col) if hex_id else materialize(rows, name)
+
+
 def train_classifier(features: DataFrame, code_cols: Sequence[str], num_cols: Sequence[str],
-                     label: str = "label", id_col: str = "claim_id", max_iter: int = 30) -> DataFrame:
+                     label: str = "label", id_col: str = "claim_id", max_iter: int = 30,
+                     hex_id: bool = False) -> DataFrame:
     """Logistic regression on one-hot codes + numeric columns; returns
-    (id, split, label, score) for every row.  Training is an action."""
+    (id, split, label, score) for every row.  Training is an action.
+    ``hex_id``: ids are hexadecimal in lower case and written in binary."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import OneHotEncoder, StandardScaler, VectorAssembler
@@ -62,10 +67,9 @@ def train_classifier(features: DataFrame, code_cols: Sequence[str], num_cols: Se
 
     df = features.withColumn("split", hash_split(id_col)).withColumn(label, F.col(label).cast("double"))
     # Estimators make several passes (encoder fit, scaler fit, optimiser,
-    # scoring): materialise the features once in the shared checkpoint
-    # folder so the upstream pipeline is not recomputed per pass.
-    ensure_checkpoint_dir(df.sparkSession)
-    df = df.checkpoint(eager=True)
+    # scoring): write the features once, in columns, so the upstream pipeline
+    # is not recomputed per pass.
+    df = _written(df, "classifier_rows", id_col, hex_id)
     ohe = OneHotEncoder(inputCols=list(code_cols), outputCols=[f"{c}_oh" for c in code_cols],
                         handleInvalid="keep")
     num = VectorAssembler(inputCols=list(num_cols), outputCol="__num", handleInvalid="keep")
@@ -79,16 +83,15 @@ def train_classifier(features: DataFrame, code_cols: Sequence[str], num_cols: Se
 
 
 def train_severity(features: DataFrame, code_cols: Sequence[str], target: str,
-                   id_col: str = "claim_id") -> DataFrame:
+                   id_col: str = "claim_id", hex_id: bool = False) -> DataFrame:
     """Gamma GLM (log link) for claim severity; rows with a positive target
-    train, every row is scored."""
+    train, every row is scored.  ``hex_id`` as in ``train_classifier``."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import OneHotEncoder, VectorAssembler
     from pyspark.ml.regression import GeneralizedLinearRegression
 
     df = features.withColumn("split", hash_split(id_col)).withColumn(target, F.col(target).cast("double"))
-    ensure_checkpoint_dir(df.sparkSession)
-    df = df.checkpoint(eager=True)
+    df = _written(df, "severity_rows", id_col, hex_id)
     ohe = OneHotEncoder(inputCols=list(code_cols), outputCols=[f"{c}_oh" for c in code_cols],
                         handleInvalid="keep")
     vec = VectorAssembler(inputCols=[f"{c}_oh" for c in code_cols], outputCol="features")
