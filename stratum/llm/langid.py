@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from stratum.llm.common import arrow_map, code_points, pieces, segment_sum, without
+from stratum.llm.common import SMALL_PIECE, arrow_map, code_points, pieces, segment_sum, without
 
 BOUNDARY = 32
 _MIX = np.uint32(0x9E3779B1)
@@ -123,7 +123,7 @@ def grams(chars: np.ndarray, at: np.ndarray, config: LangConfig) -> Iterator[tup
 
 
 def _texts(batches: Iterator[pa.RecordBatch], column: str):
-    for batch in pieces(batches, column, 1 << 20):
+    for batch in pieces(batches, column, SMALL_PIECE):
         yield batch, *normalise(*code_points(batch.column(column)))
 
 

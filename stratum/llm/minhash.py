@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.common import arrow_map, by_group, pieces, utf8, whole
+from stratum.llm.common import SMALL_PIECE, arrow_map, by_group, pieces, utf8, whole
 from stratum.llm.components import components
 from stratum.sinks import materialize
 
@@ -88,11 +88,12 @@ def word_hashes(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
         return np.empty(0, np.uint64), np.zeros(len(at), np.int64)
     starts = np.flatnonzero(first[place])               # word starts among the solid bytes
     size = np.diff(np.append(starts, len(place)))
-    inside = np.arange(len(place)) - np.repeat(starts, size)
-    value = _BYTE[raw[place]] * _powers(int(size.max()))[inside]
+    inside = np.arange(len(place))
+    inside -= np.repeat(starts, size)
+    value = _BYTE[raw[place].astype(np.intp)]
+    value *= _powers(int(size.max()))[inside]
     hashes = np.add.reduceat(value, starts) + size.astype(np.uint64)
-    words = np.concatenate(([0], np.cumsum(first)))
-    return _mix(hashes), words[at]
+    return _mix(hashes), np.searchsorted(np.flatnonzero(first), at)
 
 
 def shingles(hashes: np.ndarray, at: np.ndarray, words: int) -> list[np.ndarray]:
@@ -148,7 +149,7 @@ def band_keys(signatures: np.ndarray, config: MinHashConfig) -> np.ndarray:
 
 
 def _sets(batches: Iterator[pa.RecordBatch], words: int):
-    for batch in pieces(batches, "text", 1 << 20):
+    for batch in pieces(batches, "text", SMALL_PIECE):
         yield batch, shingles(*word_hashes(*utf8(batch.column("text"))), words)
 
 

@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
-from stratum.llm.common import arrow_map, code_points, pieces, segment_sum, utf8, without
+from stratum.llm.common import SMALL_PIECE, arrow_map, code_points, pieces, segment_sum, utf8, without
 from stratum.llm.minhash import word_hashes
 from stratum.sinks import materialize
 
@@ -78,18 +78,36 @@ def text_buckets(points: np.ndarray, at: np.ndarray, config: QualityConfig) -> l
         if len(points) < order:
             continue
         many = len(points) - order + 1
-        hashed = np.full(many, order, np.uint32)
+        inside = np.ones(many, bool)
+        for k in range(1, order):           # the last order - 1 places of a row begin none
+            last = at[1:] - k
+            inside[last[(last >= 0) & (last < many)]] = False
+        offsets = np.concatenate(([0], np.cumsum(np.maximum(n_chars - order + 1, 0))))
+        out.append((_buckets(points, order, config.bits)[inside].astype(np.intp), offsets))
+    return out
+
+
+STEP = 1 << 15                  # n-grams hashed at once: their arrays stay in a core's cache
+
+
+def _buckets(points: np.ndarray, order: int, bits: int) -> np.ndarray:
+    """The bucket of the n-gram that begins at each of the code points."""
+    many = len(points) - order + 1
+    out, spare = np.empty(many, np.uint32), np.empty(min(STEP, many), np.uint32)
+
+    def mix(hashed: np.ndarray, factor: int, shift: int) -> None:
+        hashed *= np.uint32(factor)
+        hashed ^= np.right_shift(hashed, np.uint32(shift), out=spare[:len(hashed)])
+
+    for start in range(0, many, STEP):
+        hashed = out[start:start + STEP]
+        hashed[:] = order
         for k in range(order):
-            hashed *= np.uint32(0x9E3779B1)
-            hashed ^= hashed >> np.uint32(15)
-            hashed += points[k:many + k]
-        hashed *= np.uint32(0x85EBCA6B)
-        hashed ^= hashed >> np.uint32(13)
+            mix(hashed, 0x9E3779B1, 15)
+            hashed += points[start + k:start + k + len(hashed)]
+        mix(hashed, 0x85EBCA6B, 13)
         hashed *= np.uint32(0xC2B2AE35)
-        row_end = np.repeat(at[1:], n_chars)[:many]
-        inside = np.arange(order, many + order) <= row_end
-        offsets = np.concatenate(([0], np.cumsum(np.maximum(n_chars - order + 1, 0))))
-        out.append((hashed[inside] >> np.uint32(32 - config.bits), offsets))
+        hashed >>= np.uint32(32 - bits)
     return out
 
 
@@ -121,26 +139,37 @@ _KIND_OF: list[np.ndarray] = []
 VIEW = {"text": "text", "source": "source", "lang": "lang"}
 
 
+def _between(places: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """How many of the ascending ``places`` lie in each row."""
+    return np.diff(np.searchsorted(places, at))
+
+
+def _repeats(values: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Places of values that equal the one before them in their row."""
+    same = np.zeros(len(values), bool)
+    same[1:] = values[1:] == values[:-1]
+    same[at[:-1][np.diff(at) > 0]] = False
+    return np.flatnonzero(same)
+
+
 def meta_features(batch: pa.RecordBatch, points: np.ndarray, at: np.ndarray, config: QualityConfig,
                   names: dict[str, str] = VIEW) -> np.ndarray:
     """(rows, features) of the metadata view; ``names`` of the columns, those
     that are missing left out."""
     if not _KIND_OF:
         _KIND_OF.append(_kinds())
-    kind = _KIND_OF[0][np.minimum(points, 0xFFFF)]
+    kind = _KIND_OF[0][np.minimum(points, 0xFFFF).astype(np.intp)]
     n = np.maximum(np.diff(at), 1).astype(float)
-    share = np.column_stack([segment_sum((kind == k).astype(np.float32), at) for k in range(len(_KINDS))])
-    turns = np.zeros(len(points), np.float32)
-    turns[1:] = (kind[1:] == 5) & (kind[:-1] == 5)              # marks in a row
-    runs = segment_sum(turns, at)
+    share = np.column_stack([_between(np.flatnonzero(kind == k), at) for k in range(len(_KINDS))]).astype(float)
+    mark = kind == 5
+    runs = _between(np.flatnonzero(mark[1:] & mark[:-1]) + 1, at)       # marks in a row
     words, word_at = word_hashes(*utf8(batch.column(names["text"])))
     n_words = np.diff(word_at)
-    distinct, again = np.zeros(len(n)), np.zeros(len(n))
-    for i, (start, end) in enumerate(zip(word_at[:-1].tolist(), word_at[1:].tolist())):
-        if end > start:
-            own = words[start:end]
-            distinct[i] = len(np.unique(own)) / (end - start)
-            again[i] = np.count_nonzero(own[1:] == own[:-1]) / (end - start)
+    share_of = np.maximum(n_words, 1)
+    again = _between(_repeats(words, word_at), word_at) / share_of
+    for start, end in zip(word_at[:-1].tolist(), word_at[1:].tolist()):
+        words[start:end].sort()
+    distinct = (n_words - _between(_repeats(words, word_at), word_at)) / share_of
     dense = [np.ones(len(n)), np.log1p(np.diff(at)) / 10, np.log1p(n_words) / 10, n / np.maximum(n_words, 1) / 10,
              *(share / n[:, None]).T, np.sqrt(share[:, 5] / n), np.sqrt(runs / n),
              share[:, 0] / np.maximum(share[:, 0] + share[:, 1], 1), share[:, 4] / np.maximum(n_words, 1),
@@ -154,7 +183,7 @@ def meta_features(batch: pa.RecordBatch, points: np.ndarray, at: np.ndarray, con
 
 
 def _rows(batches: Iterator[pa.RecordBatch], config: QualityConfig, names: dict[str, str] = VIEW):
-    for batch in pieces(batches, names["text"], 1 << 20):
+    for batch in pieces(batches, names["text"], SMALL_PIECE):
         points, at = code_points(batch.column(names["text"]))
         yield batch, text_buckets(points, at, config), meta_features(batch, points, at, config, names)
 
@@ -299,11 +328,13 @@ def _add_up(views: Views, batches, sums: dict[str, np.ndarray]) -> None:
         for name, of in (("by_text", of_text), ("by_meta", of_meta)):
             sums[name] += np.bincount(of[of >= 0], minlength=2 * len(edges))
         scale = np.log1p(n) / n
+        taken = of_meta >= 0
         for bucket, at in found:
-            place = np.repeat(of_meta, np.diff(at))
-            taken = place >= 0
-            sums["counts"] += np.bincount(place[taken] * buckets + bucket[taken].astype(np.int64),
-                                          np.repeat(scale, np.diff(at))[taken], 2 * len(edges) * buckets)
+            many = np.diff(at)
+            own = bucket if taken.all() else bucket[np.repeat(taken, many)]
+            place = np.repeat(of_meta[taken] * buckets, many[taken])
+            place += own
+            sums["counts"] += np.bincount(place, np.repeat(scale[taken], many[taken]), 2 * len(edges) * buckets)
         p = _probability(meta @ views.meta)
         for k in np.unique(of_text[of_text >= 0]).tolist():
             x, own = meta[of_text == k], p[of_text == k]

@@ -118,6 +118,38 @@ def test_text_buckets_count_all_ngrams_of_a_row():
     assert two[0] == two[3] == two[4] and len(three) == 3
 
 
+def test_features_of_rows_that_share_a_piece():
+    """Against a walk over each row's n-grams, characters and words; a row next
+    to others has the features that it has alone."""
+    texts = ["Ab ab ab, cd!! 1\n", None, "", "x", " \t", "漢字 é É 12", "ab ab ba ab", "😀 😀"]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string())})
+    config, names = QualityConfig(), {"text": "text"}
+    points, at = code_points(batch.column("text"))
+    buckets = quality.text_buckets(points, at, config)
+    meta = quality.meta_features(batch, points, at, config, names)
+    for i, text in enumerate(texts):
+        alone = batch.slice(i, 1)
+        own, own_at = code_points(alone.column("text"))
+        assert own.tolist() == [ord(c) for c in text or ""]
+        assert (quality.meta_features(alone, own, own_at, config, names)[0] == meta[i]).all()
+        for order, (bucket, offsets) in zip(config.orders, buckets):
+            want = []
+            for k in range(len(own) - order + 1):
+                h = order
+                for c in own[k:k + order].tolist():
+                    h = h * 0x9E3779B1 % 2 ** 32
+                    h = ((h ^ (h >> 15)) + c) % 2 ** 32
+                h = h * 0x85EBCA6B % 2 ** 32
+                want.append((h ^ (h >> 13)) * 0xC2B2AE35 % 2 ** 32 >> (32 - config.bits))
+            assert bucket[offsets[i]:offsets[i + 1]].tolist() == want
+        words = (text or "").translate({ord(c): c.lower() for c in "AB"}).split()
+        many = max(1, len(words))
+        distinct, again = len(set(words)) / many, sum(a == b for a, b in zip(words, words[1:])) / many
+        assert np.allclose(meta[i][[15, 17]], [distinct, again])
+        assert np.allclose(meta[i][4:11], np.bincount(
+            [quality._KIND_OF[0][min(ord(c), 0xFFFF)] for c in text or ""], minlength=7) / max(1, len(own)))
+
+
 def test_logistic_matches_the_gradient():
     rng = np.random.default_rng(2)
     x = rng.normal(size=(200, 3))
