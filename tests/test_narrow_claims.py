@@ -1,9 +1,11 @@
 """What claims carry through shuffles and written frames."""
 
+import re
+
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
-from stratum.plans import extra
+from stratum.plans import extra, features
 from stratum.sinks import materialize_keyed
 from conftest import SF_SMALL
 
@@ -40,3 +42,11 @@ def test_keys_are_written_in_binary(spark):
     assert sorted(map(str, out.collect())) == sorted(map(str, rows.collect())) and out.columns == ["id", "x"]
     files = [f.removeprefix("file://") for f in out.inputFiles()]
     assert files and all(str(pq.read_schema(f).field("id").type) == "binary" for f in files)
+
+
+def test_evidence_is_joined_to_the_query_claims_only(spark, monkeypatch):
+    near = spark.createDataFrame([("a", 1, "b", 1.0, "open", 1.0, True)], "query_id string, rank int, claim_id string, "
+                                 "score double, claim_status string, amount double, fraud boolean")
+    monkeypatch.setattr(features, "similar_claims", lambda *_: near)
+    plan = features.claim_evidence(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"pmod\(.*, 100\) = 0", plan)
