@@ -73,7 +73,9 @@ class Scd2Snapshot:
             span = span.select(key, "__lo", "__hi")
             near = stored.withColumn("__k", F.struct(*self.keys)).join(
                 F.broadcast(span) if small else span.hint("merge"), "__k")
-            after = (near.where(place > F.col("__hi")).groupBy(*self.keys).agg(F.min(place).alias("__next"))
+            # whole rows, so both uses of ``near`` read one shuffle of the stored versions
+            row = F.struct(*self.seq, *self.keys, *self.tracked, "effective_to")
+            after = (near.where(place > F.col("__hi")).groupBy(*self.keys).agg(F.min(row).alias("__next"))
                      .select(key, F.col(f"__next.{start}").alias("__after")))
             within = near.where((place <= F.col("__hi")) & (F.col("effective_to").isNull()
                                                             | (F.col("effective_to") >= F.col(f"__lo.{start}"))))

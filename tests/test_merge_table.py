@@ -148,3 +148,20 @@ def test_evolving_columns(spark, root):
     wide = spark.createDataFrame([(2, 2, "c", 9)], "k long, seq long, v string, extra int")
     got = {(r.k, r.v, r.extra) for r in table.merge(wide).collect()}
     assert got == {(1, "a", None), (2, "c", 9)}
+
+
+def test_many_updates_that_win_shuffle_the_stored_rows_once(spark, root, monkeypatch):
+    table = MergeTable(spark, root, ["k", "seq"], buckets=3, broadcast_bytes=0, bucket_by=["k"])
+    table.merge(rows(spark, (1, 1, "a"), (1, None, "b"), (None, 2, "c"), (2, 2, None), (3, 3, "e")))
+    plans, write = [], MergeTable._write
+
+    def spy(self, df, folder):
+        plans.append((folder, df._jdf.queryExecution().executedPlan().toString()))
+        return write(self, df, folder)
+
+    monkeypatch.setattr(MergeTable, "_write", spy)
+    got = table.merge(rows(spark, (1, None, "B"), (None, 2, None), (2, 2, "d"), (4, 4, "f")))
+    want = [(1, 1, "a"), (1, None, "B"), (None, 2, None), (2, 2, "d"), (3, 3, "e"), (4, 4, "f")]
+    assert content(got) == sorted(want, key=str)
+    merged = [plan for folder, plan in plans if folder.startswith("v-")]
+    assert len(merged) == 1 and merged[0].count("Exchange hashpartitioning") == 1 and "Join" not in merged[0]
